@@ -127,19 +127,19 @@ def inverse_scale(df, state, mapping=None):
 
 
 def polynomial_features(df, columns, keep=(), degree=2, bias=True):
-    """Bias, columns and their products up to `degree`, as columns named a, a*b, ..."""
+    """Bias, columns and their products up to `degree`, as columns named a, a__b, ..."""
     terms = [F.lit(1.0).alias("1")] if bias else []
     for d in range(1, degree + 1):
         for group in combinations_with_replacement(columns, d):
             product = F.col(group[0]).cast("double")
             for c in group[1:]:
                 product = product * F.col(c).cast("double")
-            terms.append(product.alias("*".join(group)))
+            terms.append(product.alias("__".join(group)))
     return df.select(*keep, *terms)
 
 
 def polynomial_names(columns, degree=2):
-    return ["*".join(g) for d in range(1, degree + 1) for g in combinations_with_replacement(columns, d)]
+    return ["__".join(g) for d in range(1, degree + 1) for g in combinations_with_replacement(columns, d)]
 
 
 def threshold_to_class(df, column, cut=0.5, name="label"):
