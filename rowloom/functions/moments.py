@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+WIDE_SUM = 4_096
+MERGE_TASKS = 16
 WIDE = 12  # beyond this many columns NumPy blocks beat one SQL aggregate per pair
 
 
@@ -95,8 +97,21 @@ def sum_over_rows(df: DataFrame, columns, block, size: int) -> np.ndarray:
         yield pd.DataFrame({"part": [total]})
 
     parts = df.select(*columns).mapInPandas(partial, "part array<double>")
+    if size > WIDE_SUM:  # merge whole vectors in a few tasks first, so the shuffle stays small
+        parts = parts.repartition(MERGE_TASKS).mapInPandas(_add_vectors(size), "part array<double>")
     rows = parts.select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("s")).collect()
     out = np.zeros(size)
     for r in rows:
         out[r["pos"]] = r["s"]
     return out
+
+
+def _add_vectors(size):
+    def add(batches):
+        total = np.zeros(size)
+        for pdf in batches:
+            for v in pdf["part"]:
+                total += v
+        yield pd.DataFrame({"part": [total]})
+
+    return add
