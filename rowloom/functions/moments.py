@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.functions.nulls import complete_rows
+
 WIDE_SUM = 4_096
 MERGE_TASKS = 16
 WIDE = 12  # beyond this many columns NumPy blocks beat one SQL aggregate per pair
@@ -64,7 +66,7 @@ def _moment_exprs(columns):
 def moments(df: DataFrame, columns) -> Moments:
     """Moments over the rows in which every listed column is present."""
     columns = list(columns)
-    full = df.select(*columns).dropna("any")
+    full = df.select(*columns).transform(complete_rows)
     if len(columns) <= WIDE:
         return _from_row(columns, full.agg(*_moment_exprs(columns)).first())
     first = full.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
@@ -77,7 +79,7 @@ def moments(df: DataFrame, columns) -> Moments:
 def grouped_moments(df: DataFrame, columns, by: str) -> dict:
     """{group value: Moments}; for folds and classes, whose number is small by nature."""
     columns = list(columns)
-    rows = df.select(by, *columns).dropna("any").groupBy(by).agg(*_moment_exprs(columns)).collect()
+    rows = df.select(by, *columns).transform(complete_rows).groupBy(by).agg(*_moment_exprs(columns)).collect()
     return {r[by]: _from_row(columns, r) for r in rows}
 
 

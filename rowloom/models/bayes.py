@@ -5,6 +5,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.functions.nulls import complete_rows
+
 
 class GaussianNB:
     """Classes, priors, means and population variances (smoothed by a share of the largest variance)."""
@@ -79,6 +81,6 @@ def model_from_statistics(rows, features, label, var_smoothing=1e-9, priors=None
 
 
 def fit_gaussian_nb(df, features, label, var_smoothing=1e-9, priors=None) -> GaussianNB:
-    full = df.dropna("any", subset=[*features, label])
+    full = complete_rows(df, [*features, label])
     rows = class_statistics(full, features, label).collect()
     return model_from_statistics(rows, features, label, var_smoothing, priors)

@@ -13,6 +13,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import Moments, moments
+from rowloom.functions.nulls import complete_rows
 
 
 @dataclass
@@ -187,7 +188,7 @@ def holdout_mse(model: LinearModel, m: Moments, target) -> float:
 
 def fit_huber(df, features, target, epsilon=1.35, reg=0.0):
     """Huber loss with a jointly fitted scale."""
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(df.dropna("any", subset=[*features, target]))
+    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(complete_rows(df, [*features, target]))
     # its scaling is set by column spread; a target of any unit is fine
     fitted = LinearRegression(featuresCol="_x", labelCol=target, loss="huber", epsilon=epsilon, regParam=reg).fit(rows)
     return LinearModel(list(features), fitted.coefficients.toArray(), fitted.intercept)
@@ -203,7 +204,7 @@ def fit_passive_aggressive(df, features, target, c=1.0, epsilon=0.1, epochs=5):
     features = list(features)
     p = len(features)
     w = np.zeros(p + 1)
-    table = df.select(*features, target).dropna("any").persist()
+    table = df.select(*features, target).transform(complete_rows).persist()
     try:
         for _ in range(epochs):
             start = w

@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import sum_over_rows
+from rowloom.functions.nulls import complete_rows
 
 _ACTIVATIONS = {
     "identity": (lambda z: z, lambda a: np.ones_like(a)),
@@ -58,7 +59,7 @@ def fit_mlp(
         parts += [rng.uniform(-bound, bound, i * o), rng.uniform(-bound, bound, o)]
     flat = np.concatenate(parts)
     decay = np.concatenate([np.append(np.ones(i * o), np.zeros(o)) for i, o in zip(sizes[:-1], sizes[1:])])
-    table = df.select(*features, target).dropna("any").persist()
+    table = df.select(*features, target).transform(complete_rows).persist()
     first, second, velocity = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
     try:
         for step in range(1, max_iter + 1):

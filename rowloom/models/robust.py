@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.hashing import hash32
 from rowloom.functions.moments import moments, sum_over_rows
+from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.models.linear import LinearModel, fit_least_squares
 
@@ -20,7 +21,7 @@ def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray
     top-n. A table too small for that is dealt several times in other orders.
     """
     features = list(features)
-    rows = df.select(F.col(key).cast("string").alias("_id"), *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).dropna("any")
+    rows = df.select(F.col(key).cast("string").alias("_id"), *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
     n = rows.limit(subsets * size).count()
     if n < size:
         raise ValueError("fewer rows than one subset needs")
@@ -74,7 +75,7 @@ def fit_ransac(df, key, features, target, min_samples=None, residual_threshold=N
     """
     features = list(features)
     p = len(features)
-    table = df.select(key, *features, target).dropna("any")
+    table = df.select(key, *features, target).transform(complete_rows)
     size = p + 1 if min_samples is None else min_samples
     if isinstance(size, float) and size < 1:
         size = max(p + 1, min(int(np.ceil(size * table.count())), 100_000))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from rowloom.functions.hashing import hash32
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import sum_over_rows
+from rowloom.functions.nulls import complete_rows
 
 MARGIN_EVERY = 25  # boosting rounds between two written margins
 
@@ -107,7 +108,7 @@ def extra_trees_regress(
     """
     features = list(features)
     p = len(features)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).dropna("any").persist()
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).transform(complete_rows).persist()
     mean = table.agg(F.avg(target)).first()[0] or 0.0
     trees = [Tree() for _ in range(n_estimators)]
     open_nodes = [(i, 0) for i in range(n_estimators)]
@@ -239,7 +240,7 @@ def boosted_trees(
     u = hash32(key, seed).cast("double") if subsample < 1.0 else F.lit(0.0)
     table = df.select(
         *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y"), u.alias("_u")
-    ).dropna("any")
+    ).transform(complete_rows)
     mean = table.agg(F.avg("_y")).first()[0]
     base = float(np.log(mean / (1 - mean))) if loss == "logistic" else float(mean)
     table = table.withColumn("_margin", F.lit(base)).persist()
@@ -347,7 +348,7 @@ def huber_boosting(
     clipped residual, and each leaf takes its median plus the mean clipped rest.
     """
     features = list(features)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).dropna("any")
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
     base = float(table.agg(F.percentile_approx("_y", 0.5, 10_000)).first()[0])
     table = table.withColumn("_margin", F.lit(base)).withColumn("_u", F.lit(0.0)).persist()
     held = table

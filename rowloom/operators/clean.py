@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.operators.select import columns_of_kind
 
@@ -16,7 +17,7 @@ def null_count_profile(df: DataFrame) -> DataFrame:
 
 
 def drop_null_rows(df, drop=()):
-    return df.drop(*drop).dropna("any")
+    return df.drop(*drop).transform(complete_rows)
 
 
 def medians(df, columns) -> dict:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from rowloom.functions.hashing import hash32
 from rowloom.functions.lineage import cut_lineage
+from rowloom.functions.nulls import complete_rows
 
 BROADCAST_POINTS = 20_000
 MAX_PIVOTS = 1_024
@@ -58,7 +59,7 @@ def _best(q, x, k, p):
 def _vectors(table, features, key, extra=()):
     """(_id, _v, extras); rows with a missing feature cannot be compared and are left out."""
     v = F.array(*[F.col(f).cast("double") for f in features])
-    return table.dropna("any", subset=list(features)).select(F.col(key).alias("_id"), v.alias("_v"), *extra)
+    return complete_rows(table, list(features)).select(F.col(key).alias("_id"), v.alias("_v"), *extra)
 
 
 def _matrix(series):

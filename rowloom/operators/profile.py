@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.hashing import hash32
+from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 
 
@@ -119,7 +120,7 @@ def kde_curve(df, column, by, grid_size=30):
     rows is evaluated once per grid point.
     """
     x = F.col(column).cast("double")
-    table = df.select(F.col(by), x.alias("x")).dropna("any")
+    table = df.select(F.col(by), x.alias("x")).transform(complete_rows)
     stats = {
         r[by]: r
         for r in table.groupBy(by).agg(
@@ -151,7 +152,7 @@ def scatter_sample(df, key, columns, share, seed=0):
 def gram_table(df, columns):
     """Long form of the centred cross products: column_a, column_b, n, sum_product."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    full = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna("any")
+    full = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).transform(complete_rows)
     wide = full.agg(
         F.count(F.lit(1)).alias("n"), *[F.covar_pop(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import grouped_moments
+from rowloom.functions.nulls import complete_rows
 from rowloom.models.bayes import class_statistics, model_from_statistics
 from rowloom.models.linear import fit_ridge, holdout_mse
 from rowloom.operators.metrics import METRICS, evaluate, roc_auc
@@ -92,7 +93,7 @@ def _mark_best(per_fold, names, higher, fold="fold"):
 
 def _nb_fold_scores(df, features, label, smoothings, fold):
     """Every row scored once per smoothing value by the model fitted without its fold."""
-    full = df.dropna("any", subset=[*features, label])
+    full = complete_rows(df, [*features, label])
     stats = class_statistics(full, features, label, by=[fold]).collect()
     options = F.explode(F.array(*[F.lit(float(s)) for s in smoothings])).alias("var_smoothing")
     out = None
