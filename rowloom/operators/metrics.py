@@ -188,17 +188,17 @@ def silhouette(df, features, cluster) -> DataFrame:
         *[F.avg(f).alias(f"m_{f}") for f in features],
         sum((F.var_pop(f) for f in features[1:]), F.var_pop(features[0])).alias("v"),
     ).collect()
-    own_, other = F.lit(None).cast("double"), F.lit(float("inf"))
-    single = F.lit(False)
-    for r in stats:
-        d = F.lit(r["v"])
-        for f in features:
-            d = d + (F.col(f) - F.lit(r[f"m_{f}"])) * (F.col(f) - F.lit(r[f"m_{f}"]))
-        mine = F.col(cluster) == F.lit(r[cluster])
-        if r["n"] > 1:
-            own_ = F.when(mine, d * F.lit(r["n"] / (r["n"] - 1.0))).otherwise(own_)
-        else:
-            single = single | mine
-        other = F.when(mine, other).otherwise(F.least(other, d))
-    value = F.when(single, F.lit(0.0)).otherwise(F.try_divide(other - own_, F.greatest(other, own_)))
-    return df.agg(F.avg(value).alias("silhouette"))
+    own = F.lit(None).cast("int")
+    distances = []
+    for i, r in enumerate(stats):
+        own = F.when(F.col(cluster) == F.lit(r[cluster]), F.lit(i)).otherwise(own)
+        gaps = [F.col(f) - F.lit(r[f"m_{f}"]) for f in features]
+        distances.append(sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) + F.lit(r["v"]))
+    # within its own cluster a row is not compared with itself; a cluster of one scores 0
+    correction = F.array(*[F.lit(r["n"] / (r["n"] - 1.0) if r["n"] > 1 else None).cast("double") for r in stats])
+    scored = df.select(F.array(*distances).alias("_d"), own.alias("_own"))
+    a = F.col("_d")[F.col("_own")] * correction[F.col("_own")]
+    b = F.array_min(F.filter("_d", lambda d, i: i != F.col("_own")))
+    near = scored.select(a.alias("_a"), b.alias("_b"), "_own")
+    value = F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0))
+    return near.filter("_own is not null").agg(F.avg(value).alias("silhouette"))
