@@ -27,8 +27,9 @@ class GaussianNB:
             total = total - 0.5 * F.log(F.lit(2.0 * math.pi) * v) - 0.5 * gap * gap / v
         return total
 
-    def score(self, df, name="prediction", probability=None, smoothing=None) -> DataFrame:
-        """Most likely class (ties: smallest), and optionally the probability of the last class."""
+    def score(self, df, name="prediction", probability=None, margin=None, smoothing=None) -> DataFrame:
+        """Most likely class (ties: smallest); optionally the probability of the last class
+        and its log odds against the first."""
         logs = {c: self.log_density(c, smoothing) for c in self.classes}
         out = df.withColumns({f"_l{i}": v for i, v in enumerate(logs.values())})
         names = [F.col(f"_l{i}") for i in range(len(self.classes))]
@@ -42,6 +43,8 @@ class GaussianNB:
             for l in names[1:]:
                 total = total + F.exp(l - best)
             out = out.withColumn(probability, F.exp(names[-1] - best) / total)
+        if margin:
+            out = out.withColumn(margin, names[-1] - names[0])
         return out.drop(*[f"_l{i}" for i in range(len(self.classes))])
 
     def table(self, spark):

@@ -100,7 +100,7 @@ def _nb_fold_scores(df, features, label, smoothings, fold):
     for f in sorted({r[fold] for r in stats}):
         model = model_from_statistics([r for r in stats if r[fold] != f], features, label)
         held = full.filter(F.col(fold) == F.lit(f)).select("*", options)
-        part = model.score(held, probability="probability", smoothing=F.col("var_smoothing"))
+        part = model.score(held, margin="margin", smoothing=F.col("var_smoothing"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -112,7 +112,7 @@ def multi_metric_search_nb(df, features, label, smoothings, metrics=("roc_auc",
     plain = [m for m in metrics if m != "roc_auc"]
     per_fold = evaluate(scored, label, "prediction", plain, by) if plain else None
     if "roc_auc" in metrics:
-        area = roc_auc(scored, label, "probability", by)
+        area = roc_auc(scored, label, "margin", by)
         per_fold = area if per_fold is None else per_fold.join(area, by)
     means = per_fold.groupBy("var_smoothing").agg(*[F.avg(m).alias(m) for m in metrics])
     higher = True if refit == "roc_auc" else METRICS[refit][1]
