@@ -4,6 +4,7 @@ The draw depends on the key alone, so it survives repartitioning, task retries
 and lost executors, and SQL engines can recompute it.
 """
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,3 +24,13 @@ def hash32(key, seed=0) -> Column:
 def unit_interval(key, seed=0) -> Column:
     """Double in [0, 1)."""
     return hash32(key, seed).cast("double") / F.lit(float(SPAN))
+
+
+def uniform_draws(hashes, salt):
+    """[0, 1) per row inside a task, from its 32-bit row hash and a round number (splitmix64 finaliser)."""
+    with np.errstate(over="ignore"):
+        z = hashes.astype(np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = z ^ (z >> np.uint64(31))
+    return (z >> np.uint64(11)).astype(float) / 2.0**53

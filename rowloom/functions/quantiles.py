@@ -1,10 +1,13 @@
 """Exact linear-interpolated quantiles in bounded memory.
 
-`percentile` keeps every distinct value of a column in one aggregation buffer.
-That is fine for small tables. Beyond `small` rows, `percentile_approx` brackets
-each wanted order statistic, counts verify the bracket, and the few values in it
-are counted exactly. Brackets that hold too many distinct values are narrowed
-again, so memory stays bounded and the answer exact.
+`percentile` keeps every distinct value of a column in one aggregation buffer,
+which is fine for small tables. Beyond `small` rows a bounded random sample
+brackets each wanted order statistic, and one pass over all rows counts what
+lies below and inside each bracket. The counts prove a bracket right, so the
+sample never affects the answer. Brackets are narrowed until few rows lie
+strictly between their ends (the ends themselves may be hot values); the values
+left are counted exactly. No task ever holds more than the sample or
+`MAX_BRACKET_ROWS` values per bracket, whatever the table size.
 """
 
 import math
@@ -12,28 +15,28 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
-ACCURACY = 5_000
-MAX_BRACKET_VALUES = 50_000
+SMALL_VALUES = 2_000_000  # rows x columns
+SAMPLE_VALUES = 1_000_000  # over all brackets of one round
+MIN_SAMPLE = 2_000
+MAX_BRACKET_ROWS = 20_000
+MAX_ROUNDS = 40
 
 
 class _Target:
-    """One wanted order-statistic pair (the two neighbours of a fractional rank)."""
+    """One wanted quantile: the two neighbouring ranks and the bracket known to hold both."""
 
-    def __init__(self, column, q):
+    def __init__(self, column, q, n):
         self.column, self.q = column, q
-        self.lo = self.hi = None  # inclusive bracket, None = open
-        self.answer = None
-
-    def place(self, n):
-        self.n = n
-        position = self.q * (n - 1)
+        position = q * (n - 1)
         self.first = math.floor(position)
         self.second = min(self.first + 1, n - 1)
         self.fraction = position - self.first
-        self.below, self.inside = 0, n
+        self.lo = self.hi = None  # inclusive ends, None = open
+        self.below, self.inside, self.between = 0, n, n
+        self.widen = 1.0
+        self.answer = None
 
-    def inside_condition(self):
+    def holds(self):
         keep = F.col(self.column).isNotNull()
         if self.lo is not None:
             keep = keep & (F.col(self.column) >= F.lit(self.lo))
@@ -41,108 +44,106 @@ class _Target:
             keep = keep & (F.col(self.column) <= F.lit(self.hi))
         return keep
 
-    def bracket_quantiles(self):
-        slack = 3.0 / ACCURACY
-        a = (self.first - self.below) / self.inside - slack
-        b = (self.second - self.below + 1) / self.inside + slack
-        return max(a, 0.0), min(b, 1.0), a <= 0.0, b >= 1.0
+    def shares(self, sample):
+        """Bracket ends as shares of the rows inside, six standard errors wide."""
+        a, b = (self.first - self.below) / self.inside, (self.second - self.below + 1) / self.inside
+        middle = min(max((a + b) / 2, 1.0 / sample), 1 - 1.0 / sample)
+        slack = self.widen * (6.0 * math.sqrt(middle * (1 - middle) / sample) + 20.0 / sample)
+        return a - slack, b + slack
 
 
-def _interpolate(low, high, fraction):
-    return float(low) + fraction * (float(high) - float(low))
-
-
-def exact_quantiles(df: DataFrame, wanted: dict, small: int = SMALL_ROWS) -> dict:
+def exact_quantiles(df: DataFrame, wanted: dict, small: int = SMALL_VALUES) -> dict:
     """{column: [q, ...]} -> {(column, q): value or None}; nulls are left out."""
-    targets = [_Target(c, float(q)) for c, qs in wanted.items() for q in qs]
-    columns = list(dict.fromkeys(t.column for t in targets))
+    columns = list(wanted)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     counts = table.agg(*[F.count(c).alias(c) for c in columns]).first()
-    out = {}
-    open_ = []
-    for t in targets:
-        if counts[t.column] == 0:
-            out[(t.column, t.q)] = None
-        else:
-            t.place(counts[t.column])
-            open_.append(t)
-    if not open_:
+    out = {(c, float(q)): None for c, qs in wanted.items() for q in qs}
+    filled = [c for c in columns if counts[c] and wanted[c]]
+    if filled and max(counts[c] for c in filled) * len(filled) <= small:
+        probabilities = {c: [float(q) for q in wanted[c]] for c in filled}
+        row = table.agg(*[F.percentile(c, F.array(*[F.lit(q) for q in probabilities[c]])).alias(c) for c in filled]).first()
+        for c in filled:
+            out.update({(c, q): v for q, v in zip(probabilities[c], row[c])})
         return out
-    if max(counts) <= small:
-        exprs = [
-            F.percentile(c, F.array(*[F.lit(t.q) for t in open_ if t.column == c])).alias(c)
-            for c in dict.fromkeys(t.column for t in open_)
-        ]
-        row = table.agg(*exprs).first()
-        for c in dict.fromkeys(t.column for t in open_):
-            for t, v in zip([t for t in open_ if t.column == c], row[c]):
-                out[(c, t.q)] = v
-        return out
-    while open_:
-        _narrow(table, open_)
-        ready = [t for t in open_ if t.answer is None and t.values <= MAX_BRACKET_VALUES]
-        if ready:
-            _resolve(table, ready)
+    open_ = [_Target(c, float(q), counts[c]) for c in filled for q in dict.fromkeys(wanted[c])]
+    for round_ in range(MAX_ROUNDS):
+        if not open_:
+            return out
+        _narrow(table, open_, round_)
+        _resolve(table, [t for t in open_ if t.between <= MAX_BRACKET_ROWS])
+        for t in open_:
+            if t.answer is not None:
+                out[(t.column, t.q)] = t.answer
         open_ = [t for t in open_ if t.answer is None]
-    for t in targets:
-        if (t.column, t.q) not in out:
-            out[(t.column, t.q)] = t.answer
-    return out
+    raise RuntimeError("quantile brackets did not close")
 
 
-def _narrow(table, targets):
-    """One pass for new bracket ends, one pass to count below, inside and distinct."""
-    sketches = []
+def _narrow(table, targets, round_):
+    """New bracket ends from a sample of the rows inside, then proof by counting all rows."""
+    sample = max(MIN_SAMPLE, SAMPLE_VALUES // len(targets))
+    drawn = table.withColumn("_draw", F.rand(round_))
+    chosen, ends = [], []
     for i, t in enumerate(targets):
-        a, b, _, _ = t.bracket_quantiles()
-        inside = F.when(t.inside_condition(), F.col(t.column))
-        sketches.append(
-            F.percentile_approx(inside, F.array(F.lit(a), F.lit(b)), ACCURACY).alias(f"t{i}")
-        )
-    ends = table.agg(*sketches).first()
-    before = []
+        in_sample = t.holds() & (F.col("_draw") < F.lit(min(1.0, sample / t.inside)))
+        chosen.append(F.when(in_sample, F.col(t.column)).alias(f"t{i}"))
+        a, b = t.shares(min(sample, t.inside))
+        shares = F.array(F.lit(min(max(a, 0.0), 1.0)), F.lit(min(max(b, 0.0), 1.0)))
+        ends.append(F.percentile(f"t{i}", shares))
+    ends = drawn.select(*chosen).agg(*ends).first()
+    before, checks = [], []
     for i, t in enumerate(targets):
-        _, _, open_low, open_high = t.bracket_quantiles()
         before.append((t.lo, t.hi))
-        t.lo = t.lo if open_low else ends[i][0]
-        t.hi = t.hi if open_high else ends[i][1]
-    checks = []
-    for i, t in enumerate(targets):
+        a, b = t.shares(min(sample, t.inside))
+        if ends[i] is not None:
+            t.lo = t.lo if a <= 0.0 else ends[i][0]
+            t.hi = t.hi if b >= 1.0 else ends[i][1]
         below = F.lit(0) if t.lo is None else F.count_if(F.col(t.column) < F.lit(t.lo))
+        between = t.holds()
+        for end in (t.lo, t.hi):
+            if end is not None:
+                between = between & (F.col(t.column) != F.lit(end))
         checks += [
             below.cast("bigint").alias(f"b{i}"),
-            F.count_if(t.inside_condition()).alias(f"i{i}"),
-            F.approx_count_distinct(F.when(t.inside_condition(), F.col(t.column))).alias(f"d{i}"),
+            F.count_if(t.holds()).alias(f"i{i}"),
+            F.count_if(between).alias(f"s{i}"),
         ]
     row = table.agg(*checks).first()
     for i, t in enumerate(targets):
         below, inside = row[f"b{i}"], row[f"i{i}"]
         if below <= t.first and t.second < below + inside:
-            t.below, t.inside, t.values = below, inside, row[f"d{i}"]
-        else:  # the sketch missed: keep the old bracket and let the next pass try again
+            t.below, t.inside, t.between, t.widen = below, inside, row[f"s{i}"], 1.0
+        else:  # an unlucky sample: keep the old bracket and look wider next time
             t.lo, t.hi = before[i]
-            t.values = math.inf
-            t.misses = getattr(t, "misses", 0) + 1
-            if t.misses > 3:
-                raise RuntimeError(f"no valid bracket for {t.column} at {t.q}")
+            t.widen *= 2.0
 
 
 def _resolve(table, targets):
+    """Count the few distinct values inside each bracket and step to the two ranks."""
+    if not targets:
+        return
     marked = F.array(
-        *[
-            F.when(t.inside_condition(), F.struct(F.lit(i).alias("t"), F.col(t.column).alias("v")))
-            for i, t in enumerate(targets)
-        ]
+        *[F.when(t.holds(), F.struct(F.lit(i).alias("t"), F.col(t.column).alias("v"))) for i, t in enumerate(targets)]
     )
     hits = table.select(F.explode(F.filter(marked, lambda m: m.isNotNull())).alias("m"))
-    rows = hits.groupBy("m.t", "m.v").count().collect()
+    found = {}
+    for i, value, n in hits.groupBy("m.t", "m.v").count().collect():
+        found.setdefault(i, []).append((value, n))
     for i, t in enumerate(targets):
         seen, low, high = t.below, None, None
-        for _, value, n in sorted(r for r in rows if r[0] == i):
+        for value, n in sorted(found[i]):
             if low is None and seen + n > t.first:
                 low = value
             if seen + n > t.second:
                 high = value
                 break
             seen += n
-        t.answer = _interpolate(low, high, t.fraction)
+        t.answer = low + t.fraction * (high - low)
+
+
+def sampled_quantiles(df: DataFrame, columns, probabilities, rows=200_000, seed=42) -> dict:
+    """{column: values} from a bounded random sample; for bin edges, where any nearby cut will do."""
+    n = df.count()
+    some = df if n <= rows else df.sample(fraction=rows / n, seed=seed)
+    ends = F.array(*[F.lit(float(q)) for q in probabilities])
+    row = some.agg(*[F.percentile(F.col(c).cast("double"), ends).alias(c) for c in columns]).first()
+    return {c: row[c] or [] for c in columns}

@@ -46,24 +46,22 @@ def hash_rank(df: DataFrame, key: str, by=(), seed=0, name="rank", bits=16) -> D
     each slice its offset; the window then only spans one slice. `{name}_n` is
     the size of the group.
     """
-    by = list(by)
     slice_ = F.shiftright("_h", 32 - bits)
-    hashed = df.withColumn("_h", hash32(key, seed)).withColumn("_slice", slice_)
-    counts = hashed.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_c"))
-    # at most 2^bits rows per group here; the constant keeps the ungrouped case explicit
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    # one array column stands for all group columns: nulls compare equal in it, and join and
+    # window share its partitioning
+    group = F.array(*[F.col(c).cast("string") for c in by]) if by else F.lit(0)
+    hashed = df.withColumn("_h", hash32(key, seed)).withColumn("_slice", slice_).withColumn("_group", group)
+    counts = hashed.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy("_group")  # at most 2^bits rows per group
     offsets = counts.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        F.col("_slice").alias("_s"),
-        (F.sum("_c").over(group.orderBy("_slice")) - F.col("_c")).alias("_off"),
-        F.sum("_c").over(group).alias(f"{name}_n"),
+        "_group",
+        "_slice",
+        (F.sum("_c").over(whole.orderBy("_slice")) - F.col("_c")).alias("_off"),
+        F.sum("_c").over(whole).alias(f"{name}_n"),
     )
-    match = F.col("_slice") == F.col("_s")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    within = Window.partitionBy(*by, "_slice").orderBy("_h", key)
+    within = Window.partitionBy("_group", "_slice").orderBy("_h", key)
     return (
-        hashed.join(offsets, match)
+        hashed.join(offsets, ["_group", "_slice"])
         .withColumn(name, F.col("_off") + F.row_number().over(within) - 1)
-        .drop("_h", "_slice", "_s", "_off", *[f"_by_{c}" for c in by])
+        .drop("_h", "_slice", "_group", "_off")
     )

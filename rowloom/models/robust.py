@@ -5,13 +5,14 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rowloom.functions.hashing import hash32
+from rowloom.functions.hashing import hash32, uniform_draws
 from rowloom.functions.moments import moments, sum_over_rows
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.models.linear import LinearModel, fit_least_squares
 
 MAX_ROUNDS = 500
+MAX_SUBSET_ROWS = 200_000  # rows dealt to all subsets; larger trials use shared sums instead
 
 
 def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray:
@@ -46,6 +47,30 @@ def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray
     return np.array([r["w"] for r in sorted(fits)], dtype=float)
 
 
+def share_fits(df, key, features, target, trials, share, seed=42) -> np.ndarray:
+    """(trials, p + 1) least-squares fits, each on a random share of all rows.
+
+    One pass sums the cross products of every trial; a row's coin flips come from its key hash.
+    """
+    features = list(features)
+    p = len(features)
+    m = moments(df, [*features, target])
+    rows = df.select(*features, target, hash32(key, seed).cast("double").alias("_u"))
+
+    def block(z):
+        x = np.column_stack([z[:, : p + 1] - m.mean, np.ones(len(z))])
+        parts = [x[uniform_draws(z[:, p + 1], t + 1) < share] for t in range(trials)]
+        return np.concatenate([(part.T @ part).ravel() for part in parts])
+
+    sums = sum_over_rows(rows, [*features, target, "_u"], block, trials * (p + 2) ** 2).reshape(trials, p + 2, p + 2)
+    fits = np.zeros((trials, p + 1))
+    x, y = [*range(p), p + 1], p
+    for t in range(trials):
+        w = np.linalg.lstsq(sums[t][np.ix_(x, x)], sums[t][x, y], rcond=None)[0]
+        fits[t, :p], fits[t, p] = w[:p], w[p] + m.mean[p] - w[:p] @ m.mean[:p]
+    return fits
+
+
 def spatial_median(points, max_iter=300, tol=1e-10):
     """Point with the least summed distance to all others (Weiszfeld steps)."""
     center = np.median(points, axis=0)
@@ -70,20 +95,24 @@ def fit_theil_sen(df, key, features, target, max_subpopulation=10_000, n_subsamp
 def fit_ransac(df, key, features, target, min_samples=None, residual_threshold=None, max_trials=100, seed=42) -> LinearModel:
     """Best consensus fit: every trial model is judged in one shared pass, the winner is refitted on its inliers.
 
-    `min_samples` below 1 is a share of the rows; the threshold defaults to the
-    median absolute deviation of the target. More inliers win, then a higher R^2.
+    `min_samples` below 1 is a share of the rows, which then joins each trial by a
+    coin flip on its key; the threshold defaults to the median absolute deviation
+    of the target. More inliers win, then a higher R^2.
     """
     features = list(features)
     p = len(features)
     table = df.select(key, *features, target).transform(complete_rows)
     size = p + 1 if min_samples is None else min_samples
-    if isinstance(size, float) and size < 1:
-        size = max(p + 1, min(int(np.ceil(size * table.count())), 100_000))
     if residual_threshold is None:
         middle = exact_quantiles(table, {target: [0.5]})[(target, 0.5)]
         spread = table.select(F.abs(F.col(target) - F.lit(middle)).alias("d"))
         residual_threshold = exact_quantiles(spread, {"d": [0.5]})[("d", 0.5)]
-    fits = subset_fits(table, key, features, target, max_trials, int(size), seed)
+    if size < 1:
+        fits = share_fits(table, key, features, target, max_trials, size, seed)
+    elif size * max_trials <= MAX_SUBSET_ROWS:
+        fits = subset_fits(table, key, features, target, max_trials, int(size), seed)
+    else:
+        fits = share_fits(table, key, features, target, max_trials, min(1.0, size / table.count()), seed)
     t = len(fits)
 
     def judge(z):

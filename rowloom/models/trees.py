@@ -10,10 +10,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.hashing import hash32
+from rowloom.functions.hashing import hash32, uniform_draws
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import sum_over_rows
 from rowloom.functions.nulls import complete_rows
+from rowloom.functions.quantiles import exact_quantiles, sampled_quantiles
 
 MARGIN_EVERY = 25  # boosting rounds between two written margins
 
@@ -200,20 +201,9 @@ def _left_sums(table, features, target, mean, trees, nodes, cuts):
 
 
 def bin_edges(df, features, max_bins) -> list:
-    """Per feature: sorted cut values between bins, from approximate quantiles (the usual sketch split)."""
-    shares = [i / max_bins for i in range(1, max_bins)]
-    row = df.agg(*[F.percentile_approx(f, F.array(*[F.lit(s) for s in shares]), 10_000).alias(f) for f in features]).first()
-    return [np.unique(np.array(row[f], dtype=float)) for f in features]
-
-
-def _mix(u, salt):
-    """Uniform [0, 1) from a 32-bit row hash and a round number (splitmix64 finaliser)."""
-    with np.errstate(over="ignore"):
-        z = u.astype(np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z = z ^ (z >> np.uint64(31))
-    return (z >> np.uint64(11)).astype(float) / 2.0**53
+    """Per feature: sorted cut values between bins, from the quantiles of a bounded sample."""
+    found = sampled_quantiles(df, features, [i / max_bins for i in range(1, max_bins)])
+    return [np.unique(np.array(found[f], dtype=float)) for f in features]
 
 
 def _gradients(loss, y, margin):
@@ -293,7 +283,7 @@ def _grow_boosted(
             slot = where[_walk(frozen, x)]
             ok = slot >= 0
             if subsample < 1.0:
-                ok &= _mix(u, round_) < subsample
+                ok &= uniform_draws(u, round_) < subsample
             x, y, margin, slot = x[ok], y[ok], margin[ok], slot[ok]
             for t in fresh:
                 margin += rate * t[4][_walk(t, x)]
@@ -349,7 +339,7 @@ def huber_boosting(
     """
     features = list(features)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
-    base = float(table.agg(F.percentile_approx("_y", 0.5, 10_000)).first()[0])
+    base = exact_quantiles(table, {"_y": [0.5]})[("_y", 0.5)]
     table = table.withColumn("_margin", F.lit(base)).withColumn("_u", F.lit(0.0)).persist()
     held = table
     edges = bin_edges(table, features, max_bins)
@@ -375,7 +365,8 @@ def huber_boosting(
             if len(fresh) == MARGIN_EVERY:
                 table = cut_lineage(_with_margin(table, features, fresh, learning_rate))
                 fresh = []
-            delta = float(residuals(table, fresh).agg(F.percentile_approx(F.abs("r"), alpha, 10_000)).first()[0])
+            sizes = residuals(table, fresh).select(F.abs("r").alias("r"))
+            delta = exact_quantiles(sizes, {"r": [alpha]})[("r", float(alpha))]
             steps = list(fresh)
 
             def clipped(batches, steps=steps, delta=delta):
@@ -394,15 +385,18 @@ def huber_boosting(
                 work, features, list(range(p)), edges, width, [], 1.0, "squared", round_ + 1, 1.0, max_depth, 0.0, 0.0,
                 0.0, min_samples_leaf, np.zeros(p),
             )
-            leaves = residuals(table, fresh, tree.frozen())
-            middle = {r["leaf"]: r["m"] for r in leaves.groupBy("leaf").agg(F.percentile_approx("r", 0.5, 10_000).alias("m")).collect()}
+            leaves = residuals(table, fresh, tree.frozen()).persist()
+            ids = [n for n, f in enumerate(tree.feature) if f < 0]
+            each = leaves.select(*[F.when(F.col("leaf") == n, F.col("r")).alias(f"l{n}") for n in ids])
+            middle = exact_quantiles(each, {f"l{n}": [0.5] for n in ids})
             center = F.lit(None).cast("double")
-            for leaf, m in middle.items():
-                center = F.when(F.col("leaf") == leaf, F.lit(m)).otherwise(center)
+            for n in ids:
+                center = F.when(F.col("leaf") == n, F.lit(middle[(f"l{n}", 0.5)])).otherwise(center)
             gap = F.col("r") - center
             rest = F.greatest(F.least(gap, F.lit(delta)), F.lit(-delta))
             for r in leaves.groupBy("leaf").agg(F.avg(rest).alias("v")).collect():
-                tree.value[r["leaf"]] = middle[r["leaf"]] + r["v"]
+                tree.value[r["leaf"]] = middle[(f"l{r['leaf']}", 0.5)] + r["v"]
+            leaves.unpersist()
             trees.append(tree)
             fresh = fresh + [tree.frozen()]
     finally:

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.hashing import hash32
-from rowloom.functions.lineage import cut_lineage
+from rowloom.functions.lineage import cut_lineage, rows_within
 from rowloom.functions.nulls import complete_rows
 
 BROADCAST_POINTS = 20_000
-MAX_PIVOTS = 1_024
+MAX_PIVOTS = 8_192
 BLOCK_ROWS = 20_000
 MATRIX_CELLS = 4_000_000
 
@@ -102,12 +102,11 @@ def knn_join(
     q = _vectors(queries, features, key)
     x = _vectors(points, features, key, [F.col(c) for c in carry])
     copies = Window.partitionBy("_v").orderBy("_id")
-    x = x.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= want).drop("_copy")
-    sample = x.limit(broadcast_points + 1).toPandas()
-    if len(sample) <= broadcast_points:
-        found = _scan_with_all_points(q, x, sample, want, p, carry)
+    few = x.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= want).drop("_copy")
+    if rows_within(x, broadcast_points):
+        found = _scan_with_all_points(q, few, want, p, carry)
     else:
-        found = _search_cells(q, x, want, p, carry)
+        found = _search_cells(q, few, _pivots(x), want, p, carry)
     best = Window.partitionBy("_q").orderBy("_m", "_n")
     if exclude_self:
         found = found.filter(F.col("_q") != F.col("_n"))
@@ -118,8 +117,8 @@ def knn_join(
     )
 
 
-def _scan_with_all_points(q, x, frame, k, p, carry):
-    frame = frame.sort_values("_id", ignore_index=True)
+def _scan_with_all_points(q, x, k, p, carry):
+    frame = x.toPandas().sort_values("_id", ignore_index=True)  # size was checked
     matrix = _matrix(frame["_v"]) if len(frame) else None
 
     def scan(batches):
@@ -131,20 +130,30 @@ def _scan_with_all_points(q, x, frame, k, p, carry):
     return q.mapInPandas(scan, _result_schema(x, q, carry))
 
 
-def _search_cells(q, x, k, p, carry):
-    n = x.count()
-    m = int(min(MAX_PIVOTS, max(16, n**0.5)))
+def _pivots(x):
+    """About sqrt(n) random rows, so that finding a cell costs as much as searching it."""
+    m = int(min(MAX_PIVOTS, max(16, x.count() ** 0.5)))
     rows = x.select("_id", "_v").orderBy(hash32("_id", 7), "_id").limit(m).collect()
-    pivots = np.unique(np.array([r["_v"] for r in rows], dtype=float), axis=0)
+    return np.unique(np.array([r["_v"] for r in rows], dtype=float), axis=0)
 
+
+def _search_cells(q, x, pivots, k, p, carry):
     def true_distance(v):
         d = _measure(v, pivots, p)
         return np.sqrt(d) if p == 2 else d
 
+    def in_chunks(v):
+        step = max(1, MATRIX_CELLS // len(pivots))
+        return [slice(i, i + step) for i in range(0, len(v), step)]
+
     @F.pandas_udf("struct<cell:int,d:double>")
     def nearest_pivot(v: pd.Series) -> pd.DataFrame:
-        d = true_distance(_matrix(v))
-        return pd.DataFrame({"cell": d.argmin(axis=1).astype("int32"), "d": d.min(axis=1)})
+        rows, cell, near = _matrix(v), [], []
+        for part in in_chunks(rows):
+            d = true_distance(rows[part])
+            cell.append(d.argmin(axis=1).astype("int32"))
+            near.append(d.min(axis=1))
+        return pd.DataFrame({"cell": np.concatenate(cell), "d": np.concatenate(near)})
 
     x = cut_lineage(x.withColumn("_c", nearest_pivot("_v")).select("*", "_c.*").drop("_c"))
     stats = x.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()
@@ -155,19 +164,25 @@ def _search_cells(q, x, k, p, carry):
 
     @F.pandas_udf("array<int>")
     def first_cells(v: pd.Series) -> pd.Series:
-        d = true_distance(_matrix(v))
-        order = np.argsort(d, axis=1, kind="stable")
-        filled = np.cumsum(count[order], axis=1)
-        need = (filled < k).sum(axis=1) + 1
-        return pd.Series([[int(c) for c in o[:e] if count[c]] for o, e in zip(order, need)])
+        rows, out = _matrix(v), []
+        for part in in_chunks(rows):
+            order = np.argsort(true_distance(rows[part]), axis=1, kind="stable")
+            need = (np.cumsum(count[order], axis=1) < k).sum(axis=1) + 1
+            out += [[int(c) for c in o[:e] if count[c]] for o, e in zip(order, need)]
+        return pd.Series(out)
 
     @F.pandas_udf("array<int>")
     def other_cells(v: pd.Series, limit: pd.Series, done: pd.Series) -> pd.Series:
-        d = true_distance(_matrix(v))
-        r = limit.to_numpy(dtype=float)[:, None] * (1 + 1e-9) + 1e-9
-        # a point of a cell is no closer to its pivot's rivals: two lower bounds per cell
-        possible = (d - radius[None, :] <= r) & ((d - d.min(axis=1, keepdims=True)) / 2 <= r) & (count > 0)[None, :]
-        return pd.Series([[int(c) for c in np.flatnonzero(ok) if c not in set(seen)] for ok, seen in zip(possible, done)])
+        rows, reach, out = _matrix(v), limit.to_numpy(dtype=float) * (1 + 1e-9) + 1e-9, []
+        for part in in_chunks(rows):
+            d, r = true_distance(rows[part]), reach[part][:, None]
+            # two lower bounds on the distance to a cell's points: its radius, and that its
+            # points are at least as close to their own pivot as to the query's
+            open_ = (d - radius[None, :] <= r) & ((d - d.min(axis=1, keepdims=True)) / 2 <= r) & (count > 0)[None, :]
+            for ok, seen in zip(open_, done.iloc[part]):
+                ok[np.asarray(seen, dtype=int)] = False
+                out.append([int(c) for c in np.flatnonzero(ok)])
+        return pd.Series(out)
 
     sizes = {i: int(c) for i, c in enumerate(count) if c}
     start = cut_lineage(q.withColumn("_cells", first_cells("_v")))
@@ -267,20 +282,18 @@ def knn_predict(
     return predict_from_neighbors(near, target, weights, task).withColumnRenamed("query_id", key)
 
 
-def neighbor_weight(weights):
-    if weights == "uniform":
-        return F.lit(1.0)
-    exact = F.max(F.when(F.col("distance") == 0.0, 1).otherwise(0)).over(Window.partitionBy("query_id"))
-    return F.when(exact == 1, F.when(F.col("distance") == 0.0, 1.0).otherwise(0.0)).otherwise(
+def predict_from_neighbors(near, target, weights="uniform", task="regress", by=()):
+    """(query_id, by, prediction). `weights` is 'uniform', 'distance' or a column of these."""
+    group = ["query_id", *by]
+    weights = F.lit(weights) if isinstance(weights, str) else weights
+    exact = F.max(F.when(F.col("distance") == 0.0, 1).otherwise(0)).over(Window.partitionBy(*group))
+    inverse = F.when(exact == 1, F.when(F.col("distance") == 0.0, 1.0).otherwise(0.0)).otherwise(
         F.try_divide(F.lit(1.0), F.col("distance"))
     )
-
-
-def predict_from_neighbors(near, target, weights="uniform", task="regress"):
-    weighted = near.withColumn("_w", neighbor_weight(weights))
+    weighted = near.withColumn("_w", F.when(weights == "uniform", F.lit(1.0)).otherwise(inverse))
     if task == "regress":
-        return weighted.groupBy("query_id").agg((F.sum(F.col("_w") * F.col(target)) / F.sum("_w")).alias("prediction"))
-    votes = weighted.groupBy("query_id", target).agg(F.sum("_w").alias("_votes"))
-    return votes.groupBy("query_id").agg(
+        return weighted.groupBy(*group).agg((F.sum(F.col("_w") * F.col(target)) / F.sum("_w")).alias("prediction"))
+    votes = weighted.groupBy(*group, target).agg(F.sum("_w").alias("_votes"))
+    return votes.groupBy(*group).agg(
         F.min_by(target, F.struct(-F.round("_votes", 12), F.col(target))).alias("prediction")
     )

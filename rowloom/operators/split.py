@@ -32,14 +32,19 @@ def kfold_shuffled(df, key, k=5, seed=42, name="fold"):
 
 
 def kfold_contiguous(df, key, k=5, name="fold"):
-    """Unshuffled blocks in key order; the first n mod k blocks hold one row more."""
-    indexed, n = order_index(df, F.col(key), name="_i")
+    """Unshuffled blocks in key order; the first n mod k blocks hold one row more.
+
+    Only the keys are sorted. The k - 1 keys at the block starts come back to the
+    driver, and the fold is a comparison with them: the table itself never moves.
+    """
+    indexed, n = order_index(df.select(key), F.col(key), name="_i")
     small, extra = divmod(n, k)
-    edge = extra * (small + 1)
-    fold = F.when(F.col("_i") < edge, F.floor(F.col("_i") / F.lit(small + 1))).otherwise(
-        F.lit(extra) + F.floor((F.col("_i") - F.lit(edge)) / F.lit(max(small, 1)))
-    )
-    return indexed.withColumn(name, fold.cast("int")).drop("_i")
+    starts = [f * small + min(f, extra) for f in range(1, k)]
+    first_keys = [r[0] for r in indexed.filter(F.col("_i").isin([s for s in starts if s < n])).orderBy("_i").select(key).collect()]
+    fold = F.lit(0)
+    for i, first in enumerate(first_keys):
+        fold = F.when(F.col(key) >= F.lit(first), F.lit(i + 1)).otherwise(fold)
+    return df.withColumn(name, fold)
 
 
 def kfold_stratified(df, key, label, k=10, seed=42, name="fold"):

@@ -72,13 +72,11 @@ def grid_search_knn(df, key, features, target, ks, weights=("uniform",), task="r
         near = knn_join(held, df.filter(F.col(fold) != F.lit(f)), features, key, largest, p=p, carry=[target])
         near = near.withColumn(fold, F.lit(f))
         parts = near if parts is None else parts.unionByName(near)
+    # every neighbour row counts for each candidate whose k reaches its rank
+    reaching = F.explode(F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rank")))
+    weighted = parts.withColumn("weights", F.explode(F.array(*[F.lit(w) for w in weights]))).withColumn("k", reaching)
+    scored = predict_from_neighbors(weighted, target, F.col("weights"), task, by=["k", "weights"])
     truth = df.select(F.col(key).alias("query_id"), F.col(target).alias("_truth"), fold)
-    scored = None
-    for w in weights:
-        for k in ks:
-            one = predict_from_neighbors(parts.filter(F.col("rank") <= k), target, w, task)
-            one = one.withColumn("k", F.lit(k)).withColumn("weights", F.lit(w))
-            scored = one if scored is None else scored.unionByName(one)
     per_fold = scored.join(truth, "query_id").groupBy("k", "weights", fold).agg(aggregate("_truth", "prediction").alias("score"))
     return _mark_best(per_fold, ["k", "weights"], higher, fold)
 
