@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLF, DIMS, REG, VEC, fx_clf, fx_reg, fx_vec, held, union_all, with_
+from catalog.fixtures import BIN_FEATURES, CLF, DIMS, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, held, union_all, with_
 from rowloom.operators import encode as E
 from rowloom.operators.split import holdout_split
 
@@ -141,9 +141,9 @@ def scaled_poly_components_model(spark, sf):
     from rowloom.operators.metrics import evaluate
     from rowloom.plans.stages import Chain, Components, Polynomial, Scale
 
-    train, holdout = holdout_split(fx_vec(spark, sf).select("id", "y", *DIMS[:4]), "id", 0.2)
+    train, holdout = holdout_split(fx_bin(spark, sf), "id", 0.2)
     chain = Chain(
         [Scale(), Polynomial(), Components(k=10)],
         lambda df, names, y: boosted_trees(df, names, y, loss="logistic", n_estimators=5, max_depth=3, max_bins=32),
     )
-    return evaluate(chain.fit(train, DIMS[:4], "y").score(holdout), "y", "prediction", ["accuracy", "f1"])
+    return evaluate(chain.fit(train, BIN_FEATURES, "y").score(holdout), "y", "prediction", ["accuracy", "f1"])

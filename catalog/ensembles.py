@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import DIMS, REG, fx_reg, fx_vec, with_
+from catalog.fixtures import BIN_FEATURES, REG, fx_bin, fx_reg, with_
 from rowloom.models import adaboost as ada
 from rowloom.models import spark_ml as ml
 from rowloom.models import trees
@@ -75,8 +75,8 @@ def _regress(spark, sf, fit):
 
 
 def _classify(spark, sf, fit):
-    train, test = holdout_split(fx_vec(spark, sf), "id", 0.2)
-    return evaluate(fit(train, DIMS, "y").score(test), "y", "prediction", ["accuracy", "f1"])
+    train, test = holdout_split(fx_bin(spark, sf), "id", 0.2)
+    return evaluate(fit(train, BIN_FEATURES, "y").score(test), "y", "prediction", ["accuracy", "f1"])
 
 
 @query("random_forest_regress")
@@ -94,6 +94,24 @@ def extra_trees_regress(spark, sf):
     return _regress(spark, sf, lambda d, x, y: trees.extra_trees_regress(d, x, y, n_estimators=8, max_depth=7))
 
 
+_CUTS = """ex AS (SELECT 0 AS f, min(net) AS lo, max(net) AS hi FROM fx_reg UNION ALL SELECT 1, min(l_quantity), max(l_quantity) FROM fx_reg
+   UNION ALL SELECT 2, min(l_discount), max(l_discount) FROM fx_reg),
+ ct AS (SELECT t, f, lo + (CAST('0x' || substr(md5('42:' || t || ':0:' || f), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE)) * (hi - lo) AS cut FROM ex, range(3) r(t)),
+ sd AS (SELECT t, f, cut, count(*) AS nl, sum(y) AS sl FROM fx_reg JOIN ct ON (CASE f WHEN 0 THEN net WHEN 1 THEN l_quantity ELSE l_discount END) <= cut GROUP BY ALL),
+ tt AS (SELECT count(*) AS n, sum(y) AS s FROM fx_reg),
+ bs AS (SELECT t, f, cut, sl / nl AS vl, (s - sl) / (n - nl) AS vr FROM sd, tt
+   QUALIFY row_number() OVER (PARTITION BY t ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, f) = 1),
+ pr AS (SELECT id, avg(CASE WHEN (CASE f WHEN 0 THEN net WHEN 1 THEN l_quantity ELSE l_discount END) <= cut THEN vl ELSE vr END) AS p FROM fx_reg, bs GROUP BY id)"""
+
+
+@query("extra_trees_split", with_(REG, _CUTS) + "SELECT round(p, 4) AS prediction, count(*) AS n FROM pr GROUP BY 1")
+def extra_trees_split(spark, sf):
+    """Three trees of depth one: random cuts per feature, the best feature wins."""
+    rows = fx_reg(spark, sf)
+    out = trees.extra_trees_regress(rows, _X, "y", n_estimators=3, max_depth=1).score(rows)
+    return out.groupBy(F.round("prediction", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("gradient_boosting_regress")
 def gradient_boosting_regress(spark, sf):
     return _regress(spark, sf, lambda d, x, y: ml.gradient_boosting_regress(d, x, y, n_estimators=5, max_depth=4, learning_rate=0.5))

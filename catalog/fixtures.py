@@ -81,6 +81,20 @@ VEC = "fx_vec AS (SELECT vec_id AS id, label, CAST(label = 0 AS INTEGER) AS y, "
 ) + " FROM embeddings)"
 
 
+def fx_bin(spark, sf):
+    """Binary target with a learnable boundary in two of three features of like size."""
+    return fx_reg(spark, sf).select(
+        "id",
+        (F.col("y") > 30000 + 800 * F.col("l_quantity")).cast("int").alias("y"),
+        (F.col("net") / 10000).alias("a"),
+        (F.col("l_quantity") / 5).alias("b"),
+        (F.col("l_discount") * 50).alias("c"),
+    )
+
+
+BIN_FEATURES = ["a", "b", "c"]
+
+
 def fx_pred(spark, sf):
     return fx_reg(spark, sf).withColumn("p", F.col("y") * (1 + 0.1 * F.col("l_discount")) + 10 * F.col("l_quantity"))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLF, DIMS, REG, VEC, fx_clf, fx_reg, fx_vec, held, with_
+from catalog.fixtures import BIN_FEATURES, CLF, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, held, with_
 from rowloom.functions.moments import moments
 from rowloom.models import bayes, kernel, linear, mlp, robust
 from rowloom.models import spark_ml as ml
@@ -144,24 +144,24 @@ def gaussian_naive_bayes(spark, sf):
     return out.select("id", "prediction", F.round("probability", 6).alias("probability"))
 
 
+def _classify(spark, sf, fit):
+    train, test = holdout_split(fx_bin(spark, sf), "id", 0.2)
+    return evaluate(fit(train).score(test), "y", "prediction", ["accuracy", "f1"])
+
+
 @query("logistic_regression")
 def logistic_regression(spark, sf):
-    train, test = holdout_split(fx_vec(spark, sf), "id", 0.2)
-    model = ml.logistic_regression(train, DIMS, "y", c=1.0)
-    return evaluate(model.score(test), "y", "prediction", ["accuracy", "f1"])
+    return _classify(spark, sf, lambda d: ml.logistic_regression(d, BIN_FEATURES, "y", c=1.0))
 
 
 @query("linear_svm_classify")
 def linear_svm_classify(spark, sf):
-    train, test = holdout_split(fx_vec(spark, sf), "id", 0.2)
-    return evaluate(ml.linear_svc(train, DIMS, "y", c=1.0).score(test), "y", "prediction", ["accuracy", "f1"])
+    return _classify(spark, sf, lambda d: ml.linear_svc(d, BIN_FEATURES, "y", c=1.0, max_iter=20))
 
 
 @query("kernel_svm_classify")
 def kernel_svm_classify(spark, sf):
-    train, test = holdout_split(fx_vec(spark, sf), "id", 0.2)
-    model = kernel.kernel_svc(train, "id", DIMS, "y", c=10.0, kernel="rbf", gamma=5.0, landmarks=30)
-    return evaluate(model.score(test), "y", "prediction", ["accuracy", "f1"])
+    return _classify(spark, sf, lambda d: kernel.kernel_svc(d, "id", BIN_FEATURES, "y", kernel="rbf", gamma=0.1, landmarks=20, max_iter=20))
 
 
 @query("svr")

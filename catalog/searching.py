@@ -88,21 +88,20 @@ def grid_search_cv(spark, sf):
     return out.withColumns({c: F.round(c, 9) for c in ("mean_score", "std_score")})
 
 
-_SMOOTH = [1e-9, 1e-3, 1e-1, 1.0]
 _NB_DENS = "ln(CAST(st.n AS DOUBLE) / tt.n)" + "".join(
     f" - 0.5 * ln(2 * pi() * (v_{f} + s * big)) - 0.5 * ({f} - m_{f}) * ({f} - m_{f}) / (v_{f} + s * big)" for f in ("n_chars", "n_words")
 )
 
 
-@query(
-    "multi_metric_search",
-    with_(
+def _nb_search_sql(folds, smoothings):
+    listed = ", ".join(f"CAST({s!r} AS DOUBLE)" for s in smoothings)
+    return with_(
         CLF,
-        f"b AS (SELECT id, y, n_chars, n_words, (row_number() OVER (PARTITION BY y ORDER BY {h32('id')}, id) - 1) % 5 AS fold FROM fx_clf)",
+        f"b AS (SELECT id, y, n_chars, n_words, (row_number() OVER (PARTITION BY y ORDER BY {h32('id')}, id) - 1) % {folds} AS fold FROM fx_clf)",
         "fl AS (SELECT DISTINCT fold AS f FROM b)",
         "st AS (SELECT f, y, count(*) AS n, avg(n_chars) AS m_n_chars, var_pop(n_chars) AS v_n_chars, avg(n_words) AS m_n_words, var_pop(n_words) AS v_n_words FROM b JOIN fl ON fold <> f GROUP BY f, y)",
         "tt AS (SELECT f, count(*) AS n, greatest(var_pop(n_chars), var_pop(n_words)) AS big FROM b JOIN fl ON fold <> f GROUP BY f)",
-        "cs AS (SELECT CAST(unnest([1e-9, 1e-3, 1e-1, 1.0]) AS DOUBLE) AS s)",
+        f"cs AS (SELECT unnest([{listed}]) AS s)",
         f"ll AS (SELECT b.id, b.y AS actual, b.fold, s, st.y AS cls, {_NB_DENS} AS l FROM b JOIN st ON st.f = b.fold JOIN tt ON tt.f = b.fold, cs)",
         "sc AS (SELECT id, any_value(actual) AS actual, fold, s, max(CASE WHEN cls = 1 THEN l END) - max(CASE WHEN cls = 0 THEN l END) AS g FROM ll GROUP BY id, fold, s)",
         "rk AS (SELECT *, rank() OVER (PARTITION BY fold, s ORDER BY g) + (count(*) OVER (PARTITION BY fold, s, g) - 1) / 2.0 AS r FROM sc)",
@@ -111,14 +110,35 @@ _NB_DENS = "ln(CAST(st.n AS DOUBLE) / tt.n)" + "".join(
             coalesce(2.0 * count(*) FILTER (actual = 1 AND g > 0) / nullif(count(*) FILTER (actual = 1) + count(*) FILTER (g > 0), 0), 0) AS f1 FROM rk GROUP BY s, fold)""",
         "ms AS (SELECT s, avg(roc_auc) AS a, avg(f1) AS f FROM pf GROUP BY s)",
     )
+
+
+def _nb_rows(spark, sf, folds):
+    return kfold_stratified(fx_clf(spark, sf).select("id", "y", "n_chars", "n_words"), "id", "y", folds).persist()
+
+
+_SMOOTH = [1e-9, 1e-3, 1e-1, 1.0]
+
+
+@query(
+    "multi_metric_search",
+    _nb_search_sql(5, _SMOOTH)
     + "SELECT s AS var_smoothing, round(a, 6) AS roc_auc, round(f, 6) AS f1, row_number() OVER (ORDER BY round(a, 12) DESC, s) = 1 AS is_best FROM ms",
 )
 def multi_metric_search(spark, sf):
-    rows = kfold_stratified(fx_clf(spark, sf).select("id", "y", "n_chars", "n_words"), "id", "y", 5)
-    out = cv.multi_metric_search_nb(rows, ["n_chars", "n_words"], "y", _SMOOTH)
+    out = cv.multi_metric_search_nb(_nb_rows(spark, sf, 5), ["n_chars", "n_words"], "y", _SMOOTH)
     return out.withColumns({c: F.round(c, 6) for c in ("roc_auc", "f1")})
 
 
+_WIDE = [float(f"{x:.6g}") for x in H.logspace(-9, 1, 80)]
+
+
+@query("grid_search_800_fits", _nb_search_sql(10, _WIDE) + "SELECT s AS var_smoothing, round(a, 6) AS roc_auc FROM ms")
+def grid_search_800_fits(spark, sf):
+    """80 candidates, ten stratified folds, roc_auc: statistics per fold once, then one scoring pass for all."""
+    out = cv.multi_metric_search_nb(_nb_rows(spark, sf, 10), ["n_chars", "n_words"], "y", _WIDE, metrics=("roc_auc",))
+    return out.select("var_smoothing", F.round("roc_auc", 6).alias("roc_auc"))
+
+
 _FOLD_REG = f"b AS (SELECT id, net, y, {h32('id')} % 5 AS fold FROM fx_reg), fl AS (SELECT DISTINCT fold AS f FROM b)"
 _ALPHAS = [1e9, 1e12, 1e13]
 
@@ -147,13 +167,13 @@ _LINES = "ln AS (SELECT f, regr_slope(y, net) AS w, regr_intercept(y, net) AS i
 
 @query("cross_val_predict", with_(REG, _FOLD_REG, _LINES) + "SELECT id, CAST(fold AS INTEGER) AS fold, round(i + net * w, 3) AS prediction FROM b JOIN ln ON fold = f")
 def cross_val_predict(spark, sf):
-    rows = kfold_shuffled(fx_reg(spark, sf).select("id", "net", "y"), "id", 5)
+    rows = kfold_shuffled(fx_reg(spark, sf).select("id", "net", "y"), "id", 5).persist()
     return cv.cross_val_predict(rows, _line).select("id", "fold", F.round("prediction", 3).alias("prediction"))
 
 
 @query("cv_score_table", with_(REG, _FOLD_REG, _LINES) + "SELECT CAST(fold AS INTEGER) AS fold, round(sqrt(avg((y - i - net * w) * (y - i - net * w))), 6) AS rmse FROM b JOIN ln ON fold = f GROUP BY fold")
 def cv_score_table(spark, sf):
-    rows = kfold_shuffled(fx_reg(spark, sf).select("id", "net", "y"), "id", 5)
+    rows = kfold_shuffled(fx_reg(spark, sf).select("id", "net", "y"), "id", 5).persist()
     return cv.cv_score_table(rows, _line, "y", ("rmse",)).withColumn("rmse", F.round("rmse", 6))
 
 

@@ -4,6 +4,8 @@ The draw depends on the key alone, so it survives repartitioning, task retries
 and lost executors, and SQL engines can recompute it.
 """
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,6 +28,11 @@ def unit_interval(key, seed=0) -> Column:
     return hash32(key, seed).cast("double") / F.lit(float(SPAN))
 
 
+def text_unit(text: str) -> float:
+    """The draw of `unit_interval` for a text, on the driver (tree cuts, not rows)."""
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / SPAN
+
+
 def uniform_draws(hashes, salt):
     """[0, 1) per row inside a task, from its 32-bit row hash and a round number (splitmix64 finaliser)."""
     with np.errstate(over="ignore"):

@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.nulls import complete_rows
+from rowloom.functions.spreading import spread
 from rowloom.models.spark_ml import decision_stump_weighted, decision_tree_regress
 
 CUT_EVERY = 5
 
 
+def _next(rows, i):
+    """Weights of the next round: kept for its passes, written to the shared folder every few rounds."""
+    return cut_lineage(rows) if (i + 1) % CUT_EVERY == 0 else rows.persist()
+
+
 class AdaBoostRegressor:
     """Weighted median of the trees' predictions."""
 
@@ -37,16 +43,16 @@ class AdaBoostRegressor:
 def adaboost_regress(df, features, target, n_estimators=50, learning_rate=1.0, max_depth=3, max_bins=64, seed=42):
     """AdaBoost.R2 with linear loss; weights enter the tree fit directly instead of by resampling."""
     rows = df.select(*features, target).transform(complete_rows).withColumn("_w", F.lit(1.0))
-    rows = cut_lineage(rows)
+    rows = cut_lineage(spread(rows))
     trees, strengths = [], []
     n = rows.count()
     for i in range(n_estimators):
         tree = decision_tree_regress(rows, features, target, max_depth, max_bins=max_bins, seed=seed, weight="_w")
         scored = tree.score(rows, "_p").withColumn("_e", F.abs(F.col("_p") - F.col(target)))
-        top, total = scored.agg(F.max("_e"), F.sum("_w")).first()
+        top, total, weighted = scored.agg(F.max("_e"), F.sum("_w"), F.sum(F.col("_w") * F.col("_e"))).first()
         if not top:
             return AdaBoostRegressor([tree], [1.0])
-        loss = scored.agg(F.sum(F.col("_w") * F.col("_e")) / F.lit(top * total)).first()[0]
+        loss = weighted / (top * total)
         if loss >= 0.5:
             if not trees:
                 trees, strengths = [tree], [1.0]
@@ -56,9 +62,7 @@ def adaboost_regress(df, features, target, n_estimators=50, learning_rate=1.0, m
         strengths.append(learning_rate * math.log(1.0 / beta))
         factor = F.pow(F.lit(beta), (F.lit(1.0) - F.col("_e") / F.lit(top)) * F.lit(learning_rate))
         rows = scored.withColumn("_w", F.col("_w") * factor * F.lit(n / total)).drop("_p", "_e")
-        rows = rows.withColumn("_w", F.greatest(F.col("_w"), F.lit(1e-300)))
-        if (i + 1) % CUT_EVERY == 0:
-            rows = cut_lineage(rows)
+        rows = _next(rows.withColumn("_w", F.greatest(F.col("_w"), F.lit(1e-300))), i)
     return AdaBoostRegressor(trees, strengths)
 
 
@@ -89,7 +93,7 @@ def adaboost_classify(df, features, label, n_estimators=50, learning_rate=1.0, m
     """SAMME: misclassified rows gain weight, every round votes with its log odds."""
     classes = sorted(r[0] for r in df.select(label).distinct().collect())
     k = len(classes)
-    rows = cut_lineage(df.select(*features, label).transform(complete_rows).withColumn("_w", F.lit(1.0)))
+    rows = cut_lineage(spread(df.select(*features, label).transform(complete_rows).withColumn("_w", F.lit(1.0))))
     trees, strengths = [], []
     n = rows.count()
     for i in range(n_estimators):
@@ -106,7 +110,5 @@ def adaboost_classify(df, features, label, n_estimators=50, learning_rate=1.0, m
         strength = learning_rate * (math.log((1.0 - error) / error) + math.log(k - 1.0))
         trees.append(tree)
         strengths.append(strength)
-        rows = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(strength) * F.col("_miss")) * F.lit(n / total)).drop("_p", "_miss")
-        if (i + 1) % CUT_EVERY == 0:
-            rows = cut_lineage(rows)
+        rows = _next(scored.withColumn("_w", F.col("_w") * F.exp(F.lit(strength) * F.col("_miss")) * F.lit(n / total)).drop("_p", "_miss"), i)
     return AdaBoostClassifier(trees, strengths, classes)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.moments import Moments, moments
 from rowloom.functions.nulls import complete_rows
+from rowloom.functions.spreading import settle
 
 
 @dataclass
@@ -204,7 +205,7 @@ def fit_passive_aggressive(df, features, target, c=1.0, epsilon=0.1, epochs=5):
     features = list(features)
     p = len(features)
     w = np.zeros(p + 1)
-    table = df.select(*features, target).transform(complete_rows).persist()
+    table = settle(df.select(*features, target).transform(complete_rows))
     try:
         for _ in range(epochs):
             start = w

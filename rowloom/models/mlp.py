@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.moments import sum_over_rows
 from rowloom.functions.nulls import complete_rows
+from rowloom.functions.spreading import settle
 
 _ACTIVATIONS = {
     "identity": (lambda z: z, lambda a: np.ones_like(a)),
@@ -39,10 +40,10 @@ class MLPRegressor:
         layers, act = _unpack(self.flat, self.sizes), _ACTIVATIONS[self.activation][0]
 
         @F.pandas_udf("double")
-        def predict(v: pd.Series) -> pd.Series:
-            return pd.Series(_forward(np.array(v.tolist(), dtype=float), layers, act)[-1][:, 0])
+        def predict(*columns: pd.Series) -> pd.Series:
+            return pd.Series(_forward(np.column_stack(columns), layers, act)[-1][:, 0])
 
-        return df.withColumn(name, predict(F.array(*[F.col(f).cast("double") for f in self.features])))
+        return df.withColumn(name, predict(*[F.col(f).cast("double") for f in self.features]))
 
 
 def fit_mlp(
@@ -59,7 +60,7 @@ def fit_mlp(
         parts += [rng.uniform(-bound, bound, i * o), rng.uniform(-bound, bound, o)]
     flat = np.concatenate(parts)
     decay = np.concatenate([np.append(np.ones(i * o), np.zeros(o)) for i, o in zip(sizes[:-1], sizes[1:])])
-    table = df.select(*features, target).transform(complete_rows).persist()
+    table = settle(df.select(*features, target).transform(complete_rows))
     first, second, velocity = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
     try:
         for step in range(1, max_iter + 1):

@@ -13,6 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
+from rowloom.functions.nulls import complete_rows
+from rowloom.functions.spreading import settle
+
 MAX_DEPTH = 30  # deepest tree MLlib grows
 
 
@@ -39,14 +42,22 @@ def assemble(df, features):
     return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(df)
 
 
-def _fit(estimator, df, features, label):
-    rows = assemble(df.withColumn("_y", F.col(label).cast("double")), features)
-    estimator.setFeaturesCol("_x").setLabelCol("_y").setPredictionCol("_prediction")
-    if estimator.hasParam("rawPredictionCol"):
-        estimator.setRawPredictionCol("_raw")
-    if estimator.hasParam("probabilityCol"):
-        estimator.setProbabilityCol("_probability")
-    return Fitted(estimator.fit(rows), features)
+def _fit(make, df, features, label, weight=None):
+    """Fit `make(row count)` on the settled feature columns."""
+    kept = [*features, *([weight] if weight else [])]
+    rows = settle(complete_rows(df.select(*kept, F.col(label).cast("double").alias("_y"))))
+    try:
+        estimator = make(rows.count())
+        estimator.setFeaturesCol("_x").setLabelCol("_y").setPredictionCol("_prediction")
+        if estimator.hasParam("rawPredictionCol"):
+            estimator.setRawPredictionCol("_raw")
+        if estimator.hasParam("probabilityCol"):
+            estimator.setProbabilityCol("_probability")
+        if weight:
+            estimator.setWeightCol(weight)
+        return Fitted(estimator.fit(assemble(rows, features)), features)
+    finally:
+        rows.unpersist()
 
 
 def _tree(max_depth, min_samples_leaf, max_bins, seed):
@@ -54,48 +65,40 @@ def _tree(max_depth, min_samples_leaf, max_bins, seed):
     return dict(maxDepth=depth, minInstancesPerNode=min_samples_leaf, maxBins=max_bins, seed=seed)
 
 
-def logistic_regression(df, features, label, c=1.0, penalty="l2", max_iter=100):
+def logistic_regression(df, features, label, c=1.0, penalty="l2", max_iter=100, tol=1e-6):
     """Penalty strength as 1/c per data set, i.e. 1/(c n) in MLlib's mean loss."""
-    n = df.count()
-    reg = 0.0 if penalty is None else 1.0 / (c * n)
-    estimator = LogisticRegression(
-        regParam=reg, elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, maxIter=max_iter, tol=1e-9
-    )
-    return _fit(estimator, df, features, label)
+    mix = 1.0 if penalty == "l1" else 0.0
+    options = dict(elasticNetParam=mix, standardization=False, maxIter=max_iter, tol=tol)
+    return _fit(lambda n: LogisticRegression(regParam=0.0 if penalty is None else 1.0 / (c * n), **options), df, features, label)
 
 
 def linear_svc(df, features, label, c=1.0, max_iter=100):
-    return _fit(LinearSVC(regParam=1.0 / (c * df.count()), standardization=False, maxIter=max_iter), df, features, label)
+    return _fit(lambda n: LinearSVC(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter), df, features, label)
 
 
 def decision_tree_classify(df, features, label, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42):
-    return _fit(DecisionTreeClassifier(**_tree(max_depth, min_samples_leaf, max_bins, seed)), df, features, label)
+    return _fit(lambda n: DecisionTreeClassifier(**_tree(max_depth, min_samples_leaf, max_bins, seed)), df, features, label)
 
 
 def decision_tree_regress(df, features, label, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42, weight=None):
-    estimator = DecisionTreeRegressor(**_tree(max_depth, min_samples_leaf, max_bins, seed))
-    if weight:
-        estimator.setWeightCol(weight)
-    return _fit(estimator, df, features, label)
+    options = _tree(max_depth, min_samples_leaf, max_bins, seed)
+    return _fit(lambda n: DecisionTreeRegressor(**options), df, features, label, weight)
 
 
 def decision_stump_weighted(df, features, label, weight, max_depth=1, max_bins=64, seed=42):
-    estimator = DecisionTreeClassifier(**_tree(max_depth, 1, max_bins, seed)).setWeightCol(weight)
-    return _fit(estimator, df, features, label)
+    return _fit(lambda n: DecisionTreeClassifier(**_tree(max_depth, 1, max_bins, seed)), df, features, label, weight)
 
 
 def random_forest_classify(df, features, label, n_estimators=100, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42):
-    estimator = RandomForestClassifier(numTrees=n_estimators, **_tree(max_depth, min_samples_leaf, max_bins, seed))
-    return _fit(estimator, df, features, label)
+    options = _tree(max_depth, min_samples_leaf, max_bins, seed)
+    return _fit(lambda n: RandomForestClassifier(numTrees=n_estimators, **options), df, features, label)
 
 
 def random_forest_regress(
     df, features, label, n_estimators=100, max_depth=None, min_samples_leaf=1, max_bins=64, max_features="all", seed=42
 ):
-    estimator = RandomForestRegressor(
-        numTrees=n_estimators, featureSubsetStrategy=max_features, **_tree(max_depth, min_samples_leaf, max_bins, seed)
-    )
-    return _fit(estimator, df, features, label)
+    options = dict(numTrees=n_estimators, featureSubsetStrategy=max_features, **_tree(max_depth, min_samples_leaf, max_bins, seed))
+    return _fit(lambda n: RandomForestRegressor(**options), df, features, label)
 
 
 def _boosting(n_estimators, learning_rate, max_depth, subsample, max_features, min_samples_leaf, max_bins, seed):
@@ -110,7 +113,7 @@ def gradient_boosting_classify(
     min_samples_leaf=1, max_bins=64, seed=42,
 ):
     options = _boosting(n_estimators, learning_rate, max_depth, subsample, max_features, min_samples_leaf, max_bins, seed)
-    return _fit(GBTClassifier(**options), df, features, label)
+    return _fit(lambda n: GBTClassifier(**options), df, features, label)
 
 
 def gradient_boosting_regress(
@@ -118,12 +121,16 @@ def gradient_boosting_regress(
     min_samples_leaf=1, max_bins=64, seed=42,
 ):
     options = _boosting(n_estimators, learning_rate, max_depth, subsample, max_features, min_samples_leaf, max_bins, seed)
-    return _fit(GBTRegressor(**options), df, features, label)
+    return _fit(lambda n: GBTRegressor(**options), df, features, label)
 
 
 def kmeans(df, features, k=2, max_iter=20, seed=42):
-    rows = assemble(df, features)
-    return Fitted(KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_x", predictionCol="_prediction").fit(rows), features)
+    rows = settle(complete_rows(df.select(*features)))
+    try:
+        model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_x", predictionCol="_prediction").fit(assemble(rows, features))
+        return Fitted(model, features)
+    finally:
+        rows.unpersist()
 
 
 def lloyd_step(df, features, centers) -> "DataFrame":

@@ -10,11 +10,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.hashing import hash32, uniform_draws
+from rowloom.functions.hashing import hash32, text_unit, uniform_draws
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import sum_over_rows
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles, sampled_quantiles
+from rowloom.functions.spreading import settle
 
 MARGIN_EVERY = 25  # boosting rounds between two written margins
 
@@ -69,14 +70,14 @@ class Forest:
         trees, scale, base = self.trees, self.scale, self.base
 
         @F.pandas_udf("double")
-        def total(v: pd.Series) -> pd.Series:
-            x = np.array(v.tolist(), dtype=float)
+        def total(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack(columns)
             out = np.full(len(x), base)
             for t in trees:
                 out += scale * t[4][_walk(t, x)]
             return pd.Series(out)
 
-        raw = total(F.array(*[F.col(f).cast("double") for f in self.features]))
+        raw = total(*[F.col(f).cast("double") for f in self.features])
         if self.link != "logistic":
             return df.withColumn(name, raw)
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_raw")))
@@ -109,7 +110,8 @@ def extra_trees_regress(
     """
     features = list(features)
     p = len(features)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).transform(complete_rows).persist()
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).transform(complete_rows)
+    table = settle(table)
     mean = table.agg(F.avg(target)).first()[0] or 0.0
     trees = [Tree() for _ in range(n_estimators)]
     open_nodes = [(i, 0) for i in range(n_estimators)]
@@ -125,7 +127,7 @@ def extra_trees_regress(
                 trees[i].value[node] = mean + total / n
                 spread = square - total * total / n
                 if depth < max_depth and n >= max(min_samples_split, 2 * min_samples_leaf) and spread > 1e-12 * max(square, 1e-300) and (hi > lo).any():
-                    draw = np.random.default_rng([seed, i, node]).random(p)
+                    draw = np.array([text_unit(f"{seed}:{i}:{node}:{j}") for j in range(p)])
                     cuts.append(np.where(hi > lo, np.minimum(lo + draw * (hi - lo), np.nextafter(hi, lo)), np.nan))
                     candidates.append((i, node, stats[s]))
             if not candidates:
@@ -168,7 +170,8 @@ def _extents(table, features, target, mean, trees, open_nodes):
                 np.minimum.at(lo, s, x[ok])
                 np.maximum.at(hi, s, x[ok])
         seen = np.flatnonzero(sums[:, 0])
-        yield pd.DataFrame({"slot": seen, "sums": list(sums[seen]), "lo": list(lo[seen]), "hi": list(hi[seen])})
+        if len(seen):
+            yield pd.DataFrame({"slot": seen, "sums": list(sums[seen]), "lo": list(lo[seen]), "hi": list(hi[seen])})
 
     parts = table.mapInPandas(partial, "slot bigint, sums array<double>, lo array<double>, hi array<double>")
     rows = parts.groupBy("slot").agg(
@@ -233,7 +236,7 @@ def boosted_trees(
     ).transform(complete_rows)
     mean = table.agg(F.avg("_y")).first()[0]
     base = float(np.log(mean / (1 - mean))) if loss == "logistic" else float(mean)
-    table = table.withColumn("_margin", F.lit(base)).persist()
+    table = settle(table.withColumn("_margin", F.lit(base)))
     edges = bin_edges(table, features, max_bins)
     width = max(len(e) for e in edges) + 1
     trees, fresh, held = [], [], [table]
@@ -259,11 +262,11 @@ def boosted_trees(
 
 def _with_margin(table, features, fresh, rate):
     @F.pandas_udf("double")
-    def gain(v: pd.Series) -> pd.Series:
-        x = np.array(v.tolist(), dtype=float)
+    def gain(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack(columns)
         return pd.Series(sum(rate * t[4][_walk(t, x)] for t in fresh))
 
-    return table.withColumn("_margin", F.col("_margin") + gain(F.array(*features)))
+    return table.withColumn("_margin", F.col("_margin") + gain(*[F.col(f) for f in features]))
 
 
 def _grow_boosted(
@@ -340,7 +343,7 @@ def huber_boosting(
     features = list(features)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
     base = exact_quantiles(table, {"_y": [0.5]})[("_y", 0.5)]
-    table = table.withColumn("_margin", F.lit(base)).withColumn("_u", F.lit(0.0)).persist()
+    table = settle(table.withColumn("_margin", F.lit(base)).withColumn("_u", F.lit(0.0)))
     held = table
     edges = bin_edges(table, features, max_bins)
     width = max(len(e) for e in edges) + 1

@@ -169,7 +169,7 @@ def _search_cells(q, x, pivots, k, p, carry):
             order = np.argsort(true_distance(rows[part]), axis=1, kind="stable")
             need = (np.cumsum(count[order], axis=1) < k).sum(axis=1) + 1
             out += [[int(c) for c in o[:e] if count[c]] for o, e in zip(order, need)]
-        return pd.Series(out)
+        return pd.Series(out, dtype=object)
 
     @F.pandas_udf("array<int>")
     def other_cells(v: pd.Series, limit: pd.Series, done: pd.Series) -> pd.Series:
@@ -182,7 +182,7 @@ def _search_cells(q, x, pivots, k, p, carry):
             for ok, seen in zip(open_, done.iloc[part]):
                 ok[np.asarray(seen, dtype=int)] = False
                 out.append([int(c) for c in np.flatnonzero(ok)])
-        return pd.Series(out)
+        return pd.Series(out, dtype=object)
 
     sizes = {i: int(c) for i, c in enumerate(count) if c}
     start = cut_lineage(q.withColumn("_cells", first_cells("_v")))
@@ -216,7 +216,7 @@ def _visit(queries, x, sizes, k, p, carry):
 
     def search(q_frame, x_frame):
         if not len(q_frame) or not len(x_frame):
-            return pd.DataFrame({f.name: [] for f in schema.fields})
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
         x_frame = x_frame.sort_values("_id", ignore_index=True)
         qi, xi, m = _best(_matrix(q_frame["_v"]), _matrix(x_frame["_v"]), k, p)
         return _frame(q_frame["_id"].to_numpy(), x_frame, qi, xi, m, carry)
@@ -258,7 +258,7 @@ def neighbour_graph(df, features, key, k, p=2) -> DataFrame:
                     lo = sigma
                     sigma = sigma * 2 if np.isinf(hi) else (lo + hi) / 2
             out.append(np.exp(-gap / max(sigma, 1e-12)))
-        return pd.Series(out)
+        return pd.Series(out, dtype=object)
 
     weighted = lists.withColumn("w", weights(F.transform("near", lambda e: e["distance"])))
     directed = weighted.select(
