@@ -45,8 +45,10 @@ class _Target:
         return keep
 
     def shares(self, sample):
-        """Bracket ends as shares of the rows inside, six standard errors wide."""
+        """Bracket ends as shares of the rows inside, six standard errors wide; one row when all are sampled."""
         a, b = (self.first - self.below) / self.inside, (self.second - self.below + 1) / self.inside
+        if sample >= self.inside and self.widen == 1.0:
+            return a - 1.0 / self.inside, b + 1.0 / self.inside
         middle = min(max((a + b) / 2, 1.0 / sample), 1 - 1.0 / sample)
         slack = self.widen * (6.0 * math.sqrt(middle * (1 - middle) / sample) + 20.0 / sample)
         return a - slack, b + slack
