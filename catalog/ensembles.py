@@ -38,6 +38,35 @@ def decision_tree_regress(spark, sf):
     return out.groupBy(F.round("prediction", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_STUMP = with_(
+    REG, _LEVEL, _CUM, "b AS (SELECT x FROM c WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, x LIMIT 1)"
+) + "SELECT round(avg(t), 4) AS prediction, count(*) AS n FROM lv, b GROUP BY lv.x <= b.x"
+
+
+def _leaves(scored):
+    return scored.groupBy(F.round("prediction", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("adaboost_round", _STUMP)
+def adaboost_round(spark, sf):
+    """The first round has equal weights: its median is the plain stump."""
+    rows = _level(spark, sf)
+    return _leaves(ada.adaboost_regress(rows, ["x"], "t", n_estimators=1, max_depth=1, max_bins=128).score(rows))
+
+
+@query("gradient_boosting_round", _STUMP)
+def gradient_boosting_round(spark, sf):
+    rows = _level(spark, sf)
+    return _leaves(ml.gradient_boosting_regress(rows, ["x"], "t", n_estimators=1, max_depth=1, max_bins=128).score(rows))
+
+
+@query("hist_gradient_boosting_round", _STUMP)
+def hist_gradient_boosting_round(spark, sf):
+    """One full step without penalty ends at the side means."""
+    rows = _level(spark, sf)
+    return _leaves(trees.hist_gradient_boosting(rows, ["x"], "t", max_iter=1, learning_rate=1.0, max_depth=1).score(rows))
+
+
 @query(
     "decision_tree_classify",
     with_(

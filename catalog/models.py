@@ -184,6 +184,17 @@ def kernel_ridge(spark, sf):
     return evaluate(model.score(rows), "y", "prediction", ["rmse", "r2"])
 
 
+@query(
+    "kernel_ridge_linear",
+    with_(REG, "w AS (SELECT sum(net / 10000 * y) / (sum(net / 10000 * net / 10000) + 5.0) AS w FROM fx_reg)") + "SELECT id, round(net / 10000 * w, 2) AS prediction FROM fx_reg, w",
+)
+def kernel_ridge_linear(spark, sf):
+    """With a linear kernel on one feature the landmark map is exact."""
+    rows = fx_reg(spark, sf).select("id", (F.col("net") / 10000).alias("x"), "y")
+    model = kernel.kernel_ridge(rows, "id", ["x"], "y", alpha=5.0, kernel="linear", landmarks=10)
+    return model.score(rows).select("id", F.round("prediction", 2).alias("prediction"))
+
+
 @query("mlp_regress")
 def mlp_regress(spark, sf):
     rows = _scaled(spark, sf)

@@ -12,9 +12,15 @@ from rowloom.models.spark_ml import decision_stump_weighted, decision_tree_regre
 CUT_EVERY = 5
 
 
-def _next(rows, i):
+def _next(rows, i, held):
     """Weights of the next round: kept for its passes, written to the shared folder every few rounds."""
-    return cut_lineage(rows) if (i + 1) % CUT_EVERY == 0 else rows.persist()
+    if (i + 1) % CUT_EVERY:
+        held.append(rows.persist())
+        return held[-1]
+    written = cut_lineage(rows)
+    while held:
+        held.pop().unpersist()
+    return written
 
 
 class AdaBoostRegressor:
@@ -44,7 +50,7 @@ def adaboost_regress(df, features, target, n_estimators=50, learning_rate=1.0, m
     """AdaBoost.R2 with linear loss; weights enter the tree fit directly instead of by resampling."""
     rows = df.select(*features, target).transform(complete_rows).withColumn("_w", F.lit(1.0))
     rows = cut_lineage(spread(rows))
-    trees, strengths = [], []
+    trees, strengths, held = [], [], []
     n = rows.count()
     for i in range(n_estimators):
         tree = decision_tree_regress(rows, features, target, max_depth, max_bins=max_bins, seed=seed, weight="_w")
@@ -62,7 +68,9 @@ def adaboost_regress(df, features, target, n_estimators=50, learning_rate=1.0, m
         strengths.append(learning_rate * math.log(1.0 / beta))
         factor = F.pow(F.lit(beta), (F.lit(1.0) - F.col("_e") / F.lit(top)) * F.lit(learning_rate))
         rows = scored.withColumn("_w", F.col("_w") * factor * F.lit(n / total)).drop("_p", "_e")
-        rows = _next(rows.withColumn("_w", F.greatest(F.col("_w"), F.lit(1e-300))), i)
+        rows = _next(rows.withColumn("_w", F.greatest(F.col("_w"), F.lit(1e-300))), i, held)
+    for table in held:
+        table.unpersist()
     return AdaBoostRegressor(trees, strengths)
 
 
@@ -94,7 +102,7 @@ def adaboost_classify(df, features, label, n_estimators=50, learning_rate=1.0, m
     classes = sorted(r[0] for r in df.select(label).distinct().collect())
     k = len(classes)
     rows = cut_lineage(spread(df.select(*features, label).transform(complete_rows).withColumn("_w", F.lit(1.0))))
-    trees, strengths = [], []
+    trees, strengths, held = [], [], []
     n = rows.count()
     for i in range(n_estimators):
         tree = decision_stump_weighted(rows, features, label, "_w", max_depth, max_bins, seed)
@@ -110,5 +118,7 @@ def adaboost_classify(df, features, label, n_estimators=50, learning_rate=1.0, m
         strength = learning_rate * (math.log((1.0 - error) / error) + math.log(k - 1.0))
         trees.append(tree)
         strengths.append(strength)
-        rows = _next(scored.withColumn("_w", F.col("_w") * F.exp(F.lit(strength) * F.col("_miss")) * F.lit(n / total)).drop("_p", "_miss"), i)
+        rows = _next(scored.withColumn("_w", F.col("_w") * F.exp(F.lit(strength) * F.col("_miss")) * F.lit(n / total)).drop("_p", "_miss"), i, held)
+    for table in held:
+        table.unpersist()
     return AdaBoostClassifier(trees, strengths, classes)

@@ -18,6 +18,9 @@ from rowloom.functions.quantiles import exact_quantiles, sampled_quantiles
 from rowloom.functions.spreading import settle
 
 MARGIN_EVERY = 25  # boosting rounds between two written margins
+MAX_SLOTS = 50_000  # open nodes judged in one pass
+MAX_CELLS = 4_000_000  # histogram sums returned by one pass
+MAX_NODES = 5_000_000  # nodes of a whole forest on the driver
 
 
 class Tree:
@@ -100,6 +103,11 @@ def _slots(open_nodes, trees):
     return where
 
 
+def _pieces(items, size, as_slices=False):
+    cuts = [slice(i, i + size) for i in range(0, len(items), size)]
+    return cuts if as_slices else [items[c] for c in cuts]
+
+
 def extra_trees_regress(
     df, features, target, n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1, seed=42
 ) -> Forest:
@@ -120,19 +128,26 @@ def extra_trees_regress(
         for depth in range(max_depth + 1):
             if not open_nodes:
                 break
-            stats = _extents(table, features, target, mean, trees, open_nodes)
+            if sum(len(t.feature) for t in trees) > MAX_NODES:
+                raise ValueError("the forest outgrows the driver: lower max_depth or raise min_samples_split")
+            stats = {}
+            for part in _pieces(open_nodes, MAX_SLOTS):
+                stats.update(_extents(table, features, target, mean, trees, part))
             cuts, candidates = [], []
-            for s, (i, node) in enumerate(open_nodes):
-                n, total, square, lo, hi = stats[s]
+            for i, node in open_nodes:
+                n, total, square, lo, hi = stats[(i, node)]
                 trees[i].value[node] = mean + total / n
                 spread = square - total * total / n
                 if depth < max_depth and n >= max(min_samples_split, 2 * min_samples_leaf) and spread > 1e-12 * max(square, 1e-300) and (hi > lo).any():
                     draw = np.array([text_unit(f"{seed}:{i}:{node}:{j}") for j in range(p)])
                     cuts.append(np.where(hi > lo, np.minimum(lo + draw * (hi - lo), np.nextafter(hi, lo)), np.nan))
-                    candidates.append((i, node, stats[s]))
+                    candidates.append((i, node, stats[(i, node)]))
             if not candidates:
                 break
-            left = _left_sums(table, features, target, mean, trees, [c[:2] for c in candidates], np.array(cuts))
+            left = np.concatenate([
+                _left_sums(table, features, target, mean, trees, [c[:2] for c in candidates[part]], np.array(cuts[part]))
+                for part in _pieces(range(len(candidates)), MAX_SLOTS, as_slices=True)
+            ])
             open_nodes = []
             for s, (i, node, (n, total, square, lo, hi)) in enumerate(candidates):
                 nl, sl = left[s, :, 0], left[s, :, 1]
@@ -151,7 +166,7 @@ def extra_trees_regress(
 
 
 def _extents(table, features, target, mean, trees, open_nodes):
-    """{slot: (n, sum y, sum y^2, min x, max x)} with y around its mean."""
+    """{(tree, node): (n, sum y, sum y^2, min x, max x)} with y around its mean."""
     p, k = len(features), len(open_nodes)
     frozen, where = [t.frozen() for t in trees], _slots(open_nodes, trees)
 
@@ -179,7 +194,7 @@ def _extents(table, features, target, mean, trees, open_nodes):
         F.array(*[F.min(F.col("lo")[j]) for j in range(p)]).alias("lo"),
         F.array(*[F.max(F.col("hi")[j]) for j in range(p)]).alias("hi"),
     ).collect()
-    return {r["slot"]: (*r["sums"], np.array(r["lo"]), np.array(r["hi"])) for r in rows}
+    return {tuple(open_nodes[r["slot"]]): (*r["sums"], np.array(r["lo"]), np.array(r["hi"])) for r in rows}
 
 
 def _left_sums(table, features, target, mean, trees, nodes, cuts):
@@ -277,11 +292,15 @@ def _grow_boosted(
     tree = Tree()
     open_nodes = [0]
     for depth in range(max_depth):
-        k = len(open_nodes)
         frozen = tree.frozen()
-        where = _slots([(0, n) for n in open_nodes], [tree])[0]
 
-        def block(z):
+        def histograms(nodes):
+            k = len(nodes)
+            where = _slots([(0, n) for n in nodes], [tree])[0]
+            sums = sum_over_rows(table, [*features, "_y", "_u", "_margin"], lambda z: block(z, where, k), 3 * k * q * width)
+            return sums.reshape(3, k, q, width)
+
+        def block(z, where, k):
             x, y, u, margin = z[:, :p], z[:, p], z[:, p + 1], z[:, p + 2].copy()
             slot = where[_walk(frozen, x)]
             ok = slot >= 0
@@ -298,8 +317,8 @@ def _grow_boosted(
                     out[b, :, a, :] = np.bincount(cell, v, minlength=k * width).reshape(k, width)
             return out.ravel()
 
-        sums = sum_over_rows(table, [*features, "_y", "_u", "_margin"], block, 3 * k * q * width)
-        g, h, n = sums.reshape(3, k, q, width)
+        per_pass = max(1, MAX_CELLS // (3 * q * width))
+        g, h, n = np.concatenate([histograms(part) for part in _pieces(open_nodes, per_pass)], axis=1)
         next_open = []
         for s, node in enumerate(open_nodes):
             total_g, total_h, total_n = g[s, 0].sum(), h[s, 0].sum(), n[s, 0].sum()

@@ -39,20 +39,21 @@ def _best(q, x, k, p):
     """(query index, point index, measure) of the k best points per query, ties by point order."""
     out_q, out_x, out_m = [], [], []
     step = max(1, MATRIX_CELLS // max(1, len(x)))
+    take = min(k, len(x))
     for start in range(0, len(q), step):
         m = _measure(q[start : start + step], x, p)
-        if m.shape[1] > k:
-            limit = np.partition(m, k - 1, axis=1)[:, k - 1]
-        else:
-            limit = np.full(len(m), np.inf)
-        for i, row in enumerate(m):
-            near = np.flatnonzero(row <= limit[i])
-            near = near[np.argsort(row[near], kind="stable")][:k]
-            out_q.append(np.full(len(near), start + i))
-            out_x.append(near)
-            out_m.append(row[near])
-    if not out_q:
-        return np.array([], int), np.array([], int), np.array([])
+        near = np.argpartition(m, take - 1, axis=1)[:, :take] if take < len(x) else np.tile(np.arange(take), (len(m), 1))
+        limit = np.take_along_axis(m, near, axis=1).max(axis=1)
+        # where more than k points are within the limit, the partition chose among equals at random
+        for i in np.flatnonzero((m <= limit[:, None]).sum(axis=1) > take):
+            close = np.flatnonzero(m[i] <= limit[i])
+            near[i] = close[np.argsort(m[i][close], kind="stable")][:take]
+        near.sort(axis=1)
+        values = np.take_along_axis(m, near, axis=1)
+        order = np.argsort(values, axis=1, kind="stable")
+        out_q.append(np.repeat(np.arange(start, start + len(m)), take))
+        out_x.append(np.take_along_axis(near, order, axis=1).ravel())
+        out_m.append(np.take_along_axis(values, order, axis=1).ravel())
     return np.concatenate(out_q), np.concatenate(out_x), np.concatenate(out_m)
 
 
@@ -243,22 +244,17 @@ def neighbour_graph(df, features, key, k, p=2) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def weights(near: pd.Series) -> pd.Series:
-        out = []
-        for ds in near:
-            d = np.asarray(ds, dtype=float)
-            gap = np.maximum(d - d.min(), 0.0)
-            lo, hi = 0.0, np.inf
-            sigma = 1.0
-            for _ in range(64):
-                total = np.exp(-gap / sigma).sum()
-                if total > target:
-                    hi = sigma
-                    sigma = (lo + hi) / 2
-                else:
-                    lo = sigma
-                    sigma = sigma * 2 if np.isinf(hi) else (lo + hi) / 2
-            out.append(np.exp(-gap / max(sigma, 1e-12)))
-        return pd.Series(out, dtype=object)
+        d = np.full((len(near), k), np.inf)  # a missing neighbour weighs nothing
+        for i, ds in enumerate(near):
+            d[i, : len(ds)] = ds
+        gap = d - d.min(axis=1, keepdims=True)
+        lo, hi, sigma = np.zeros(len(d)), np.full(len(d), np.inf), np.ones(len(d))
+        for _ in range(64):
+            wide = np.exp(-gap / sigma[:, None]).sum(axis=1) > target
+            hi, lo = np.where(wide, sigma, hi), np.where(wide, lo, sigma)
+            sigma = np.where(np.isinf(hi), sigma * 2, (lo + np.minimum(hi, 1e300)) / 2)
+        w = np.exp(-gap / np.maximum(sigma, 1e-12)[:, None])
+        return pd.Series([row[: len(ds)] for row, ds in zip(w, near)], dtype=object)
 
     weighted = lists.withColumn("w", weights(F.transform("near", lambda e: e["distance"])))
     directed = weighted.select(
