@@ -114,6 +114,10 @@ def h32(key, seed=42):
     return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
+def h60(key, seed=42):
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
 def held(key, share, seed=42):
     return f"({h32(key, seed)} < {int(share * SPAN)})"
 

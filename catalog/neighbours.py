@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLF, DIMS, REG, VEC, fx_clf, fx_reg, fx_vec, h32, held, with_
+from catalog.fixtures import CLF, DIMS, REG, VEC, fx_clf, fx_reg, fx_vec, h32, h60, held, with_
 from rowloom.operators import resample as R
 from rowloom.operators.neighbors import knn_predict
 from rowloom.operators.split import holdout_split
@@ -63,7 +63,7 @@ _RANK = f"r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {h32('id')}
 @query(
     "random_oversample",
     with_(CLF, _RANK, "c AS (SELECT y, count(*) AS n FROM fx_clf GROUP BY y)", "d AS (SELECT y, n, unnest(range((SELECT max(n) FROM c) - n)) AS j FROM c)")
-    + f"SELECT id, y, 0 AS copy_no FROM fx_clf UNION ALL SELECT r.id, r.y, j + 1 FROM d JOIN r ON r.y = d.y AND r.rk = {h32('j')} % d.n",
+    + f"SELECT id, y, 0 AS copy_no FROM fx_clf UNION ALL SELECT r.id, r.y, j + 1 FROM d JOIN r ON r.y = d.y AND r.rk = {h60('j')} % d.n",
 )
 def random_oversample(spark, sf):
     return R.random_oversample(fx_clf(spark, sf).select("id", "y"), "id", "y")
@@ -88,7 +88,7 @@ _SMOTE = f"""mi AS (SELECT * FROM fx_vec WHERE y = 1),
  nn AS {nearest('mi', 5)},
  dr AS (SELECT unnest(range((SELECT count(*) FROM fx_vec WHERE y = 0) - (SELECT count(*) FROM mi))) AS j),
  pk AS (SELECT j, rk.id AS base, nn.n AS other, {h32('j', 44)} / CAST(4294967296 AS DOUBLE) AS u
-        FROM dr JOIN rk ON rk.rk = {h32('j')} % rk.n JOIN nn ON nn.q = rk.id AND nn.rank = {h32('j', 43)} % 5 + 1),
+        FROM dr JOIN rk ON rk.rk = {h60('j')} % rk.n JOIN nn ON nn.q = rk.id AND nn.rank = {h32('j', 43)} % 5 + 1),
  sm AS (SELECT id, y, {', '.join(DIMS)}, 0 AS copy_no FROM fx_vec
         UNION ALL SELECT b.id, b.y, {_MADE}, j + 1 FROM pk JOIN mi b ON b.id = base JOIN mi t ON t.id = other)"""
 
@@ -162,7 +162,7 @@ _GROUPS = """s AS (SELECT id, y, lang, source, 'lang' AS group_column, lang AS g
     with_(CLF, _GROUPS)
     + f"""SELECT id, y, lang, source, group_column, group_value, 0 AS copy_no FROM r WHERE y = maj OR rk < n // 2
           UNION ALL SELECT id, y, lang, source, r.group_column, r.group_value, j + 1 FROM dr JOIN r
-          ON r.group_column = dr.group_column AND r.group_value = dr.group_value AND y = maj AND rk = {h32('j')} % dr.n""",
+          ON r.group_column = dr.group_column AND r.group_value = dr.group_value AND y = maj AND rk = {h60('j')} % dr.n""",
 )
 def adjust_proportion(spark, sf):
     return R.adjust_proportion(fx_clf(spark, sf).select("id", "y", "lang", "source"), "id", "y", ["lang", "source"], 2)

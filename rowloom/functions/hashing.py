@@ -17,10 +17,19 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def _leading_digits(key, seed, digits):
+    text = F.concat(F.lit(f"{seed}:"), _col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
 def hash32(key, seed=0) -> Column:
     """Integer in [0, 2^32) from the first 8 hex digits of md5('seed:key')."""
-    text = F.concat(F.lit(f"{seed}:"), _col(key).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return _leading_digits(key, seed, 8)
+
+
+def hash60(key, seed=0) -> Column:
+    """Integer in [0, 2^60) from the first 15 hex digits; for draws among more rows than 2^32."""
+    return _leading_digits(key, seed, 15)
 
 
 def unit_interval(key, seed=0) -> Column:

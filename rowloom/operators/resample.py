@@ -7,7 +7,7 @@ All random choices are hashes of row keys or draw numbers. Ranks come from
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.functions.hashing import hash32, unit_interval
+from rowloom.functions.hashing import hash32, hash60, unit_interval
 from rowloom.functions.ranking import hash_rank
 from rowloom.operators.neighbors import knn_join
 
@@ -25,6 +25,12 @@ def _lookup(column, mapping, dtype="bigint"):
     return out
 
 
+def _class_draws(spark, extra, n, seed):
+    """(_j, _base): draw j < extra takes the row of rank hash(j) mod n. Spread over all tasks by `range`."""
+    j = F.col("id")
+    return spark.range(extra).select(j.alias("_j"), (hash60(j, seed) % F.lit(n)).alias("_base"))
+
+
 def _draws(ranked, n, extra, widest):
     """One row per draw number j < extra: the row of rank r makes the draws r, r + n, r + 2n, ...
 
@@ -55,12 +61,10 @@ def random_oversample(df: DataFrame, key, label, targets=None, seed=42) -> DataF
     if not extra:
         return originals
     ranked = hash_rank(df.filter(F.col(label).isin(list(extra))), key, by=[label], seed=seed)
-    widest = max(extra[c] / counts[c] for c in extra)
-    draws = _draws(ranked.select(label, "rank", "rank_n"), F.col("rank_n"), _lookup(label, extra), widest).select(
-        F.col(label).alias("_label"),
-        F.col("_j"),
-        (hash32(F.col("_j"), seed) % F.col("rank_n")).alias("_base"),
-    )
+    draws = None
+    for c, g in extra.items():
+        some = _class_draws(df.sparkSession, g, counts[c], seed).withColumn("_label", F.lit(c))
+        draws = some if draws is None else draws.unionByName(some)
     copies = ranked.join(draws, (F.col(label) == F.col("_label")) & (F.col("rank") == F.col("_base")))
     return originals.unionByName(copies.withColumn("copy_no", F.col("_j") + 1).select(originals.columns))
 
@@ -99,9 +103,7 @@ def smote(df, key, label, features, k=5, seed=42, targets=None, **search) -> Dat
         ranked = hash_rank(members, key, seed=seed)
         bases = ranked.join(lists, F.col(key) == F.col("query_id")).drop("query_id", "rank_n")
         j = F.col("_j")
-        draws = _draws(ranked.select("rank", "rank_n"), F.col("rank_n"), F.lit(extra[c]).cast("bigint"), extra[c] / counts[c]).select(
-            j, (hash32(j, seed) % F.col("rank_n")).alias("rank")
-        )
+        draws = _class_draws(df.sparkSession, extra[c], counts[c], seed).withColumnRenamed("_base", "rank")
         pick = F.col("_near")[(hash32(j, seed + 1) % F.size("_near")).cast("int")]["_vec"]
         step = unit_interval(j, seed + 2)
         made = bases.join(draws, "rank").withColumn("_to", pick).withColumn("_u", step)
@@ -197,7 +199,7 @@ def adjust_proportion(df, key, target, group_columns, factor=2, seed=42) -> Data
     majority = ranked.filter(is_major)
     extra = F.floor(F.col("rank_n") * F.lit(float(factor))) - F.col("rank_n")
     draws = _draws(majority.select(*group, "rank", "rank_n"), F.col("rank_n"), extra, factor).select(
-        *group, "_j", (hash32(F.col("_j"), seed) % F.col("rank_n")).alias("rank")
+        *group, "_j", (hash60(F.col("_j"), seed) % F.col("rank_n")).alias("rank")
     )
     copies = majority.join(draws, [*group, "rank"]).withColumn("copy_no", F.col("_j") + 1)
     cols = [*df.columns, *group, "copy_no"]

@@ -99,11 +99,14 @@ def test_resampled_counts(spark):
 
 
 def test_few_rows_make_many_draws(spark, monkeypatch):
-    monkeypatch.setattr(R, "DRAWS_PER_ROW", 10)
     df = frame(spark, [[float(i)] for i in range(3)], [1, 0, 0])
     out = R.random_oversample(df, "id", "y", targets={0: 2, 1: 500})
     assert R.class_counts(out, "y") == {0: 2, 1: 500}
     assert out.filter("y = 1").select("copy_no").distinct().count() == 500
+    monkeypatch.setattr(R, "DRAWS_PER_ROW", 10)
+    df = spark.createDataFrame([(1, 0, "a"), (2, 0, "a"), (3, 1, "a")], "id long, y int, g string")
+    out = R.adjust_proportion(df, "id", "y", ["g"], 100)
+    assert out.filter("y = 0").select("copy_no").distinct().count() == 199 and out.count() == 200
 
 
 def test_synthetic_rows_lie_between_minority_rows(spark):
