@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.fixtures import CLF, PRED, REG, REG_COLUMNS, VEC, fx_clf, fx_pred, fx_reg, fx_vec, held, table, union_all, with_
+from rowloom.functions.ranking import order_index
 from rowloom.operators import clean as C
 from rowloom.operators.encode import nest_vector, threshold_to_class
 from rowloom.operators.profile import sorted_top, value_counts
@@ -155,12 +156,16 @@ def left_anti_join(spark, sf):
     return C.exclude_ids(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), orders, "c_custkey")
 
 
-@query("sort_values", with_(REG) + "SELECT id, net, row_number() OVER (ORDER BY net DESC, id) AS position FROM fx_reg ORDER BY net DESC, id LIMIT 500")
+@query("sort_values", with_(REG) + "SELECT id, net, row_number() OVER (ORDER BY net DESC, id) AS position FROM fx_reg ORDER BY net DESC, id")
 def sort_values(spark, sf):
-    from rowloom.operators.profile import running_position
+    """The whole table in order, each row with its place."""
+    rows, _ = order_index(fx_reg(spark, sf).select("id", "net"), F.col("net").desc_nulls_last(), F.col("id"))
+    return rows.select("id", "net", (F.col("idx") + 1).alias("position"))
 
-    top = sorted_top(fx_reg(spark, sf).select("id", "net"), "net", 500, "id")
-    return running_position(top, [F.desc("net"), F.col("id")]).withColumn("position", F.col("position").cast("bigint"))
+
+@query("sorted_top", with_(REG) + "SELECT id, net FROM fx_reg ORDER BY net DESC, id LIMIT 500")
+def sorted_top_(spark, sf):
+    return sorted_top(fx_reg(spark, sf).select("id", "net"), "net", 500, "id")
 
 
 @query("head", with_(REG) + "SELECT id, y FROM fx_reg ORDER BY id LIMIT 20")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLF, DIMS, REG, VEC, fx_clf, fx_reg, fx_vec, h32, table, union_all, with_
+from catalog.fixtures import BIN_FEATURES, CLF, DIMS, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, table, union_all, with_
 from catalog.neighbours import square
 from rowloom.functions.moments import moments
 from rowloom.models import linear, trees
@@ -230,6 +230,14 @@ def random_search_cv(spark, sf):
     return cv.random_search_cv(rows, _tree, {"max_depth": H.randint(2, 6), "min_samples_leaf": [1, 4, 16]}, "y", n_iter=3)
 
 
+@query("grid_search_boosted_trees")
+def grid_search_boosted_trees(spark, sf):
+    """Depth x learning rate, stratified folds, judged by the area under the ROC curve."""
+    rows = kfold_stratified(fx_bin(spark, sf), "id", "y", 2).persist()
+    fit = lambda d, **p: trees.boosted_trees(d, BIN_FEATURES, "y", loss="logistic", n_estimators=2, max_bins=32, **p)
+    return cv.search_cv(rows, fit, H.grid_list({"max_depth": [2, 3], "learning_rate": [0.1, 0.5]}), "y", "roc_auc")
+
+
 @query("product_sweep")
 def product_sweep(spark, sf):
     train, test = _parts(spark, sf)

@@ -40,6 +40,14 @@ class Moments:
         return Moments(self.columns, n, mean, self.comoment + sign * (other.comoment + spread))
 
 
+def balanced_sum(terms):
+    """Sum of many column expressions as a shallow tree; deep chains overflow the optimizer's recursion."""
+    terms = list(terms)
+    while len(terms) > 1:
+        terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def _pairs(columns):
     return [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
 
@@ -79,6 +87,9 @@ def moments(df: DataFrame, columns) -> Moments:
 def grouped_moments(df: DataFrame, columns, by: str) -> dict:
     """{group value: Moments}; for folds and classes, whose number is small by nature."""
     columns = list(columns)
+    if len(columns) > WIDE:
+        groups = [r[0] for r in df.select(by).dropna().distinct().collect()]
+        return {g: moments(df.filter(F.col(by) == F.lit(g)), columns) for g in groups}
     rows = df.select(by, *columns).transform(complete_rows).groupBy(by).agg(*_moment_exprs(columns)).collect()
     return {r[by]: _from_row(columns, r) for r in rows}
 

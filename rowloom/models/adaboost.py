@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.nulls import complete_rows
-from rowloom.functions.spreading import spread
+from rowloom.functions.spreading import settle
 from rowloom.models.spark_ml import decision_stump_weighted, decision_tree_regress
 
 CUT_EVERY = 5
@@ -49,8 +49,8 @@ class AdaBoostRegressor:
 def adaboost_regress(df, features, target, n_estimators=50, learning_rate=1.0, max_depth=3, max_bins=64, seed=42):
     """AdaBoost.R2 with linear loss; weights enter the tree fit directly instead of by resampling."""
     rows = df.select(*features, target).transform(complete_rows).withColumn("_w", F.lit(1.0))
-    rows = cut_lineage(spread(rows))
-    trees, strengths, held = [], [], []
+    rows = settle(rows)
+    trees, strengths, held = [], [], [rows]
     n = rows.count()
     for i in range(n_estimators):
         tree = decision_tree_regress(rows, features, target, max_depth, max_bins=max_bins, seed=seed, weight="_w")
@@ -101,8 +101,8 @@ def adaboost_classify(df, features, label, n_estimators=50, learning_rate=1.0, m
     """SAMME: misclassified rows gain weight, every round votes with its log odds."""
     classes = sorted(r[0] for r in df.select(label).distinct().collect())
     k = len(classes)
-    rows = cut_lineage(spread(df.select(*features, label).transform(complete_rows).withColumn("_w", F.lit(1.0))))
-    trees, strengths, held = [], [], []
+    rows = settle(df.select(*features, label).transform(complete_rows).withColumn("_w", F.lit(1.0)))
+    trees, strengths, held = [], [], [rows]
     n = rows.count()
     for i in range(n_estimators):
         tree = decision_stump_weighted(rows, features, label, "_w", max_depth, max_bins, seed)

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from rowloom.functions.moments import Moments, moments
+from rowloom.functions.moments import Moments, balanced_sum, moments
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.spreading import settle
 
@@ -24,10 +24,8 @@ class LinearModel:
     intercept: float
 
     def expression(self):
-        total = F.lit(float(self.intercept))
-        for c, w in zip(self.features, self.coefficients):
-            total = total + F.col(c) * F.lit(float(w))
-        return total
+        terms = [F.col(c) * F.lit(float(w)) for c, w in zip(self.features, self.coefficients)]
+        return balanced_sum([F.lit(float(self.intercept)), *terms])
 
     def score(self, df, name="prediction"):
         return df.withColumn(name, self.expression())

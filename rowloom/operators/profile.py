@@ -2,10 +2,11 @@
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.hashing import hash32
+from rowloom.functions.moments import WIDE, moments
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 
@@ -152,6 +153,10 @@ def scatter_sample(df, key, columns, share, seed=0):
 def gram_table(df, columns):
     """Long form of the centred cross products: column_a, column_b, n, sum_product."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    if len(columns) > WIDE:
+        m = moments(df, columns)
+        rows = [(a, b, m.n, float(m.comoment[m.columns.index(a), m.columns.index(b)])) for a, b in pairs]
+        return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, n bigint, sum_product double")
     full = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).transform(complete_rows)
     wide = full.agg(
         F.count(F.lit(1)).alias("n"), *[F.covar_pop(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
@@ -167,7 +172,3 @@ def sorted_top(df, column, n, key, descending=True):
     order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     return df.orderBy(order, F.col(key)).limit(n)
 
-
-def running_position(df, order):
-    """Positions for a bounded result table (a report of k rows)."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))

@@ -22,23 +22,40 @@ def fold_values(df, fold="fold") -> list:
     return sorted(r[0] for r in df.select(fold).distinct().collect())
 
 
-def cross_val_predict(df, fit, fold="fold", resample=None) -> DataFrame:
+def cross_val_predict(df, fit, fold="fold", resample=None, **score) -> DataFrame:
     """Every row scored by the model that was fitted without its fold.
 
-    `fit(train) -> model with .score(df)`; `resample(train)` acts on training rows only.
+    `fit(train) -> model with .score(df)`; `resample(train)` acts on training rows only;
+    further options go to `.score`, such as probability="probability".
     """
     out = None
     for f in fold_values(df, fold):
         train = df.filter(F.col(fold) != F.lit(f))
         model = fit(resample(train) if resample else train)
-        part = model.score(df.filter(F.col(fold) == F.lit(f)))
+        part = model.score(df.filter(F.col(fold) == F.lit(f)), **score)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def cv_score_table(df, fit, target, metrics=("mse",), fold="fold", resample=None) -> DataFrame:
-    """(fold, metric columns) on held-out rows."""
-    return evaluate(cross_val_predict(df, fit, fold, resample), target, "prediction", metrics, by=[fold])
+    """(fold, metric columns) on held-out rows; roc_auc needs models that score a probability."""
+    plain = [m for m in metrics if m != "roc_auc"]
+    if len(plain) == len(metrics):
+        return evaluate(cross_val_predict(df, fit, fold, resample), target, "prediction", metrics, by=[fold])
+    scored = cross_val_predict(df, fit, fold, resample, probability="probability")
+    area = roc_auc(scored, target, "probability", [fold])
+    return area.join(evaluate(scored, target, "prediction", plain, by=[fold]), fold) if plain else area
+
+
+def _higher(metric):
+    return True if metric == "roc_auc" else METRICS[metric][1]
+
+
+def search_and_refit(df, fit_with, candidates, target, metric="mse", fold="fold"):
+    """(best model refitted on all rows, score table)."""
+    table = search_cv(df, fit_with, candidates, target, metric, fold)
+    best = table.filter("is_best").first()["candidate_id"]
+    return fit_with(df, **candidates[best]), table
 
 
 def _best(rows, metric, higher):
@@ -54,7 +71,7 @@ def search_cv(df, fit_with, candidates, target, metric="mse", fold="fold") -> Da
         scores = cv_score_table(df, lambda t: fit_with(t, **params), target, (metric,), fold)
         values = np.array([r[metric] for r in scores.collect()], dtype=float)
         rows.append((i, float(values.mean()), float(values.std()), describe_params(params)))
-    best = _best(rows, metric, METRICS[metric][1])[0]
+    best = _best(rows, metric, _higher(metric))[0]
     table = [(i, p, m, s, i == best) for i, m, s, p in rows]
     return df.sparkSession.createDataFrame(
         table, "candidate_id int, params string, mean_score double, std_score double, is_best boolean"
@@ -113,8 +130,7 @@ def multi_metric_search_nb(df, features, label, smoothings, metrics=("roc_auc",
         area = roc_auc(scored, label, "margin", by)
         per_fold = area if per_fold is None else per_fold.join(area, by)
     means = per_fold.groupBy("var_smoothing").agg(*[F.avg(m).alias(m) for m in metrics])
-    higher = True if refit == "roc_auc" else METRICS[refit][1]
-    order = F.col(refit).desc() if higher else F.col(refit).asc()
+    order = F.col(refit).desc() if _higher(refit) else F.col(refit).asc()
     return means.withColumn("is_best", F.row_number().over(Window.orderBy(order, "var_smoothing")) == 1)
 
 
@@ -150,9 +166,8 @@ def benchmark_models(train, holdout, zoo, target, fold="fold", n_iter=50, metric
     out = []
     for name, fit_with, grid in zoo:
         candidates = random_candidates(spark, grid, n_iter, seed) if grid else [{}]
-        table = search_cv(train, fit_with, candidates, target, metric, fold).collect()
-        best = next(r for r in table if r["is_best"])
-        model = fit_with(train, **candidates[best["candidate_id"]])
+        model, table = search_and_refit(train, fit_with, candidates, target, metric, fold)
+        best = table.filter("is_best").first()
         held = evaluate(model.score(holdout), target, "prediction", (metric,)).first()[0]
         out.append((name, best["params"], held, best["mean_score"], best["std_score"]))
     result = spark.createDataFrame(out, "model string, best_params string, holdout_score double, cv_mean double, cv_std double")

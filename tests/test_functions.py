@@ -91,6 +91,20 @@ def test_wide_moments(spark):
     assert np.allclose(moments(df, df.columns).comoment, np.cov(z.T, bias=True) * 400)
 
 
+def test_balanced_sum(spark):
+    from rowloom.functions.moments import balanced_sum
+
+    for n in (1, 2, 5, 64):
+        assert spark.range(1).select(balanced_sum([F.lit(i) for i in range(n)])).first()[0] == sum(range(n))
+
+
+def test_grouped_wide_moments(spark):
+    df = numbers(spark, 200).select((F.col("id") % 2).alias("g"), *[(F.col("x") + i * F.col("k")).alias(f"c{i}") for i in range(14)])
+    names = [f"c{i}" for i in range(14)]
+    parts = grouped_moments(df, names, "g")
+    assert np.allclose(parts[0].merge(parts[1]).comoment, moments(df, names).comoment)
+
+
 def test_long_sums(spark):
     total = sum_over_rows(numbers(spark, 100), ["x"], lambda z: np.full(5000, float(len(z))), 5000)
     assert (total == 100).all()

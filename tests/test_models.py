@@ -171,6 +171,13 @@ def test_pca_properties(clean):
     assert D.pca_fit(clean, X, share=0.5).k <= 3
 
 
+def test_wide_projection_equals_expressions(clean, monkeypatch):
+    p = D.pca_fit(clean, X, k=2)
+    a = p.transform(clean, keep=["id"]).orderBy("id").toPandas()
+    monkeypatch.setattr(D, "WIDE_PROJECTION", 0)
+    assert np.allclose(a, p.transform(clean, keep=["id"]).orderBy("id").toPandas(), atol=1e-12)
+
+
 def test_ica_unmixes(spark):
     rng = np.random.default_rng(2)
     s = np.column_stack([rng.uniform(-1, 1, 4000), np.sign(rng.normal(size=4000)) * rng.exponential(size=4000)])

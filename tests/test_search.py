@@ -50,6 +50,16 @@ def test_ridge_grid_equals_the_fold_loop(rows):
     assert slow[0]["is_best"] and not slow[1]["is_best"]
 
 
+def test_search_by_area_and_refit(rows):
+    fit = lambda d, c: spark_ml.logistic_regression(d, ["a", "b"], "k", c=c)
+    model, table = cv.search_and_refit(rows, fit, [{"c": 1e-6}, {"c": 1.0}], "k", "roc_auc")
+    got = table.orderBy("candidate_id").collect()
+    assert all(0.99 < r["mean_score"] <= 1.0 for r in got) and sum(r["is_best"] for r in got) == 1
+    assert model.score(rows).filter("prediction = k").count() > 300
+    both = cv.cv_score_table(rows, lambda d: fit(d, 1.0), "k", ("roc_auc", "accuracy"))
+    assert set(both.columns) == {"fold", "roc_auc", "accuracy"} and both.count() == 3
+
+
 def test_every_row_is_predicted_once(rows):
     fit = lambda d: linear.fit(d, ["a", "b"], "y")
     out = cv.cross_val_predict(rows, fit)
