@@ -5,6 +5,8 @@ judge all candidates in one pass per fold set. Other models run a driver loop
 over candidate and fold; the fits themselves are Spark jobs.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,13 +66,21 @@ def _best(rows, metric, higher):
     return min(rows, key=lambda r: (sign * r[1], r[0]))
 
 
-def search_cv(df, fit_with, candidates, target, metric="mse", fold="fold") -> DataFrame:
-    """(candidate_id, params, mean_score, std_score, is_best) for `fit_with(train, **params)`."""
-    rows = []
-    for i, params in enumerate(candidates):
+def search_cv(df, fit_with, candidates, target, metric="mse", fold="fold", parallelism=4) -> DataFrame:
+    """(candidate_id, params, mean_score, std_score, is_best) for `fit_with(train, **params)`.
+
+    `parallelism` candidates run their jobs at the same time, which fills the gaps
+    between the short stages of iterative fits.
+    """
+
+    def judge(numbered):
+        i, params = numbered
         scores = cv_score_table(df, lambda t: fit_with(t, **params), target, (metric,), fold)
         values = np.array([r[metric] for r in scores.collect()], dtype=float)
-        rows.append((i, float(values.mean()), float(values.std()), describe_params(params)))
+        return i, float(values.mean()), float(values.std()), describe_params(params)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(judge, enumerate(candidates)))
     best = _best(rows, metric, _higher(metric))[0]
     table = [(i, p, m, s, i == best) for i, m, s, p in rows]
     return df.sparkSession.createDataFrame(
