@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rowloom.functions.nulls import complete_rows
 
 WIDE_SUM = 4_096
-MERGE_TASKS = 16
+DRIVER_SUM = 4_000_000  # numbers that may come back at once
 WIDE = 12  # beyond this many columns NumPy blocks beat one SQL aggregate per pair
 
 
@@ -97,8 +97,9 @@ def grouped_moments(df: DataFrame, columns, by: str) -> dict:
 def sum_over_rows(df: DataFrame, columns, block, size: int) -> np.ndarray:
     """Sum of block(X) over Arrow batches X; block returns a flat vector of `size`.
 
-    Each task adds up its batches and emits one vector; Spark sums the vectors
-    position by position and the driver gets `size` numbers.
+    Each task adds up its batches and emits one vector. Short vectors are summed
+    position by position; longer ones are first merged whole in a few tasks. The
+    driver gets at most a few times `size` numbers.
     """
     columns = list(columns)
 
@@ -110,8 +111,11 @@ def sum_over_rows(df: DataFrame, columns, block, size: int) -> np.ndarray:
         yield pd.DataFrame({"part": [total]})
 
     parts = df.select(*columns).mapInPandas(partial, "part array<double>")
-    if size > WIDE_SUM:  # merge whole vectors in a few tasks first, so the shuffle stays small
-        parts = parts.repartition(MERGE_TASKS).mapInPandas(_add_vectors(size), "part array<double>")
+    if size > WIDE_SUM:
+        tasks = max(8, df.sparkSession.sparkContext.defaultParallelism // 8)
+        parts = parts.repartition(tasks).mapInPandas(_add_vectors(size), "part array<double>")
+        if size * tasks <= DRIVER_SUM:
+            return np.sum([np.array(r["part"]) for r in parts.collect()], axis=0)
     rows = parts.select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("s")).collect()
     out = np.zeros(size)
     for r in rows:

@@ -15,8 +15,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_VALUES = 2_000_000  # rows x columns
-SAMPLE_VALUES = 1_000_000  # over all brackets of one round
+SMALL_VALUES = 200_000  # rows x columns
+SAMPLE_VALUES = (200_000, 2_000_000)  # over all brackets of one round, small and large tables
+SAMPLE_SHARE = 0.01
 MIN_SAMPLE = 2_000
 MAX_BRACKET_ROWS = 20_000
 MAX_ROUNDS = 40
@@ -26,7 +27,7 @@ class _Target:
     """One wanted quantile: the two neighbouring ranks and the bracket known to hold both."""
 
     def __init__(self, column, q, n):
-        self.column, self.q = column, q
+        self.column, self.q, self.n = column, q, n
         position = q * (n - 1)
         self.first = math.floor(position)
         self.second = min(self.first + 1, n - 1)
@@ -82,7 +83,8 @@ def exact_quantiles(df: DataFrame, wanted: dict, small: int = SMALL_VALUES) -> d
 
 def _narrow(table, targets, round_):
     """New bracket ends from a sample of the rows inside, then proof by counting all rows."""
-    sample = max(MIN_SAMPLE, SAMPLE_VALUES // len(targets))
+    wanted = SAMPLE_SHARE * max(t.n for t in targets)
+    sample = max(MIN_SAMPLE, int(min(max(wanted, SAMPLE_VALUES[0]), SAMPLE_VALUES[1])) // len(targets))
     drawn = table.withColumn("_draw", F.rand(round_))
     chosen, ends = [], []
     for i, t in enumerate(targets):

@@ -47,7 +47,7 @@ def test_hash_rank_groups_nulls(spark):
     assert sorted((r["g"] or "", r["rank"]) for r in hash_rank(df, "id", by=["g"]).collect()) == [("", 0), ("", 1), ("a", 0)]
 
 
-@pytest.mark.parametrize("bracket_rows, sample", [(20_000, 1_000_000), (50, 2_000)])
+@pytest.mark.parametrize("bracket_rows, sample", [(20_000, (1_000_000, 1_000_000)), (50, (2_000, 2_000))])
 def test_bracketed_quantiles_are_exact(spark, monkeypatch, bracket_rows, sample):
     monkeypatch.setattr(quantiles, "MAX_BRACKET_ROWS", bracket_rows)
     monkeypatch.setattr(quantiles, "SAMPLE_VALUES", sample)
