@@ -102,23 +102,24 @@ def knn_join(
     want = k + 1 if exclude_self else k
     q = _vectors(queries, features, key)
     x = _vectors(points, features, key, [F.col(c) for c in carry])
-    copies = Window.partitionBy("_v").orderBy("_id")
-    few = x.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= want).drop("_copy")
     if rows_within(x, broadcast_points):
-        found = _scan_with_all_points(q, few, want, p, carry)
+        ranked = _scan_with_all_points(q, x, want, p, carry, exclude_self).filter(F.col("rank") <= k)
     else:
+        copies = Window.partitionBy("_v").orderBy("_id")
+        few = x.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= want).drop("_copy")
         found = _search_cells(q, few, _pivots(x), want, p, carry)
-    best = Window.partitionBy("_q").orderBy("_m", "_n")
-    if exclude_self:
-        found = found.filter(F.col("_q") != F.col("_n"))
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        if exclude_self:
+            found = found.filter(F.col("_q") != F.col("_n"))
+        best = Window.partitionBy("_q").orderBy("_m", "_n")
+        ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     distance = F.sqrt("_m") if p == 2 else F.col("_m")
     return ranked.select(
         F.col("_q").alias("query_id"), F.col("_n").alias("neighbor_id"), "rank", distance.alias("distance"), *carry
     )
 
 
-def _scan_with_all_points(q, x, k, p, carry):
+def _scan_with_all_points(q, x, k, p, carry, exclude_self):
+    """Every query meets all points in one task, so its ranks are known there: no shuffle."""
     frame = x.toPandas().sort_values("_id", ignore_index=True)  # size was checked
     matrix = _matrix(frame["_v"]) if len(frame) else None
 
@@ -126,9 +127,13 @@ def _scan_with_all_points(q, x, k, p, carry):
         for pdf in batches:
             if len(pdf) and matrix is not None:
                 qi, xi, m = _best(_matrix(pdf["_v"]), matrix, k, p)
-                yield _frame(pdf["_id"].to_numpy(), frame, qi, xi, m, carry)
+                out = _frame(pdf["_id"].to_numpy(), frame, qi, xi, m, carry)
+                keep = (out["_q"] != out["_n"]).to_numpy() if exclude_self else np.ones(len(out), dtype=bool)
+                out["rank"] = np.cumsum(keep.reshape(len(pdf), -1), axis=1).ravel()
+                yield out[keep]
 
-    return q.mapInPandas(scan, _result_schema(x, q, carry))
+    schema = T.StructType([*_result_schema(x, q, carry).fields, T.StructField("rank", T.IntegerType())])
+    return q.mapInPandas(scan, schema)
 
 
 def _pivots(x):
