@@ -91,6 +91,48 @@ def ard_regression(spark, sf):
     return _fit(spark, sf, "ard", ["net", "l_discount", "l_tax"])
 
 
+_SUMS = "m AS (SELECT count(*) AS n, avg(net) AS mx, avg(y) AS my, var_pop(net) * count(*) AS xx, covar_pop(net, y) * count(*) AS xy, var_pop(y) * count(*) AS yy FROM fx_reg)"
+
+
+@query(
+    "bayesian_ridge_step",
+    with_(
+        REG, _SUMS, "a AS (SELECT *, xy / (xx + yy / n) AS w, n / yy AS noise FROM m)", "b AS (SELECT *, yy - 2 * w * xy + w * w * xx AS rss, noise * xx / (1 + noise * xx) AS gamma FROM a)",
+        "c AS (SELECT *, (gamma + 2e-6) / (w * w + 2e-6) AS weight, (n - gamma + 2e-6) / (rss + 2e-6) AS precision FROM b)", "w AS (SELECT mx, my, xy / (xx + weight / precision) AS w FROM c)",
+    )
+    + "SELECT 'intercept' AS term, round(my - w * mx, 3) AS value FROM w UNION ALL SELECT 'net', round(w, 6) FROM w",
+)
+def bayesian_ridge_step(spark, sf):
+    """One round of the evidence iteration."""
+    return _fit(spark, sf, "bayesian_ridge", ["net"], max_iter=1)
+
+
+@query(
+    "ard_step",
+    with_(REG, _SUMS, "w AS (SELECT mx, my, n / yy * xy / (1 + n / yy * xx) AS w FROM m)")
+    + "SELECT 'intercept' AS term, round(my - w * mx, 3) AS value FROM w UNION ALL SELECT 'net', round(w, 6) FROM w",
+)
+def ard_step(spark, sf):
+    return _fit(spark, sf, "ard", ["net"], max_iter=1)
+
+
+@query(
+    "svr_step",
+    with_(
+        REG, "p AS (SELECT net / 10000 AS x, y / 10000 AS t FROM fx_reg)", "m AS (SELECT avg(x) AS mx, avg(t) AS mt, stddev_pop(t) AS sd FROM p)",
+        "r AS (SELECT x - mx AS x, t - mt AS t, CASE WHEN abs(t - mt) > 0.5 THEN 1 / greatest(abs(t - mt) - 0.5, 1e-6 * sd) ELSE 0 END AS a, t - mt - sign(t - mt) * 0.5 AS aim FROM p, m)",
+        "s AS (SELECT sum(a * x * x) + 1 AS p, sum(a * x) AS q, sum(a) + 1e-12 AS r, sum(a * x * aim) AS u, sum(a * aim) AS v FROM r)",
+        "w AS (SELECT (r * u - q * v) / (p * r - q * q) AS w, (p * v - q * u) / (p * r - q * q) AS b FROM s)",
+    )
+    + "SELECT 'intercept' AS term, round(b + mt - mx * w, 6) AS value FROM w, m UNION ALL SELECT 'x', round(w, 6) FROM w",
+)
+def svr_step(spark, sf):
+    """One reweighted step from zero: rows outside the tube pull with their inverse distance to it."""
+    rows = fx_reg(spark, sf).select((F.col("net") / 10000).alias("x"), (F.col("y") / 10000).alias("t"))
+    table = kernel.linear_svr(rows, ["x"], "t", c=1.0, epsilon=0.5, max_iter=1).table(spark)
+    return table.withColumn("value", F.round("value", 6))
+
+
 @query("huber_regression")
 def huber_regression(spark, sf):
     return linear.fit_huber(fx_reg(spark, sf), ["net", "l_quantity"], "y").table(spark)

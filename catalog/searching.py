@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import BIN_FEATURES, CLF, DIMS, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, table, union_all, with_
+from catalog.fixtures import BIN_FEATURES, CLF, DIMS, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, held, table, union_all, with_
 from catalog.neighbours import square
 from rowloom.functions.moments import moments
 from rowloom.models import linear, trees
@@ -238,6 +238,46 @@ def grid_search_boosted_trees(spark, sf):
     return cv.search_cv(rows, fit, H.grid_list({"max_depth": [2, 3], "learning_rate": [0.1, 0.5]}), "y", "roc_auc")
 
 
+@query(
+    "product_sweep_ridge",
+    with_(
+        REG, f"tr AS (SELECT * FROM fx_reg WHERE NOT {held('id', 0.2)}), te AS (SELECT * FROM fx_reg WHERE {held('id', 0.2)})",
+        "m AS (SELECT count(*) AS n, avg(net) AS mx, avg(y) AS my, var_pop(net) AS v, covar_pop(net, y) AS c FROM tr)",
+        "cs AS (SELECT unnest([1e9, 1e12, 1e13]) AS alpha, unnest(['alpha=1e+09', 'alpha=1e+12', 'alpha=1e+13']) AS params)",
+        "w AS (SELECT params, c / (v + alpha / n) AS w, my - c / (v + alpha / n) * mx AS i FROM m, cs)",
+    )
+    + """SELECT params, round(sqrt(avg(((y - i - w * net) / y) * ((y - i - w * net) / y))), 6) AS rmspe,
+         round(sqrt(avg((y - i - w * net) * (y - i - w * net))), 6) AS rmse FROM te, w GROUP BY params""",
+)
+def product_sweep_ridge(spark, sf):
+    train, test = _parts(spark, sf)
+    out = cv.product_sweep(train, test, lambda d, **p: linear.fit(d, ["net"], "y", "ridge", **p), {"alpha": _ALPHAS}, "y")
+    return out.withColumns({c: F.round(c, 6) for c in ("rmspe", "rmse")})
+
+
+@query(
+    "benchmark_linear_models",
+    with_(
+        REG, f"tr AS (SELECT *, {h32('id')} % 3 AS fold FROM fx_reg WHERE NOT {held('id', 0.2, 9)}), te AS (SELECT * FROM fx_reg WHERE {held('id', 0.2, 9)})",
+        "cs(model, k, params, alpha) AS (VALUES ('least_squares', 0, '', 0.0), ('ridge', 0, 'alpha=1e+13', 1e13), ('ridge', 1, 'alpha=1e+12', 1e12))",
+        "fl AS (SELECT DISTINCT fold AS f FROM tr)",
+        "st AS (SELECT f, count(*) AS n, avg(net) AS mx, avg(y) AS my, var_pop(net) AS v, covar_pop(net, y) AS c FROM tr JOIN fl ON fold <> f GROUP BY f)",
+        "e AS (SELECT model, k, params, alpha, fold, avg((y - my - c / (v + alpha / n) * (net - mx)) * (y - my - c / (v + alpha / n) * (net - mx))) AS mse FROM tr JOIN st ON f = fold, cs GROUP BY ALL)",
+        "s AS (SELECT model, k, params, alpha, avg(mse) AS cv_mean, stddev_pop(mse) AS cv_std FROM e GROUP BY ALL)",
+        "b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY model ORDER BY cv_mean, k) = 1)",
+        "wh AS (SELECT count(*) AS n, avg(net) AS mx, avg(y) AS my, var_pop(net) AS v, covar_pop(net, y) AS c FROM tr)",
+    )
+    + """SELECT model, params AS best_params, round(cv_mean, 2) AS cv_mean, round(cv_std, 2) AS cv_std,
+         round(avg((y - my - c / (v + alpha / n) * (net - mx)) * (y - my - c / (v + alpha / n) * (net - mx))), 2) AS holdout_score FROM te, wh, b GROUP BY ALL""",
+)
+def benchmark_linear_models(spark, sf):
+    train, test = holdout_split(fx_reg(spark, sf).select("id", "net", "y"), "id", 0.2, seed=9)
+    by = lambda method: (lambda d, **p: linear.fit(d, ["net"], "y", method, **p))
+    zoo = [("least_squares", by("least_squares"), {}), ("ridge", by("ridge"), {"alpha": [1e13, 1e12]})]
+    out = cv.benchmark_models(kfold_shuffled(train, "id", 3).persist(), test, zoo, "y")
+    return out.withColumns({c: F.round(c, 2) for c in ("cv_mean", "cv_std", "holdout_score")})
+
+
 @query("product_sweep")
 def product_sweep(spark, sf):
     train, test = _parts(spark, sf)
