@@ -159,17 +159,17 @@ def ransac(spark, sf):
     return robust.fit_ransac(fx_reg(spark, sf), "id", _XY, "y", max_trials=50).table(spark)
 
 
-def nb_sql(train, score, features, smoothing="1e-9"):
-    """CTEs up to `sc`: (id, actual, l0, l1) log densities of the two classes."""
+def nb_sql(train, score, features, smoothing="1e-9", p=""):
+    """CTEs up to `sc`: (id, actual, l0, l1) log densities of the two classes; `p` prefixes their names."""
     stats = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in features)
     big = "greatest(" + ", ".join(f"var_pop({f})" for f in features) + ")" if len(features) > 1 else f"var_pop({features[0]})"
-    dens = "ln(CAST(st.n AS DOUBLE) / tt.n)" + "".join(
+    dens = f"ln(CAST({p}st.n AS DOUBLE) / {p}tt.n)" + "".join(
         f" - 0.5 * ln(2 * pi() * (v_{f} + CAST({smoothing} AS DOUBLE) * big)) - 0.5 * ({f} - m_{f}) * ({f} - m_{f}) / (v_{f} + CAST({smoothing} AS DOUBLE) * big)"
         for f in features
     )
-    return f"""st AS (SELECT y, count(*) AS n, {stats} FROM {train} GROUP BY y), tt AS (SELECT count(*) AS n, {big} AS big FROM {train}),
- ll AS (SELECT r.id, r.y AS actual, st.y AS cls, {dens} AS l FROM {score} r, st, tt),
- sc AS (SELECT id, any_value(actual) AS actual, max(CASE WHEN cls = 0 THEN l END) AS l0, max(CASE WHEN cls = 1 THEN l END) AS l1 FROM ll GROUP BY id)"""
+    return f"""{p}st AS (SELECT y, count(*) AS n, {stats} FROM {train} GROUP BY y), {p}tt AS (SELECT count(*) AS n, {big} AS big FROM {train}),
+ {p}ll AS (SELECT r.id, r.y AS actual, {p}st.y AS cls, {dens} AS l FROM {score} r, {p}st, {p}tt),
+ {p}sc AS (SELECT id, any_value(actual) AS actual, max(CASE WHEN cls = 0 THEN l END) AS l0, max(CASE WHEN cls = 1 THEN l END) AS l1 FROM {p}ll GROUP BY id)"""
 
 
 _NB = ["n_chars", "n_words"]
