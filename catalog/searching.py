@@ -30,7 +30,7 @@ _LOWS, _HIGHS = [0.0, 10000.0, 20000.0], [50000.0, 90000.0]
     "param_grid",
     with_(REG)
     + union_all(
-        f"SELECT {i * 2 + j} AS candidate_id, '{lo}' AS low, '{hi}' AS high, count(*) FILTER (y BETWEEN {lo} AND {hi}) AS n_kept FROM fx_reg"
+        f"SELECT CAST({i * 2 + j} AS BIGINT) AS candidate_id, '{lo}' AS low, '{hi}' AS high, count(*) FILTER (y BETWEEN {lo} AND {hi}) AS n_kept FROM fx_reg"
         for i, lo in enumerate(_LOWS) for j, hi in enumerate(_HIGHS)
     ),
 )
