@@ -19,7 +19,7 @@ def label_encode(spark, sf):
 @query(
     "label_dictionary",
     with_(REG)
-    + "SELECT 'gap' AS column_name, CAST(CAST(gap AS VARCHAR) AS VARCHAR) AS value, row_number() OVER (ORDER BY CAST(gap AS VARCHAR) NULLS LAST) - 1 AS code FROM (SELECT DISTINCT gap FROM fx_reg)"
+    + "SELECT 'gap' AS column_name, CAST(gap AS VARCHAR) AS value, row_number() OVER (ORDER BY gap NULLS LAST) - 1 AS code FROM (SELECT DISTINCT gap FROM fx_reg)"
     + " UNION ALL SELECT 'l_returnflag', l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 1 FROM (SELECT DISTINCT l_returnflag FROM fx_reg)",
 )
 def label_dictionary(spark, sf):

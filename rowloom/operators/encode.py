@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowloom.functions.lineage import rows_within
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.ranking import order_index
+from rowloom.operators.select import columns_of_kind
 
 BROADCAST_CODES = 200_000
 
@@ -24,7 +25,9 @@ def label_dictionary(*tables, columns) -> DataFrame:
         part = t.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
         long = part if long is None else long.union(part)
     values = long.distinct()
-    indexed, _ = order_index(values, F.col("column_name"), F.col("value").asc_nulls_last())
+    numeric = [c for c in columns if c in columns_of_kind(tables[0], "number")]
+    number = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("double"))  # 2 before 10
+    indexed, _ = order_index(values, F.col("column_name"), number.asc_nulls_last(), F.col("value").asc_nulls_last())
     starts = indexed.groupBy("column_name").agg(F.min("idx").alias("_first"))
     return indexed.join(F.broadcast(starts), "column_name").select(
         "column_name", "value", (F.col("idx") - F.col("_first")).alias("code")

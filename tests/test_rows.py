@@ -72,6 +72,12 @@ def test_label_codes(spark, small):
         encode.label_encode(other, state, ["s"], unseen="error").collect()
 
 
+def test_numbers_are_coded_in_numeric_order(spark):
+    df = spark.createDataFrame([(10, 0.5), (2, None), (-3, 7.0)], "i long, x double")
+    out = encode.label_encode(df, encode.label_dictionary(df, columns=["i", "x"]), ["i", "x"])
+    assert sorted(map(tuple, out.collect())) == [(0, 1), (1, 2), (2, 0)]
+
+
 def test_shuffled_dictionary_join_gives_the_same_codes(spark, small, monkeypatch):
     state = encode.label_dictionary(small, columns=["s"])
     a = sorted(map(tuple, encode.label_encode(small, state, ["s"]).select("id", "s").collect()))
