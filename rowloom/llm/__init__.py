@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe",)
+_MODULES = ("bpe", "decontaminate")
 
 
 def query(name, sql=None):
