@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate")
+_MODULES = ("bpe", "decontaminate", "sampling")
 
 
 def query(name, sql=None):
