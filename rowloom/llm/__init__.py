@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups")
 
 
 def query(name, sql=None):

@@ -133,7 +133,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     # extend the hits of the documents that have any
     open_ = seen.filter("candidate").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     texts = texts.join(open_, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi")
+    texts = texts.select("doc_id", "text_key", words_of(F.col("text")).alias("words"))
     empty = F.array().cast("array<struct<length:int,print:bigint,first:int,near:array<string>>>")
     near = texts.select("doc_id", "text_key", F.explode(F.concat(empty, *[_neighbourhoods(F.col("words"), n) for n in lengths])).alias("x")).select("doc_id", "text_key", "x.*")
     near = near.join(prints.select("print"), "print", "left_semi")
