@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings")
 
 
 def query(name, sql=None):

@@ -62,11 +62,14 @@ def _tables(n: int):
     return _powers, _backs
 
 
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """P with P[e] - P[s] the polynomial of bytes s..e-1, to be brought to a common place by `span_hash`."""
     powers, _ = _tables(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((mix(data.astype(np.uint64) + np.uint64(1))) * powers[: len(data)], out=out[1:])
+    np.cumsum(_BYTES[data] * powers[: len(data)], out=out[1:])
     return out
 
 
@@ -74,3 +77,24 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of byte spans; equal bytes give equal hashes wherever they stand."""
     _, backs = _tables(len(prefix))
     return mix((prefix[ends] - prefix[starts]) * backs[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_spans(parts: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(prefix sums, starts, ends, counts) of texts given as lists of words in bytes, laid out with one space between words."""
+    counts = np.array([len(p) for p in parts], np.int64)
+    data = np.frombuffer(b" ".join(b" ".join(p) for p in parts if p), np.uint8)
+    blank = np.flatnonzero(data == 32)
+    none = np.zeros(0, np.int64)
+    starts = np.concatenate([[0], blank + 1]) if len(data) else none
+    ends = np.concatenate([blank, [len(data)]]) if len(data) else none
+    return prefix_sums(data), starts, ends, counts
+
+
+def text_chunks(batch, text: str, size: int = 1 << 20):
+    """(slice, texts): pieces of an Arrow batch with about `size` characters each."""
+    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+    group = np.cumsum([len(t or "") for t in texts]) // size
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a), texts[a:b]

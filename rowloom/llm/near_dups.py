@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rowloom.llm import query
-from rowloom.llm.common import mix, prefix_sums, settled, span_hash, text_key
+from rowloom.llm.common import mix, settled, span_hash, text_chunks, text_key, word_spans
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -30,7 +30,6 @@ BANDS = 20
 BAND_ROWS = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CELL = np.uint64(0xC2B2AE3D27D4EB4F)
-_CHUNK_BYTES = 1 << 20
 
 
 def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -38,19 +37,14 @@ def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     A text of fewer than five words is one shingle; one without words has no cell.
     """
-    parts = [(t or "").split() for t in texts]
-    counts = np.array([len(p) for p in parts], np.int64)
-    data = np.frombuffer(" ".join(" ".join(p) for p in parts if p).encode(), np.uint8)
-    blank = np.flatnonzero(data == 32)
-    starts = np.concatenate([[0], blank + 1]) if len(data) else np.zeros(0, np.int64)
-    ends = np.concatenate([blank, [len(data)]]) if len(data) else np.zeros(0, np.int64)
+    prefix, starts, ends, counts = word_spans([(t or "").encode().split() for t in texts])
     first = np.cumsum(counts) - counts
     shingles = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
     bounds = np.concatenate([[0], np.cumsum(shingles)])
     owner = np.repeat(np.arange(len(texts)), shingles)
     at = first[owner] + np.arange(bounds[-1]) - bounds[owner]
     last = np.minimum(at + SHINGLE, first[owner] + counts[owner]) - 1
-    h = span_hash(prefix_sums(data), starts[at], ends[last])
+    h = span_hash(prefix, starts[at], ends[last])
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         h[a:b].sort()
     fresh = np.ones(len(h), bool)
@@ -98,21 +92,10 @@ def band_hashes(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(h + np.arange(bands, dtype=np.uint64) * _CELL).view(np.int64)
 
 
-def _chunks(batch, text: str):
-    """Slices of a batch of some 1 MB of text each."""
-    column = batch.column(batch.schema.get_field_index(text))
-    sizes = np.array([len(t.as_py() or "") for t in column]) if len(column) else np.zeros(0, int)
-    group = np.cumsum(sizes) // _CHUNK_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        if b > a:
-            yield batch.slice(a, b - a), column.slice(a, b - a).to_pylist()
-
-
 def _banded(df: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches):
         for whole in batches:
-            for batch, texts in _chunks(whole, "text"):
+            for batch, texts in text_chunks(whole, "text"):
                 cells, bounds = cells_of(texts)
                 h = band_hashes(signatures(cells, bounds, bands * rows), bands, rows)
                 held = np.repeat(np.diff(bounds) > 0, bands)
@@ -126,7 +109,7 @@ def _banded(df: DataFrame, bands: int, rows: int) -> DataFrame:
 def _with_cells(df: DataFrame) -> DataFrame:
     def run(batches):
         for whole in batches:
-            for batch, texts in _chunks(whole, "text"):
+            for batch, texts in text_chunks(whole, "text"):
                 cells, bounds = cells_of(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.sort(cells[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["node", "cells"])
 
