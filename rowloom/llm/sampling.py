@@ -41,8 +41,9 @@ def fingerprints(df: DataFrame, keys: list[str], text: str = "text", samples: in
     words = df.select(*keys, F.explode_outer(F.split(F.lower(F.col(text)), r"[ \t\n\x0B\f\r]+")).alias("word"))
     terms = words.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
     counts = terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+    # a null term has a null weight and so no value; without a CASE around it, code generation shares the hashes
     weighed = counts.select(*keys, "term", F.when(F.col("term").isNotNull(), F.log(F.col("n").cast("double"))).alias("weight"))
-    least = weighed.groupBy(*keys).agg(*[F.min(F.when(F.col("weight").isNotNull(), _value(F.col("term"), F.col("weight"), k))).alias(f"s{k}") for k in range(samples)])
+    least = weighed.groupBy(*keys).agg(*[F.min(_value(F.col("term"), F.col("weight"), k)).alias(f"s{k}") for k in range(samples)])
     digits = [F.lpad(F.lower(F.hex(F.xxhash64(f"s{k}").bitwiseAND(F.lit((1 << 4 * _DIGITS) - 1)))), _DIGITS, "0") for k in range(samples)]
     return least.select(*keys, F.when(F.col("s0").isNull(), F.lit("")).otherwise(F.concat(*digits)).alias("fingerprint"))
 
