@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language")
 
 
 def query(name, sql=None):
@@ -23,4 +23,9 @@ def query(name, sql=None):
 def load():
     for m in _MODULES:
         importlib.import_module(f"rowloom.llm.{m}")
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
     return QUERIES, ORACLES

@@ -128,7 +128,7 @@ def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW) -
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept") if c != text])
     names = docs.columns
     spans = settled(repeated_spans(docs, text, window), "repeated-spans")
-    rows = docs.withColumn("_node", text_key(text)).join(spans.withColumnRenamed("node", "_node"), "_node", "left").select(*names, F.col("spans").alias("_spans"))
+    rows = docs.withColumn("_rowloom_node", text_key(text)).join(spans.withColumnRenamed("node", "_rowloom_node"), "_rowloom_node", "left").select(*names, F.col("spans").alias("_rowloom_spans"))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
     def run(batches):
