@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction")
 
 
 def query(name, sql=None):
