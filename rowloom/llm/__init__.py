@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction", "cotraining")
 
 
 def query(name, sql=None):
