@@ -21,6 +21,7 @@ LABELLED = 6_000
 UNLABELLED = 4_000
 ROUNDS = 3
 SURE = 0.9
+LIFT = 4.0  # times the prior odds of a class that a pseudo-label takes
 GROWTH = 200  # pseudo-labels a round, view and class at most
 WORD_SLOTS = 1 << 16
 META_SLOTS = 1 << 12
@@ -126,7 +127,7 @@ def _platt(z, y):
     """Weights of a small logistic regression on the columns of z, by Newton steps."""
     x = np.column_stack([np.ones(len(y)), z])
     w = np.zeros(x.shape[1])
-    ridge = np.diag([1e-6] + [1.0] * (x.shape[1] - 1))
+    ridge = np.diag([1e-6] + [0.1] * (x.shape[1] - 1))
     for _ in range(30):
         p = _sigmoid(x @ w)
         h = x.T @ (x * (p * (1 - p))[:, None]) + ridge
@@ -139,6 +140,7 @@ def co_train(views, y, back, rounds: int = ROUNDS):
     labelled = (y >= 0) & ~back
     target = [np.where(labelled, y, 0.0) for _ in views]
     use = [labelled.astype(float) for _ in views]
+    prior = float(y[labelled].mean()) if labelled.any() else 0.5
     history = []
     for turn in range(rounds + 1):
         models = [v.fit(t, u) for v, t, u in zip(views, target, use)]
@@ -149,8 +151,9 @@ def co_train(views, y, back, rounds: int = ROUNDS):
             p = _sigmoid(views[k].logits(*models[k]))
             other = 1 - k
             free = (y < 0) & (use[other] == 0)
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                best = np.flatnonzero(free & (sure >= SURE))
+            for label, sure, share in ((1.0, p, prior), (0.0, 1 - p, 1 - prior)):
+                odds = LIFT * share / max(1 - share, 1e-9)  # a common class alone makes no view sure
+                best = np.flatnonzero(free & (sure >= max(SURE, odds / (1 + odds))))
                 best = best[np.argsort(-sure[best], kind="stable")][:GROWTH]
                 target[other][best], use[other][best] = label, 1.0
                 added += len(best)
@@ -226,7 +229,7 @@ def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) ->
                         columns.append(pa.nulls(n, pa.float64()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality_score", "toxic_score"])
 
-    schema = rows.select("doc_id", F.lit(0.0).alias("quality_score"), F.lit(0.0).alias("toxic_score")).schema
+    schema = rows.select("doc_id", *[F.lit(None).cast("double").alias(c) for c in ("quality_score", "toxic_score")]).schema
     done = rows.mapInArrow(run, schema)
     quality, toxic = F.col("quality_score") >= 0.5, F.col("toxic_score") >= 0.5
     keep = F.coalesce(quality, F.lit(True)) & ~F.coalesce(toxic, F.lit(False))
