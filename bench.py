@@ -22,7 +22,7 @@ HEADLINE = [
     "random_oversample", "smote", "smote_tomek", "smote_enn", "adjust_proportion", "linear_regression", "ridge", "theil_sen", "ransac",
     "gaussian_naive_bayes", "logistic_regression", "decision_tree_regress", "random_forest_regress", "extra_trees_regress",
     "gradient_boosting_regress", "boosted_trees", "boosted_trees_regress", "adaboost_regress", "svr", "kernel_ridge", "mlp_regress",
-    "grid_search_cv", "grid_search_800_fits", "grid_search_ridge", "multi_metric_search", "trim_sweep", "cv_score_table", "roc_auc",
+    "grid_search_cv", "grid_search_smoothing", "grid_search_ridge", "multi_metric_search", "trim_sweep", "cv_score_table", "roc_auc",
     "classification_report", "compare_prediction_tables", "property_price_flow", "credit_default_flow",
 ]
 
@@ -38,6 +38,7 @@ def session(cpus):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", os.environ.get("ROWLOOM_CHECKPOINTS", "/tmp/rowloom-checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

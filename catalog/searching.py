@@ -132,8 +132,8 @@ def multi_metric_search(spark, sf):
 _WIDE = [float(f"{x:.6g}") for x in H.logspace(-9, 1, 80)]
 
 
-@query("grid_search_800_fits", _nb_search_sql(10, _WIDE) + "SELECT s AS var_smoothing, round(a, 6) AS roc_auc FROM ms")
-def grid_search_800_fits(spark, sf):
+@query("grid_search_smoothing", _nb_search_sql(10, _WIDE) + "SELECT s AS var_smoothing, round(a, 6) AS roc_auc FROM ms")
+def grid_search_smoothing(spark, sf):
     """80 candidates, ten stratified folds, roc_auc: statistics per fold once, then one scoring pass for all."""
     out = cv.multi_metric_search_nb(_nb_rows(spark, sf, 10), ["n_chars", "n_words"], "y", _WIDE, metrics=("roc_auc",))
     return out.select("var_smoothing", F.round("roc_auc", 6).alias("roc_auc"))

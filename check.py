@@ -2,6 +2,7 @@
 
 import argparse
 import math
+import os
 import time
 
 import duckdb
@@ -21,6 +22,7 @@ def session(cpus="8"):
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", os.environ.get("ROWLOOM_CHECKPOINTS", "/tmp/rowloom-checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,13 +1,12 @@
 """Reliable checkpoints and scratch space in the folder the cluster names."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints; a local master without one gets a temporary folder."""
+    """The folder for checkpoints, which the session must name: local folders of one machine are lost with it."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if folder:
@@ -16,11 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rowloom-")
-    context.setCheckpointDir(folder)
-    return folder
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -142,12 +142,3 @@ def _resolve(table, targets):
                 break
             seen += n
         t.answer = low + t.fraction * (high - low)
-
-
-def sampled_quantiles(df: DataFrame, columns, probabilities, rows=200_000, seed=42) -> dict:
-    """{column: values} from a bounded random sample; for bin edges, where any nearby cut will do."""
-    n = df.count()
-    some = df if n <= rows else df.sample(fraction=rows / n, seed=seed)
-    ends = F.array(*[F.lit(float(q)) for q in probabilities])
-    row = some.agg(*[F.percentile(F.col(c).cast("double"), ends).alias(c) for c in columns]).first()
-    return {c: row[c] or [] for c in columns}

@@ -1,19 +1,19 @@
 """Regression that withstands gross outliers: fits on many small random row subsets."""
 
+import itertools
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.hashing import hash32, uniform_draws
 from rowloom.functions.moments import moments, sum_over_rows
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
+from rowloom.functions.ranking import hash_rank
 from rowloom.models.linear import LinearModel, fit_least_squares
 
-MAX_ROUNDS = 500
-MAX_SUBSET_ROWS = 200_000  # rows dealt to all subsets; larger trials use shared sums instead
-
 
 def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray:
     """(subsets, p + 1) least-squares fits [w, intercept] on random disjoint row sets.
@@ -26,13 +26,13 @@ def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray
     n = rows.limit(subsets * size).count()
     if n < size:
         raise ValueError("fewer rows than one subset needs")
-    rounds = min(MAX_ROUNDS, -(-subsets // (n // size)))
+    rounds = -(-subsets // (n // size))
     dealt = rows.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
     mixed = dealt.withColumn("_h", hash32(F.concat_ws(":", "_round", "_id"), seed))
     sample = mixed.orderBy("_round", "_h", "_id").limit(rounds * n)
-    place = F.row_number().over(Window.partitionBy("_round").orderBy("_h", "_id")) - 1
+    ranked = hash_rank(sample.withColumn("_deal", F.concat_ws(":", "_round", "_id")), "_deal", by=["_round"], seed=seed, name="_place")
     grouped = (
-        sample.withColumn("_subset", F.floor(place / F.lit(size)))
+        ranked.withColumn("_subset", F.floor(F.col("_place") / F.lit(size)))
         .filter(F.col("_subset") < n // size)
         .withColumn("_subset", F.col("_round") * F.lit(n // size) + F.col("_subset"))
         .filter(F.col("_subset") < subsets)
@@ -84,10 +84,25 @@ def spatial_median(points, max_iter=300, tol=1e-10):
     return center
 
 
+def every_subset_fit(df, features, target, size) -> np.ndarray:
+    """Least-squares fits on all row subsets of a size, for tables whose number of subsets a parameter bounds."""
+    rows = df.select(*[F.col(c).cast("double") for c in [*features, target]]).transform(complete_rows).collect()
+    table = np.array([tuple(r) for r in sorted(rows)], dtype=float)
+    x, y = np.column_stack([table[:, :-1], np.ones(len(table))]), table[:, -1]
+    return np.array([np.linalg.lstsq(x[list(s)], y[list(s)], rcond=None)[0] for s in itertools.combinations(range(len(table)), size)])
+
+
 def fit_theil_sen(df, key, features, target, max_subpopulation=10_000, n_subsamples=None, seed=42) -> LinearModel:
-    """Spatial median of least-squares fits on random subsets of p + 1 rows (or `n_subsamples`)."""
+    """Spatial median of least-squares fits on subsets of p + 1 rows (or `n_subsamples`).
+
+    All subsets where there are at most `max_subpopulation`, else that many random ones.
+    """
     size = n_subsamples or len(features) + 1
-    fits = subset_fits(df, key, features, target, int(max_subpopulation), size, seed)
+    n = df.select(*features, target).transform(complete_rows).limit(int(max_subpopulation) + 1).count()
+    if size <= n <= max_subpopulation and math.comb(n, size) <= max_subpopulation:
+        fits = every_subset_fit(df, features, target, size)
+    else:
+        fits = subset_fits(df, key, features, target, int(max_subpopulation), size, seed)
     w = spatial_median(fits)
     return LinearModel(list(features), w[:-1], float(w[-1]))
 
@@ -109,10 +124,8 @@ def fit_ransac(df, key, features, target, min_samples=None, residual_threshold=N
         residual_threshold = exact_quantiles(spread, {"d": [0.5]})[("d", 0.5)]
     if size < 1:
         fits = share_fits(table, key, features, target, max_trials, size, seed)
-    elif size * max_trials <= MAX_SUBSET_ROWS:
-        fits = subset_fits(table, key, features, target, max_trials, int(size), seed)
     else:
-        fits = share_fits(table, key, features, target, max_trials, min(1.0, size / table.count()), seed)
+        fits = subset_fits(table, key, features, target, max_trials, int(size), seed)
     t = len(fits)
 
     def judge(z):

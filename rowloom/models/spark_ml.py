@@ -61,26 +61,30 @@ def _fit(make, df, features, label, weight=None):
 
 
 def _tree(max_depth, min_samples_leaf, max_bins, seed):
-    depth = MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH)
-    return dict(maxDepth=depth, minInstancesPerNode=min_samples_leaf, maxBins=max_bins, seed=seed)
+    if max_depth is None or max_depth > MAX_DEPTH:
+        raise ValueError(f"these trees grow to depth {MAX_DEPTH}; extra trees and second-order boosting have no limit")
+    return dict(maxDepth=max_depth, minInstancesPerNode=min_samples_leaf, maxBins=max_bins, seed=seed)
 
 
-def logistic_regression(df, features, label, c=1.0, penalty="l2", max_iter=100, tol=1e-6):
-    """Penalty strength as 1/c per data set, i.e. 1/(c n) in MLlib's mean loss."""
-    mix = 1.0 if penalty == "l1" else 0.0
+def logistic_regression(df, features, label, c=1.0, penalty="l2", l1_ratio=None, max_iter=100, tol=1e-6):
+    """Penalty l1, l2, elasticnet (with l1_ratio) or none; its strength is 1/c per data set, i.e. 1/(c n) in MLlib's mean loss."""
+    mixes = {"l1": 1.0, "l2": 0.0, "elasticnet": l1_ratio, "none": 0.0, None: 0.0}
+    if mixes.get(penalty) is None or not 0 <= mixes[penalty] <= 1:
+        raise ValueError("penalty is l1, l2, none, or elasticnet with an l1_ratio from 0 to 1")
+    mix = mixes[penalty]
     options = dict(elasticNetParam=mix, standardization=False, maxIter=max_iter, tol=tol)
-    return _fit(lambda n: LogisticRegression(regParam=0.0 if penalty is None else 1.0 / (c * n), **options), df, features, label)
+    return _fit(lambda n: LogisticRegression(regParam=0.0 if penalty in (None, "none") else 1.0 / (c * n), **options), df, features, label)
 
 
 def linear_svc(df, features, label, c=1.0, max_iter=100):
     return _fit(lambda n: LinearSVC(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter), df, features, label)
 
 
-def decision_tree_classify(df, features, label, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42):
+def decision_tree_classify(df, features, label, max_depth=MAX_DEPTH, min_samples_leaf=1, max_bins=64, seed=42):
     return _fit(lambda n: DecisionTreeClassifier(**_tree(max_depth, min_samples_leaf, max_bins, seed)), df, features, label)
 
 
-def decision_tree_regress(df, features, label, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42, weight=None):
+def decision_tree_regress(df, features, label, max_depth=MAX_DEPTH, min_samples_leaf=1, max_bins=64, seed=42, weight=None):
     options = _tree(max_depth, min_samples_leaf, max_bins, seed)
     return _fit(lambda n: DecisionTreeRegressor(**options), df, features, label, weight)
 
@@ -89,13 +93,13 @@ def decision_stump_weighted(df, features, label, weight, max_depth=1, max_bins=6
     return _fit(lambda n: DecisionTreeClassifier(**_tree(max_depth, 1, max_bins, seed)), df, features, label, weight)
 
 
-def random_forest_classify(df, features, label, n_estimators=100, max_depth=None, min_samples_leaf=1, max_bins=64, seed=42):
+def random_forest_classify(df, features, label, n_estimators=100, max_depth=MAX_DEPTH, min_samples_leaf=1, max_bins=64, seed=42):
     options = _tree(max_depth, min_samples_leaf, max_bins, seed)
     return _fit(lambda n: RandomForestClassifier(numTrees=n_estimators, **options), df, features, label)
 
 
 def random_forest_regress(
-    df, features, label, n_estimators=100, max_depth=None, min_samples_leaf=1, max_bins=64, max_features="all", seed=42
+    df, features, label, n_estimators=100, max_depth=MAX_DEPTH, min_samples_leaf=1, max_bins=64, max_features="all", seed=42
 ):
     options = dict(numTrees=n_estimators, featureSubsetStrategy=max_features, **_tree(max_depth, min_samples_leaf, max_bins, seed))
     return _fit(lambda n: RandomForestRegressor(**options), df, features, label)

@@ -5,6 +5,8 @@ returns a few sums per open node; the driver holds only the trees, whose size
 the parameters bound. Rows never move: each task walks the trees itself.
 """
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -14,13 +16,12 @@ from rowloom.functions.hashing import hash32, text_unit, uniform_draws
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import sum_over_rows
 from rowloom.functions.nulls import complete_rows
-from rowloom.functions.quantiles import exact_quantiles, sampled_quantiles
+from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.spreading import settle
 
 MARGIN_EVERY = 25  # boosting rounds between two written margins
 MAX_SLOTS = 50_000  # open nodes judged in one pass
 MAX_CELLS = 4_000_000  # histogram sums returned by one pass
-MAX_NODES = 5_000_000  # nodes of a whole forest on the driver
 
 
 class Tree:
@@ -108,16 +109,29 @@ def _pieces(items, size, as_slices=False):
     return cuts if as_slices else [items[c] for c in cuts]
 
 
+def _feature_count(max_features, p):
+    if max_features in (None, "all"):
+        return p
+    if max_features in ("sqrt", "log2"):
+        return max(1, int(np.sqrt(p) if max_features == "sqrt" else np.log2(p)))
+    if isinstance(max_features, str) or max_features <= 0:
+        raise ValueError("max_features is None, sqrt, log2, a number or a share")
+    return max(1, min(p, int(max_features * p) if isinstance(max_features, float) and max_features <= 1 else int(max_features)))
+
+
 def extra_trees_regress(
-    df, features, target, n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1, seed=42
+    df, features, target, n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1, max_features=None, seed=42
 ) -> Forest:
     """Extremely randomised trees: one random cut per node and feature, the best feature wins.
 
+    `max_depth` None grows until no node can be split. `max_features` (None, "sqrt", "log2", a number or a share) draws so many
+    of the features that vary in a node.
     No bootstrap. Two aggregates per level serve all trees: extents per open node,
     then sums left of each drawn cut.
     """
     features = list(features)
     p = len(features)
+    wanted = _feature_count(max_features, p)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).transform(complete_rows)
     table = settle(table)
     mean = table.agg(F.avg(target)).first()[0] or 0.0
@@ -125,11 +139,9 @@ def extra_trees_regress(
     open_nodes = [(i, 0) for i in range(n_estimators)]
     gain_by_feature = np.zeros(p)
     try:
-        for depth in range(max_depth + 1):
+        for depth in itertools.count():
             if not open_nodes:
                 break
-            if sum(len(t.feature) for t in trees) > MAX_NODES:
-                raise ValueError("the forest outgrows the driver: lower max_depth or raise min_samples_split")
             stats = {}
             for part in _pieces(open_nodes, MAX_SLOTS):
                 stats.update(_extents(table, features, target, mean, trees, part))
@@ -138,9 +150,13 @@ def extra_trees_regress(
                 n, total, square, lo, hi = stats[(i, node)]
                 trees[i].value[node] = mean + total / n
                 spread = square - total * total / n
-                if depth < max_depth and n >= max(min_samples_split, 2 * min_samples_leaf) and spread > 1e-12 * max(square, 1e-300) and (hi > lo).any():
+                if (max_depth is None or depth < max_depth) and n >= max(min_samples_split, 2 * min_samples_leaf) and spread > 1e-12 * max(square, 1e-300) and (hi > lo).any():
                     draw = np.array([text_unit(f"{seed}:{i}:{node}:{j}") for j in range(p)])
-                    cuts.append(np.where(hi > lo, np.minimum(lo + draw * (hi - lo), np.nextafter(hi, lo)), np.nan))
+                    varies = hi > lo
+                    if wanted < p:
+                        order = sorted(np.flatnonzero(varies), key=lambda j: text_unit(f"{seed}:{i}:{node}:{j}:pick"))
+                        varies = np.isin(np.arange(p), order[:wanted])
+                    cuts.append(np.where(varies, np.minimum(lo + draw * (hi - lo), np.nextafter(hi, lo)), np.nan))
                     candidates.append((i, node, stats[(i, node)]))
             if not candidates:
                 break
@@ -219,9 +235,10 @@ def _left_sums(table, features, target, mean, trees, nodes, cuts):
 
 
 def bin_edges(df, features, max_bins) -> list:
-    """Per feature: sorted cut values between bins, from the quantiles of a bounded sample."""
-    found = sampled_quantiles(df, features, [i / max_bins for i in range(1, max_bins)])
-    return [np.unique(np.array(found[f], dtype=float)) for f in features]
+    """Per feature: sorted cut values between bins, the exact quantiles of all rows."""
+    shares = [i / max_bins for i in range(1, max_bins)]
+    found = exact_quantiles(df, {f: shares for f in features})
+    return [np.unique(np.array([v for q in shares if (v := found[(f, q)]) is not None], dtype=float)) for f in features]
 
 
 def _gradients(loss, y, margin):

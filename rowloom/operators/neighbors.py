@@ -27,11 +27,11 @@ MATRIX_CELLS = 4_000_000
 
 
 def _measure(q, x, p):
-    """Sum of |difference|^p, added feature by feature in order (p is 1 or 2)."""
+    """Sum of |difference|^p, added feature by feature in order."""
     total = np.zeros((len(q), len(x)))
     for j in range(q.shape[1]):
         gap = q[:, j, None] - x[None, :, j]
-        total += gap * gap if p == 2 else np.abs(gap)
+        total += gap * gap if p == 2 else np.abs(gap) if p == 1 else np.abs(gap) ** p
     return total
 
 
@@ -112,7 +112,7 @@ def knn_join(
             found = found.filter(F.col("_q") != F.col("_n"))
         best = Window.partitionBy("_q").orderBy("_m", "_n")
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    distance = F.sqrt("_m") if p == 2 else F.col("_m")
+    distance = F.sqrt("_m") if p == 2 else F.pow("_m", F.lit(1.0 / p)) if p != 1 else F.col("_m")
     return ranked.select(
         F.col("_q").alias("query_id"), F.col("_n").alias("neighbor_id"), "rank", distance.alias("distance"), *carry
     )
@@ -146,7 +146,7 @@ def _pivots(x):
 def _search_cells(q, x, pivots, k, p, carry):
     def true_distance(v):
         d = _measure(v, pivots, p)
-        return np.sqrt(d) if p == 2 else d
+        return np.sqrt(d) if p == 2 else d ** (1.0 / p)
 
     def in_chunks(v):
         step = max(1, MATRIX_CELLS // len(pivots))
@@ -196,7 +196,7 @@ def _search_cells(q, x, pivots, k, p, carry):
     best = Window.partitionBy("_q").orderBy("_m", "_n")
     kept = first.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k)
     reach = kept.groupBy(F.col("_q").alias("_id")).agg(F.max("_m").alias("_limit"))
-    limit = F.sqrt("_limit") if p == 2 else F.col("_limit")
+    limit = F.sqrt("_limit") if p == 2 else F.pow("_limit", F.lit(1.0 / p)) if p != 1 else F.col("_limit")
     more = cut_lineage(
         start.join(reach, "_id").withColumn("_cells", other_cells("_v", limit, "_cells")).filter(F.size("_cells") > 0)
     )

@@ -203,3 +203,20 @@ def test_null_rows_do_not_enter_fits(clean):
     gap = clean.withColumn("a", F.when(F.col("id") % 10 > 0, F.col("a")))
     m = linear.fit(gap, X, "y")
     assert np.allclose(m.coefficients, [3, -2, 0], atol=0.03)
+
+
+def test_refusals_and_features(clean):
+    with pytest.raises(ValueError):
+        spark_ml.decision_tree_regress(clean, X, "y", max_depth=40)
+    with pytest.raises(ValueError):
+        spark_ml.logistic_regression(clean, X, "k", penalty="elasticnet")
+    with pytest.raises(ValueError):
+        spark_ml.logistic_regression(clean, X, "k", penalty="l3")
+    free = spark_ml.logistic_regression(clean, X, "k", c=0.01, penalty="none").model.coefficients.toArray()
+    tied = spark_ml.logistic_regression(clean, X, "k", c=0.01, penalty="elasticnet", l1_ratio=0.5).model.coefficients.toArray()
+    assert np.abs(free).sum() > np.abs(tied).sum()
+    forest = trees.extra_trees_regress(clean.limit(200), X, "y", n_estimators=2, max_depth=None, max_features="sqrt")
+    assert max(len(t[0]) for t in forest.trees) > 100
+    few = clean.limit(12)
+    fits = robust.every_subset_fit(few, X, "y", len(X) + 1)
+    assert len(fits) == __import__("math").comb(12, len(X) + 1)
