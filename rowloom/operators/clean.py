@@ -2,11 +2,12 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
+from rowloom.functions.ranking import order_index
 from rowloom.operators.select import columns_of_kind
 
 
@@ -129,8 +130,6 @@ def attach_by_key(left, right, key, columns, how="left"):
 
 
 def prediction_slice(df, order, first, last):
-    """Rows first..last (0-based, inclusive) in key order, by a bounded top-n."""
-    top = df.orderBy(order).limit(last + 1)
-    return top.withColumn("position", F.row_number().over(Window.orderBy(order)) - 1).filter(
-        F.col("position") >= first
-    )
+    """Rows first..last (0-based, inclusive) in key order; a slice deep in the table needs no single task."""
+    numbered, _ = order_index(df, order, name="position")
+    return numbered.filter(F.col("position").between(first, last)).withColumn("position", F.col("position").cast("int"))

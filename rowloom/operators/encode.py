@@ -11,6 +11,7 @@ from rowloom.functions.ranking import order_index
 from rowloom.operators.select import columns_of_kind
 
 BROADCAST_CODES = 200_000
+BROADCAST_BYTES = 32 << 20  # of values in such a dictionary
 
 
 def label_dictionary(*tables, columns) -> DataFrame:
@@ -41,10 +42,10 @@ def dictionary_sizes(state) -> dict:
 def label_encode(df, state, columns, unseen="null"):
     """Codes in place of values. Unseen values: 'null', 'last' (number of known values) or 'error'.
 
-    A dictionary of checked size is broadcast; a larger one joins by shuffle,
+    A dictionary of checked rows and bytes is broadcast; a larger one joins by shuffle,
     where adaptive skew splitting takes care of a hot value.
     """
-    small = rows_within(state, BROADCAST_CODES)
+    small = rows_within(state, BROADCAST_CODES) and (state.agg(F.sum(F.octet_length("value"))).first()[0] or 0) <= BROADCAST_BYTES
     sizes = dictionary_sizes(state) if unseen == "last" else {}
     out = df
     for c in columns:

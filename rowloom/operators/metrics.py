@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.functions.lineage import cut_lineage
+from rowloom.functions.lineage import cut_lineage, rows_within
 
 
 def _d(c):
@@ -100,8 +100,11 @@ def with_residuals(df, y, p, name="residual"):
     return df.withColumn(name, _d(y) - _d(p))
 
 
-def confusion_matrix(df, y, p) -> DataFrame:
-    """(actual, predicted, n) over all label pairs, zeros included."""
+def confusion_matrix(df, y, p, max_labels=1_000) -> DataFrame:
+    """(actual, predicted, n) over all label pairs, zeros included; refuses more than `max_labels` labels."""
+    seen = df.select(F.col(y).cast("string").alias("l")).union(df.select(F.col(p).cast("string").alias("l"))).distinct()
+    if not rows_within(seen, max_labels):
+        raise ValueError(f"more than {max_labels} labels: a full matrix of them would be huge; group or bin them first")
     counts = df.groupBy(F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
     labels = counts.agg(F.array_distinct(F.concat(F.collect_set("actual"), F.collect_set("predicted"))).alias("l"))
     cells = labels.select("l", F.explode("l").alias("actual")).select("actual", F.explode("l").alias("predicted"))
