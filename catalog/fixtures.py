@@ -62,22 +62,22 @@ REG = """fx_reg AS (
 REG_COLUMNS = ["id", "y", "l_quantity", "l_discount", "l_tax", "net", "neg", "gap", "one", "l_returnflag", "l_linestatus"]
 REG_NUMBERS = ["y", "l_quantity", "l_discount", "l_tax", "net", "neg", "gap", "one"]
 
-DIMS = [f"e{i}" for i in range(8)]
+DIMS = [f"e{i}" for i in range(64)]
 
 
 def fx_vec(spark, sf):
-    """First eight embedding dimensions and a rare binary target."""
+    """All 64 embedding dimensions and a rare binary target."""
     e = table(spark, sf, "embeddings")
     return e.select(
         F.col("vec_id").alias("id"),
         "label",
         (F.col("label") == 0).cast("int").alias("y"),
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)],
+        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)],
     )
 
 
 VEC = "fx_vec AS (SELECT vec_id AS id, label, CAST(label = 0 AS INTEGER) AS y, " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(8)
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)
 ) + " FROM embeddings)"
 
 

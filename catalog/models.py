@@ -151,12 +151,12 @@ def passive_aggressive_regression(spark, sf):
 
 @query("theil_sen")
 def theil_sen(spark, sf):
-    return robust.fit_theil_sen(fx_reg(spark, sf), "id", _XY, "y", max_subpopulation=500).table(spark)
+    return robust.fit_theil_sen(fx_reg(spark, sf), "id", _XY, "y").table(spark)
 
 
 @query("ransac")
 def ransac(spark, sf):
-    return robust.fit_ransac(fx_reg(spark, sf), "id", _XY, "y", max_trials=50).table(spark)
+    return robust.fit_ransac(fx_reg(spark, sf), "id", _XY, "y").table(spark)
 
 
 def nb_sql(train, score, features, smoothing="1e-9", p=""):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLF, REG, REG_NUMBERS, fx_clf, fx_reg, fx_vec, h32, held, union_all, with_
+from catalog.fixtures import CLF, DIMS, REG, REG_NUMBERS, fx_clf, fx_reg, fx_vec, h32, held, union_all, with_
 from rowloom.operators import profile as A
 from rowloom.operators import relevance as R
 from rowloom.operators.split import holdout_split, kfold_shuffled
@@ -214,7 +214,7 @@ def rfe(spark, sf):
 
 @query("rfe_wide")
 def rfe_wide(spark, sf):
-    return R.rfe(fx_vec(spark, sf), [f"e{i}" for i in range(8)], "y")
+    return R.rfe(fx_vec(spark, sf), DIMS, "y")
 
 
 @query("rfe_trees")

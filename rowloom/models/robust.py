@@ -14,6 +14,8 @@ from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.ranking import hash_rank
 from rowloom.models.linear import LinearModel, fit_least_squares
 
+SUBSETS_PER_LOT = 250  # solved in one task call
+
 
 def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray:
     """(subsets, p + 1) least-squares fits [w, intercept] on random disjoint row sets.
@@ -39,11 +41,12 @@ def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray
     )
 
     def solve(pdf):
-        x = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))])
-        w = np.linalg.lstsq(x, pdf["_y"].to_numpy(float), rcond=None)[0]
-        return pd.DataFrame({"_subset": [pdf["_subset"].iloc[0]], "w": [w]})
+        x, y = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))]), pdf["_y"].to_numpy(float)
+        lots = pdf.groupby("_subset").indices
+        return pd.DataFrame({"_subset": list(lots), "w": [np.linalg.lstsq(x[i], y[i], rcond=None)[0] for i in lots.values()]})
 
-    fits = grouped.groupBy("_subset").applyInPandas(solve, "_subset bigint, w array<double>").collect()
+    lots = F.floor(F.col("_subset") / F.lit(SUBSETS_PER_LOT))
+    fits = grouped.groupBy(lots.alias("_lot")).applyInPandas(solve, "_subset bigint, w array<double>").collect()
     return np.array([r["w"] for r in sorted(fits)], dtype=float)
 
 
