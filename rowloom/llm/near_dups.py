@@ -7,8 +7,9 @@ Jaccard similarity. Darts are thrown only up to the rank that fills all coordina
 number of shingles plus K ln K); a text with an empty coordinate gets a higher limit.
 
 Signatures are cut into 20 bands of 5. Texts that share a band form a bucket. A bucket's leader, the text that shares most bands
-with others, is compared with the bucket's texts on the full shingle multisets; texts that no leader has taken yet choose 2, then 4, 8 ... more
-leaders, each again compared with the whole bucket. So work grows with the number of texts times leaders, not with pairs.
+with others, is compared with the bucket's texts on the full shingle multisets. Texts like their leader need no more comparison among themselves:
+they are in one group. Only texts unlike it are compared with the other texts of that leader's buckets, chunk against chunk. No
+candidate pair is lost, and none is written out: tasks return spanning forests.
 A pair of similarity 0.8 shares no band with probability 0.0004. Groups are the connected components of the checked links.
 """
 
@@ -19,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from rowloom.llm import query
 from rowloom.llm.common import mix, settled, span_hash, text_chunks, text_key, word_spans
@@ -28,6 +28,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 20
 BAND_ROWS = 5
+BLOCK = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CELL = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -135,6 +136,50 @@ def _alike(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("node", "leader", "a", "b").mapInArrow(run, "node bigint, leader bigint")
 
 
+def _in_blocks(told: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
+    """Links (node, leader) of texts that are unlike their leader with the other texts of that leader's buckets.
+
+    Texts that are both like their leader are in one group already, so every other pair of a bucket has a text to ask here. Both sides
+    are cut into chunks of some 256 texts; a task gets one chunk of askers and one of all, and returns a spanning forest of links.
+    """
+    sizes = told.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("linked").isNull()).alias("w")).filter("w > 0 and n > 1")
+    sides = told.join(sizes, "leader").join(cells, "node")
+    own = F.pmod(F.xxhash64("node"), F.ceil(F.col("w") / BLOCK)).cast("int")
+    other = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    asks = sides.filter(F.col("linked").isNull()).select("leader", own.alias("x"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / BLOCK).cast("int") - 1)).alias("y"), F.lit(True).alias("asks"), "node", "cells")
+    held = sides.select("leader", F.explode(F.sequence(F.lit(0), F.ceil(F.col("w") / BLOCK).cast("int") - 1)).alias("x"), other.alias("y"), F.lit(False).alias("asks"), "node", "cells")
+
+    def run(table):
+        asks, node = table.column("asks").to_numpy(), table.column("node").to_numpy()
+        sets = [np.frombuffer(c.as_buffer(), np.uint64) for c in table.column("cells")]
+        held = np.flatnonzero(~asks)
+        size = np.array([len(sets[i]) for i in held])
+        every, owner = np.concatenate([sets[i] for i in held] or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(held)), size)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        root, out = {}, []
+
+        def top(v):
+            while root.setdefault(v, v) != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        for i in np.flatnonzero(asks):
+            low, high = np.searchsorted(every, sets[i]), np.searchsorted(every, sets[i], "right")
+            many = high - low
+            at = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+            both = np.bincount(owner[at], minlength=len(held))
+            for k in np.flatnonzero(both >= threshold * (len(sets[i]) + size - both)):
+                a, b = int(node[i]), int(node[held[k]])
+                if top(a) != top(b):
+                    root[top(a)] = top(b)
+                    out.append((a, b))
+        return pa.table({"node": pa.array([o[0] for o in out], pa.int64()), "leader": pa.array([o[1] for o in out], pa.int64())})
+
+    return asks.union(held).groupBy("leader", "x", "y").applyInArrow(run, "node bigint, leader bigint")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): connected components of (node, leader) links, root the least node.
 
@@ -171,26 +216,16 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     once = base.join(active.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     cells = settled(_with_cells(once), "cells")
 
-    members = settled(shared.select("bucket", "node").join(active, "node"), "members")  # (node, bucket, weight)
-    waiting, links, leading = members, None, 1
-    while not waiting.isEmpty():
-        ranked = waiting.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")))
-        leaders = settled(ranked.filter(F.col("n") <= leading).select("bucket", F.col("node").alias("leader")), "leaders")
-        pairs = members.join(leaders, "bucket").filter("node != leader").select("node", "leader").distinct()
-        if links is not None:
-            pairs = pairs.join(links, ["node", "leader"], "left_anti")
-        pairs = settled(pairs, "pairs")
-        of_nodes = cells.join(pairs.select("node").distinct(), "node", "left_semi").select("node", F.col("cells").alias("a"))
-        of_leaders = cells.withColumnRenamed("node", "leader").join(pairs.select("leader").distinct(), "leader", "left_semi").select("leader", F.col("cells").alias("b"))
-        found = settled(_alike(pairs.join(of_nodes, "node").join(of_leaders, "leader"), threshold), "alike")
-        links = found if links is None else links.union(found)
-        led = waiting.join(leaders, "bucket")
-        done = led.filter("node = leader").select("bucket", "node").union(led.join(links, ["node", "leader"], "left_semi").select("bucket", "node"))
-        waiting = settled(waiting.join(done.distinct(), ["bucket", "node"], "left_anti"), "waiting")
-        leading *= 2
+    leaders = shared.select("bucket", "node").join(active, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
+    pairs = settled(shared.select("bucket", "node").join(leaders, "bucket").filter("node != leader").select("node", "leader").distinct(), "pairs")
+    of_leaders = cells.join(pairs.select("leader").distinct(), cells["node"] == F.col("leader"), "left_semi").select(F.col("node").alias("leader"), F.col("cells").alias("b"))
+    compared = pairs.join(cells.select("node", F.col("cells").alias("a")), "node").join(of_leaders, "leader")
+    found = settled(_alike(compared, threshold), "alike")
+    told = settled(pairs.join(found.withColumn("linked", F.lit(True)), ["node", "leader"], "left"), "told")
+    links = settled(found.select("node", "leader").union(_in_blocks(told, cells, threshold)), "all-links")
 
     members = banded.select("doc_id", "node")
-    if links is None or links.isEmpty():
+    if links.isEmpty():
         grouped = members.withColumn("class", F.col("node"))
     else:
         roots = components(links)
