@@ -19,7 +19,7 @@ from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.spreading import settle
 
-MARGIN_EVERY = 25  # boosting rounds between two written margins
+MARGIN_EVERY = 8  # boosting rounds between two written margins
 MAX_SLOTS = 50_000  # open nodes judged in one pass
 MAX_CELLS = 4_000_000  # histogram sums returned by one pass
 
@@ -252,7 +252,7 @@ def boosted_trees(
     df, features, target, key=None, loss="squared", n_estimators=100, learning_rate=0.3, max_depth=6, reg_lambda=1.0,
     gamma=0.0, min_child_weight=1.0, min_samples_leaf=1, subsample=1.0, colsample=1.0, max_bins=64, seed=42,
 ) -> Forest:
-    """Second-order boosting on binned features.
+    """Second-order boosting on features binned once.
 
     One aggregate per level gives the sums of gradients, curvatures and rows per
     (open node, feature, bin). gain = 1/2 [GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)] - gamma;
@@ -268,10 +268,11 @@ def boosted_trees(
     ).transform(complete_rows)
     mean = table.agg(F.avg("_y")).first()[0]
     base = float(np.log(mean / (1 - mean))) if loss == "logistic" else float(mean)
-    table = settle(table.withColumn("_margin", F.lit(base)))
-    edges = bin_edges(table, features, max_bins)
+    raw = settle(table.withColumn("_margin", F.lit(base)))
+    edges = bin_edges(raw, features, max_bins)
+    table = settle(_binned(raw, features, edges))
     width = max(len(e) for e in edges) + 1
-    trees, fresh, held = [], [], [table]
+    trees, fresh, held = [], [], [raw, table]
     gain_by_feature = np.zeros(p)
     try:
         for round_ in range(n_estimators):
@@ -288,10 +289,30 @@ def boosted_trees(
     finally:
         for t in held:
             t.unpersist()
+    _from_bins(trees, edges)
     share = gain_by_feature / gain_by_feature.sum() if gain_by_feature.sum() > 0 else gain_by_feature
     return Forest(features, trees, learning_rate, base, link="logistic" if loss == "logistic" else None, importances=share)
 
 
+def _binned(table, features, edges):
+    """The table with every feature's bin, the number of cut values below it, in its place."""
+
+    def run(batches):
+        for pdf in batches:
+            for f, e in zip(features, edges):
+                pdf[f] = np.searchsorted(e, pdf[f].to_numpy(float), side="left").astype(np.int16)
+            yield pdf
+
+    kinds = ", ".join(f"`{f}` smallint" for f in features)
+    return table.select(*features, "_y", "_u", "_margin").mapInPandas(run, f"{kinds}, _y double, _u double, _margin double")
+
+
+def _from_bins(trees, edges):
+    """Thresholds in values instead of bins."""
+    for tree in trees:
+        tree.threshold = [float(edges[f][int(t)]) if f >= 0 else 0.0 for f, t in zip(tree.feature, tree.threshold)]
+
+
 def _with_margin(table, features, fresh, rate):
     @F.pandas_udf("double")
     def gain(*columns: pd.Series) -> pd.Series:
@@ -329,7 +350,7 @@ def _grow_boosted(
             g, h = _gradients(loss, y, margin)
             out = np.zeros((3, k, q, width))
             for a, j in enumerate(chosen):
-                cell = slot * width + np.searchsorted(edges[j], x[:, j], side="left")
+                cell = slot * width + x[:, j].astype(np.int64)
                 for b, v in enumerate((g, h, None)):
                     out[b, :, a, :] = np.bincount(cell, v, minlength=k * width).reshape(k, width)
             return out.ravel()
@@ -350,7 +371,7 @@ def _grow_boosted(
             if not gain[a, b] > 1e-12 * max(1.0, total_n):
                 continue
             gain_by_feature[chosen[a]] += gain[a, b]
-            children = tree.split(node, chosen[a], float(edges[chosen[a]][b]))
+            children = tree.split(node, chosen[a], float(b))
             for child, gg, hh in zip(children, (gl[a, b], gr[a, b]), (hl[a, b], hr[a, b])):
                 tree.value[child] = -gg / (hh + lam) if hh + lam > 0 else 0.0
             next_open += children
@@ -369,27 +390,34 @@ def hist_gradient_boosting(df, features, target, max_iter=100, learning_rate=0.1
 
 
 def huber_boosting(
-    df, features, target, n_estimators=100, learning_rate=0.1, max_depth=3, alpha=0.9, min_samples_leaf=1, max_bins=64
+    df, features, target, n_estimators=100, learning_rate=0.1, max_depth=3, alpha=0.9, min_samples_leaf=1, max_bins=64,
+    key=None, subsample=1.0, seed=42,
 ) -> Forest:
     """Boosting under Huber loss: clipped residuals shape each tree, robust means fill its leaves.
 
-    Per round: the alpha quantile of |residual| sets the clip, the tree fits the
+    Per round, on all rows or the share that the key hash draws: the alpha quantile of |residual| sets the clip, the tree fits the
     clipped residual, and each leaf takes its median plus the mean clipped rest.
     """
     features = list(features)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
+    if subsample < 1.0 and key is None:
+        raise ValueError("subsample needs the key column")
+    u = hash32(key, seed).cast("double") if subsample < 1.0 else F.lit(0.0)
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y"), u.alias("_u")).transform(complete_rows)
     base = exact_quantiles(table, {"_y": [0.5]})[("_y", 0.5)]
-    table = settle(table.withColumn("_margin", F.lit(base)).withColumn("_u", F.lit(0.0)))
-    held = table
-    edges = bin_edges(table, features, max_bins)
+    raw = settle(table.withColumn("_margin", F.lit(base)))
+    edges = bin_edges(raw, features, max_bins)
+    table = settle(_binned(raw, features, edges))
+    held = [raw, table]
     width = max(len(e) for e in edges) + 1
     trees, fresh = [], []
     p = len(features)
     schema = T.StructType([T.StructField("leaf", T.LongType()), T.StructField("r", T.DoubleType())])
 
-    def residuals(source, steps, tree=None):
+    def residuals(source, steps, round_, tree=None):
         def run(batches):
             for pdf in batches:
+                if subsample < 1.0:
+                    pdf = pdf[uniform_draws(pdf["_u"].to_numpy(float), round_) < subsample]
                 x = pdf[features].to_numpy(float)
                 r = pdf["_y"].to_numpy(float) - pdf["_margin"].to_numpy(float)
                 for t in steps:
@@ -397,14 +425,14 @@ def huber_boosting(
                 leaf = _walk(tree, x) if tree is not None else np.zeros(len(r), dtype=np.int64)
                 yield pd.DataFrame({"leaf": leaf, "r": r})
 
-        return source.select(*features, "_y", "_margin").mapInPandas(run, schema)
+        return source.select(*features, "_y", "_u", "_margin").mapInPandas(run, schema)
 
     try:
         for round_ in range(n_estimators):
             if len(fresh) == MARGIN_EVERY:
                 table = cut_lineage(_with_margin(table, features, fresh, learning_rate))
                 fresh = []
-            sizes = residuals(table, fresh).select(F.abs("r").alias("r"))
+            sizes = residuals(table, fresh, round_ + 1).select(F.abs("r").alias("r"))
             delta = exact_quantiles(sizes, {"r": [alpha]})[("r", float(alpha))]
             steps = list(fresh)
 
@@ -415,16 +443,16 @@ def huber_boosting(
                     for t in steps:
                         r = r - learning_rate * t[4][_walk(t, x)]
                     out = pdf[features].copy()
-                    out["_y"], out["_u"], out["_margin"] = np.clip(r, -delta, delta), 0.0, 0.0
+                    out["_y"], out["_u"], out["_margin"] = np.clip(r, -delta, delta), pdf["_u"], 0.0
                     yield out
 
             names = [*features, "_y", "_u", "_margin"]
             work = table.mapInPandas(clipped, ", ".join(f"`{c}` double" for c in names))
             tree = _grow_boosted(
-                work, features, list(range(p)), edges, width, [], 1.0, "squared", round_ + 1, 1.0, max_depth, 0.0, 0.0,
+                work, features, list(range(p)), edges, width, [], 1.0, "squared", round_ + 1, subsample, max_depth, 0.0, 0.0,
                 0.0, min_samples_leaf, np.zeros(p),
             )
-            leaves = residuals(table, fresh, tree.frozen()).persist()
+            leaves = residuals(table, fresh, round_ + 1, tree.frozen()).persist()
             ids = [n for n, f in enumerate(tree.feature) if f < 0]
             each = leaves.select(*[F.when(F.col("leaf") == n, F.col("r")).alias(f"l{n}") for n in ids])
             middle = exact_quantiles(each, {f"l{n}": [0.5] for n in ids})
@@ -439,5 +467,7 @@ def huber_boosting(
             trees.append(tree)
             fresh = fresh + [tree.frozen()]
     finally:
-        held.unpersist()
+        for t in held:
+            t.unpersist()
+    _from_bins(trees, edges)
     return Forest(features, trees, learning_rate, base)
