@@ -1,13 +1,14 @@
 """Language-model scores by context-tree weighting, beside a smoothed word-unigram base.
 
 A text is its lower-cased words joined by one space, with an end sign. Every byte is eight binary decisions; the context of a decision
-is the byte's bits so far and up to four bytes before. Counts of (four bytes, next byte) over all training texts give, at every
+is the byte's bits so far and up to `DEPTH` bytes before. Counts of (context, next byte) over all training texts give, at every
 node of the tree of contexts, a Krichevsky-Trofimov estimate; a node's weight against its children follows from the probabilities
 that both give to the training data, and a decision's probability mixes the estimates along its path with these weights. Where a
 longer context has never been seen, its weight stays with the longest one that has. The model is fixed after training.
 
-Distinct contexts grow with the corpus and are never brought to one place. Subtrees below two bytes of context are computed in groups;
-the driver sees the two topmost levels alone (at most 65,536 nodes). Texts are dealt to blocks of some 32 MB; a block asks for the
+Distinct contexts grow with the corpus and are never brought to one place. Subtrees below three bytes of context are computed in groups,
+ranges of contexts with some `KEYS_PER_GROUP` pairs each; the nodes of two bytes stay on the cluster and reach only the groups below
+them; the driver sees the two topmost levels alone (at most 65,536 nodes). Texts are dealt to blocks of some 32 MB; a block asks for the
 costs of its distinct (context, byte) pairs and the counts of its distinct words by a join, and scores its texts with the answers.
 """
 
@@ -19,9 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import query
-from rowloom.llm.common import mix, settled, span_hash, word_spans
-
-DEPTH = 4
+from rowloom.llm.common import settled, span_hash, word_spans
+from rowloom.llm.sampling import _range_of
+
+DEPTH = 6  # a pair of context and byte takes 56 of a key's 64 bits
+TOP = 3  # bytes of context that a group's subtrees share
+KEYS_PER_GROUP = 1 << 17
+LEAST_GROUPS = 96
+MAX_GROUPS = 20_000
 BLOCK_BYTES = 32 << 20
 LEAST_BLOCKS = 24
 _END = 10  # the end sign; white space never is part of a word
@@ -30,23 +36,23 @@ _GRAM, _WORD = 0, 1
 _CHUNK = 1 << 20
 
 
-def _sequences(texts):
+def _sequences(texts, depth: int = 4):
     """(words of each text, hashes of all words in order, their numbers, keys of all bytes, their numbers by text)."""
     parts = [(t or "").encode().lower().split() for t in texts]
     prefix, starts, ends, counts = word_spans(parts)
     words = span_hash(prefix, starts, ends).view(np.int64)
     words[words == _END_WORD] = 0
-    pad = bytes([_END]) * DEPTH
+    pad = bytes([_END]) * depth
     data = np.frombuffer(b"".join(pad + b" ".join(p) + pad[:1] for p in parts), np.uint8)
     sizes = np.array([sum(map(len, p)) + max(len(p) - 1, 0) + 1 for p in parts], np.int64)
     own = np.ones(len(data), bool)
-    begins = np.cumsum(sizes + DEPTH) - (sizes + DEPTH)
-    for j in range(DEPTH):
+    begins = np.cumsum(sizes + depth) - (sizes + depth)
+    for j in range(depth):
         own[begins + j] = False
     at = np.flatnonzero(own)
     keys = data[at].astype(np.uint64)
-    for j in range(1, DEPTH + 1):
-        keys |= data[at - j].astype(np.uint64) << np.uint64(8 * (DEPTH - j + 1))
+    for j in range(1, depth + 1):
+        keys |= data[at - j].astype(np.uint64) << np.uint64(8 * (depth - j + 1))
     return words, counts, keys.view(np.int64), sizes
 
 
@@ -82,7 +88,7 @@ def _asked(rows: DataFrame) -> DataFrame:
         for a, b in _chunked(table, "text"):
             part = table.slice(a, b - a)
             train = ~np.array(part.column("held_out").to_pylist(), bool)
-            words, counts, keys, sizes = _sequences(part.column("text").to_pylist())
+            words, counts, keys, sizes = _sequences(part.column("text").to_pylist(), DEPTH)
             found[_GRAM].append(_distinct(keys, np.repeat(train, sizes)))
             order = np.argsort(words, kind="stable")
             weight = np.repeat(train, counts)[order].astype(np.int64)
@@ -123,7 +129,7 @@ def _weights(a, b, below):
     return own - below, np.logaddexp(own, below) - math.log(2)
 
 
-def subtree(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH, top: int = 2):
+def subtree(keys: np.ndarray, n: np.ndarray, depth: int = 4, top: int = 2):
     """Levels depth .. top of the tree: {level: (nodes, a, b, log weight)} and the log probabilities of the nodes at `top`.
 
     A node is its context (latest byte first) followed by the bits so far, led by a 1.
@@ -141,7 +147,7 @@ def subtree(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH, top: int = 2):
     return levels, log_p
 
 
-def costs(keys: np.ndarray, levels: dict, depth: int = DEPTH) -> np.ndarray:
+def costs(keys: np.ndarray, levels: dict, depth: int = 4) -> np.ndarray:
     """log10 probability of each key's byte after its context."""
     total = np.zeros(len(keys))
     ctx, sym = keys >> 8, keys & 255
@@ -161,43 +167,69 @@ def costs(keys: np.ndarray, levels: dict, depth: int = DEPTH) -> np.ndarray:
     return total
 
 
-def _tops(totals: DataFrame) -> dict:
-    """Levels 0 and 1, from sums over the subtrees' topmost nodes."""
+def _none():
+    return np.array([-1]), np.zeros(1), np.zeros(1), np.zeros(1)
+
+
+def _grouped(totals: DataFrame) -> DataFrame:
+    """Adds a group to every pair: ranges of the `TOP` latest bytes, bounded by a sketch. Any bounds give the same costs."""
+    lead = F.shiftright("key", 8 * (DEPTH - TOP + 1))
+    n = min(MAX_GROUPS, max(LEAST_GROUPS, math.ceil(totals.count() / KEYS_PER_GROUP)))
+    bounds = totals.agg(F.percentile_approx(lead, [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] or []
+    return totals.withColumn("group", _range_of(lead, sorted(set(bounds))))
+
+
+def _uppers(grouped: DataFrame) -> DataFrame:
+    """(node, a, b, weight, p) of the level above the groups, from sums over the subtrees' topmost nodes."""
+    schema = "node bigint, a double, b double, p double"
 
     def run(table):
         keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
         keys, n = keys[n > 0], n[n > 0]
         if not len(keys):
             return pa.table({"node": pa.array([], pa.int64()), "a": pa.array([], pa.float64()), "b": pa.array([], pa.float64()), "p": pa.array([], pa.float64())})
-        levels, log_p = subtree(keys, n)
-        nodes, a, b, _ = levels[2]
-        return pa.table({"node": pa.array((nodes >> 16) << 8 | nodes & 255), "a": pa.array(a), "b": pa.array(b), "p": pa.array(log_p)})
+        levels, log_p = subtree(keys, n, DEPTH, TOP)
+        nodes, a, b, _ = levels[TOP]
+        return pa.table(dict(zip(("node", "a", "b", "p"), map(pa.array, _gathered((nodes >> 16) << 8 | nodes & 255, a, b, log_p)))))
 
-    parts = totals.groupBy(F.shiftright("key", 8 * (DEPTH - 1)).alias("pair")).applyInArrow(run, "node bigint, a double, b double, p double")
-    rows = parts.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("p").alias("p")).orderBy("node").toPandas()
+    def weigh(batches):
+        for batch in batches:
+            node, a, b, p = batch.columns
+            weight, log_p = _weights(a.to_numpy(), b.to_numpy(), p.to_numpy())
+            yield pa.RecordBatch.from_arrays([node, a, b, pa.array(weight), pa.array(log_p)], names=["node", "a", "b", "weight", "p"])
+
+    parts = grouped.groupBy("group").applyInArrow(run, schema)
+    sums = parts.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("p").alias("p"))
+    return settled(sums.mapInArrow(weigh, "node bigint, a double, b double, weight double, p double"), "upper-nodes")
+
+
+def _tops(uppers: DataFrame) -> dict:
+    """Levels 0 and 1, from sums over level 2."""
+    node = F.shiftleft(F.shiftright("node", 16), 8).bitwiseOR(F.col("node").bitwiseAND(F.lit(255)))
+    rows = uppers.groupBy(node.alias("node")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("p").alias("p")).orderBy("node").toPandas()
     nodes, a, b = rows["node"].to_numpy(np.int64), rows["a"].to_numpy(float), rows["b"].to_numpy(float)
     if not len(nodes):
-        none = (np.array([-1]), np.zeros(1), np.zeros(1), np.zeros(1))
-        return {0: none, 1: none}
+        return {0: _none(), 1: _none()}
     weight, log_p = _weights(a, b, rows["p"].to_numpy(float))
     root, ra, rb, below = _gathered(nodes & 255, a, b, log_p)
     return {1: (nodes, a, b, weight), 0: (root, ra, rb, _weights(ra, rb, below)[0])}
 
 
-def _costed(totals: DataFrame, tops: dict) -> DataFrame:
-    shipped = totals.sparkSession.sparkContext.broadcast(tops)
+def _costed(grouped: DataFrame, uppers: DataFrame) -> DataFrame:
+    shipped = grouped.sparkSession.sparkContext.broadcast(_tops(uppers))
+    over = grouped.select(F.shiftright("key", 8 * (DEPTH - TOP + 2)).alias("context"), F.col("group").alias("below")).distinct()
+    over = uppers.drop("p").withColumn("context", F.shiftright("node", 8)).join(over, "context").drop("context")
 
-    def run(table):
+    def run(table, above):
         keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
         known = n > 0
-        if known.any():
-            levels, _ = subtree(keys[known], n[known])
-        else:
-            none = (np.array([-1]), np.zeros(1), np.zeros(1), np.zeros(1))
-            levels = {d: none for d in range(2, DEPTH + 1)}
-        return pa.table({"key": pa.array(keys), "value": pa.array(costs(keys, {**shipped.value, **levels}))})
+        levels = subtree(keys[known], n[known], DEPTH, TOP)[0] if known.any() else {d: _none() for d in range(TOP, DEPTH + 1)}
+        upper = [above.column(c).to_numpy() for c in ("node", "a", "b", "weight")]
+        order = np.argsort(upper[0])
+        levels[TOP - 1] = tuple(x[order] for x in upper) if len(order) else _none()
+        return pa.table({"key": pa.array(keys), "value": pa.array(costs(keys, {**shipped.value, **levels}, DEPTH))})
 
-    return totals.groupBy(F.shiftright("key", 8 * (DEPTH - 1)).alias("pair")).applyInArrow(run, "key bigint, value double")
+    return grouped.groupBy("group").cogroup(over.groupBy("below")).applyInArrow(run, "key bigint, value double")
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=None) -> DataFrame:
@@ -214,7 +246,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(blocks)).cast("int"))
     asked = settled(_asked(rows), "asked")
     grams = settled(asked.filter(F.col("kind") == _GRAM).groupBy("key").agg(F.sum("n").alias("n")), "gram-counts")
-    values = settled(_costed(grams, _tops(grams)), "gram-costs")
+    grouped = _grouped(grams)
+    values = settled(_costed(grouped, _uppers(grouped)), "gram-costs")
     of_words = asked.filter(F.col("kind") == _WORD)
     counts = settled(of_words.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 0"), "word-counts")
     total, kinds = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -236,7 +269,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=
         end = word_counts[word_keys == _END_WORD].sum()
         out = {c: [] for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")}
         for a, b in _chunked(texts, "text"):
-            words, counts, keys, sizes = _sequences(texts.slice(a, b - a).column("text").to_pylist())
+            words, counts, keys, sizes = _sequences(texts.slice(a, b - a).column("text").to_pylist(), DEPTH)
             owner, of_byte = np.repeat(np.arange(b - a), counts), np.repeat(np.arange(b - a), sizes)
             at = np.minimum(np.searchsorted(word_keys, words), len(word_keys) - 1)
             c = np.where(word_keys[at] == words, word_counts[at], 0.0)
@@ -244,7 +277,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=
             out["n_tokens"].append(counts + 1)
             out["n_known"].append(np.bincount(owner, weights=c > 0, minlength=b - a).astype(np.int64) + int(end > 0))
             out["base_score"].append(np.bincount(owner, weights=np.log10(c + 1), minlength=b - a) + math.log10(end + 1) + (counts + 1) * unit)
-            out["score"].append(np.bincount(of_byte, weights=gram_costs[np.searchsorted(gram_keys, keys)], minlength=b - a))
+            order = np.argsort(keys)  # neighbouring keys are looked up in neighbouring places
+            cost = np.empty(len(keys))
+            cost[order] = gram_costs[np.searchsorted(gram_keys, keys[order])]
+            out["score"].append(np.bincount(of_byte, weights=cost, minlength=b - a))
         for c, parts in out.items():
             texts = texts.append_column(c, pa.array(np.concatenate(parts)))
         return texts.select(["doc_id", "held_out", *out])

@@ -207,6 +207,22 @@ def test_tree_gives_probabilities():
     assert abs(code_length._log_kt(np.array([2.0]), np.array([1.0]))[0] - math.log(1 / 2 * 3 / 4 * 1 / 6)) < 1e-9
 
 
+def test_context_reaches_past_four_bytes(spark):
+    """After one of two long words stands one of two letters: only the byte six places back tells which."""
+    r = random.Random(5)
+    texts = [" ".join(r.choice(("qaaaaax", "waaaaay")) for _ in range(60)) for _ in range(40)]
+    got = code_length.score(spark.createDataFrame(list(enumerate(texts)), DOC), held_out=F.col("doc_id") >= 30).collect()
+    told = {x.doc_id: -x.score / math.log10(2) / x.n_tokens for x in got}
+    assert len(got) == 40 and max(told[i] for i in range(30, 40)) < 1.4  # one bit a word for its first letter; four bytes: another for its last
+
+
+def test_groups_do_not_matter(spark, docs, monkeypatch):
+    monkeypatch.setattr(code_length, "LEAST_GROUPS", 1)
+    one = sorted((str(x.doc_id), round(x.score, 6)) for x in code_length.score(docs, held_out=F.col("doc_id") % 5 == 1).collect())
+    monkeypatch.setattr(code_length, "LEAST_GROUPS", 40)
+    assert one == sorted((str(x.doc_id), round(x.score, 6)) for x in code_length.score(docs, held_out=F.col("doc_id") % 5 == 1).collect())
+
+
 def test_language(spark):
     de, en = "der die und ist nicht mit von auf ein eine".split(), "the and is not with of on a an to".split()
     rows = [(i, prose(i, 40, de if i % 2 else en), "de" if i % 2 else "en", f"s{i % 4}", 1) for i in range(60)]
