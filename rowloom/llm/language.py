@@ -4,6 +4,9 @@ Each language's byte trigrams are counted over all texts that declare it. A text
 the declared markup language (a declaration is right with a stated probability), the address suffix (country suffixes speak for their
 languages) and the host's prior: the shares of languages among the host's other texts, smoothed towards its domain's, those towards
 its suffix's, those towards the whole table's. The shares are grouped sums of posteriors by text alone.
+
+Every declared language with `LEAST_TEXTS` different texts is a class, however rare in the table; its trigrams are smoothed towards
+those of all languages together. One more class, the background, finds all trigrams alike: it wins where no language explains a text.
 """
 
 import math
@@ -23,7 +26,8 @@ DECLARED_RIGHT = 0.85
 SUFFIX_RIGHT = 0.7
 SMOOTHING = 20.0
 ACCEPT = 0.5
-LEAST_SHARE = 0.002  # declared values rarer than this are not languages of the table
+LEAST_TEXTS = 20  # declared values with fewer different texts cannot be estimated
+POOLED = 2_000.0  # trigrams of all languages together that smooth each one's own
 
 # Country suffixes and their main language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "it": "it", "nl": "nl", "pt": "pt", "br": "pt", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh"}
@@ -93,17 +97,21 @@ def _posterior(logs: Column) -> Column:
 def identify(rows: DataFrame) -> DataFrame:
     """Adds language, posterior and accepted to rows with text, declared, host, domain and suffix (each may be null); drops text.
 
-    Accepted: the text has a letter and the best language a posterior of at least a half. Null, empty and letterless texts are
-    rejected; ties go to the first language by name. Without any declared language nothing is known and all rows are rejected.
-    Repeated rows are judged alike. Names of the added columns and of `logs`, `letters` are taken.
+    Accepted: the text has a letter and the best class is a language with a posterior of at least a half. Null, empty and letterless
+    texts are rejected, and so are texts that the background explains best (their language is null); ties go to the first language
+    by name. A declared language without enough texts speaks for the background. Without any language nothing is known and all rows
+    are rejected. Repeated rows are judged alike. Names of the added columns and of `logs`, `letters` are taken.
     """
-    counts = rows.groupBy("declared").count().filter(F.col("declared").isNotNull())
-    total = rows.count()
-    languages = sorted(r["declared"] for r in counts.filter(F.col("count") >= LEAST_SHARE * total).collect())  # at most 1 / LEAST_SHARE
+    texts = rows.filter(F.col("declared").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = texts.groupBy("declared").agg(F.approx_count_distinct(F.xxhash64("text"), 0.01).alias("count"))
+    languages = sorted(r["declared"] for r in counts.filter(F.col("count") >= LEAST_TEXTS).collect() if r["declared"])
     if not languages:
         return rows.drop("text").select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
-    n = len(languages)
-    grams = _counted(rows, languages) + 0.5
+    n = len(languages) + 1  # the background is last
+    own = _counted(rows, languages)
+    pooled = own.sum(axis=0) + 0.5
+    grams = own + 0.5 + POOLED * pooled / pooled.sum()
+    grams = np.vstack([grams, np.ones(SLOTS)])
     base = settled(_likelihoods(rows, np.log(grams / grams.sum(axis=1, keepdims=True))), "likelihoods")
     base = base.withColumn("own", F.when(F.col("letters"), _posterior(F.col("logs"))).otherwise(F.array(*[F.lit(1.0 / n)] * n)))
     # host, domain and suffix in one chain of grouped sums, each smoothed by the next
@@ -129,18 +137,20 @@ def identify(rows: DataFrame) -> DataFrame:
     fused = base.join(hosts, F.col("host").eqNullSafe(F.col("_h")) & F.col("domain").eqNullSafe(F.col("_hd")) & F.col("suffix").eqNullSafe(F.col("_hs")))
     others = F.zip_with("sums", "own", lambda s, o: F.greatest(s - o, F.lit(0.0)))
     prior = smoothed(others, F.col("n") - 1, F.col("of_domain"))
-    declared = [F.when(F.col("declared") == v, math.log(DECLARED_RIGHT)).when(F.col("declared").isNotNull(), math.log((1 - DECLARED_RIGHT) / max(1, n - 1))).otherwise(0.0) for v in languages]
+    said = F.when(F.col("declared").isin(languages), F.col("declared")).when(F.col("declared").isNotNull(), "")  # "": a language without a model
+    declared = [F.when(said == v, math.log(DECLARED_RIGHT)).when(said.isNotNull(), math.log((1 - DECLARED_RIGHT) / (n - 1))).otherwise(0.0) for v in [*languages, ""]]
     spoken = F.element_at(F.create_map(*[F.lit(x) for kv in SUFFIX_LANGUAGE.items() for x in kv]), F.coalesce("suffix", F.lit("")))
-    suffix = [F.when(spoken.isNull() | ~spoken.isin(languages), 0.0).when(spoken == v, math.log(SUFFIX_RIGHT)).otherwise(math.log((1 - SUFFIX_RIGHT) / max(1, n - 1))) for v in languages]
+    suffix = [F.when(spoken.isNull() | ~spoken.isin(languages), 0.0).when(spoken == v, math.log(SUFFIX_RIGHT)).otherwise(math.log((1 - SUFFIX_RIGHT) / (n - 1))) for v in [*languages, ""]]
     evidence = F.array(*[F.get("logs", F.lit(i)) + F.log(F.get(prior, F.lit(i)) + 1e-12) + declared[i] + suffix[i] for i in range(n)])
     fused = fused.withColumn("shares", _posterior(evidence))
     best = F.array_max("shares")
+    language = F.get(F.array(*map(F.lit, languages), F.lit(None)), (F.array_position("shares", best) - 1).cast("int"))
     keep = [c for c in rows.columns if c != "text"]
     return fused.select(
         *keep,
-        F.get(F.array(*map(F.lit, languages)), (F.array_position("shares", best) - 1).cast("int")).alias("language"),
+        language.alias("language"),
         F.round(best, 6).alias("posterior"),
-        (F.col("letters") & (best >= ACCEPT)).alias("accepted"),
+        (F.col("letters") & (best >= ACCEPT) & language.isNotNull()).alias("accepted"),
     )
 
 
