@@ -2,11 +2,13 @@
 
 The text view has the words present in a text (hashed) and measures of the text as a whole; the metadata view has the language, the
 source and the length a document is listed with. Two logistic regressions learn from labelled documents; in each round either one
-marks the unlabelled documents it is surest about, and these join the other one's training set. Both are then calibrated on labelled
+marks all unlabelled documents it is sure about, and these join the other one's training set. Both are then calibrated on labelled
 documents held back, and combined there; the combined score is computed for all documents in one pass.
 
-Fitting uses a bounded sample: `LABELLED` labelled and `UNLABELLED` other documents of least id hash. Statistics of the whole corpus
-are not needed; scoring covers every whole text. The weights (65,536 and 4,096 numbers a target) are shipped with the tasks.
+The labelled side is a bounded sample: `LABELLED` documents of least id hash. The unlabelled side is every row without a label: its
+features are written once, each round marks it anew on the cluster, and each step of a fit adds up gradients over it there; one vector
+a task reaches the driver. The marks of a class weigh together at most as much as the labelled rows' share of that class, so both
+classes keep their proportion and no sure row is left out. The weights (65,536 and 4,096 numbers a target) are shipped with the tasks.
 """
 
 import numpy as np
@@ -15,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import query
-from rowloom.llm.common import mix, span_hash, text_chunks, word_spans
+from rowloom.llm.common import mix, settled, span_hash, text_chunks, word_spans
 
 LABELLED = 6_000
-UNLABELLED = 4_000
 ROUNDS = 3
 SURE = 0.9
 LIFT = 4.0  # times the prior odds of a class that a pseudo-label takes
-GROWTH = 200  # pseudo-labels a round, view and class at most
+FIRST_STEPS = 80  # on labelled rows alone
+STEPS = 12  # a round, from the weights of the round before
 WORD_SLOTS = 1 << 16
 META_SLOTS = 1 << 12
 _BINS = 12
@@ -103,24 +105,23 @@ class _View:
     def logits(self, w, bias):
         return np.bincount(self.of, weights=w[self.at], minlength=self.n) + bias
 
-    def fit(self, y, use, steps=80, penalty=1e-3):
-        """Weights and bias of logistic regression with an L1 penalty on rows with use > 0, by steps scaled by the gradients' history.
-
-        Slots in fewer than five of these rows keep weight 0: they would only be learnt by heart.
-        """
-        w, bias, gw, gb = np.zeros(self.size), 0.0, np.full(self.size, 1e-8), 1e-8
-        total = max(use.sum(), 1.0)
-        often = np.bincount(self.at[use[self.of] > 0], minlength=self.size) >= 5
-        for _ in range(steps):
-            error = use * (y - _sigmoid(self.logits(w, bias))) / total
-            g = np.bincount(self.at, weights=error[self.of], minlength=self.size) * often
-            b = error.sum()
-            gw += g * g
-            gb += b * b
-            w += 0.3 * g / np.sqrt(gw)
-            w = np.sign(w) * np.maximum(np.abs(w) - 0.3 * penalty / np.sqrt(gw), 0.0)
-            bias += 0.3 * b / np.sqrt(gb)
-        return w, bias
+    def gradient(self, model, y, use):
+        error = use * (y - _sigmoid(self.logits(model.w, model.bias)))
+        return np.bincount(self.at, weights=error[self.of], minlength=self.size), error.sum()
+
+
+class _Model:
+    """Logistic regression with an L1 penalty, learnt by steps scaled by the gradients' history."""
+
+    def __init__(self, size):
+        self.w, self.bias, self.gw, self.gb = np.zeros(size), 0.0, np.full(size, 1e-8), 1e-8
+
+    def step(self, g, b, penalty=1e-3):
+        self.gw += g * g
+        self.gb += b * b
+        self.w += 0.3 * g / np.sqrt(self.gw)
+        self.w = np.sign(self.w) * np.maximum(np.abs(self.w) - 0.3 * penalty / np.sqrt(self.gw), 0.0)
+        self.bias += 0.3 * b / np.sqrt(self.gb)
 
 
 def _platt(z, y):
@@ -135,36 +136,124 @@ def _platt(z, y):
     return w
 
 
-def co_train(views, y, back, rounds: int = ROUNDS):
-    """((weights, bias) of both views, calibration lines, combination, history) for labels y (-1: unlabelled); back: held-back rows."""
-    labelled = (y >= 0) & ~back
-    target = [np.where(labelled, y, 0.0) for _ in views]
-    use = [labelled.astype(float) for _ in views]
-    prior = float(y[labelled].mean()) if labelled.any() else 0.5
+SIZES = (TEXT_SLOTS, META_SLOTS)
+
+
+def _unpacked(batch):
+    """The (slots, owner) of both views of a batch of the pool."""
+    n = batch.num_rows
+    words = batch.column(0).to_pylist()
+    counts = np.array([len(w) // 2 for w in words], np.int64)
+    at = np.frombuffer(b"".join(words), np.uint16).astype(np.int64)
+    bins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).astype(np.int64) + WORD_SLOTS
+    meta = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).astype(np.int64)
+    rows = np.arange(n)
+    return (np.concatenate([at, bins]), np.concatenate([np.repeat(rows, counts), np.repeat(rows, _MEASURES)])), (meta, np.repeat(rows, 4))
+
+
+def _pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Packed features of every row without a label, null ids among them."""
+    rest = docs.join(labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_anti")
+
+    def run(batches):
+        for whole in batches:
+            for batch, texts in text_chunks(whole, "text"):
+                at, of = text_features(texts)
+                cut = np.searchsorted(of, np.arange(len(texts) + 1))
+                words = at.astype(np.uint16)
+                meta, _ = meta_features(*(batch.column(k).to_pylist() for k in (1, 2, 3)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([words[a : b - _MEASURES].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+                        pa.array([(at[b - _MEASURES : b] - WORD_SLOTS).astype(np.uint8).tobytes() for b in cut[1:]], pa.binary()),
+                        pa.array([m.astype(np.uint16).tobytes() for m in meta.reshape(-1, 4)], pa.binary()),
+                    ],
+                    names=["words", "bins", "meta"],
+                )
+
+    return rest.select("text", "lang", "source", "n_chars").mapInArrow(run, "words binary, bins binary, meta binary")
+
+
+def _summed(pool: DataFrame, jobs: list) -> list:
+    """For each job (view, its model or None, teacher's model, least probability for 1 and for 0, weight of 1 and of 0): the sums over
+    the rows the teacher is sure about, as (slots, two numbers). Without a model: rows by slot, rows of class 1 and 0; with one: its
+    gradient by slot, that of the bias and 0."""
+    shipped = pool.sparkSession.sparkContext.broadcast(jobs)
+
+    def run(batches):
+        out = [np.zeros(SIZES[view] + 2) for view, *_ in shipped.value]
+        for batch in batches:
+            views, n = _unpacked(batch), batch.num_rows
+            for total, (view, model, (tw, tb), (least1, least0), (use1, use0)) in zip(out, shipped.value):
+                at, of = views[1 - view]
+                p = _sigmoid(np.bincount(of, weights=tw[at], minlength=n) + tb)
+                one, zero = p >= least1, 1 - p >= least0
+                at, of = views[view]
+                if model is None:
+                    total[:-2] += np.bincount(at[(one | zero)[of]], minlength=SIZES[view])
+                    total[-2:] += one.sum(), zero.sum()
+                else:
+                    z = np.bincount(of, weights=model[0][at], minlength=n) + model[1]
+                    error = (one * use1 + zero * use0) * (one - _sigmoid(z))
+                    total[:-2] += np.bincount(at, weights=error[of], minlength=SIZES[view])
+                    total[-2] += error.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(out).tobytes()], pa.binary())], names=["sums"])
+
+    tasks = 2 * pool.sparkSession.sparkContext.defaultParallelism  # bounds what the driver gets
+    whole = sum(np.frombuffer(row[0], np.float64) for row in pool.coalesce(max(tasks, 8)).mapInArrow(run, "sums binary").collect())
+    cuts = np.cumsum([SIZES[view] + 2 for view, *_ in jobs])[:-1]
+    shipped.unpersist()
+    if np.isscalar(whole):
+        return [(np.zeros(SIZES[view]), np.zeros(2)) for view, *_ in jobs]
+    return [(x[:-2], x[-2:]) for x in np.split(whole, cuts)]
+
+
+def co_train(views, targets: dict, back, pool: DataFrame, rounds: int = ROUNDS) -> tuple[dict, list]:
+    """({target: ((weights, bias) of both views, calibration lines, combination)}, marked rows by round) for 0/1 labels by target
+    (-1: none); back: held-back rows."""
+    use = {t: ((y >= 0) & ~back).astype(float) for t, y in targets.items()}
+    prior = {t: float(y[use[t] > 0].mean()) if use[t].any() else 0.5 for t, y in targets.items()}
+    own = {t: [np.bincount(v.at[u[v.of] > 0], minlength=v.size) for v in views] for t, u in use.items()}
+    models = {t: [_Model(v.size) for v in views] for t in targets}
+    for t, y in targets.items():
+        for v, model, slots in zip(views, models[t], own[t]):
+            for _ in range(FIRST_STEPS):
+                g, b = v.gradient(model, np.where(y >= 0, y, 0.0), use[t])
+                total = max(use[t].sum(), 1.0)
+                model.step(g * (slots >= 5) / total, b / total)  # slots in fewer rows would only be learnt by heart
     history = []
-    for turn in range(rounds + 1):
-        models = [v.fit(t, u) for v, t, u in zip(views, target, use)]
-        if turn == rounds:
+    for _ in range(rounds):
+        jobs, keys = [], [(t, k) for t in targets for k in (0, 1)]
+        for t, k in keys:
+            teacher = models[t][1 - k]
+            odds = [LIFT * s / max(1 - s, 1e-9) for s in (prior[t], 1 - prior[t])]  # a common class alone makes no view sure
+            jobs.append((k, None, (teacher.w.copy(), teacher.bias), tuple(max(SURE, o / (1 + o)) for o in odds), (0.0, 0.0)))
+        marked = _summed(pool, jobs)
+        history.append(int(sum(n.sum() for _, n in marked)))
+        if not history[-1]:
             break
-        added = 0
-        for k in (0, 1):
-            p = _sigmoid(views[k].logits(*models[k]))
-            other = 1 - k
-            free = (y < 0) & (use[other] == 0)
-            for label, sure, share in ((1.0, p, prior), (0.0, 1 - p, 1 - prior)):
-                odds = LIFT * share / max(1 - share, 1e-9)  # a common class alone makes no view sure
-                best = np.flatnonzero(free & (sure >= max(SURE, odds / (1 + odds))))
-                best = best[np.argsort(-sure[best], kind="stable")][:GROWTH]
-                target[other][best], use[other][best] = label, 1.0
-                added += len(best)
-        history.append(added)
-    held = back & (y >= 0)
-    if len(set(y[held])) < 2:
-        held = y >= 0
-    z = [v.logits(*m) for v, m in zip(views, models)]
-    lines = [_platt(x[held][:, None], y[held]) for x in z]
-    calibrated = np.column_stack([line[0] + line[1] * x for line, x in zip(lines, z)])
-    return models, lines, _platt(calibrated[held], y[held]), history
+        weights, often, totals = [], [], []
+        for (t, k), (slots, n) in zip(keys, marked):
+            base = max(use[t].sum(), 1.0)
+            weights.append(tuple(min(1.0, s * base / max(c, 1.0)) for s, c in zip((prior[t], 1 - prior[t]), n)))
+            often.append(own[t][k] + slots >= 5)
+            totals.append(base + float(np.dot(weights[-1], n)))
+        for _ in range(STEPS):
+            now = [(k, (models[t][k].w, models[t][k].bias), teacher, least, w) for (t, k), (_, _, teacher, least, _), w in zip(keys, jobs, weights)]
+            for (t, k), (g, (b, _)), some, total in zip(keys, _summed(pool, now), often, totals):
+                y = targets[t]
+                g0, b0 = views[k].gradient(models[t][k], np.where(y >= 0, y, 0.0), use[t])
+                models[t][k].step((g + g0) * some / total, (b + b0) / total)
+    out = {}
+    for t, y in targets.items():
+        held = back & (y >= 0)
+        if len(set(y[held])) < 2:
+            held = y >= 0
+        z = [v.logits(m.w, m.bias) for v, m in zip(views, models[t])]
+        lines = [_platt(x[held][:, None], y[held]) for x in z]
+        calibrated = np.column_stack([line[0] + line[1] * x for line, x in zip(lines, z)])
+        out[t] = [(m.w, m.bias) for m in models[t]], lines, _platt(calibrated[held], y[held])
+    return out, history
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -180,25 +269,26 @@ def _features(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "quality", "toxic", "text", "lang", "source", "n_chars").mapInArrow(run, "doc_id bigint, quality double, toxic double, words binary, meta binary")
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> dict:
-    """Models for quality and toxic from a bounded sample; a target whose labels are all alike or missing gets none."""
+def _labelled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """Features and labels of the sample."""
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.col(t).cast("double")).alias(t) for t in ("quality", "toxic")])
     marks = marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    rest = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).join(labels.select("doc_id"), "doc_id", "left_anti").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled)
-    chosen = chosen.union(rest.select("doc_id", F.lit(None).cast("double").alias("quality"), F.lit(None).cast("double").alias("toxic")))
-    table = _features(docs.join(chosen, "doc_id")).toPandas().sort_values(["doc_id", "words"]).drop_duplicates("doc_id")
-    if not len(table):
+    return _features(docs.join(chosen, "doc_id"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
+    """Models for quality and toxic from a bounded sample of labelled rows and all others; a target whose labels are all alike or
+    missing gets none."""
+    table = _labelled(docs, labels, labelled).toPandas().sort_values(["doc_id", "words"]).drop_duplicates("doc_id")
+    targets = {t: table[t].astype(float).fillna(-1).to_numpy() for t in ("quality", "toxic")}
+    targets = {t: y for t, y in targets.items() if {0.0, 1.0} <= set(y)}
+    if not targets:
         return {}
     text = _View([np.frombuffer(b, np.int32).astype(np.int64) for b in table["words"]], TEXT_SLOTS)
     meta = _View([np.frombuffer(b, np.int32).astype(np.int64) for b in table["meta"]], META_SLOTS)
     back = mix(table["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(4) == 0
-    out = {}
-    for t in ("quality", "toxic"):
-        y = table[t].fillna(-1).to_numpy(float)
-        if {0.0, 1.0} <= set(y):
-            out[t] = co_train((text, meta), y, back)[:3]
-    return out
+    return co_train((text, meta), targets, back, settled(_pool(docs, labels), "unlabelled"))[0]
 
 
 def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) -> DataFrame:

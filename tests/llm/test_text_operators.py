@@ -302,6 +302,20 @@ def test_co_training(spark):
     assert cotraining.classify(docs.limit(0), labels).collect() == []
 
 
+def test_all_unlabelled_rows_are_marked(spark):
+    """Every sure row joins the fits, far more than 200 a class."""
+    good, bad = WORDS[:8], WORDS[8:16]
+    rows = [(i, prose(i, 12, good if i % 2 else bad), "en", "s1" if i % 2 else "s2", 9) for i in range(6000)]
+    docs = spark.createDataFrame(rows + rows[:1] * 500, FULL)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    table = cotraining._labelled(docs, labels, 300).toPandas().drop_duplicates("doc_id")
+    pool = cotraining._pool(docs, labels)
+    assert pool.count() == 5600
+    views = [cotraining._View([np.frombuffer(b, np.int32).astype(np.int64) for b in table[c]], n) for c, n in zip(("words", "meta"), cotraining.SIZES)]
+    _, history = cotraining.co_train(views, {"quality": table.quality.to_numpy(float)}, np.arange(300) % 4 == 0, pool, 1)
+    assert history[0] > 8000  # both views mark nearly all of 5,600 rows
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
