@@ -270,17 +270,18 @@ def _features(rows: DataFrame) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
-    """Features and labels of the sample."""
+    """Features and labels of the sample, one row a doc_id however often it is repeated."""
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.col(t).cast("double")).alias(t) for t in ("quality", "toxic")])
     marks = marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    return _features(docs.join(chosen, "doc_id"))
+    one = F.min(F.struct("words", "meta", "quality", "toxic")).alias("one")
+    return _features(docs.join(chosen, "doc_id")).groupBy("doc_id").agg(one).select("doc_id", "one.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
     """Models for quality and toxic from a bounded sample of labelled rows and all others; a target whose labels are all alike or
     missing gets none."""
-    table = _labelled(docs, labels, labelled).toPandas().sort_values(["doc_id", "words"]).drop_duplicates("doc_id")
+    table = _labelled(docs, labels, labelled).toPandas().sort_values("doc_id")
     targets = {t: table[t].astype(float).fillna(-1).to_numpy() for t in ("quality", "toxic")}
     targets = {t: y for t, y in targets.items() if {0.0, 1.0} <= set(y)}
     if not targets:

@@ -303,12 +303,13 @@ def test_co_training(spark):
 
 
 def test_all_unlabelled_rows_are_marked(spark):
-    """Every sure row joins the fits, far more than 200 a class."""
+    """Every sure row joins the fits, far more than 200 a class; a repeated id gives one row of the sample."""
     good, bad = WORDS[:8], WORDS[8:16]
     rows = [(i, prose(i, 12, good if i % 2 else bad), "en", "s1" if i % 2 else "s2", 9) for i in range(6000)]
     docs = spark.createDataFrame(rows + rows[:1] * 500, FULL)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
-    table = cotraining._labelled(docs, labels, 300).toPandas().drop_duplicates("doc_id")
+    table = cotraining._labelled(docs, labels, 300).toPandas()
+    assert len(table) == 300 and table.doc_id.is_unique
     pool = cotraining._pool(docs, labels)
     assert pool.count() == 5600
     views = [cotraining._View([np.frombuffer(b, np.int32).astype(np.int64) for b in table[c]], n) for c, n in zip(("words", "meta"), cotraining.SIZES)]
