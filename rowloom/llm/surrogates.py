@@ -39,7 +39,7 @@ _FOUND = re.compile(
     r"|(?P<hex>\b(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,64}\b)"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b)"
+    r"|(?P<iban>\b[A-Z]{2}\d{2}(?:(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b(?! ?[A-Z0-9]*\d)|(?=(?:[ A-Z]{0,6}\d){7})(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b))"
     r"|(?P<card>(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d))"
     r"|(?P<phone>(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|(?<!\d)\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}(?!\d)|\+\d{9,14}(?!\d))"
     rf"|(?P<name>\b(?:(?:{'|'.join(TITLES)})\b\.? {_CAP}(?: {_CAP})?|(?:{'|'.join(_GENDER)}) {_CAP}))"

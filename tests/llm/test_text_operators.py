@@ -268,6 +268,13 @@ def test_surrogates(spark):
     assert surrogates.replace_entities(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_account_numbers_with_letters():
+    numbers = ["GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606", "NL91ABNA0417164300", "IT60 X054 2811 1010 0000 0123 456", "DE89 3704 0044 0532 0130 00", "ES91 2100 0418 4502 0005 1332"]
+    for number in numbers:
+        assert [(k, f) for k, f, _ in surrogates.entities(f"pay {number} AND GO, please")] == [("iban", number)]
+    assert surrogates.entities("In AB12 CASE WORD ABCD then") == []
+
+
 def test_field_sums_and_path():
     r = np.random.default_rng(0)
     s, t = r.normal(size=(5, 2)), r.normal(size=(2, 2))
