@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction", "cotraining")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction", "cotraining", "prefix_trie")
 
 
 def query(name, sql=None):
