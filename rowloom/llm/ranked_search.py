@@ -52,7 +52,7 @@ def term_counts(texts):
 
 def places(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
     """Slices of each term at a level, `SLICES_PER_TERM` columns."""
-    base = mix(hashes + np.uint64(level) * np.uint64(0x9E3779B97F4A7C15))
+    base = mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 >> level))
     step = mix(base) | np.uint64(1)
     steps = np.arange(SLICES_PER_TERM, dtype=np.uint64)
     return ((base[:, None] + steps * step[:, None]) & np.uint64(width - 1)).astype(np.int64)
@@ -71,7 +71,6 @@ def _block(width: int, held: list):
     ids = np.array([-1 if h[0] is None else h[0] for h in held], np.int64)
     known = np.array([h[0] is not None for h in held], np.uint8)
     lengths = np.array([h[1] for h in held], np.int64)
-    # numbers of a document are ascending; a document's first one is told apart by `doc` being rebuilt from the counts
     sizes = np.array([len(h[2]) for h in held], np.int64)
     return (width, ids.tobytes(), known.tobytes(), np.concatenate([lengths, sizes]).tobytes(), np.packbits(cells, axis=1).tobytes(), words.tobytes(), df.astype(np.int32).tobytes(), numbers.astype(np.int32).tobytes(), tf.astype(np.int32).tobytes())
 
@@ -220,12 +219,11 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     """
     spark = index.sparkSession
     wanted = settled(_item_terms(items, item_id, text), "items")
-    numbers = index.select(F.expr("octet_length(lengths) div 16").alias("n"), F.expr("aggregate(transform(sequence(1, cast(octet_length(lengths) div 16 as int)), i -> 0L), 0L, (s, x) -> s)").alias("z"))
-    size = numbers.agg(F.sum("n")).first()[0] or 0
+    totals = index.select("lengths").mapInArrow(_lengths, "n bigint, terms bigint").agg(F.sum("n"), F.sum("terms")).first()
+    size = totals[0] or 0
     terms = wanted.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
     ranked = None
     passes = max(1, math.ceil(terms / 8 / PASS_TERMS))
-    totals = index.mapInArrow(_lengths, "n bigint, terms bigint").agg(F.sum("n"), F.sum("terms")).first() if size else (0, 0)
     for p in range(passes):
         rows = wanted.filter(F.pmod("item", F.lit(passes)) == p).collect() if size else []
         if not rows:
@@ -243,7 +241,7 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
 def _lengths(batches):
     for batch in batches:
         n = total = 0
-        for raw in batch.column(_NAMES.index("lengths")).to_pylist():
+        for raw in batch.column(0).to_pylist():
             both = np.frombuffer(raw, np.int64)
             n, total = n + len(both) // 2, total + int(both[: len(both) // 2].sum())
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "terms"])
