@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction", "cotraining", "ranked_search", "prefix_trie")
+_MODULES = ("bpe", "decontaminate", "sampling", "near_dups", "substrings", "surrogates", "language", "code_length", "extraction", "cotraining", "ranked_search", "prefix_trie", "toxicity")
 
 
 def query(name, sql=None):
