@@ -23,7 +23,7 @@ HEADLINE = [
     "gaussian_naive_bayes", "logistic_regression", "decision_tree_regress", "random_forest_regress", "extra_trees_regress",
     "gradient_boosting_regress", "boosted_trees", "boosted_trees_regress", "adaboost_regress", "svr", "kernel_ridge", "mlp_regress",
     "grid_search_cv", "grid_search_smoothing", "grid_search_ridge", "multi_metric_search", "trim_sweep", "cv_score_table", "roc_auc",
-    "classification_report", "compare_prediction_tables", "property_price_flow", "credit_default_flow",
+    "classification_report", "compare_prediction_tables", "property_price_linear", "credit_default_flow",
 ]
 
 

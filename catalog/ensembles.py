@@ -120,7 +120,7 @@ def random_forest_classify(spark, sf):
 
 @query("extra_trees_regress")
 def extra_trees_regress(spark, sf):
-    return _regress(spark, sf, lambda d, x, y: trees.extra_trees_regress(d, x, y, n_estimators=8, max_depth=7))
+    return _regress(spark, sf, lambda d, x, y: trees.extra_trees_regress(d, x, y, n_estimators=100, max_depth=40, min_samples_split=4, min_samples_leaf=5))
 
 
 _CUTS = """ex AS (SELECT 0 AS f, min(net) AS lo, max(net) AS hi FROM fx_reg UNION ALL SELECT 1, min(l_quantity), max(l_quantity) FROM fx_reg
@@ -158,19 +158,50 @@ def gradient_boosting_classify(spark, sf):
 
 @query("boosted_trees_regress")
 def boosted_trees_regress(spark, sf):
-    return _regress(spark, sf, lambda d, x, y: trees.boosted_trees(d, x, y, key="id", n_estimators=6, max_depth=4, learning_rate=0.5, subsample=0.8))
+    return _regress(spark, sf, lambda d, x, y: trees.boosted_trees(d, x, y, key="id", n_estimators=100, max_depth=4, learning_rate=0.1, subsample=0.8))
 
 
 @query("boosted_trees")
 def boosted_trees_classify(spark, sf):
     return _classify(
-        spark, sf, lambda d, x, y: trees.boosted_trees(d, x, y, loss="logistic", n_estimators=6, max_depth=4, colsample=0.75, max_bins=32)
+        spark, sf, lambda d, x, y: trees.boosted_trees(d, x, y, loss="logistic", n_estimators=850, max_depth=4, learning_rate=0.01, colsample=0.75, max_bins=32)
     )
 
 
 @query("hist_gradient_boosting")
 def hist_gradient_boosting(spark, sf):
-    return _regress(spark, sf, lambda d, x, y: trees.hist_gradient_boosting(d, x, y, max_iter=4, learning_rate=0.5, max_depth=4))
+    return _regress(spark, sf, lambda d, x, y: trees.hist_gradient_boosting(d, x, y))
+
+
+_DEPTH2 = """lv AS (SELECT floor(y / 2000) AS x, net AS t FROM fx_reg),
+ v AS (SELECT x, count(*) AS n, sum(t) AS s FROM lv GROUP BY x),
+ c AS (SELECT x, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM v),
+ b AS (SELECT x FROM c WHERE nl >= 5 AND n - nl >= 5 ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, x LIMIT 1),
+ v2 AS (SELECT v.x, v.n, v.s, v.x <= b.x AS side FROM v, b),
+ c2 AS (SELECT side, x, sum(n) OVER (PARTITION BY side ORDER BY x) AS nl, sum(s) OVER (PARTITION BY side ORDER BY x) AS sl, sum(n) OVER (PARTITION BY side) AS n, sum(s) OVER (PARTITION BY side) AS s FROM v2),
+ b2 AS (SELECT side, x FROM c2 WHERE nl >= 5 AND n - nl >= 5 QUALIFY row_number() OVER (PARTITION BY side ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, x) = 1)"""
+
+
+@query(
+    "decision_tree_depth_two",
+    with_(REG, _DEPTH2) + "SELECT round(avg(t), 4) AS prediction, count(*) AS n FROM (SELECT lv.t, lv.x <= b.x AS s1, lv.x <= b2.x AS s2 FROM lv, b JOIN b2 ON true WHERE b2.side = (lv.x <= b.x)) GROUP BY s1, s2",
+)
+def decision_tree_depth_two(spark, sf):
+    """A tree of depth two on exact cuts: splits of four rows, leaves of five."""
+    rows = _level(spark, sf)
+    return _leaves(trees.decision_tree(rows, ["x"], "t", max_depth=2, min_samples_split=4, min_samples_leaf=5).score(rows))
+
+
+@query("decision_tree_unbounded")
+def decision_tree_unbounded(spark, sf):
+    """Grown until leaves are pure or too small, without a limit of depth."""
+    return _regress(spark, sf, lambda d, x, y: trees.decision_tree(d, x, y, min_samples_split=4, min_samples_leaf=5))
+
+
+@query("random_forest_unbounded")
+def random_forest_unbounded(spark, sf):
+    """100 bootstrapped trees without a limit of depth, a third of the features in a node."""
+    return _regress(spark, sf, lambda d, x, y: trees.random_forest(d, x, y, "id", min_samples_split=4, min_samples_leaf=5, max_features=0.34))
 
 
 @query("adaboost_regress")

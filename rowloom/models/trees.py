@@ -12,12 +12,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.hashing import hash32, text_unit, uniform_draws
+from rowloom.functions.hashing import hash32, uniform_draws
 from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import sum_over_rows
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.spreading import settle
+from rowloom.models import boosting, forests
 
 MARGIN_EVERY = 8  # boosting rounds between two written margins
 MAX_SLOTS = 50_000  # open nodes judged in one pass
@@ -43,8 +44,29 @@ class Tree:
             self.value.append(self.value[node])
         return first, first + 1
 
+    @classmethod
+    def of(cls, arrays, mean):
+        """From grown arrays (feature, threshold, left, right, value around the mean)."""
+        tree = cls()
+        tree.feature, tree.threshold, tree.left, tree.right = arrays[:4]
+        tree.value = arrays[4] + mean
+        return tree
+
+    def graft(self, node, arrays, mean):
+        """A grown subtree in place of a leaf."""
+        feature, threshold, left, right, value = (np.asarray(a).tolist() for a in arrays[:5])
+        shift = len(self.feature) - 1  # the subtree's root takes the leaf's place
+        self.feature[node], self.threshold[node], self.value[node] = feature[0], threshold[0], value[0] + mean
+        if feature[0] >= 0:
+            self.left[node], self.right[node] = left[0] + shift, right[0] + shift
+        self.feature += feature[1:]
+        self.threshold += threshold[1:]
+        self.left += [v + shift if v >= 0 else -1 for v in left[1:]]
+        self.right += [v + shift if v >= 0 else -1 for v in right[1:]]
+        self.value += [v + mean for v in value[1:]]
+
     def frozen(self):
-        return tuple(np.array(a) for a in (self.feature, self.threshold, self.left, self.right, self.value))
+        return tuple(np.asarray(a) for a in (self.feature, self.threshold, self.left, self.right, self.value))
 
 
 def _walk(frozen, x):
@@ -120,65 +142,135 @@ def _feature_count(max_features, p):
 
 
 def extra_trees_regress(
-    df, features, target, n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1, max_features=None, seed=42
+    df, features, target, n_estimators=100, max_depth=None, min_samples_split=2, min_samples_leaf=1, max_features=None, seed=42
 ) -> Forest:
     """Extremely randomised trees: one random cut per node and feature, the best feature wins.
 
     `max_depth` None grows until no node can be split. `max_features` (None, "sqrt", "log2", a number or a share) draws so many
-    of the features that vary in a node.
-    No bootstrap. Two aggregates per level serve all trees: extents per open node,
-    then sums left of each drawn cut.
+    of the features that vary in a node. No bootstrap. Nodes whose rows fit `forests.TASK_BYTES` are finished inside tasks; above
+    them two aggregates per level serve all trees: extents per open node, then sums left of each drawn cut. The driver holds the
+    trees, whose size grows with rows / min_samples_leaf unless max_depth bounds it.
     """
     features = list(features)
-    p = len(features)
-    wanted = _feature_count(max_features, p)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]).transform(complete_rows)
-    table = settle(table)
-    mean = table.agg(F.avg(target)).first()[0] or 0.0
-    trees = [Tree() for _ in range(n_estimators)]
-    open_nodes = [(i, 0) for i in range(n_estimators)]
-    gain_by_feature = np.zeros(p)
+    growth = forests.Growth(max_depth, min_samples_split, min_samples_leaf, _feature_count(max_features, len(features)), seed)
+    return forest_of(df, features, target, growth, n_estimators)
+
+
+def decision_tree(df, features, target, max_depth=None, min_samples_split=2, min_samples_leaf=1, max_features=None, seed=42) -> Forest:
+    """One regression tree of any depth on exact cuts; a 0/1 target gives shares of class 1 (variance and Gini agree there)."""
+    features = list(features)
+    growth = forests.Growth(max_depth, min_samples_split, min_samples_leaf, _feature_count(max_features, len(features)), seed, best=True)
+    return forest_of(df, features, target, growth, 1)
+
+
+def random_forest(df, features, target, key, n_estimators=100, max_depth=None, min_samples_split=2, min_samples_leaf=1, max_features=None, seed=42) -> Forest:
+    """Bootstrapped trees of any depth on exact cuts; the key's hash decides how often a tree's sample holds a row."""
+    features = list(features)
+    growth = forests.Growth(max_depth, min_samples_split, min_samples_leaf, _feature_count(max_features, len(features)), seed, best=True, bootstrap=True)
+    return forest_of(df, features, target, growth, n_estimators, key)
+
+
+def _centred(df, features, target, key):
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y"), (hash32(key) if key else F.lit(0)).cast("double").alias("_u"))
+    table = settle(table.transform(complete_rows))
+    n, mean = table.agg(F.count(F.lit(1)), F.avg("_y")).first()
+    return table.withColumn("_y", F.col("_y") - F.lit(mean or 0.0)), table, n, mean or 0.0
+
+
+def forest_of(df, features, target, growth, n_estimators, key=None) -> Forest:
+    centred, table, n, mean = _centred(df, features, target, key)
+    try:
+        if not n:
+            raise ValueError("no complete rows")
+        if n * 8 * (len(features) + 2) <= forests.TASK_BYTES:
+            grown = forests.grow_whole(centred, [*features, "_y", "_u"], [(i, growth) for i in range(n_estimators)])
+            trees, gains = [], np.zeros(len(features))
+            for i in range(n_estimators):
+                trees.append(Tree.of(grown[i], mean))
+                gains += grown[i][5]
+        elif growth.best:
+            raise ValueError("trees on exact cuts need a table within forests.TASK_BYTES; use spark_ml for larger ones")
+        else:
+            trees, gains = _upper_levels(centred, features, growth, n_estimators, mean)
+    finally:
+        table.unpersist()
+    return Forest(features, trees, scale=1.0 / n_estimators, importances=gains / gains.sum() if gains.sum() > 0 else gains)
+
+
+def sweep_forests(train, holdout, features, target, candidates, n_estimators=100, seed=42):
+    """(candidate, y, prediction) on the holdout for extra trees of every candidate; trees of all candidates share the tasks."""
+    centred, table, n, mean = _centred(train, features, target, None)
     try:
-        for depth in itertools.count():
-            if not open_nodes:
-                break
-            stats = {}
-            for part in _pieces(open_nodes, MAX_SLOTS):
-                stats.update(_extents(table, features, target, mean, trees, part))
-            cuts, candidates = [], []
-            for i, node in open_nodes:
-                n, total, square, lo, hi = stats[(i, node)]
-                trees[i].value[node] = mean + total / n
-                spread = square - total * total / n
-                if (max_depth is None or depth < max_depth) and n >= max(min_samples_split, 2 * min_samples_leaf) and spread > 1e-12 * max(square, 1e-300) and (hi > lo).any():
-                    draw = np.array([text_unit(f"{seed}:{i}:{node}:{j}") for j in range(p)])
-                    varies = hi > lo
-                    if wanted < p:
-                        order = sorted(np.flatnonzero(varies), key=lambda j: text_unit(f"{seed}:{i}:{node}:{j}:pick"))
-                        varies = np.isin(np.arange(p), order[:wanted])
-                    cuts.append(np.where(varies, np.minimum(lo + draw * (hi - lo), np.nextafter(hi, lo)), np.nan))
-                    candidates.append((i, node, stats[(i, node)]))
-            if not candidates:
-                break
-            left = np.concatenate([
-                _left_sums(table, features, target, mean, trees, [c[:2] for c in candidates[part]], np.array(cuts[part]))
-                for part in _pieces(range(len(candidates)), MAX_SLOTS, as_slices=True)
-            ])
-            open_nodes = []
-            for s, (i, node, (n, total, square, lo, hi)) in enumerate(candidates):
-                nl, sl = left[s, :, 0], left[s, :, 1]
-                nr, sr = n - nl, total - sl
-                valid = (nl >= min_samples_leaf) & (nr >= min_samples_leaf) & ~np.isnan(cuts[s])
-                if not valid.any():
-                    continue
-                gain = np.where(valid, sl**2 / np.maximum(nl, 1) + sr**2 / np.maximum(nr, 1) - total**2 / n, -np.inf)
-                best = int(gain.argmax())
-                gain_by_feature[best] += gain[best]
-                open_nodes += [(i, child) for child in trees[i].split(node, best, float(cuts[s][best]))]
+        if n * 8 * (len(features) + 2) > forests.TASK_BYTES:
+            raise ValueError("a shared sweep needs a training table within forests.TASK_BYTES; use product_sweep for larger ones")
+        growths = []
+        for c in candidates:
+            c = {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": None, "n_estimators": n_estimators, **c}
+            g = forests.Growth(c["max_depth"], c["min_samples_split"], c["min_samples_leaf"], _feature_count(c["max_features"], len(features)), seed)
+            growths.append([(i, g) for i in range(c["n_estimators"])])
+        return forests.scores_of(centred, [*features, "_y", "_u"], growths, holdout, features, target, mean)
     finally:
         table.unpersist()
-    share = gain_by_feature / gain_by_feature.sum() if gain_by_feature.sum() > 0 else gain_by_feature
-    return Forest(features, trees, scale=1.0 / n_estimators, importances=share)
+
+
+def _upper_levels(table, features, growth, n_estimators, mean):
+    """(trees, gains): aggregates until a node's rows fit a task, which then finishes it."""
+    p = len(features)
+    trees, gains = [Tree() for _ in range(n_estimators)], np.zeros(p)
+    labels, open_nodes, finish = {(i, 0): "0" for i in range(n_estimators)}, [(i, 0) for i in range(n_estimators)], {}
+    for depth in itertools.count():
+        if not open_nodes:
+            break
+        stats = {}
+        for part in _pieces(open_nodes, MAX_SLOTS):
+            stats.update(_extents(table, features, "_y", 0.0, trees, part))
+        cuts, candidates = [], []
+        for i, node in open_nodes:
+            n, total, square, lo, hi = stats[(i, node)]
+            trees[i].value[node] = mean + total / n
+            if n * 8 * (p + 2) <= forests.TASK_BYTES:
+                finish[(i, node)] = labels[(i, node)]
+            elif forests.may_split(growth, depth, n, total, square) and (hi > lo).any():
+                cuts.append(forests.drawn_cuts(growth, i, [labels[(i, node)]], lo[None], hi[None])[0])
+                candidates.append((i, node, stats[(i, node)]))
+        if not candidates:
+            break
+        left = np.concatenate([
+            _left_sums(table, features, "_y", 0.0, trees, [c[:2] for c in candidates[part]], np.array(cuts[part]))
+            for part in _pieces(range(len(candidates)), MAX_SLOTS, as_slices=True)
+        ])
+        open_nodes = []
+        for s, (i, node, (n, total, square, lo, hi)) in enumerate(candidates):
+            nl, sl = left[s, :, 0], left[s, :, 1]
+            nr, sr = n - nl, total - sl
+            valid = (nl >= growth.min_samples_leaf) & (nr >= growth.min_samples_leaf) & ~np.isnan(cuts[s])
+            if not valid.any():
+                continue
+            gain = np.where(valid, sl**2 / np.maximum(nl, 1) + sr**2 / np.maximum(nr, 1) - total**2 / n, -np.inf)
+            best = int(gain.argmax())
+            gains[best] += gain[best]
+            for child, bit in zip(trees[i].split(node, best, float(cuts[s][best])), "01"):
+                labels[(i, child)] = labels[(i, node)] + bit
+                open_nodes.append((i, child))
+    if finish:
+        frozen, where = [t.frozen() for t in trees], [np.full(len(t.feature), False) for t in trees]
+        for i, node in finish:
+            where[i][node] = True
+        schema = "tree int, node bigint, " + ", ".join(f"`{f}` double" for f in features) + ", _y double"
+
+        def dealt(batches):
+            for pdf in batches:
+                x = pdf[features].to_numpy(float)
+                for i, (t, w) in enumerate(zip(frozen, where)):
+                    node = _walk(t, x)
+                    part = pdf[w[node]]
+                    yield part.assign(tree=np.int32(i), node=node[w[node]])[["tree", "node", *features, "_y"]]
+
+        grown = forests.grow_below(table.select(*features, "_y").mapInPandas(dealt, schema), growth, finish, features)
+        for (i, node), found in grown.items():
+            trees[i].graft(node, found, mean)
+            gains += found[5]
+    return trees, gains
 
 
 def _extents(table, features, target, mean, trees, open_nodes):
@@ -241,57 +333,24 @@ def bin_edges(df, features, max_bins) -> list:
     return [np.unique(np.array([v for q in shares if (v := found[(f, q)]) is not None], dtype=float)) for f in features]
 
 
-def _gradients(loss, y, margin):
-    if loss == "logistic":
-        p = 1.0 / (1.0 + np.exp(-margin))
-        return p - y, np.maximum(p * (1.0 - p), 1e-16)
-    return margin - y, np.ones(len(y))
-
-
 def boosted_trees(
     df, features, target, key=None, loss="squared", n_estimators=100, learning_rate=0.3, max_depth=6, reg_lambda=1.0,
     gamma=0.0, min_child_weight=1.0, min_samples_leaf=1, subsample=1.0, colsample=1.0, max_bins=64, seed=42,
 ) -> Forest:
-    """Second-order boosting on features binned once.
+    """Second-order boosting on features binned once by a sketch over every row.
 
-    One aggregate per level gives the sums of gradients, curvatures and rows per
-    (open node, feature, bin). gain = 1/2 [GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)] - gamma;
+    One pass per level gives the sums of gradients, curvatures and rows per (open node, feature, bin), see `boosting`. gain = 1/2 [GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)] - gamma;
     leaf = -G/(H+l). Rows are sampled per round by their key hash, columns by the seed.
     """
     features = list(features)
-    p = len(features)
-    if subsample < 1.0 and key is None:
-        raise ValueError("subsample needs the key column")
-    u = hash32(key, seed).cast("double") if subsample < 1.0 else F.lit(0.0)
-    table = df.select(
-        *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y"), u.alias("_u")
-    ).transform(complete_rows)
-    mean = table.agg(F.avg("_y")).first()[0]
-    base = float(np.log(mean / (1 - mean))) if loss == "logistic" else float(mean)
-    raw = settle(table.withColumn("_margin", F.lit(base)))
-    edges = bin_edges(raw, features, max_bins)
-    table = settle(_binned(raw, features, edges))
-    width = max(len(e) for e in edges) + 1
-    trees, fresh, held = [], [], [raw, table]
-    gain_by_feature = np.zeros(p)
-    try:
-        for round_ in range(n_estimators):
-            if len(fresh) == MARGIN_EVERY:
-                table = cut_lineage(_with_margin(table, features, fresh, learning_rate))
-                fresh = []
-            chosen = sorted(np.random.default_rng([seed, round_]).choice(p, max(1, int(round(colsample * p))), replace=False))
-            tree = _grow_boosted(
-                table, features, chosen, edges, width, fresh, learning_rate, loss, round_ + 1, subsample, max_depth,
-                reg_lambda, gamma, min_child_weight, min_samples_leaf, gain_by_feature,
-            )
-            trees.append(tree)
-            fresh = fresh + [tree.frozen()]
-    finally:
-        for t in held:
-            t.unpersist()
-    _from_bins(trees, edges)
-    share = gain_by_feature / gain_by_feature.sum() if gain_by_feature.sum() > 0 else gain_by_feature
-    return Forest(features, trees, learning_rate, base, link="logistic" if loss == "logistic" else None, importances=share)
+    options = boosting.Options(
+        loss, n_estimators, learning_rate, max_depth, reg_lambda, gamma, min_child_weight, min_samples_leaf, subsample, colsample, seed
+    )
+    (model,), edges, (base,), _ = boosting.boost_many(df, features, target, [options], Tree, key, max_bins=max_bins, every=MARGIN_EVERY)
+    _from_bins(model.trees, edges)
+    total = model.gains.sum()
+    link = "logistic" if loss == "logistic" else None
+    return Forest(features, model.trees, learning_rate, base, link=link, importances=model.gains / total if total > 0 else model.gains)
 
 
 def _binned(table, features, edges):
@@ -347,7 +406,7 @@ def _grow_boosted(
             x, y, margin, slot = x[ok], y[ok], margin[ok], slot[ok]
             for t in fresh:
                 margin += rate * t[4][_walk(t, x)]
-            g, h = _gradients(loss, y, margin)
+            g, h = boosting.gradients(loss, y, margin)
             out = np.zeros((3, k, q, width))
             for a, j in enumerate(chosen):
                 cell = slot * width + x[:, j].astype(np.int64)

@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import grouped_moments
 from rowloom.functions.nulls import complete_rows
 from rowloom.models.bayes import class_statistics, model_from_statistics
@@ -88,6 +89,41 @@ def search_cv(df, fit_with, candidates, target, metric="mse", fold="fold", paral
     )
 
 
+def search_boosted(df, features, target, candidates, metrics=("roc_auc",), loss="logistic", fold="fold", key=None, max_bins=64, **common) -> DataFrame:
+    """(candidate_id, params, a mean and a std column for each metric, is_best): boosted trees of all candidates and folds at once.
+
+    One trainer serves every candidate and fold over one binned table and gives each row the margin of the model that left its fold
+    out, so no model is shipped for scoring. All metrics are grouped aggregates over one long table; the first one picks the best.
+    """
+    from rowloom.models.boosting import boost_many, candidates_by_fold
+    from rowloom.models.trees import Tree
+
+    folds = fold_values(df, fold)
+    jobs = candidates_by_fold(candidates, folds, loss=loss, **common)
+    _, _, _, held = boost_many(df, features, target, jobs, Tree, key, fold, max_bins, scored=True)
+    rows = held.withColumn("candidate_id", F.floor(F.col("job") / len(folds)).cast("int"))
+    prediction = (F.col("margin") > 0).cast("int") if loss == "logistic" else F.col("margin")
+    rows, by = cut_lineage(rows.withColumn("prediction", prediction)), ["candidate_id", "fold"]
+    table = None
+    for part in ([roc_auc(rows, "y", "margin", by)] if "roc_auc" in metrics else []) + ([evaluate(rows, "y", "prediction", plain, by=by)] if (plain := [m for m in metrics if m != "roc_auc"]) else []):
+        table = part if table is None else table.join(part, by)
+    means = [x for m in metrics for x in (F.avg(m).alias(f"mean_{m}"), F.stddev_pop(m).alias(f"std_{m}"))]
+    means = table.groupBy("candidate_id").agg(*means)
+    names = df.sparkSession.createDataFrame([(i, describe_params(c)) for i, c in enumerate(candidates)], "candidate_id int, params string")
+    first = F.col(f"mean_{metrics[0]}")
+    place = F.row_number().over(Window.orderBy(first.desc() if _higher(metrics[0]) else first.asc(), "candidate_id"))
+    return names.join(means, "candidate_id").withColumn("is_best", place == 1)
+
+
+def sweep_extra_trees(train, holdout, features, target, candidates, n_estimators=100, metrics=("rmspe", "rmse"), seed=42) -> DataFrame:
+    """(params, metric columns) on the holdout for extra trees of every candidate, grown side by side; best first metric on top."""
+    from rowloom.models.trees import sweep_forests
+
+    scored = sweep_forests(train, holdout, features, target, candidates, n_estimators, seed)
+    names = train.sparkSession.createDataFrame([(i, describe_params(c)) for i, c in enumerate(candidates)], "candidate int, params string")
+    return evaluate(scored, "y", "prediction", metrics, by=["candidate"]).join(names, "candidate").select("params", *metrics).orderBy(metrics[0], "params")
+
+
 def grid_search_knn(df, key, features, target, ks, weights=("uniform",), task="regress", metric=None, fold="fold", p=2) -> DataFrame:
     """(k, weights, mean_score, std_score, is_best): one neighbour search per fold serves every candidate."""
     metric = metric or ("mse" if task == "regress" else "accuracy")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import moments
-from rowloom.models import adaboost, bayes, kernel, linear, mlp, robust, spark_ml, trees
+from rowloom.models import adaboost, bayes, boosting, forests, kernel, linear, mlp, robust, spark_ml, trees
 from rowloom.operators import reduce as D
 from rowloom.operators import relevance
 from rowloom.operators.metrics import evaluate, roc_auc
@@ -220,3 +220,94 @@ def test_refusals_and_features(clean):
     few = clean.limit(12)
     fits = robust.every_subset_fit(few, X, "y", len(X) + 1)
     assert len(fits) == __import__("math").comb(12, len(X) + 1)
+
+
+def _same_trees(a, b):
+    for s, t in zip(a, b):
+        assert list(s.feature) == list(t.feature) and list(s.left) == list(t.left)
+        assert np.allclose(s.value, t.value, atol=1e-9) and np.allclose(s.threshold, t.threshold)
+
+
+def test_boosting_in_a_task_equals_passes(clean, monkeypatch):
+    rows = clean.withColumn("fold", (F.col("id") % 3).cast("int"))
+    jobs = [boosting.Options(n_estimators=n, max_depth=3, learning_rate=0.3, held=h, subsample=0.9) for n, h in ((4, 0), (6, 1), (6, None))]
+    run = lambda scored: boosting.boost_many(rows, X, "y", jobs, trees.Tree, "id", "fold", 16, scored=scored)
+    near, scored_near = run(False)[0], run(True)[3].toPandas()
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    monkeypatch.setattr(boosting, "MARGIN_EVERY", 3)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    far, _, bases, scored_far = run(True)
+    for a, b in zip(near, far):
+        _same_trees(a.trees, b.trees)
+    order = ["job", "y", "margin"]
+    a, b = (d.sort_values(order).reset_index(drop=True) for d in (scored_near, scored_far.toPandas()))
+    assert len(a) == rows.filter("fold < 2").count() and np.allclose(a["margin"], b["margin"])
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", 0)  # partial sums meet on the cluster
+    monkeypatch.setattr(boosting, "MAX_CELLS", 100)  # several passes a level
+    for a, b in zip(near, run(False)[0]):
+        _same_trees(a.trees, b.trees)
+
+
+def test_held_rows_get_the_margins_of_a_model_without_them(clean):
+    rows = clean.withColumn("fold", (F.col("id") % 2).cast("int"))
+    held = boosting.boost_many(rows, X, "y", boosting.candidates_by_fold([{"n_estimators": 3}, {"n_estimators": 5}], [0, 1], max_depth=2), trees.Tree, None, "fold", 8, scored=True)[3]
+    for job, n, f in ((0, 3, 0), (3, 5, 1)):
+        got = sorted(r.margin for r in held.filter(f"job = {job}").collect())
+        assert len(got) == rows.filter(f"fold = {f}").count() and held.filter(f"job = {job} and fold <> {f}").count() == 0
+        _, _, (base,), _ = boosting.boost_many(rows, X, "y", [boosting.Options(n_estimators=n, max_depth=2, held=f)], trees.Tree, None, "fold", 8)
+        assert abs(np.mean(got) - base) < 5
+
+
+def test_sketched_edges_rank_error(spark):
+    n, bins = 40_000, 32
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("v"), (F.col("id") % 3).cast("double").alias("few"))
+    many, few = boosting.sketched_edges(df, ["v", "few"], bins)
+    want = np.arange(1, bins) / bins * n
+    assert np.abs(many - want).max() <= n / 10_000 + 1
+    assert few.tolist() == [0.0, 1.0, 2.0]
+
+
+def test_nodes_finished_in_tasks_equal_whole_trees(clean, monkeypatch):
+    options = dict(n_estimators=3, max_depth=None, min_samples_split=4, min_samples_leaf=3, max_features=2)
+    x = clean.toPandas()[X].to_numpy()
+    whole = trees.extra_trees_regress(clean, X, "y", **options)
+    monkeypatch.setattr(forests, "TASK_BYTES", clean.count() * 40 // 5)
+    upper = trees.extra_trees_regress(clean, X, "y", **options)
+    for a, b in zip(whole.trees, upper.trees):
+        assert len(a[0]) == len(b[0]) and np.allclose(a[4][trees._walk(a, x)], b[4][trees._walk(b, x)])
+    with pytest.raises(ValueError):
+        trees.decision_tree(clean, X, "y")
+
+
+def test_exact_tree_equals_brute_force(clean):
+    pdf = clean.toPandas()
+    x, y = pdf[X].to_numpy(float), pdf["y"].to_numpy(float)
+
+    def best(rows):
+        found = (0.0, None)
+        for j in range(x.shape[1]):
+            for v in np.unique(x[rows, j])[:-1]:
+                a, b = y[rows][x[rows, j] <= v], y[rows][x[rows, j] > v]
+                if min(len(a), len(b)) >= 5:
+                    gain = a.sum() ** 2 / len(a) + b.sum() ** 2 / len(b) - y[rows].sum() ** 2 / len(rows)
+                    if gain > found[0] + 1e-9:
+                        found = gain, x[rows, j] <= v
+        return found[1]
+
+    rows = np.arange(len(y))[:150]
+    tree = trees.decision_tree(clean.sparkSession.createDataFrame(pdf.iloc[:150]), X, "y", max_depth=2, min_samples_leaf=5).trees[0]
+    got = tree[4][trees._walk(tree, x[rows])]
+    left = best(rows)
+    for side in (rows[left], rows[~left]):
+        cut = best(side)
+        for part in (side[cut], side[~cut]):
+            assert np.allclose(got[part], y[part].mean())
+
+
+def test_bootstrap_counts_and_pure_leaves(clean):
+    growth = forests.Growth(None, 2, 1, 3, 1, best=True, bootstrap=True)
+    w = forests._weights(growth, 0, np.arange(20_000.0))
+    assert abs(w.mean() - 1) < 0.03 and abs((w == 0).mean() - np.exp(-1)) < 0.02
+    assert (w != forests._weights(growth, 1, np.arange(20_000.0))).any()
+    assert rmse(trees.decision_tree(clean, X, "y"), clean) < 1e-6  # no limit: every row has its own leaf
+    assert rmse(trees.random_forest(clean, X, "y", "id", n_estimators=10), clean) < 1.5
