@@ -5,9 +5,10 @@ source and the length a document is listed with. Two logistic regressions learn
 marks all unlabelled documents it is sure about, and these join the other one's training set. Both are then calibrated on labelled
 documents held back, and combined there; the combined score is computed for all documents in one pass.
 
-The labelled side is a bounded sample: `LABELLED` documents of least id hash. The unlabelled side is every row without a label: its
-features are written once, each round marks it anew on the cluster, and each step of a fit adds up gradients over it there; one vector
-a task reaches the driver. The marks of a class weigh together at most as much as the labelled rows' share of that class, so both
+The features of every row are extracted once, packed and written; the fit and the scoring read these few bytes, texts are never moved.
+The labelled side is a bounded sample: `LABELLED` documents of least id hash. The unlabelled side is every row without a label: each
+round marks it anew on the cluster, and each step of a fit adds up gradients over it there. Slots that fewer than `LEAST_ROWS` rows
+in use hold keep weight 0, as one or two rows would only be learnt by heart. The marks of a class weigh together at most as much as the labelled rows' share of that class, so both
 classes keep their proportion and no sure row is left out. The weights (65,536 and 4,096 numbers a target) are shipped with the tasks.
 """
 
@@ -25,6 +26,8 @@ SURE = 0.9
 LIFT = 4.0  # times the prior odds of a class that a pseudo-label takes
 FIRST_STEPS = 80  # on labelled rows alone
 STEPS = 12  # a round, from the weights of the round before
+LEAST_ROWS = 5
+GATHERED = 32  # vectors that reach the driver at once; more tasks' sums meet on the cluster first
 WORD_SLOTS = 1 << 16
 META_SLOTS = 1 << 12
 _BINS = 12
@@ -139,21 +142,24 @@ def _platt(z, y):
 SIZES = (TEXT_SLOTS, META_SLOTS)
 
 
+PACKED = ("words", "bins", "meta")
+
+
 def _unpacked(batch):
-    """The (slots, owner) of both views of a batch of the pool."""
+    """The (slots, owner) of both views of a batch of packed rows."""
     n = batch.num_rows
-    words = batch.column(0).to_pylist()
+    words, bins, meta = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in PACKED)
     counts = np.array([len(w) // 2 for w in words], np.int64)
     at = np.frombuffer(b"".join(words), np.uint16).astype(np.int64)
-    bins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).astype(np.int64) + WORD_SLOTS
-    meta = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).astype(np.int64)
+    bins = np.frombuffer(b"".join(bins), np.uint8).astype(np.int64) + WORD_SLOTS
+    meta = np.frombuffer(b"".join(meta), np.uint16).astype(np.int64)
     rows = np.arange(n)
     return (np.concatenate([at, bins]), np.concatenate([np.repeat(rows, counts), np.repeat(rows, _MEASURES)])), (meta, np.repeat(rows, 4))
 
 
-def _pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Packed features of every row without a label, null ids among them."""
-    rest = docs.join(labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_anti")
+def packed_features(docs: DataFrame) -> DataFrame:
+    """(doc_id, words, bins, meta): the slots of every row in a few hundred bytes."""
+    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
     def run(batches):
         for whole in batches:
@@ -161,17 +167,25 @@ def _pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 at, of = text_features(texts)
                 cut = np.searchsorted(of, np.arange(len(texts) + 1))
                 words = at.astype(np.uint16)
-                meta, _ = meta_features(*(batch.column(k).to_pylist() for k in (1, 2, 3)))
+                meta, _ = meta_features(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column(0),
                         pa.array([words[a : b - _MEASURES].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
                         pa.array([(at[b - _MEASURES : b] - WORD_SLOTS).astype(np.uint8).tobytes() for b in cut[1:]], pa.binary()),
                         pa.array([m.astype(np.uint16).tobytes() for m in meta.reshape(-1, 4)], pa.binary()),
                     ],
-                    names=["words", "bins", "meta"],
+                    names=["doc_id", *PACKED],
                 )
 
-    return rest.select("text", "lang", "source", "n_chars").mapInArrow(run, "words binary, bins binary, meta binary")
+    return rows.mapInArrow(run, rows.select("doc_id", *[F.lit(b"").alias(c) for c in PACKED]).schema)
+
+
+def _pool(packed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Packed features of every row without a label, those without an id among them."""
+    known = labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().hint("merge")  # one plan at every size
+    rest = packed.filter(F.col("doc_id").isNotNull()).join(known, "doc_id", "left_anti")
+    return rest.select(*PACKED).unionByName(packed.filter(F.col("doc_id").isNull()).select(*PACKED))
 
 
 def _summed(pool: DataFrame, jobs: list) -> list:
@@ -199,8 +213,17 @@ def _summed(pool: DataFrame, jobs: list) -> list:
                     total[-2] += error.sum()
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(out).tobytes()], pa.binary())], names=["sums"])
 
-    tasks = 2 * pool.sparkSession.sparkContext.defaultParallelism  # bounds what the driver gets
-    whole = sum(np.frombuffer(row[0], np.float64) for row in pool.coalesce(max(tasks, 8)).mapInArrow(run, "sums binary").collect())
+    def add(batches):
+        total = sum(np.frombuffer(raw, np.float64) for batch in batches for raw in batch.column(0).to_pylist())
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    tasks = max(8, 2 * pool.sparkSession.sparkContext.defaultParallelism)
+    parts = pool.coalesce(tasks).mapInArrow(run, "sums binary")
+    while tasks > GATHERED:
+        tasks = max(8, tasks // 16)
+        parts = parts.repartition(tasks).mapInArrow(add, "sums binary")
+    whole = sum(np.frombuffer(row[0], np.float64) for row in parts.collect())
     cuts = np.cumsum([SIZES[view] + 2 for view, *_ in jobs])[:-1]
     shipped.unpersist()
     if np.isscalar(whole):
@@ -220,7 +243,7 @@ def co_train(views, targets: dict, back, pool: DataFrame, rounds: int = ROUNDS)
             for _ in range(FIRST_STEPS):
                 g, b = v.gradient(model, np.where(y >= 0, y, 0.0), use[t])
                 total = max(use[t].sum(), 1.0)
-                model.step(g * (slots >= 5) / total, b / total)  # slots in fewer rows would only be learnt by heart
+                model.step(g * (slots >= LEAST_ROWS) / total, b / total)
     history = []
     for _ in range(rounds):
         jobs, keys = [], [(t, k) for t in targets for k in (0, 1)]
@@ -236,7 +259,7 @@ def co_train(views, targets: dict, back, pool: DataFrame, rounds: int = ROUNDS)
         for (t, k), (slots, n) in zip(keys, marked):
             base = max(use[t].sum(), 1.0)
             weights.append(tuple(min(1.0, s * base / max(c, 1.0)) for s, c in zip((prior[t], 1 - prior[t]), n)))
-            often.append(own[t][k] + slots >= 5)
+            often.append(own[t][k] + slots >= LEAST_ROWS)
             totals.append(base + float(np.dot(weights[-1], n)))
         for _ in range(STEPS):
             now = [(k, (models[t][k].w, models[t][k].bias), teacher, least, w) for (t, k), (_, _, teacher, least, _), w in zip(keys, jobs, weights)]
@@ -256,40 +279,28 @@ def co_train(views, targets: dict, back, pool: DataFrame, rounds: int = ROUNDS)
     return out, history
 
 
-def _features(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        for whole in batches:
-            for batch, texts in text_chunks(whole, "text"):
-                at, of = text_features(texts)
-                cut = np.searchsorted(of, np.arange(len(texts) + 1))
-                meta, _ = meta_features(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source", "n_chars")))
-                text = pa.array([at[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), text, pa.array([m.astype(np.int32).tobytes() for m in meta.reshape(-1, 4)], pa.binary())], names=["doc_id", "quality", "toxic", "words", "meta"])
-
-    return rows.select("doc_id", "quality", "toxic", "text", "lang", "source", "n_chars").mapInArrow(run, "doc_id bigint, quality double, toxic double, words binary, meta binary")
-
-
-def _labelled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
-    """Features and labels of the sample, one row a doc_id however often it is repeated."""
+def _labelled(packed: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """Features and labels of the sample, one row a doc_id however often it is repeated; of different labels of one id the larger holds."""
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.col(t).cast("double")).alias(t) for t in ("quality", "toxic")])
-    marks = marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    marks = marks.join(packed.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    one = F.min(F.struct("words", "meta", "quality", "toxic")).alias("one")
-    return _features(docs.join(chosen, "doc_id")).groupBy("doc_id").agg(one).select("doc_id", "one.*")
+    one = F.min(F.struct(*PACKED, "quality", "toxic")).alias("one")
+    return packed.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "one.*")  # `labelled` ids
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
-    """Models for quality and toxic from a bounded sample of labelled rows and all others; a target whose labels are all alike or
-    missing gets none."""
-    table = _labelled(docs, labels, labelled).toPandas().sort_values("doc_id")
+def fit(packed: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
+    """Models for quality and toxic from packed rows: a bounded sample of labelled ones and all others; a target whose labels are all
+    alike or missing gets none."""
+    table = _labelled(packed, labels, labelled).toPandas().sort_values("doc_id")
     targets = {t: table[t].astype(float).fillna(-1).to_numpy() for t in ("quality", "toxic")}
     targets = {t: y for t, y in targets.items() if {0.0, 1.0} <= set(y)}
     if not targets:
         return {}
-    text = _View([np.frombuffer(b, np.int32).astype(np.int64) for b in table["words"]], TEXT_SLOTS)
-    meta = _View([np.frombuffer(b, np.int32).astype(np.int64) for b in table["meta"]], META_SLOTS)
+    slots = [np.concatenate([np.frombuffer(w, np.uint16).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64) + WORD_SLOTS]) for w, b in zip(table["words"], table["bins"])]
+    text = _View(slots, TEXT_SLOTS)
+    meta = _View([np.frombuffer(b, np.uint16).astype(np.int64) for b in table["meta"]], META_SLOTS)
     back = mix(table["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(4) == 0
-    return co_train((text, meta), targets, back, settled(_pool(docs, labels), "unlabelled"))[0]
+    return co_train((text, meta), targets, back, settled(_pool(packed, labels), "unlabelled"))[0]
 
 
 def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) -> DataFrame:
@@ -297,31 +308,31 @@ def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) ->
 
     keep: of good quality and not toxic. Missing metadata is a value of its own; null and empty texts are judged by their measures and
     metadata. Without usable labels for a target its score and verdict are null and do not count against a document. Repeated rows
-    are judged alike; an empty table gives an empty result.
+    are judged alike, equal texts with equal metadata too; an id with different labels counts as positive. Long texts are read whole, other
+    columns are not read. An empty table gives an empty result.
     """
-    models = fit(docs, labels) if models is None else models
+    packed = packed_features(docs)
+    if models is None:
+        packed = settled(packed, "features")
+        models = fit(packed, labels)
     shipped = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(F.col("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
     def run(batches):
-        for whole in batches:
-            for batch, texts in text_chunks(whole, "text"):
-                n = len(texts)
-                views = text_features(texts), meta_features(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source", "n_chars")))
-                columns = [batch.column(0)]
-                for t in ("quality", "toxic"):
-                    if t in shipped.value:
-                        weights, lines, both = shipped.value[t]
-                        z = both[0]
-                        for (at, of), (w, bias), line, share in zip(views, weights, lines, both[1:]):
-                            z = z + share * (line[0] + line[1] * (np.bincount(of, weights=w[at], minlength=n) + bias))
-                        columns.append(pa.array(np.round(_sigmoid(z), 9)))
-                    else:
-                        columns.append(pa.nulls(n, pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality_score", "toxic_score"])
-
-    schema = rows.select("doc_id", *[F.lit(None).cast("double").alias(c) for c in ("quality_score", "toxic_score")]).schema
-    done = rows.mapInArrow(run, schema)
+        for batch in batches:
+            n, views, columns = batch.num_rows, _unpacked(batch), [batch.column(0)]
+            for t in ("quality", "toxic"):
+                if t in shipped.value:
+                    weights, lines, both = shipped.value[t]
+                    z = both[0]
+                    for (at, of), (w, bias), line, share in zip(views, weights, lines, both[1:]):
+                        z = z + share * (line[0] + line[1] * (np.bincount(of, weights=w[at], minlength=n) + bias))
+                    columns.append(pa.array(np.round(_sigmoid(z), 9)))
+                else:
+                    columns.append(pa.nulls(n, pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality_score", "toxic_score"])
+
+    schema = packed.select("doc_id", *[F.lit(None).cast("double").alias(c) for c in ("quality_score", "toxic_score")]).schema
+    done = packed.mapInArrow(run, schema)
     quality, toxic = F.col("quality_score") >= 0.5, F.col("toxic_score") >= 0.5
     keep = F.coalesce(quality, F.lit(True)) & ~F.coalesce(toxic, F.lit(False))
     return done.select("doc_id", "quality_score", quality.alias("quality"), "toxic_score", toxic.alias("toxic"), keep.alias("keep"))

@@ -3,7 +3,8 @@
 Entities are found by pattern and brought to a canonical form (digits of a number, lower case of an address). A keyed hash of type,
 form and attempt gives the surrogate: letters for letters, digits for digits, with the parts that carry meaning kept (country code,
 key prefix, top-level domain, card issuer and check digit; gender and script of a name). All distinct entities of the corpus are
-checked together: a surrogate that two entities share, or that is itself an entity of the corpus, goes to the next attempt. Texts are
+checked together: a surrogate that two entities share, or that is itself an entity of the corpus, goes to the next attempt; after a few
+attempts surrogates grow longer, so that short forms can't run out. Texts are
 then rewritten from the key alone; only texts that hold an entity beyond attempt 0 need its attempt, brought by a join.
 """
 
@@ -31,6 +32,9 @@ LAST = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Mme": "f", "Monsieur": "m", "Madame": "f", "Sra": "f", "Señor": "m", "Señora": "f"}
 
+#: Attempts after which a surrogate may be longer than its entity: short forms can run out.
+LAST_OF_SAME_LENGTH = 4
+
 _GENDER = {n: g for (_, g), names in FIRST.items() for n in names}
 _CAP = r"[^\W\d_a-zà-ÿа-я][^\W\d_A-ZÀ-ÞА-Я]+"
 _FOUND = re.compile(
@@ -99,11 +103,12 @@ def _alike(text: str, draws: _Draws, digits: str = "0123456789", letters: str =
 def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     """The canonical surrogate of an entity's canonical form (a name's form starts with its gender, if known, and a colon)."""
     draws = _Draws(key, kind, form, attempt)
+    extra = max(0, attempt - LAST_OF_SAME_LENGTH)
     if kind == "email":
         local, _, host = form.partition("@")
         labels = host.split(".")
         kept = 2 if labels[-2] == "example" else 1
-        return _alike(local, draws) + "@" + ".".join([*(_alike(x, draws) for x in labels[:-kept]), *labels[-kept:]])
+        return _alike(local + "a" * extra, draws) + "@" + ".".join([*(_alike(x, draws) for x in labels[:-kept]), *labels[-kept:]])
     if kind == "key":
         return form[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draws.below(32)] for _ in form[4:])
     if kind == "hex":
@@ -111,15 +116,15 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     if kind == "ip":
         return ".".join([str(1 + draws.below(223)), *(str(draws.below(256)) for _ in range(2)), str(1 + draws.below(254))])
     if kind == "card":
-        body = form[0] + _alike(form[1:-1], draws)
+        body = form[0] + _alike(form[1:-1] + "0" * extra, draws)
         wanted = _luhn(form)
         return body + next(str(d) for d in range(10) if _luhn(body + str(d)) == wanted)
     if kind == "phone":
         kept = 2 if form.startswith("+1") else 3 if form.startswith("+") else 0
-        rest = form[kept:]
+        rest = form[kept:] + "0" * extra
         return form[:kept] + str(2 + draws.below(8)) + _alike(rest[1:], draws)
     if kind == "iban":
-        return form[:2] + _alike(form[2:], draws)
+        return form[:2] + _alike(form[2:] + "0" * extra, draws)
     if kind == "name":
         gender, _, name = form.partition(":")
         words = name.split(" ")
@@ -128,7 +133,7 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         out = [firsts[draws.below(len(firsts))]] if len(words) > 1 else []
         out.append(LAST[script][draws.below(len(LAST[script]))])
         return " ".join(out) + "".join("-" + LAST[script][draws.below(len(LAST[script]))] for _ in range(attempt))
-    return _alike(form, draws)
+    return _alike(form + "0" * extra, draws)
 
 
 def _gender_of(found: str) -> str:
@@ -143,9 +148,12 @@ def _laid_out(kind: str, found: str, new: str) -> str:
         return f"{first} {new}" if first.rstrip(".") in TITLES else new
     if kind in ("ssn", "card", "phone", "iban"):
         fresh = iter(new)
-        return "".join(next(fresh) if c.isalnum() or c == "+" else c for c in found)
+        return "".join([next(fresh) if c.isalnum() or c == "+" else c for c in found]) + "".join(fresh)
     if kind == "email":
-        return "".join(n.upper() if c.isupper() else n for c, n in zip(found, new))
+        local, _, host = found.partition("@")
+        at = new.index("@")
+        alike = lambda old, fresh: "".join(n.upper() if c.isupper() else n for c, n in zip(old.ljust(len(fresh)), fresh))
+        return alike(local, new[:at]) + "@" + alike(host, new[at + 1 :])
     return new
 
 
@@ -153,7 +161,12 @@ def entities(text: str | None) -> list[tuple[str, str, str]]:
     """(kind, found, canonical form) of every entity of a text."""
     if not text or _MAYBE.search(text) is None:
         return []
-    return [(m.lastgroup, m.group(), _canonical(m.lastgroup, m.group())) for m in _FOUND.finditer(text)]
+    return [(m.lastgroup, m.group(), _canonical(m.lastgroup, m.group())) for m in _FOUND.finditer(text) if _holds(m)]
+
+
+def _holds(m: re.Match) -> bool:
+    """Long digit groups are card numbers only with a right check digit."""
+    return m.lastgroup != "card" or _luhn(re.sub(r"\D", "", m.group())) == 0
 
 
 def _mentions(docs: DataFrame, text: str) -> DataFrame:
@@ -225,6 +238,8 @@ def replace_entities(docs: DataFrame, key: bytes = b"rowloom", text: str = "text
                         fresh = iter(mentions)
 
                         def swap(m, fresh=fresh, attempts=attempts):
+                            if not _holds(m):
+                                return m.group()
                             kind, found, form = next(fresh)
                             return _laid_out(kind, found, surrogate(key, kind, form, attempts.get((kind, form), 0)))
 

@@ -268,6 +268,42 @@ def test_surrogates(spark):
     assert surrogates.replace_entities(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_packed_scores_equal_scores_from_text(spark):
+    """Gradient and logits of packed rows are those of the features of the texts; clashing extra columns are not read."""
+    texts = [prose(i, 30) + "!" * (i % 4) for i in range(50)] + [None, "", "É " * 3]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 3}", i) for i, t in enumerate(texts)], FULL).withColumn("words", F.lit(1)).withColumn("meta", F.lit("x"))
+    rows = sorted(cotraining.packed_features(docs).collect(), key=lambda r: r.doc_id)
+    at, of = cotraining.text_features(texts)
+    for i, r in enumerate(rows):
+        own = at[of == i]
+        assert np.frombuffer(r.words, np.uint16).tolist() + [x + cotraining.WORD_SLOTS for x in r.bins] == own.tolist()
+    rng = np.random.default_rng(0)
+    w, teacher = rng.normal(size=cotraining.SIZES[0]), rng.normal(size=cotraining.SIZES[1])
+    job = (0, (w, 0.1), (teacher, 0.0), (0.6, 0.6), (0.5, 2.0))
+    (g, (b, _)), = cotraining._summed(cotraining.packed_features(docs).select(*cotraining.PACKED), [job])
+    want, bias = np.zeros(len(w)), 0.0
+    for i, r in enumerate(rows):
+        p = 1 / (1 + np.exp(-teacher[np.frombuffer(r.meta, np.uint16)].sum()))
+        use = 0.5 if p >= 0.6 else 2.0 if 1 - p >= 0.6 else 0.0
+        error = use * ((p >= 0.6) - 1 / (1 + np.exp(-(w[at[of == i]].sum() + 0.1))))
+        np.add.at(want, at[of == i], error)
+        bias += error
+    assert np.allclose(g, want) and b == pytest.approx(bias)
+
+
+def test_surrogates_of_short_forms_end(spark):
+    rows = [(i, f"write to {i}@example.com or x{i % 3}@example.com") for i in range(10)]
+    got = surrogates.replace_entities(spark.createDataFrame(rows, DOC)).collect()
+    new = {r.doc_id: re.findall(r"\S+@example\.com", r.text) for r in got}
+    assert len({v[0] for v in new.values()}) == 10 and not {v[0] for v in new.values()} & {f"{i}@example.com" for i in range(10)}
+    assert all(new[i][1] == new[i % 3][1] for i in range(9))
+
+
+def test_digit_groups_without_a_check_digit_are_no_cards():
+    assert surrogates.entities("4111 1111 1111 1111")[0][0] == "card"
+    assert [k for k, _, _ in surrogates.entities("order 1234567890123456 of 1 2023-01-15 1234-5678-91")] == []
+
+
 def test_account_numbers_with_letters():
     numbers = ["GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606", "NL91ABNA0417164300", "IT60 X054 2811 1010 0000 0123 456", "DE89 3704 0044 0532 0130 00", "ES91 2100 0418 4502 0005 1332"]
     for number in numbers:
@@ -315,11 +351,13 @@ def test_all_unlabelled_rows_are_marked(spark):
     rows = [(i, prose(i, 12, good if i % 2 else bad), "en", "s1" if i % 2 else "s2", 9) for i in range(6000)]
     docs = spark.createDataFrame(rows + rows[:1] * 500, FULL)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
-    table = cotraining._labelled(docs, labels, 300).toPandas()
+    packed = cotraining.packed_features(docs)
+    table = cotraining._labelled(packed, labels, 300).toPandas()
     assert len(table) == 300 and table.doc_id.is_unique
-    pool = cotraining._pool(docs, labels)
+    pool = cotraining._pool(packed, labels)
     assert pool.count() == 5600
-    views = [cotraining._View([np.frombuffer(b, np.int32).astype(np.int64) for b in table[c]], n) for c, n in zip(("words", "meta"), cotraining.SIZES)]
+    words = [np.concatenate([np.frombuffer(w, np.uint16).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64) + cotraining.WORD_SLOTS]) for w, b in zip(table.words, table.bins)]
+    views = [cotraining._View(words, cotraining.SIZES[0]), cotraining._View([np.frombuffer(b, np.uint16).astype(np.int64) for b in table.meta], cotraining.SIZES[1])]
     _, history = cotraining.co_train(views, {"quality": table.quality.to_numpy(float)}, np.arange(300) % 4 == 0, pool, 1)
     assert history[0] > 8000  # both views mark nearly all of 5,600 rows
 
