@@ -7,9 +7,10 @@ that both give to the training data, and a decision's probability mixes the esti
 longer context has never been seen, its weight stays with the longest one that has. The model is fixed after training.
 
 Distinct contexts grow with the corpus and are never brought to one place. Subtrees below three bytes of context are computed in groups,
-ranges of contexts with some `KEYS_PER_GROUP` pairs each; the nodes of two bytes stay on the cluster and reach only the groups below
-them; the driver sees the two topmost levels alone (at most 65,536 nodes). Texts are dealt to blocks of some 32 MB; a block asks for the
-costs of its distinct (context, byte) pairs and the counts of its distinct words by a join, and scores its texts with the answers.
+ranges of contexts; the nodes of two bytes stay on the cluster and reach only the groups below them; the driver sees the two topmost
+levels alone (at most 65,536 nodes). Texts lie in blocks of some 32 MB, cut where they are read, so copies of one row spread over
+blocks. A block sends each group one row with its distinct (context, byte) pairs as differences of some two bytes, and their numbers;
+the group sends the row back with the costs, and the block's texts are scored with these. Counts of words travel the same way.
 """
 
 import math
@@ -21,19 +22,53 @@ from pyspark.sql import functions as F
 
 from rowloom.llm import query
 from rowloom.llm.common import settled, span_hash, word_spans
-from rowloom.llm.sampling import _range_of
 
 DEPTH = 6  # a pair of context and byte takes 56 of a key's 64 bits
 TOP = 3  # bytes of context that a group's subtrees share
-KEYS_PER_GROUP = 1 << 17
+GROUP_BYTES = 16 << 20  # text for each group of contexts
 LEAST_GROUPS = 96
-MAX_GROUPS = 20_000
+SAMPLED = 2_000  # texts of least hash that the bounds of the groups come from; any bounds give the same costs
 BLOCK_BYTES = 32 << 20
-LEAST_BLOCKS = 24
 _END = 10  # the end sign; white space never is part of a word
 _END_WORD = -1
-_GRAM, _WORD = 0, 1
 _CHUNK = 1 << 20
+_ASKED = "block bigint, group int, keys binary, n binary"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in seven bits a byte, the last byte of each with its top bit clear."""
+    values = values.astype(np.uint64)
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, 10):
+        sizes += values >= np.uint64(1) << np.uint64(7 * k) if 7 * k < 64 else 0
+    ends = np.cumsum(sizes)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(int(sizes.max()) if len(sizes) else 0):
+        on = sizes > k
+        more = (sizes[on] > k + 1).astype(np.uint8) << np.uint8(7)
+        out[(ends - sizes)[on] + k] = ((values[on] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
+    return out.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    data = np.frombuffer(raw, np.uint8)
+    last = np.flatnonzero(data < 128)
+    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    out, sizes = np.zeros(len(last), np.uint64), last - first + 1
+    for k in range(int(sizes.max()) if len(sizes) else 0):
+        on = sizes > k
+        out[on] |= (data[first[on] + k] & np.uint8(127)).astype(np.uint64) << np.uint64(7 * k)
+    return out
+
+
+def packed_sorted(keys: np.ndarray) -> bytes:
+    """Ascending signed keys as the differences between neighbours."""
+    up = keys.view(np.uint64) ^ (np.uint64(1) << np.uint64(63))  # keeps the order of signed numbers
+    return packed(np.diff(up, prepend=np.uint64(0)))
+
+
+def unpacked_sorted(raw: bytes) -> np.ndarray:
+    return (np.cumsum(unpacked(raw), dtype=np.uint64) ^ (np.uint64(1) << np.uint64(63))).view(np.int64)
 
 
 def _sequences(texts, depth: int = 4):
@@ -79,28 +114,66 @@ def _distinct(values, train):
     return (tagged >> np.uint64(1)).view(np.int64), n * (tagged & np.uint64(1)).astype(np.int64)
 
 
-def _asked(rows: DataFrame) -> DataFrame:
-    """(block, kind, key, n): distinct pairs and words of a block with their number in its training texts."""
+def _asked(rows: DataFrame, bounds, word_groups: int) -> DataFrame:
+    """One row for each block and group it has keys of: distinct keys and their numbers in the block's training texts. Groups from 0 on
+    hold pairs, by ranges of their latest `TOP` bytes; those below 0 words. A block read by two tasks has rows from either."""
+    bounds = np.asarray(bounds, np.int64)
 
-    def run(table):
-        block = table.column("block")[0].as_py()
-        found = {_GRAM: [], _WORD: []}
-        for a, b in _chunked(table, "text"):
-            part = table.slice(a, b - a)
-            train = ~np.array(part.column("held_out").to_pylist(), bool)
-            words, counts, keys, sizes = _sequences(part.column("text").to_pylist(), DEPTH)
-            found[_GRAM].append(_distinct(keys, np.repeat(train, sizes)))
-            order = np.argsort(words, kind="stable")
-            weight = np.repeat(train, counts)[order].astype(np.int64)
-            found[_WORD].append(_summed(words[order], weight))
-            found[_WORD].append((np.array([_END_WORD]), np.array([int(train.sum())])))
-        tables = []
-        for kind, parts in found.items():
+    def rows_of(block, found):
+        for kind, parts in enumerate(found):
+            if not parts:
+                continue
             keys, n = _summed(*(np.concatenate(x) for x in zip(*parts)))
-            tables.append(pa.table({"block": pa.array(np.full(len(keys), block, np.int32)), "kind": pa.array(np.full(len(keys), kind, np.int8)), "key": pa.array(keys), "n": pa.array(n)}))
-        return pa.concat_tables(tables)
-
-    return rows.groupBy("block").applyInArrow(run, "block int, kind tinyint, key bigint, n bigint")
+            if kind == 0:
+                group = np.searchsorted(bounds, keys >> 8 * (DEPTH - TOP + 1), side="left")
+            else:
+                group = -1 - ((keys >> 32) % word_groups)
+            order = np.argsort(group, kind="stable")
+            keys, n, group = keys[order], n[order], group[order]
+            cuts = np.flatnonzero(np.diff(group)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                yield block, int(group[a]), packed_sorted(keys[a:b]), packed(n[a:b])
+
+    def batch_of(out):
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["block", "group", "keys", "n"])
+
+    def run(batches):
+        block, found = None, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            blocks = table.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for c, d in zip(cuts[:-1], cuts[1:]):
+                if d == c:
+                    continue
+                if block != int(blocks[c]):
+                    if found is not None:
+                        yield batch_of(list(rows_of(block, found)))
+                    block, found = int(blocks[c]), ([], [])
+                piece = table.slice(c, d - c)
+                for a, b in _chunked(piece, "text"):
+                    part = piece.slice(a, b - a)
+                    train = ~np.array(part.column("held_out").to_pylist(), bool)
+                    words, counts, keys, sizes = _sequences(part.column("text").to_pylist(), DEPTH)
+                    found[0].append(_distinct(keys, np.repeat(train, sizes)))
+                    order = np.argsort(words, kind="stable")
+                    found[1].append(_summed(words[order], np.repeat(train, counts)[order].astype(np.int64)))
+                    found[1].append((np.array([_END_WORD]), np.array([int(train.sum())])))
+                    for kind in (0, 1):
+                        if len(found[kind]) >= 16:
+                            found[kind][:] = [_summed(*(np.concatenate(x) for x in zip(*found[kind])))]
+        if found is not None:
+            yield batch_of(list(rows_of(block, found)))
+
+    return rows.mapInArrow(run, _ASKED)
+
+
+def _merged(table):
+    """(keys, numbers, keys of every row) of a group's rows."""
+    each = [unpacked_sorted(x) for x in table.column("keys").to_pylist()]
+    n = [unpacked(x).astype(np.int64) for x in table.column("n").to_pylist()]
+    return *_summed(np.concatenate(each), np.concatenate(n)), each
 
 
 def _log_gamma(x):
@@ -171,12 +244,20 @@ def _none():
     return np.array([-1]), np.zeros(1), np.zeros(1), np.zeros(1)
 
 
-def _grouped(totals: DataFrame) -> DataFrame:
-    """Adds a group to every pair: ranges of the `TOP` latest bytes, bounded by a sketch. Any bounds give the same costs."""
+def _bounds(rows: DataFrame, groups: int) -> list:
+    """Ranges of the `TOP` latest bytes that hold about equally many distinct pairs of the texts sampled."""
+    few = rows.select("text").filter(F.col("text").isNotNull()).orderBy(F.xxhash64("text")).limit(SAMPLED)
+
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for a, b in _chunked(table, "text"):
+                keys = _sequences(table.slice(a, b - a).column("text").to_pylist(), DEPTH)[2]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys))], names=["key"])
+
     lead = F.shiftright("key", 8 * (DEPTH - TOP + 1))
-    n = min(MAX_GROUPS, max(LEAST_GROUPS, math.ceil(totals.count() / KEYS_PER_GROUP)))
-    bounds = totals.agg(F.percentile_approx(lead, [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] or []
-    return totals.withColumn("group", _range_of(lead, sorted(set(bounds))))
+    found = few.mapInArrow(run, "key bigint").distinct().agg(F.percentile_approx(lead, [i / groups for i in range(1, groups)], max(10_000, 20 * groups))).first()[0]
+    return sorted(set(found or []))
 
 
 def _uppers(grouped: DataFrame) -> DataFrame:
@@ -184,7 +265,7 @@ def _uppers(grouped: DataFrame) -> DataFrame:
     schema = "node bigint, a double, b double, p double"
 
     def run(table):
-        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
+        keys, n, _ = _merged(table)
         keys, n = keys[n > 0], n[n > 0]
         if not len(keys):
             return pa.table({"node": pa.array([], pa.int64()), "a": pa.array([], pa.float64()), "b": pa.array([], pa.float64()), "p": pa.array([], pa.float64())})
@@ -215,21 +296,58 @@ def _tops(uppers: DataFrame) -> dict:
     return {1: (nodes, a, b, weight), 0: (root, ra, rb, _weights(ra, rb, below)[0])}
 
 
-def _costed(grouped: DataFrame, uppers: DataFrame) -> DataFrame:
+_ANSWER = "block bigint, group int, keys binary, value binary"
+
+
+def _answer(table, values, kind=np.float32):
+    cells = [pa.array([np.asarray(v, kind).tobytes() for v in values], pa.binary())]
+    return pa.table([table.column("block"), table.column("group"), table.column("keys"), *cells], names=["block", "group", "keys", "value"])
+
+
+def _costed(grouped: DataFrame, uppers: DataFrame, bounds) -> DataFrame:
+    """The rows of the pairs' groups with the costs of their keys."""
     shipped = grouped.sparkSession.sparkContext.broadcast(_tops(uppers))
-    over = grouped.select(F.shiftright("key", 8 * (DEPTH - TOP + 2)).alias("context"), F.col("group").alias("below")).distinct()
-    over = uppers.drop("p").withColumn("context", F.shiftright("node", 8)).join(over, "context").drop("context")
+    bounds = np.asarray(bounds, np.int64)
+
+    def below(batches):  # a node of two bytes is above 256 leads, and so above a run of groups
+        for batch in batches:
+            lead = (batch.column(0).to_numpy() >> 8) << 8
+            first, last = np.searchsorted(bounds, lead, side="left"), np.searchsorted(bounds, lead + 255, side="left")
+            at = np.repeat(np.arange(len(lead)), last - first + 1)
+            group = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]) if len(lead) else np.zeros(0, np.int64)
+            taken = [c.take(pa.array(at)) for c in batch.columns[:4]]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(group.astype(np.int32))], names=["node", "a", "b", "weight", "below"])
+
+    over = uppers.select("node", "a", "b", "weight").mapInArrow(below, "node bigint, a double, b double, weight double, below int")
 
     def run(table, above):
-        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
+        if not table.num_rows:
+            return _answer(table, [])
+        keys, n, each = _merged(table)
         known = n > 0
         levels = subtree(keys[known], n[known], DEPTH, TOP)[0] if known.any() else {d: _none() for d in range(TOP, DEPTH + 1)}
         upper = [above.column(c).to_numpy() for c in ("node", "a", "b", "weight")]
         order = np.argsort(upper[0])
         levels[TOP - 1] = tuple(x[order] for x in upper) if len(order) else _none()
-        return pa.table({"key": pa.array(keys), "value": pa.array(costs(keys, {**shipped.value, **levels}, DEPTH))})
+        cost = costs(keys, {**shipped.value, **levels}, DEPTH)
+        return _answer(table, [cost[np.searchsorted(keys, x)] for x in each])
+
+    return grouped.groupBy("group").cogroup(over.groupBy("below")).applyInArrow(run, _ANSWER)
+
+
+def _counted(words: DataFrame) -> tuple[DataFrame, int, int]:
+    """(the rows of the words' groups with the words' numbers in all training texts, tokens, distinct words)."""
+
+    def run(table):
+        keys, n, each = _merged(table)
+        return _answer(table, [n[np.searchsorted(keys, x)] for x in each], np.float64)
+
+    def totals(table):
+        _, n, _ = _merged(table)
+        return pa.table({"n": pa.array([int(n.sum())]), "kinds": pa.array([int((n > 0).sum())])})
 
-    return grouped.groupBy("group").cogroup(over.groupBy("below")).applyInArrow(run, "key bigint, value double")
+    total, kinds = words.groupBy("group").applyInArrow(totals, "n bigint, kinds bigint").agg(F.sum("n"), F.sum("kinds")).first()
+    return words.groupBy("group").applyInArrow(run, _ANSWER), total or 0, kinds or 0
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=None) -> DataFrame:
@@ -241,32 +359,33 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=
     """
     held = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2 if held_out is None else held_out
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held, F.lit(False)).alias("held_out"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(LEAST_BLOCKS, math.ceil(size / BLOCK_BYTES))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(blocks)).cast("int"))
-    asked = settled(_asked(rows), "asked")
-    grams = settled(asked.filter(F.col("kind") == _GRAM).groupBy("key").agg(F.sum("n").alias("n")), "gram-counts")
-    grouped = _grouped(grams)
-    values = settled(_costed(grouped, _uppers(grouped)), "gram-costs")
-    of_words = asked.filter(F.col("kind") == _WORD)
-    counts = settled(of_words.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 0"), "word-counts")
-    total, kinds = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total = total or 0
-    told = asked.filter(F.col("kind") == _GRAM).select("block", "kind", "key").join(values, "key").select("block", "kind", "key", "value")
-    told = told.union(of_words.select("block", "kind", "key").join(counts, "key").select("block", "kind", "key", F.col("n").cast("double").alias("value")))
+    size, many = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = size or 0
+    each = max(1, int(many * BLOCK_BYTES / max(size, 1)))  # rows of a block
+    at = F.monotonically_increasing_id()
+    place = at.bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.shiftleft(F.shiftright(at, 33), 32) + F.floor(place / each).cast("bigint")
+    rows = settled(rows.withColumn("block", block), "blocks")
+    groups = max(LEAST_GROUPS, math.ceil(size / GROUP_BYTES))
+    bounds = _bounds(rows, groups)
+    asked = settled(_asked(rows, bounds, groups), "asked")
+    pairs = asked.filter(F.col("group") >= 0)
+    counts, total, kinds = _counted(asked.filter(F.col("group") < 0))
+    told = _costed(pairs, _uppers(pairs), bounds).unionByName(counts)
 
     def run(texts, answers):
         if not texts.num_rows:
             return texts.select(["doc_id", "held_out"]).append_column("n_bytes", pa.array([], pa.int64())).append_column("n_tokens", pa.array([], pa.int64())).append_column("n_known", pa.array([], pa.int64())).append_column("base_score", pa.array([], pa.float64())).append_column("score", pa.array([], pa.float64()))
-        kind, key, value = (answers.column(c).to_numpy() for c in ("kind", "key", "value"))
-        known = {}
-        for k in (_GRAM, _WORD):
-            order = np.argsort(key[kind == k], kind="stable")
-            known[k] = key[kind == k][order], value[kind == k][order]
-        gram_keys, gram_costs = known[_GRAM]
-        word_keys, word_counts = known[_WORD] if len(known[_WORD][0]) else (np.array([0]), np.zeros(1))
+        found = sorted(zip(*(answers.column(c).to_pylist() for c in ("group", "keys", "value"))))
+        known = []
+        for kind, some in ((np.float32, [x for x in found if x[0] >= 0]), (np.float64, [x for x in found if x[0] < 0])):
+            key = np.concatenate([unpacked_sorted(x[1]) for x in some] or [np.zeros(1, np.int64)])
+            value = np.concatenate([np.frombuffer(x[2], kind) for x in some] or [np.zeros(1, kind)]).astype(np.float64)
+            order = np.argsort(key, kind="stable")
+            known.append((key[order], value[order]))
+        (gram_keys, gram_costs), (word_keys, word_counts) = known
         unit = -math.log10(total + kinds + 1)
-        end = word_counts[word_keys == _END_WORD].sum()
+        end = float(word_counts[word_keys == _END_WORD].max(initial=0.0))
         out = {c: [] for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")}
         for a, b in _chunked(texts, "text"):
             words, counts, keys, sizes = _sequences(texts.slice(a, b - a).column("text").to_pylist(), DEPTH)

@@ -216,6 +216,26 @@ def test_context_reaches_past_four_bytes(spark):
     assert len(got) == 40 and max(told[i] for i in range(30, 40)) < 1.4  # one bit a word for its first letter; four bytes: another for its last
 
 
+def test_packed_numbers():
+    r = np.random.default_rng(0)
+    some = np.concatenate([np.arange(300), r.integers(0, 2**63, 500), [2**63 - 1, 0, 127, 128]]).astype(np.uint64)
+    assert (code_length.unpacked(code_length.packed(some)) == some).all() and code_length.packed(some[:0]) == b""
+    keys = np.unique(r.integers(-(2**63), 2**63 - 1, 1000))
+    assert (code_length.unpacked_sorted(code_length.packed_sorted(keys)) == keys).all()
+    near = np.arange(5_000, dtype=np.int64) * 3 + 10**15
+    assert len(code_length.packed_sorted(near)) < 5_020
+
+
+def test_blocks_do_not_matter(spark, docs, monkeypatch):
+    """Many small blocks, copies of one row in several of them, score alike."""
+    rows = docs.union(docs.limit(1).crossJoin(spark.range(60)).drop("id")).withColumn("block", F.lit("mine")).withColumn("n", F.lit(1))
+    many = rows.repartition(1)
+    one = sorted((str(x.doc_id), round(x.score, 4), round(x.base_score, 9), x.n_known) for x in code_length.score(many).collect())
+    monkeypatch.setattr(code_length, "BLOCK_BYTES", 2_000)
+    monkeypatch.setattr(code_length, "_CHUNK", 500)
+    assert one == sorted((str(x.doc_id), round(x.score, 4), round(x.base_score, 9), x.n_known) for x in code_length.score(many).collect())
+
+
 def test_groups_do_not_matter(spark, docs, monkeypatch):
     monkeypatch.setattr(code_length, "LEAST_GROUPS", 1)
     one = sorted((str(x.doc_id), round(x.score, 6)) for x in code_length.score(docs, held_out=F.col("doc_id") % 5 == 1).collect())
