@@ -365,7 +365,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out=
     at = F.monotonically_increasing_id()
     place = at.bitwiseAND(F.lit((1 << 33) - 1))
     block = F.shiftleft(F.shiftright(at, 33), 32) + F.floor(place / each).cast("bigint")
-    rows = settled(rows.withColumn("block", block), "blocks")
+    rows = settled(rows.withColumn("block", block), "blocks", "zstd")
     groups = max(LEAST_GROUPS, math.ceil(size / GROUP_BYTES))
     bounds = _bounds(rows, groups)
     asked = settled(_asked(rows, bounds, groups), "asked")

@@ -9,11 +9,11 @@ from rowloom.functions.lineage import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Written once as Parquet in the shared folder and read back: not computed twice, safe against lost executors, and Spark
     knows its true size when it plans a join."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
