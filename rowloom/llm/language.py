@@ -154,15 +154,20 @@ def identify(rows: DataFrame) -> DataFrame:
     )
 
 
+def primary_subtag(tag: Column) -> Column:
+    """The language of a tag such as de-AT or fil_PH, in lower case, whatever its length."""
+    return F.lower(F.substring_index(F.translate(tag, "_", "-"), "-", 1))
+
+
 def document_evidence(docs: DataFrame) -> DataFrame:
     """Documents as evidence rows: the declared language is their label, the source their host."""
-    return docs.select("doc_id", text_key().alias("text_key"), F.lower(F.substring("lang", 1, 2)).alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix"), "text")
+    return docs.select("doc_id", text_key().alias("text_key"), primary_subtag(F.col("lang")).alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix"), "text")
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
     """Pages as evidence rows: lang of the html tag, host, last two labels and last label of the address, text without tags."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://([^/:?#]*)", 1))
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z]{2})", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z]+)", 1))
     plain = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     some = [F.when(c != "", c) for c in (declared, host, F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.regexp_extract(host, r"([^.]+)$", 1))]
     return pages.select("page_id", *[c.alias(n) for c, n in zip(some, ("declared", "host", "domain", "suffix"))], plain.alias("text"))
@@ -173,7 +178,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     rows = document_evidence(docs).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_key")
     bad = identify(rows).filter(~F.col("accepted")).select("_id", "_key", F.col("declared").alias("_said"), F.col("host").alias("_host")).distinct()
     bad = settled(bad, "unidentified")
-    on = docs["doc_id"].eqNullSafe(bad["_id"]) & (text_key() == bad["_key"]) & F.lower(F.substring(docs["lang"], 1, 2)).eqNullSafe(bad["_said"]) & docs["source"].eqNullSafe(bad["_host"])
+    on = docs["doc_id"].eqNullSafe(bad["_id"]) & (text_key() == bad["_key"]) & primary_subtag(docs["lang"]).eqNullSafe(bad["_said"]) & docs["source"].eqNullSafe(bad["_host"])
     return docs.join(bad, on, "left_anti")
 
 

@@ -260,6 +260,14 @@ def test_language(spark):
     assert tuple(one[1])[1:5] == (None,) * 4
 
 
+def test_whole_language_subtags(spark):
+    rows = [(1, "a", "fil", "s", 1), (2, "a", "fi-FI", "s", 1), (3, "a", "gsw_CH", "s", 1), (4, "a", None, "s", 1), (5, "a", "DE", "s", 1), (6, "a", "", "s", 1)]
+    got = {r.doc_id: r.declared for r in language.document_evidence(spark.createDataFrame(rows, FULL)).collect()}
+    assert got == {1: "fil", 2: "fi", 3: "gsw", 4: None, 5: "de", 6: ""}
+    page = spark.createDataFrame([(1, None, "<html lang=fil-PH><p>x")], "page_id bigint, url string, html string")
+    assert language.page_evidence(page).first().declared == "fil"
+
+
 def test_rare_and_unknown_languages(spark):
     """A language of 0.1 % of the rows is found; texts that no language explains are rejected."""
     de, en, sw = "der die und ist nicht mit von auf ein eine".split(), "the and is not with of on a an to".split(), "ya kwa na ni katika wa hii sana watu moja".split()
