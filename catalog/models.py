@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import BIN_FEATURES, CLF, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, held, with_
+from catalog.fixtures import BIN_FEATURES, CLF, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, held, with_
 from rowloom.functions.moments import moments
 from rowloom.models import bayes, kernel, linear, mlp, robust
 from rowloom.models import spark_ml as ml
@@ -145,8 +145,32 @@ def _scaled(spark, sf, names=("net", "l_quantity", "y")):
 
 @query("passive_aggressive_regression")
 def passive_aggressive_regression(spark, sf):
-    model = linear.fit_passive_aggressive(_scaled(spark, sf), ["net", "l_quantity"], "y", epochs=2)
-    return evaluate(model.score(_scaled(spark, sf)), "y", "prediction", ["rmse"])
+    """Up to 1,000 passes, or until five in a row bring no gain."""
+    rows = _scaled(spark, sf)
+    model = linear.fit_passive_aggressive(rows, ["net", "l_quantity"], "y", key="id")
+    return evaluate(model.score(rows), "y", "prediction", ["rmse"])
+
+
+_PA_ORDER = f"(ORDER BY {h32('id')}, id)"
+_PA_LOSS = "greatest(abs(r.y - a.w * r.x - a.b) - 0.1, 0) * sign(r.y - a.w * r.x - a.b)"
+_PA_MOVE = f"CASE WHEN r.x = 0 THEN 0 ELSE sign({_PA_LOSS}) * least(0.5, abs({_PA_LOSS}) / (r.x * r.x)) END"
+
+
+@query(
+    "passive_aggressive_pass",
+    with_(
+        REG, f"o AS (SELECT net / 50000 AS x, y / 50000 AS y, row_number() OVER {_PA_ORDER} - 1 AS place FROM fx_reg)",
+        "g AS (SELECT place // 5000 AS shard, count(*) AS n, list({'x': x, 'y': y, 'w': CAST(0 AS DOUBLE), 'b': CAST(0 AS DOUBLE)} ORDER BY place) AS rows FROM o GROUP BY 1)",
+        "p AS (SELECT n, list_reduce(list_prepend({'x': CAST(0 AS DOUBLE), 'y': CAST(0 AS DOUBLE), 'w': CAST(0 AS DOUBLE), 'b': CAST(0 AS DOUBLE)}, rows), "
+        f"lambda a, r: {{'x': r.x, 'y': r.y, 'w': a.w + r.x * ({_PA_MOVE}), 'b': a.b + ({_PA_MOVE})}}) AS e FROM g)",
+    )
+    + "SELECT 'intercept' AS term, round(sum(n * e.b) / sum(n), 6) AS value FROM p UNION ALL SELECT 'x', round(sum(n * e.w) / sum(n), 6) FROM p",
+)
+def passive_aggressive_pass(spark, sf):
+    """One pass of the online rule over blocks of 5,000 rows in hash order, and the mean of their weights."""
+    rows = fx_reg(spark, sf).select("id", (F.col("net") / 50000).alias("x"), (F.col("y") / 50000).alias("y"))
+    model = linear.fit_passive_aggressive(rows, ["x"], "y", c=0.5, max_iter=1, shuffle=False, shard_rows=5000, key="id")
+    return model.table(spark).withColumn("value", F.round("value", 6))
 
 
 @query("theil_sen")
@@ -154,6 +178,21 @@ def theil_sen(spark, sf):
     return robust.fit_theil_sen(fx_reg(spark, sf), "id", _XY, "y").table(spark)
 
 
+@query(
+    "theil_sen_large_subsets",
+    with_(
+        REG, f"o AS (SELECT net AS x, y, row_number() OVER (ORDER BY {h32('id')}, id) - 1 AS place FROM fx_reg)",
+        "s AS (SELECT place // 40 AS subset, count(*) AS n, sum(x * y) / sum(x * x) AS w FROM o GROUP BY 1)",
+    )
+    + "SELECT 'intercept' AS term, CAST(0 AS DOUBLE) AS value UNION ALL SELECT 'net', round(median(w), 9) FROM s WHERE n = 40",
+)
+def theil_sen_large_subsets(spark, sf):
+    """Every row in one subset of 40, slopes through the origin from cross products, their median."""
+    rows = fx_reg(spark, sf)
+    model = robust.fit_theil_sen(rows, "id", ["net"], "y", max_subpopulation=rows.count() // 40, n_subsamples=40, intercept=False)
+    return model.table(spark).withColumn("value", F.round("value", 9))
+
+
 @query("ransac")
 def ransac(spark, sf):
     return robust.fit_ransac(fx_reg(spark, sf), "id", _XY, "y").table(spark)
@@ -203,7 +242,7 @@ def linear_svm_classify(spark, sf):
 
 @query("kernel_svm_classify")
 def kernel_svm_classify(spark, sf):
-    return _classify(spark, sf, lambda d: kernel.kernel_svc(d, "id", BIN_FEATURES, "y", kernel="rbf", gamma=0.1, landmarks=20, max_iter=20))
+    return _classify(spark, sf, lambda d: kernel.kernel_svc(d, "id", BIN_FEATURES, "y", kernel="rbf", gamma="scale"))
 
 
 @query("svr")
@@ -215,14 +254,14 @@ def svr(spark, sf):
 @query("kernel_svr")
 def kernel_svr(spark, sf):
     rows = _scaled(spark, sf)
-    model = kernel.kernel_svr(rows, "id", ["net", "l_quantity"], "y", c=10.0, epsilon=0.05, max_iter=4, kernel="rbf", gamma=0.5, landmarks=15)
+    model = kernel.kernel_svr(rows, "id", ["net", "l_quantity"], "y", c=10.0, epsilon=0.05, kernel="rbf", gamma="scale")
     return evaluate(model.score(rows), "y", "prediction", ["rmse", "mae"])
 
 
 @query("kernel_ridge")
 def kernel_ridge(spark, sf):
     rows = _scaled(spark, sf)
-    model = kernel.kernel_ridge(rows, "id", ["net", "l_quantity"], "y", alpha=0.1, kernel="polynomial", gamma=0.5, degree=2, landmarks=20)
+    model = kernel.kernel_ridge(rows, "id", ["net", "l_quantity"], "y", alpha=0.1, kernel="polynomial", gamma=0.5, degree=2)
     return evaluate(model.score(rows), "y", "prediction", ["rmse", "r2"])
 
 
@@ -239,11 +278,37 @@ def kernel_ridge_linear(spark, sf):
 
 @query("mlp_regress")
 def mlp_regress(spark, sf):
+    """100 hidden units, mini-batches of 200, up to 200 passes."""
     rows = _scaled(spark, sf)
-    model = mlp.fit_mlp(rows, ["net", "l_quantity"], "y", hidden=(16,), activation="tanh", learning_rate=0.05, max_iter=15)
+    model = mlp.fit_mlp(rows, ["net", "l_quantity"], "y", key="id")
     return evaluate(model.score(rows), "y", "prediction", ["rmse"])
 
 
+_START = (0.3, -0.2, 0.1, 0.4, 0.05, -0.1, 0.7, -0.5, 0.2)  # w11 w12 w21 w22 b1 b2 v1 v2 c
+
+
+@query(
+    "mlp_step",
+    with_(
+        REG, "p AS (SELECT net / 50000 AS x1, l_quantity / 50 AS x2, y / 50000 AS y FROM fx_reg)",
+        "h AS (SELECT *, 1 / (1 + exp(-(0.3 * x1 + 0.1 * x2 + 0.05))) AS h1, 1 / (1 + exp(-(-0.2 * x1 + 0.4 * x2 - 0.1))) AS h2 FROM p)",
+        "d AS (SELECT *, 0.7 * h1 - 0.5 * h2 + 0.2 - y AS d FROM h)",
+        "e AS (SELECT *, d * 0.7 * h1 * (1 - h1) AS d1, d * -0.5 * h2 * (1 - h2) AS d2 FROM d)",
+        "g AS (SELECT [avg(d1 * x1), avg(d2 * x1), avg(d1 * x2), avg(d2 * x2), avg(d1), avg(d2), avg(d * h1), avg(d * h2), avg(d)] AS g FROM e)",
+        f"w AS (SELECT unnest(range(9)) AS place, unnest(g) AS g, unnest({list(_START)}) AS w FROM g)",
+    )
+    + "SELECT CAST(place AS INTEGER) AS place, round(w - 0.5 * g, 8) AS weight FROM w",
+)
+def mlp_step(spark, sf):
+    """One gradient step over all rows from given weights; blocks of 5,000 rows, averaged, make the same step."""
+    p = fx_reg(spark, sf).select("id", (F.col("net") / 50000).alias("x1"), (F.col("l_quantity") / 50).alias("x2"), (F.col("y") / 50000).alias("y"))
+    model = mlp.fit_mlp(
+        p, ["x1", "x2"], "y", hidden=(2,), activation="logistic", solver="sgd", alpha=0.0, learning_rate=0.5, max_iter=1, batch_size=5000,
+        momentum=0.0, nesterov=False, shard_rows=5000, key="id", start=_START,
+    )
+    return spark.createDataFrame([(i, round(float(w), 8)) for i, w in enumerate(model.flat)], "place int, weight double")
+
+
 _CENTERS = [(-0.1, -0.1), (0.1, 0.1)]
 _D = [f"(CAST(0 AS DOUBLE) + (e0 - CAST({a} AS DOUBLE)) * (e0 - CAST({a} AS DOUBLE)) + (e1 - CAST({b} AS DOUBLE)) * (e1 - CAST({b} AS DOUBLE)))" for a, b in _CENTERS]
 

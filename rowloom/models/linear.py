@@ -7,14 +7,16 @@ every penalty and, with per-fold moments, every fold.
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from rowloom.functions.hashing import uniform_draws
 from rowloom.functions.moments import Moments, balanced_sum, moments
 from rowloom.functions.nulls import complete_rows
-from rowloom.functions.spreading import settle
+from rowloom.functions.shards import SHARD_ROWS, packed_shards, pass_over_shards
+
+_PA_BLOCK = 256  # rows whose products are held at once
 
 
 @dataclass
@@ -193,41 +195,74 @@ def fit_huber(df, features, target, epsilon=1.35, reg=0.0):
     return LinearModel(list(features), fitted.coefficients.toArray(), fitted.intercept)
 
 
-def fit_passive_aggressive(df, features, target, c=1.0, epsilon=0.1, epochs=5):
-    """Online passive-aggressive regression, epoch-wise averaged over partitions.
+def _passive_aggressive_pass(block, w, b, c, epsilon, intercept):
+    """The online rule over rows [x, y] in order; (w, b, summed loss before each step).
 
-    Every partition runs the online rule from the shared weights on its own rows;
-    the new weights are the row-weighted mean. Results depend on how the rows are
-    partitioned, as the original depends on row order.
+    A block product gives the errors of many rows at once; a step corrects the errors of the
+    rows after it by their products with its own row, so rows inside the tube cost nothing more.
+    """
+    loss = 0.0
+    for at in range(0, len(block), _PA_BLOCK):
+        x, y = block[at : at + _PA_BLOCK, :-1], block[at : at + _PA_BLOCK, -1]
+        products = x @ x.T
+        norm = np.diag(products).copy()
+        if intercept:
+            products = products + 1.0
+        error, step, i = y - x @ w - b, np.zeros(len(y)), 0
+        while i < len(y):
+            outside = np.flatnonzero(np.abs(error[i:]) > epsilon)
+            if not len(outside):
+                break
+            i += outside[0]
+            excess = abs(error[i]) - epsilon
+            loss += excess
+            if norm[i] > 0:
+                step[i] = min(c, excess / norm[i]) * np.sign(error[i])
+                error[i + 1 :] -= step[i] * products[i, i + 1 :]
+            i += 1
+        w, b = w + step @ x, b + (step.sum() if intercept else 0.0)
+    return w, b, loss
+
+
+def fit_passive_aggressive(
+    df, features, target, c=1.0, epsilon=0.1, max_iter=1000, tol=1e-3, n_iter_no_change=5, intercept=True, shuffle=True,
+    shard_rows=SHARD_ROWS, key=None, seed=42,
+):
+    """Online passive-aggressive regression (steps of at most `c`, no loss within `epsilon`).
+
+    Rows lie in fixed blocks ordered by the hash of `key`, or of their values without one
+    (`functions/shards.py`). A pass takes every block through the online rule from the shared
+    weights, in a new order each time if `shuffle`; the row-weighted mean is the next start. The
+    fit ends after `max_iter` passes, or once `n_iter_no_change` passes in a row have not brought
+    the mean loss `tol` below its least (None: never). The result is the same on any partitioning.
+    Rows with a null are left out; a table without rows raises ValueError. The model's `passes`
+    and `converged` tell how it ended.
     """
     features = list(features)
     p = len(features)
-    w = np.zeros(p + 1)
-    table = settle(df.select(*features, target).transform(complete_rows))
+    state, best, idle, passes, converged = np.zeros(p + 1), np.inf, 0, 0, False
+    table = packed_shards(df, [*features, target], key, shard_rows, seed)
     try:
-        for _ in range(epochs):
-            start = w
-
-            def epoch(batches):
-                v, n = start.copy(), 0
-                for pdf in batches:
-                    x = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))])
-                    y = pdf[target].to_numpy(float)
-                    norm = (x * x).sum(axis=1)
-                    for i in range(len(y)):
-                        error = y[i] - x[i] @ v
-                        loss = abs(error) - epsilon
-                        if loss > 0:
-                            v = v + min(c, loss / norm[i]) * (1.0 if error > 0 else -1.0) * x[i]
-                    n += len(y)
-                yield pd.DataFrame({"n": [float(n)], "w": [n * v]})
-
-            parts = table.mapInPandas(epoch, "n double, w array<double>").filter("n > 0")
-            sums = parts.agg(F.sum("n"), *[F.sum(F.col("w")[i]) for i in range(p + 1)]).first()
-            w = np.array(sums[1:], dtype=float) / sums[0]
+        while passes < max_iter and not converged:
+            now, salt = state, seed * 1_000 + passes
+
+            def work(shard, block):
+                if shuffle:
+                    block = block[np.argsort(uniform_draws(np.arange(len(block)) + (int(shard) << 32), salt), kind="stable")]
+                w, b, loss = _passive_aggressive_pass(block, now[:p], now[p], c, epsilon, intercept)
+                return np.append(w, b), [len(block), loss]
+
+            state, (n, loss) = pass_over_shards(table, p + 1, work)
+            passes += 1
+            if tol is not None:
+                idle = idle + 1 if loss / n > best - tol else 0
+                converged = idle >= n_iter_no_change
+            best = min(best, loss / n)
     finally:
         table.unpersist()
-    return LinearModel(features, w[:p], float(w[p]))
+    model = LinearModel(features, state[:p], float(state[p]))
+    model.passes, model.converged = passes, converged
+    return model
 
 
 def fit(df, features, target, method="least_squares", **params):

@@ -7,21 +7,33 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from rowloom.functions.hashing import hash32, uniform_draws
+from rowloom.functions.hashing import hash32, uniform_draws, unit_interval
 from rowloom.functions.moments import moments, sum_over_rows
 from rowloom.functions.nulls import complete_rows
 from rowloom.functions.quantiles import exact_quantiles
 from rowloom.functions.ranking import hash_rank
+from rowloom.functions.spreading import settle
 from rowloom.models.linear import LinearModel, fit_least_squares
 
 SUBSETS_PER_LOT = 250  # solved in one task call
+CROSS_PRODUCTS = 2_000_000  # sums one pass keeps per task
+SMALL_SUBSET = 4  # up to so many rows per weight a subset is solved from its rows, else from cross products
 
 
-def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray:
+def _design(x, intercept):
+    return np.column_stack([x, np.ones(len(x))]) if intercept else x
+
+
+def _with_bias(fits, intercept):
+    return fits if intercept else np.column_stack([fits, np.zeros(len(fits))])
+
+
+def subset_fits(df, key, features, target, subsets, size, seed=42, intercept=True) -> np.ndarray:
     """(subsets, p + 1) least-squares fits [w, intercept] on random disjoint row sets.
 
     The rows with the smallest hashes are a uniform sample and come from a bounded
-    top-n. A table too small for that is dealt several times in other orders.
+    top-n. A table too small for that is dealt several times in other orders. Meant for small
+    subsets: subsets x size rows, a product of parameters, are sorted and solved.
     """
     features = list(features)
     rows = df.select(F.col(key).cast("string").alias("_id"), *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y")).transform(complete_rows)
@@ -41,13 +53,13 @@ def subset_fits(df, key, features, target, subsets, size, seed=42) -> np.ndarray
     )
 
     def solve(pdf):
-        x, y = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))]), pdf["_y"].to_numpy(float)
+        x, y = _design(pdf[features].to_numpy(float), intercept), pdf["_y"].to_numpy(float)
         lots = pdf.groupby("_subset").indices
         return pd.DataFrame({"_subset": list(lots), "w": [np.linalg.lstsq(x[i], y[i], rcond=None)[0] for i in lots.values()]})
 
     lots = F.floor(F.col("_subset") / F.lit(SUBSETS_PER_LOT))
     fits = grouped.groupBy(lots.alias("_lot")).applyInPandas(solve, "_subset bigint, w array<double>").collect()
-    return np.array([r["w"] for r in sorted(fits)], dtype=float)
+    return _with_bias(np.array([r["w"] for r in sorted(fits)], dtype=float), intercept)
 
 
 def share_fits(df, key, features, target, trials, share, seed=42) -> np.ndarray:
@@ -74,6 +86,87 @@ def share_fits(df, key, features, target, trials, share, seed=42) -> np.ndarray:
     return fits
 
 
+def scattered(ranks, n, salt):
+    """The ranks 0..n-1 of a batch under a fixed random permutation of 0..n-1; salt 0 leaves them as they are.
+
+    Four Feistel rounds permute the next power of four; places beyond n go round again.
+    """
+    places = np.asarray(ranks, dtype=np.int64)
+    if salt == 0 or n < 2:
+        return places
+    half = max(1, (int(n - 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+
+    def once(v):
+        left, right = v >> half, v & mask
+        for turn in range(4):
+            mixed = (uniform_draws(right, salt * 4 + turn) * (mask + 1)).astype(np.int64)
+            left, right = right, left ^ mixed
+        return (left << half) | right
+
+    places = once(places)
+    while (far := places >= n).any():
+        places[far] = once(places[far])
+    return places
+
+
+def large_subset_fits(df, key, features, target, subsets, size, seed=42, intercept=True) -> np.ndarray:
+    """(subsets, p + 1) least-squares fits on random row sets of exactly `size` rows, from their cross products.
+
+    Rows get one random rank. n // size disjoint subsets are runs of ranks; further ones are runs of
+    permuted ranks, worked out inside the tasks, so rows move once however many subsets they join.
+    Where the subsets need less than the table, rows beyond a hash threshold don't move at all.
+    """
+    features = list(features)
+    p, needed = len(features), subsets * size
+    names = [f"_x{i}" for i in range(p)]
+    rows = df.select(
+        F.col(key).cast("string").alias("_id"), *[F.col(c).cast("double").alias(v) for c, v in zip(features, names)], F.col(target).cast("double").alias("_y")
+    ).transform(complete_rows)
+    n = rows.count()
+    if n < size:
+        raise ValueError("fewer rows than one subset needs")
+    if n > 2 * needed:
+        reach = 1.1 * needed / n
+        while (near := rows.filter(unit_interval("_id", seed) < reach)).count() < needed and reach < 1:
+            reach *= 2
+        rows = near if reach < 1 else rows
+    ranked = settle(hash_rank(rows, "_id", seed=seed, name="_rank").select(*names, "_y", "_rank"))
+    try:
+        m = moments(ranked, [*names, "_y"])
+        total = m.n
+        center = m.mean if intercept else np.zeros(p + 1)
+        each, q = total // size, p + 1 + bool(intercept)
+        lot = max(1, CROSS_PRODUCTS // (q * q))
+        fits = []
+        for first in range(0, subsets, lot):
+            last = min(first + lot, subsets)
+
+            def block(z, first=first, last=last):
+                x = z[:, : p + 1] - center
+                x = np.column_stack([x, np.ones(len(x))]) if intercept else x
+                pairs = (x[:, :, None] * x[:, None, :]).reshape(len(x), q * q)
+                out = np.zeros((last - first, q * q))
+                for r in range(first // each, (last - 1) // each + 1):
+                    place = scattered(z[:, p + 1].astype(np.int64), total, r)
+                    subset = np.where(place < each * size, place // size + r * each - first, -1)
+                    mine = (subset >= 0) & (subset < last - first)
+                    order = np.argsort(subset[mine], kind="stable")
+                    if len(order):
+                        ids, starts = np.unique(subset[mine][order], return_index=True)
+                        out[ids] += np.add.reduceat(pairs[mine][order], starts, axis=0)
+                return out.ravel()
+
+            sums = sum_over_rows(ranked, [*names, "_y", "_rank"], block, (last - first) * q * q).reshape(-1, q, q)
+            x = [i for i in range(q) if i != p]
+            w = (np.linalg.pinv(sums[:, x][:, :, x], hermitian=True) @ sums[:, x, p][..., None])[..., 0]
+            bias = w[:, p] + center[p] - w[:, :p] @ center[:p] if intercept else np.zeros(len(w))
+            fits.append(np.column_stack([w[:, :p], bias]))
+    finally:
+        ranked.unpersist()
+    return np.concatenate(fits)
+
+
 def spatial_median(points, max_iter=300, tol=1e-10):
     """Point with the least summed distance to all others (Weiszfeld steps)."""
     center = np.median(points, axis=0)
@@ -87,27 +180,36 @@ def spatial_median(points, max_iter=300, tol=1e-10):
     return center
 
 
-def every_subset_fit(df, features, target, size) -> np.ndarray:
+def every_subset_fit(df, features, target, size, intercept=True) -> np.ndarray:
     """Least-squares fits on all row subsets of a size, for tables whose number of subsets a parameter bounds."""
     rows = df.select(*[F.col(c).cast("double") for c in [*features, target]]).transform(complete_rows).collect()
     table = np.array([tuple(r) for r in sorted(rows)], dtype=float)
-    x, y = np.column_stack([table[:, :-1], np.ones(len(table))]), table[:, -1]
-    return np.array([np.linalg.lstsq(x[list(s)], y[list(s)], rcond=None)[0] for s in itertools.combinations(range(len(table)), size)])
+    x, y = _design(table[:, :-1], intercept), table[:, -1]
+    fits = [np.linalg.lstsq(x[list(s)], y[list(s)], rcond=None)[0] for s in itertools.combinations(range(len(table)), size)]
+    return _with_bias(np.array(fits), intercept)
 
 
-def fit_theil_sen(df, key, features, target, max_subpopulation=10_000, n_subsamples=None, seed=42) -> LinearModel:
-    """Spatial median of least-squares fits on subsets of p + 1 rows (or `n_subsamples`).
+def fit_theil_sen(df, key, features, target, max_subpopulation=10_000, n_subsamples=None, seed=42, intercept=True) -> LinearModel:
+    """Spatial median of least-squares fits on subsets of one row per weight (or `n_subsamples`).
 
-    All subsets where there are at most `max_subpopulation`, else that many random ones.
+    All subsets where there are at most `max_subpopulation`, else that many random ones. Without
+    an intercept it is 0. A table with fewer rows than one subset needs raises ValueError.
     """
-    size = n_subsamples or len(features) + 1
+    weights = len(features) + bool(intercept)
+    size = n_subsamples or weights
+    if size < weights:
+        raise ValueError("a subset needs a row for every weight")
     n = df.select(*features, target).transform(complete_rows).limit(int(max_subpopulation) + 1).count()
     if size <= n <= max_subpopulation and math.comb(n, size) <= max_subpopulation:
-        fits = every_subset_fit(df, features, target, size)
+        fits = every_subset_fit(df, features, target, size, intercept)
+    elif size <= SMALL_SUBSET * weights:
+        fits = subset_fits(df, key, features, target, int(max_subpopulation), size, seed, intercept)
     else:
-        fits = subset_fits(df, key, features, target, int(max_subpopulation), size, seed)
-    w = spatial_median(fits)
-    return LinearModel(list(features), w[:-1], float(w[-1]))
+        fits = large_subset_fits(df, key, features, target, int(max_subpopulation), size, seed, intercept)
+    if not intercept and len(features) == 1:
+        return LinearModel(list(features), np.median(fits[:, :1], axis=0), 0.0)
+    w = spatial_median(fits if intercept else fits[:, :-1])
+    return LinearModel(list(features), w[: len(features)], float(w[-1]) if intercept else 0.0)
 
 
 def fit_ransac(df, key, features, target, min_samples=None, residual_threshold=None, max_trials=100, seed=42) -> LinearModel:

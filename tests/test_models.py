@@ -90,8 +90,117 @@ def test_spatial_median_minimises_distances():
     assert all(cost(c) <= cost(c + 1e-3 * d) for d in np.vstack([np.eye(3), -np.eye(3)]))
 
 
+def test_large_subsets_resist_outliers(dirty):
+    for n in (8, 25):
+        t = robust.fit_theil_sen(build(dirty.sparkSession, outliers=0.02), "id", X, "y", max_subpopulation=400, n_subsamples=n)
+        assert np.allclose(t.coefficients, [3, -2, 0], atol=0.5)
+
+
+def test_scattered_is_a_permutation():
+    for n in (1, 2, 5, 64, 1000, 1025):
+        orders = [robust.scattered(np.arange(n), n, salt) for salt in range(4)]
+        assert all(sorted(o) == list(range(n)) for o in orders)
+        assert list(orders[0]) == list(range(n))
+    assert not np.array_equal(orders[1], orders[2])
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+def test_large_subset_fits_equal_fits_of_their_rows(clean, intercept, monkeypatch):
+    """Some subsets come from permuted ranks and from several passes."""
+    monkeypatch.setattr(robust, "CROSS_PRODUCTS", 100)
+    got = robust.large_subset_fits(clean, "id", X, "y", 9, 400, intercept=intercept)
+    pdf = clean.withColumn("h", robust.hash32("id", 42)).toPandas()
+    pdf["key"] = pdf["id"].astype(str)
+    pdf = pdf.sort_values(["h", "key"])
+    x, y = robust._design(pdf[X].to_numpy(), intercept), pdf["y"].to_numpy()
+    for s in range(9):
+        place = robust.scattered(np.arange(len(pdf)), len(pdf), s // 3)
+        mine = (place < 1200) & (place // 400 == s % 3)
+        assert mine.sum() == 400
+        w = np.linalg.lstsq(x[mine], y[mine], rcond=None)[0]
+        assert np.allclose(got[s], w if intercept else np.append(w, 0), atol=1e-8)
+
+
+def test_theil_sen_without_intercept(clean):
+    through = clean.withColumn("y", 3 * F.col("a") - 2 * F.col("b"))
+    for n in (None, 20):
+        t = robust.fit_theil_sen(through, "id", X, "y", max_subpopulation=300, n_subsamples=n, intercept=False)
+        assert np.allclose(t.coefficients, [3, -2, 0], atol=1e-6) and t.intercept == 0
+    with pytest.raises(ValueError):
+        robust.fit_theil_sen(through, "id", X, "y", n_subsamples=2)
+
+
 def test_online_regression(clean):
-    assert rmse(linear.fit_passive_aggressive(clean, X, "y", epochs=5), clean) < 0.5
+    model = linear.fit_passive_aggressive(clean, X, "y", c=0.05)
+    assert rmse(model, clean) < 0.5 and model.converged and model.passes < 1000
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+def test_online_pass_equals_the_rule_row_by_row(intercept):
+    rng = np.random.default_rng(3)
+    block = np.column_stack([rng.normal(size=(700, 2)), rng.normal(size=700)])
+    block[5, :2] = 0
+    w, b, loss = linear._passive_aggressive_pass(block, np.zeros(2), 0.0, 0.3, 0.2, intercept)
+    v, bias, total = np.zeros(2), 0.0, 0.0
+    for *x, y in block:
+        x = np.array(x)
+        error = y - v @ x - bias
+        miss = max(abs(error) - 0.2, 0)
+        total += miss
+        if miss > 0 and x @ x > 0:
+            step = min(0.3, miss / (x @ x)) * np.sign(error)
+            v, bias = v + step * x, bias + step * intercept
+    assert np.allclose(w, v) and b == pytest.approx(bias) and loss == pytest.approx(total)
+
+
+def test_passes_do_not_depend_on_partitions(clean):
+    odd = clean.withColumn("a", F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.col("a")))
+    again = odd.union(odd.filter("id < 300")).union(odd.filter("id < 5").withColumn("y", F.lit(None).cast("double")))
+    for fit in (
+        lambda d: linear.fit_passive_aggressive(d, X, "y", max_iter=3, shard_rows=20).coefficients,
+        lambda d: mlp.fit_mlp(d, X, "y", hidden=(4,), max_iter=3, shard_rows=20, batch_size=7).flat,
+    ):
+        assert np.array_equal(fit(again.repartition(1)), fit(again.repartition(7)))
+
+
+def test_fits_on_an_empty_table_say_so(clean):
+    for fit in (linear.fit_passive_aggressive, mlp.fit_mlp):
+        with pytest.raises(ValueError):
+            fit(clean.filter("id < 0"), X, "y")
+
+
+def test_mlp_gradient_equals_differences():
+    rng = np.random.default_rng(1)
+    z = rng.normal(size=(30, 4))
+    for activation in ("identity", "logistic", "tanh"):
+        sizes = [3, 4, 2, 1]
+        flat = mlp.initial_weights(sizes, activation, 5)
+        gradient, _ = mlp._gradient(z, flat, sizes, activation)
+        for i in range(len(flat)):
+            step = 1e-6 * np.eye(len(flat))[i]
+            up, down = (mlp._gradient(z, flat + d, sizes, activation)[1] / 2 for d in (step, -step))
+            assert gradient[i] == pytest.approx((up - down) / 2e-6, abs=1e-4)
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"solver": "sgd", "learning_rate": 0.01},
+        {"solver": "sgd", "learning_rate": 0.05, "schedule": "invscaling", "power_t": 0.1, "nesterov": False},
+        {"solver": "sgd", "learning_rate": 0.02, "schedule": "adaptive", "n_iter_no_change": 2},
+        {"learning_rate": 0.02, "early_stopping": True},
+    ],
+)
+def test_mlp_schedules(clean, options):
+    scaled = clean.withColumn("y", F.col("y") / 4)
+    model = mlp.fit_mlp(scaled, X, "y", hidden=(8,), activation="tanh", batch_size=50, max_iter=40, **options)
+    assert rmse(model, scaled) < 0.3 and model.loss_curve[-1] < model.loss_curve[0] / 3
+
+
+def test_scale_gamma(clean):
+    x = clean.select(*X).toPandas().to_numpy()
+    assert kernel.scale_gamma(clean, X) == pytest.approx(1 / (3 * x.var()))
+    assert evaluate(kernel.kernel_svc(clean, "id", X, "k", gamma="scale").score(clean), "k", "prediction", ["accuracy"]).first()[0] > 0.85
 
 
 def test_logistic_gradient_vanishes(clean):
@@ -134,7 +243,7 @@ def test_adaboost_and_bayes_classify(clean):
         (lambda d: adaboost.adaboost_regress(d, X, "y", n_estimators=4, max_depth=5), 1.2),
         (lambda d: kernel.kernel_ridge(d, "id", X, "y", alpha=0.1, kernel="polynomial", degree=2, landmarks=30), 0.3),
         (lambda d: kernel.linear_svr(d, X, "y", c=10.0, epsilon=0.05), 0.2),
-        (lambda d: mlp.fit_mlp(d, X, "y", hidden=(16,), learning_rate=0.1, max_iter=80), 1.0),
+        (lambda d: mlp.fit_mlp(d, X, "y", hidden=(16,), learning_rate=0.02, max_iter=40), 1.0),
     ],
 )
 def test_regressors_fit(clean, fit, limit):
