@@ -67,14 +67,19 @@ class MLPRegressor:
         self.features, self.sizes, self.flat, self.activation = features, sizes, flat, activation
         self.loss_curve, self.converged = list(loss_curve), converged
 
-    def score(self, df, name="prediction"):
-        layers, act = _unpack(self.flat, self.sizes), _ACTIVATIONS[self.activation][0]
+    def raw(self, x):
+        """Predictions for the rows of a feature matrix."""
+        return _forward(x, _unpack(self.flat, self.sizes), _ACTIVATIONS[self.activation][0])[-1][:, 0]
+
+    def finish(self, df, raw, name="prediction"):
+        return df.withColumn(name, raw)
 
+    def score(self, df, name="prediction"):
         @F.pandas_udf("double")
         def predict(*columns: pd.Series) -> pd.Series:
-            return pd.Series(_forward(np.column_stack(columns), layers, act)[-1][:, 0])
+            return pd.Series(self.raw(np.column_stack(columns)))
 
-        return df.withColumn(name, predict(*[F.col(f).cast("double") for f in self.features]))
+        return self.finish(df, predict(*[F.col(f).cast("double") for f in self.features]), name)
 
 
 def fit_mlp(

@@ -91,24 +91,29 @@ class Forest:
         self.scale, self.base, self.link = scale, base, link
         self.importances = importances
 
+    def raw(self, x):
+        """Sums of the trees' values for the rows of a feature matrix."""
+        out = np.full(len(x), self.base)
+        for t in self.trees:
+            out += self.scale * t[4][_walk(t, x)]
+        return out
+
+    def finish(self, df, raw, name="prediction", probability=None):
+        """Turns a column of sums into the prediction; for the logistic link also the probability of class 1."""
+        if self.link != "logistic":
+            return df.withColumn(name, raw)
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_raw")))
+        out = df.withColumn("_raw", raw).withColumn(name, (F.col("_raw") > 0).cast("int"))
+        return (out.withColumn(probability, p) if probability else out).drop("_raw")
+
     def score(self, df, name="prediction", probability=None):
         """Adds the prediction; for the logistic link also the probability of class 1."""
-        trees, scale, base = self.trees, self.scale, self.base
 
         @F.pandas_udf("double")
         def total(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack(columns)
-            out = np.full(len(x), base)
-            for t in trees:
-                out += scale * t[4][_walk(t, x)]
-            return pd.Series(out)
+            return pd.Series(self.raw(np.column_stack(columns)))
 
-        raw = total(*[F.col(f).cast("double") for f in self.features])
-        if self.link != "logistic":
-            return df.withColumn(name, raw)
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_raw")))
-        out = df.withColumn("_raw", raw).withColumn(name, (F.col("_raw") > 0).cast("int"))
-        return (out.withColumn(probability, p) if probability else out).drop("_raw")
+        return self.finish(df, total(*[F.col(f).cast("double") for f in self.features]), name, probability)
 
     def table(self, spark):
         rows = [

@@ -6,8 +6,10 @@ over candidate and fold; the fits themselves are Spark jobs.
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from rowloom.functions.lineage import cut_lineage
 from rowloom.functions.moments import grouped_moments
 from rowloom.functions.nulls import complete_rows
 from rowloom.models.bayes import class_statistics, model_from_statistics
-from rowloom.models.linear import fit_ridge, holdout_mse
+from rowloom.models.linear import LinearModel, fit_ridge, holdout_mse
 from rowloom.operators.metrics import METRICS, evaluate, roc_auc
 from rowloom.operators.neighbors import knn_join, predict_from_neighbors
 from rowloom.search.candidates import describe_params, random_candidates
@@ -25,19 +27,55 @@ def fold_values(df, fold="fold") -> list:
     return sorted(r[0] for r in df.select(fold).distinct().collect())
 
 
+def score_by_fold(df, models: dict, fold="fold", **score) -> DataFrame:
+    """Every row scored by the model of its own fold; rows of other folds are left out.
+
+    Linear models, forests, boosted trees and networks read the table once, whatever the number of
+    folds: a row is given to its fold's model alone. Other models score fold after fold.
+    """
+    rows, kinds = df.filter(F.col(fold).isin(list(models))), {type(m) for m in models.values()}
+    if kinds == {LinearModel}:
+        value = F.lit(None).cast("double")
+        for f, m in models.items():
+            value = F.when(F.col(fold) == F.lit(f), m.expression()).otherwise(value)
+        return rows.withColumn(score.get("name", "prediction"), value)
+    first = next(iter(models.values()))
+    alike = len(kinds) == 1 and len({getattr(m, "link", None) for m in models.values()}) == 1
+    if not alike or not hasattr(first, "raw"):
+        parts = [m.score(df.filter(F.col(fold) == F.lit(f)), **score) for f, m in models.items()]
+        return reduce(DataFrame.unionByName, parts)
+    names = sorted({c for m in models.values() for c in m.features})
+    turns = [(m, [names.index(c) for c in m.features]) for m in models.values()]
+    turn = F.lit(-1)
+    for i, f in enumerate(models):
+        turn = F.when(F.col(fold) == F.lit(f), F.lit(i)).otherwise(turn)
+
+    @F.pandas_udf("double")
+    def raw(which: pd.Series, *columns: pd.Series) -> pd.Series:
+        x, which = np.column_stack(columns), which.to_numpy()
+        out = np.full(len(x), np.nan)
+        for i, (model, at) in enumerate(turns):
+            if (mine := which == i).any():
+                out[mine] = model.raw(x[mine][:, at])
+        return pd.Series(out)
+
+    return first.finish(rows, raw(turn, *[F.col(c).cast("double") for c in names]), **score)
+
+
 def cross_val_predict(df, fit, fold="fold", resample=None, **score) -> DataFrame:
     """Every row scored by the model that was fitted without its fold.
 
     `fit(train) -> model with .score(df)`; `resample(train)` acts on training rows only;
-    further options go to `.score`, such as probability="probability".
+    further options go to `.score`, such as probability="probability". A table without a fold
+    raises ValueError.
     """
-    out = None
-    for f in fold_values(df, fold):
+    models = {}
+    for f in fold_values(df.filter(F.col(fold).isNotNull()), fold):
         train = df.filter(F.col(fold) != F.lit(f))
-        model = fit(resample(train) if resample else train)
-        part = model.score(df.filter(F.col(fold) == F.lit(f)), **score)
-        out = part if out is None else out.unionByName(part)
-    return out
+        models[f] = fit(resample(train) if resample else train)
+    if not models:
+        raise ValueError("no row has a fold")
+    return score_by_fold(df, models, fold, **score)
 
 
 def cv_score_table(df, fit, target, metrics=("mse",), fold="fold", resample=None) -> DataFrame:

@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import moments
-from rowloom.models import linear, spark_ml
+from rowloom.models import linear, mlp, spark_ml
 from rowloom.operators.split import holdout_split, kfold_shuffled
 from rowloom.plans.credit import credit_default
 from rowloom.plans.property import property_price
@@ -67,6 +68,30 @@ def test_every_row_is_predicted_once(rows):
     assert cv.cv_score_table(rows, fit, "y").count() == 3
 
 
+@pytest.mark.parametrize(
+    "fit",
+    [
+        lambda d: linear.fit(d, ["a", "b"], "y"),
+        lambda d: extra_trees_regress(d, ["a", "b"], "y", n_estimators=2, max_depth=4),
+        lambda d: boosted_trees(d, ["b", "a"], "k", loss="logistic", n_estimators=2, max_depth=2),
+        lambda d: mlp.fit_mlp(d, ["a", "b"], "y", hidden=(3,), max_iter=2),
+        lambda d: spark_ml.decision_tree_regress(d, ["a", "b"], "y", max_depth=3),
+    ],
+)
+def test_fold_models_score_like_one_by_one(rows, fit):
+    """Null features and rows without a fold included; the scans of all but MLlib's models don't grow with the folds."""
+    odd = rows.withColumn("fold", F.when(F.col("id") % 50 > 0, F.col("fold")))
+    models = {f: fit(odd.filter(F.col("fold") != f)) for f in (0, 1, 2)}
+    got = cv.score_by_fold(odd, models)
+    options = {"probability": "p"} if getattr(models[0], "link", None) == "logistic" else {}
+    got = cv.score_by_fold(odd, models, **options)
+    want = [r for f, m in models.items() for r in m.score(odd.filter(F.col("fold") == f), **options).collect()]
+    pick = lambda rs: sorted((r["id"], r["prediction"], r["p"] if options else 0) for r in rs)
+    assert np.allclose(pick(got.collect()), pick(want), rtol=1e-12)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Union" in plan) == isinstance(models[0], spark_ml.Fitted)
+
+
 def test_resampling_stays_inside_the_training_folds(rows):
     seen = []
     cv.cross_val_predict(rows, lambda d: linear.fit(d, ["a"], "y"), resample=lambda d: (seen.append(d.count()), d)[1]).count()
