@@ -300,7 +300,7 @@ def fit(packed: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
     text = _View(slots, TEXT_SLOTS)
     meta = _View([np.frombuffer(b, np.uint16).astype(np.int64) for b in table["meta"]], META_SLOTS)
     back = mix(table["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(4) == 0
-    return co_train((text, meta), targets, back, settled(_pool(packed, labels), "unlabelled"))[0]
+    return co_train((text, meta), targets, back, settled(_pool(packed, labels), "unlabelled", "zstd"))[0]
 
 
 def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) -> DataFrame:
@@ -313,7 +313,7 @@ def classify(docs: DataFrame, labels: DataFrame, models: dict | None = None) ->
     """
     packed = packed_features(docs)
     if models is None:
-        packed = settled(packed, "features")
+        packed = settled(packed, "features", "zstd")
         models = fit(packed, labels)
     shipped = docs.sparkSession.sparkContext.broadcast(models)
 
