@@ -12,7 +12,9 @@ The sample (500 pages of least key hash, the first 100 blocks of each, by defaul
 
 import html
 import re
+from collections import defaultdict
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ PENALTY = 1e-3
 _BLOCK = frozenset("p div article section main header footer nav aside ul ol li dl dt dd table thead tbody tfoot tr td th h1 h2 h3 h4 h5 h6 blockquote pre form fieldset figure figcaption address hr body html head title details summary dialog menu center caption legend option select noscript".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = frozenset("script style template noscript textarea select option button svg math iframe object head title".split())
+_NEVER = frozenset(("nav", "aside", "dialog"))
 _CLOSES_P = _BLOCK - {"html", "body", "head", "title", "option", "select", "legend", "caption"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
@@ -49,7 +52,17 @@ _MEANS = {
 _MEANING = {w: m for m, words in _MEANS.items() for w in words.split()}
 _OFF = frozenset(("menu", "head", "foot", "side", "ad", "note", "talk", "form"))
 _TAG_MEANS = {"nav": "menu", "header": "head", "footer": "foot", "aside": "side", "form": "form", "article": "body", "main": "body", "dialog": "note", "menu": "menu"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(script|style|textarea|title|template|noscript|iframe|svg|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+# An attribute's value is quoted only after an equals sign. No part of a token is read twice: groups are possessive, and a tag that
+# never closes runs to the end of the page, as in browsers.
+_INSIDE = r"(?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)?+)*+"
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<(script|style|textarea|title|template|noscript|iframe|xmp)(?=[\s/>]){_INSIDE}>(.*?)(?:</\1(?=[\s/>]|\Z)[^>]*+(?:>|\Z)|\Z)"
+    rf"|<svg(?=[\s/>]){_INSIDE}(?<!/)>.*?(?:</svg[^>]*+(?:>|\Z)|\Z)"
+    r"|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_INSIDE})(?:>|\Z)",
+    re.S | re.I,
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
@@ -70,31 +83,61 @@ def _meanings(tag: str, attributes: str) -> frozenset:
     return frozenset(out)
 
 
+class _Open(NamedTuple):
+    """An open element with what its blocks inherit."""
+
+    tag: str
+    tags: frozenset  # of it and all around it
+    means: frozenset
+    near: frozenset  # meanings nearest to it
+    block: int  # depth of the innermost block element, -1 for none
+    shown: bool
+
+
+_ROOT = _Open("", frozenset(), frozenset(), frozenset(), -1, True)
+
+
 def blocks(page: str) -> list[tuple[str, str, frozenset, frozenset, frozenset, int]]:
-    """(text, tag, ancestor tags, meanings, meanings nearest to the block, characters in links) of the page's leaf blocks."""
-    out, stack, words, linked, in_link = [], [], [], 0, 0
-    tags, means, near = [], [], []
+    """(text, tag, ancestor tags, meanings, meanings nearest to the block, characters in links) of the page's leaf blocks.
+
+    Text that is not shown (buttons, scripts, hidden parts), alone or amid a block, is left out. A header inside an article or main element is part of it and counts as a plain division. The time grows with the page's
+    length: an element keeps what its blocks inherit, and the places of every open tag are known.
+    """
+    out, stack, words, linked = [], [], [], 0
+    places = defaultdict(list)
 
     def end_block():
         nonlocal words, linked
         if words:
             text = " ".join(html.unescape("".join(words)).split())
             if text:
-                tag = next((t for t in reversed(stack) if t in _BLOCK), "body")
-                out.append((text, tag, frozenset(stack), frozenset().union(*means), next((m for m in reversed(means) if m), frozenset()), linked))
+                top = stack[-1] if stack else _ROOT
+                tag = stack[top.block].tag if top.block >= 0 else "body"
+                out.append((text, tag, top.tags, top.means, top.near, linked))
             words, linked = [], 0
 
     def close(n):
-        nonlocal in_link
         while len(stack) > n:
-            in_link -= stack.pop() == "a"
-            means.pop()
+            places[stack.pop().tag].pop()
+
+    def start(tag, attributes):
+        top = stack[-1] if stack else _ROOT
+        says = _meanings(tag, attributes)
+        seen = tag
+        if tag == "header" and top.tags & {"article", "main"}:
+            seen, says = "div", says - {"head"}
+        elif tag in ("html", "body"):
+            says = says - {"hidden"}  # shown by a script later
+        tags = top.tags if seen in top.tags else top.tags | {seen}
+        means = top.means if says <= top.means else top.means | says
+        places[tag].append(len(stack))
+        stack.append(_Open(tag, tags, means, says or top.near, len(stack) if tag in _BLOCK else top.block, top.shown and tag not in _SILENT and "hidden" not in says))
 
     at = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and (not stack or stack[-1].shown):
             words.append(page[at : m.start()])
-            if in_link:
+            if places["a"]:
                 linked += m.start() - at
         at = m.end()
         tag = m[4]
@@ -102,9 +145,9 @@ def blocks(page: str) -> list[tuple[str, str, frozenset, frozenset, frozenset, i
             continue
         tag = tag.lower()
         if m[3]:
-            if tag in stack:
-                place = len(stack) - 1 - stack[::-1].index(tag)
-                if tag in _BLOCK or any(t in _BLOCK for t in stack[place:]):
+            if places[tag]:
+                place = places[tag][-1]
+                if stack[-1].block >= place:
                     if tag not in _BLOCK:
                         continue  # an inline end tag does not end blocks
                     end_block()
@@ -117,33 +160,34 @@ def blocks(page: str) -> list[tuple[str, str, frozenset, frozenset, frozenset, i
             continue
         if tag in _BLOCK:
             end_block()
-            if tag in _CLOSES_P and "p" in stack:
-                close(len(stack) - 1 - stack[::-1].index("p"))
+            if places["head"] and tag not in ("title", "noscript"):
+                close(places["head"][-1])
+            if tag in _CLOSES_P and places["p"]:
+                close(places["p"][-1])
             if tag in _CLOSES:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k] in _KEEPS[tag]:
-                        break
-                    if stack[k] in _CLOSES[tag]:
-                        close(k)
-                        break
+                shut = max((places[t][-1] for t in _CLOSES[tag] if places[t]), default=-1)
+                if shut > max((places[t][-1] for t in _KEEPS[tag] if places[t]), default=-1):
+                    close(shut)
         elif tag in ("img", "input", "wbr"):
             continue
         if tag not in _VOID and not m[5].endswith("/"):
-            stack.append(tag)
-            means.append(_meanings(tag, m[5]))
-            in_link += tag == "a"
-    if at < len(page):
-        rest = page[at:]
-        words.append(rest[: rest.rfind("<")] if re.search(r"<[a-zA-Z/!][^>]*\Z", rest) else rest)
+            start(tag, m[5])
+    if at < len(page) and (not stack or stack[-1].shown):
+        words.append(page[at:])
     end_block()
     return out
 
 
+def left_out(page: list) -> np.ndarray:
+    """Blocks that are never main text whatever surrounds them: in a menu, an aside or a dialog."""
+    return np.array([bool(b[2] & _NEVER) for b in page], bool)
+
+
 _NAMES = ["one"]
 _NAMES += [f"tag {t}" for t in "p div li td h1 h2 h3 blockquote pre figcaption dd body a other".split()]
 _NAMES += [f"in {t}" for t in "article main section nav header footer aside form ul ol table blockquote figure".split()]
 _NAMES += [f"{k} {m}" for k in ("means", "near") for m in [*_MEANS, "hidden"]]
-_NAMES += ["silent", "off within body", "link some", "link half", "link all", "short", "words 4", "words 12", "words 30", "stop", "commas", "capitals", "digits", "mark", "first", "last", "after h1", "before h1", "same parent tags"]
+_NAMES += ["silent", "off within body", "body alone", "link some", "link half", "link all", "short", "words 4", "words 12", "words 30", "stop", "commas", "capitals", "digits", "mark", "first", "last", "after h1", "before h1", "same parent tags"]
 _AT = {n: i for i, n in enumerate(_NAMES)}
 
 
@@ -158,6 +202,8 @@ def features(page: list) -> np.ndarray:
             on.append("silent")
         if means & _OFF and "body" in means:
             on.append("off within body")
+        elif "body" in means:
+            on.append("body alone")
         n, share = text.count(" ") + 1, linked / max(1, len(text))
         if share > 0.05:
             on.append("link some")
@@ -222,7 +268,7 @@ def patterns() -> list[tuple[str, list[int]]]:
             return (f"<{tag[kind]}>{body}</{tag[kind]}>" if style == "tag" and kind in tag else f"<div class='{word}'>{body}</div>"), labels
 
         kinds = list(off)
-        inner = [main[n % 2], part(kinds[n % 8]), main[(n + 1) % 2], part(kinds[(n + 3) % 8]), main[n % 2], part("ad" if n % 2 else "talk")]
+        inner = [main[n % 2], part(kinds[n % 8]), main[(n + 1) % 2], part(kinds[(n + 3) % 8]), (f"<p>{line}</p>", [1]), part(kinds[(n + 5) % 8]), main[n % 2], part("ad" if n % 2 else "talk")]
         order = [part("head"), part("menu"), part("note"), part("ad"), inner, part("side"), part("talk"), part("form"), part("foot")]
         body, labels = [], []
         for p in order:
@@ -286,6 +332,13 @@ def viterbi(scores: np.ndarray, t: np.ndarray) -> np.ndarray:
     return path
 
 
+def decode(page: list, w: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The best path among those that leave out what is never main text."""
+    scores = features(page) @ w
+    scores[left_out(page), 1] = -1e9
+    return viterbi(scores, t)
+
+
 def fit(pages: DataFrame, page: str = "html", limit: int = TRAINING_PAGES):
     """Weights from the patterns and from about `limit` pages, those of least hash of the other columns, that carry their own labels."""
     h = F.xxhash64(*([c for c in pages.columns if c != page] or [page]))
@@ -333,7 +386,7 @@ def main_text(pages: DataFrame, page: str = "html", model=None) -> DataFrame:
                 out, found_n, main_n = [], [], []
                 for text in texts:
                     found = blocks(text) if text else []
-                    path = viterbi(features(found) @ w, t) if found else []
+                    path = decode(found, w, t) if found else []
                     kept = [b[0] for b, keep in zip(found, path) if keep]
                     out.append("\n".join(kept))
                     found_n.append(len(found))

@@ -403,3 +403,35 @@ def test_pipeline(spark):
     names = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), sf).columns == names
+
+
+def _texts(page):
+    return [b[0] for b in extraction.blocks(page)]
+
+
+def test_pages_attributes_and_odd_tags():
+    assert _texts("<p title=don't>Hello it's fine, the first.</p><p>Second one.</p>") == ["Hello it's fine, the first.", "Second one."]
+    assert _texts("<p title='a>b' data-x=\"c>d\">in quotes</p>") == ["in quotes"]
+    assert _texts("x < 5 and <b>y</b> > z") == ["x < 5 and y > z"]
+    assert _texts("<svg viewBox='0'/><p>after</p><script>var a = '</p>';</script >rest") == ["after", "rest"]
+    assert _texts("<p>a</><!-->b<p>c<a href=") == ["ab", "c"]
+    assert _texts("<head><title>no</title><p>shown") == ["shown"]
+    assert _texts("<p>Click <button>Go</button>or <span hidden>no</span>wait") == ["Click or wait"]
+    assert _texts("<ul><li>a<ul><li>b</ul><li>c</ul><table><tr><td>d<td>e<tr><td>f</table>") == list("abcdef")
+
+
+def test_pages_of_unclosed_parts_take_linear_time():
+    import time
+
+    for part in ("<a ", "<a =", "<a ='", "<div>x", "<b>x", "<p><li>", "<![CDATA[", "<!--", "<b><div></b>", "<td><div>"):
+        start = time.perf_counter()
+        extraction.blocks(part * 100_000)
+        assert time.perf_counter() - start < 20, part
+
+
+def test_decoding_leaves_out_nested_parts(spark):
+    line = "Plain words of a sentence, with a comma, that go on for a while and end here."
+    page = f"<html><head><title>t</title><body hidden><nav>Menu</nav><article><header><h1>Its title</h1></header><p>{line}</p><button>Press here</button><aside><p>{line} Aside.</p></aside><p>{line}</p><div hidden>{line}</div></article><footer>End</footer>"
+    model = extraction.train([(extraction.features(f), np.array(y)) for f, y in ((extraction.blocks(t), y) for t, y in extraction.patterns())])
+    found = extraction.blocks(page)
+    assert [b[0] for b, keep in zip(found, extraction.decode(found, *model)) if keep] == ["Its title", line, line]
