@@ -29,6 +29,8 @@ ACCEPT = 0.5
 LEAST_TEXTS = 20  # declared values with fewer different texts cannot be estimated
 POOLED = 2_000.0  # trigrams of all languages together that smooth each one's own
 
+EVIDENCE = ("text", "declared", "host", "domain", "suffix")
+
 # Country suffixes and their main language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "it": "it", "nl": "nl", "pt": "pt", "br": "pt", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh"}
 
@@ -97,11 +99,20 @@ def _posterior(logs: Column) -> Column:
 def identify(rows: DataFrame) -> DataFrame:
     """Adds language, posterior and accepted to rows with text, declared, host, domain and suffix (each may be null); drops text.
 
+    Other columns of any name pass through, however long the texts are; columns named like the three results are replaced.
+
     Accepted: the text has a letter and the best class is a language with a posterior of at least a half. Null, empty and letterless
     texts are rejected, and so are texts that the background explains best (their language is null); ties go to the first language
     by name. A declared language without enough texts speaks for the background. Without any language nothing is known and all rows
-    are rejected. Repeated rows are judged alike. Names of the added columns and of `logs`, `letters` are taken.
+    are rejected. Repeated rows are judged alike.
     """
+    rows = rows.drop("language", "posterior", "accepted")
+    # columns that only pass through travel under numbered names, so that none clashes with a working column
+    held = {c: f"_rowloom_{i}" for i, c in enumerate(rows.columns) if c not in EVIDENCE}
+    return _identified(rows.withColumnsRenamed(held)).withColumnsRenamed({v: c for c, v in held.items()})
+
+
+def _identified(rows: DataFrame) -> DataFrame:
     texts = rows.filter(F.col("declared").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = texts.groupBy("declared").agg(F.approx_count_distinct(F.xxhash64("text"), 0.01).alias("count"))
     languages = sorted(r["declared"] for r in counts.filter(F.col("count") >= LEAST_TEXTS).collect() if r["declared"])

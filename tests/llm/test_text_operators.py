@@ -435,3 +435,16 @@ def test_decoding_leaves_out_nested_parts(spark):
     model = extraction.train([(extraction.features(f), np.array(y)) for f, y in ((extraction.blocks(t), y) for t, y in extraction.patterns())])
     found = extraction.blocks(page)
     assert [b[0] for b, keep in zip(found, extraction.decode(found, *model)) if keep] == ["Its title", line, line]
+
+
+def test_language_keeps_columns_of_any_name(spark):
+    rows = [(i, f"{prose(i, 30)} the of and" if i % 2 else f"{prose(i, 30)} der die und", "en" if i % 2 else "de", "s") for i in range(60)]
+    docs = language.document_evidence(spark.createDataFrame([(*r, 1) for r in rows], FULL))
+    plain = sorted(map(tuple, language.identify(docs).select("doc_id", "language", "posterior", "accepted").collect()))
+    names = ["n", "sums", "own", "shares", "logs", "letters", "of_domain", "count", "_h", "_s", "_d", "language"]
+    more = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in names])
+    got = language.identify(more)
+    assert got.columns == [c for c in more.columns if c not in ("text", "language")] + ["language", "posterior", "accepted"]
+    got = got.collect()
+    assert sorted((r.doc_id, r.language, r.posterior, r.accepted) for r in got) == plain
+    assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in names[:-1])
