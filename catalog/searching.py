@@ -11,6 +11,7 @@ from rowloom.models import spark_ml as ml
 from rowloom.operators.split import holdout_split, kfold_shuffled, kfold_stratified
 from rowloom.search import candidates as H
 from rowloom.search import cv
+from rowloom.search.elimination import eliminate_by_boosting, elimination_report
 
 
 @query(
@@ -337,3 +338,34 @@ def benchmark_models(spark, sf):
         ("decision_tree", _tree, {"max_depth": [3, 6]}),
     ]
     return cv.benchmark_models(train, test, zoo, "y", n_iter=2)
+
+
+_STUMP_LEFT = f"""tr AS (SELECT l_quantity, l_discount, CAST(net > 30000 AS INTEGER) AS t FROM fx_reg WHERE NOT {held('id', 0.2)}),
+ te AS (SELECT l_quantity, l_discount, CAST(net > 30000 AS INTEGER) AS t FROM fx_reg WHERE {held('id', 0.2)}), m AS (SELECT count(*) AS n, avg(t) AS p FROM tr),
+ v AS (SELECT 0 AS f, l_quantity AS x, count(*) AS n, sum(t) AS s FROM tr GROUP BY 2 UNION ALL SELECT 1, l_discount, count(*), sum(t) FROM tr GROUP BY 2),
+ c AS (SELECT f, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl FROM v WINDOW w AS (PARTITION BY f ORDER BY x)),
+ g AS (SELECT f, x, p, nl * p - sl AS gl, nl * p * (1 - p) + 1 AS hl, (n - nl) * p * (1 - p) + 1 AS hr FROM c, m WHERE nl < n),
+ b AS (SELECT *, ln(p / (1 - p)) AS z FROM g ORDER BY gl * gl / hl + gl * gl / hr DESC, f, x LIMIT 1),
+ q AS (SELECT t, CAST((CASE WHEN (CASE f WHEN 0 THEN l_quantity ELSE l_discount END) <= x THEN z - gl / hl ELSE z + gl / hr END) > 0 AS INTEGER) AS s FROM te, b),
+ r AS (SELECT count(*) FILTER (t = 0 AND s = 0) AS tn, count(*) FILTER (t = 0 AND s = 1) AS fp, count(*) FILTER (t = 1 AND s = 0) AS fn, count(*) FILTER (t = 1 AND s = 1) AS tp FROM q)"""
+
+
+@query(
+    "eliminate_stumps",
+    with_(REG, _STUMP_LEFT)
+    + """SELECT 2 AS k, 'l_quantity,l_discount' AS selected, CASE f WHEN 0 THEN 'l_discount' ELSE 'l_quantity' END AS dropped, tn, fp, fn, tp FROM b, r
+         UNION ALL SELECT 1, CASE f WHEN 0 THEN 'l_quantity' ELSE 'l_discount' END, NULL, tn, fp, fn, tp FROM b, r""",
+)
+def eliminate_stumps(spark, sf):
+    """Two columns, one stump each time: the column without gain goes, the confusion counts are of the holdout."""
+    rows = fx_reg(spark, sf).withColumn("t", (F.col("net") > 30000).cast("int"))
+    train, test = holdout_split(rows, "id", 0.2)
+    steps = eliminate_by_boosting(train, test, ["l_quantity", "l_discount"], "t", n_estimators=1, learning_rate=1.0, max_depth=1, min_child_weight=0.0, max_bins=1000)
+    return steps.drop("importance")
+
+
+@query("eliminate_by_boosting")
+def eliminate_by_boosting_(spark, sf):
+    """All 64 dimensions down to one by 100 trees of depth four: the classification report of every number of columns."""
+    train, test = holdout_split(fx_vec(spark, sf), "id", 0.2)
+    return elimination_report(eliminate_by_boosting(train, test, DIMS, "y", learning_rate=0.1))

@@ -37,7 +37,7 @@ _ROOT = (np.array([-1]), np.zeros(1), np.array([-1]), np.array([-1]), np.zeros(1
 
 @dataclass(frozen=True)
 class Options:
-    """Parameters of one model; `held` is the fold it doesn't learn from."""
+    """Parameters of one model; `held` is the fold it doesn't learn from, `among` the places of the features it may split on (all)."""
 
     loss: str = "squared"
     n_estimators: int = 100
@@ -51,6 +51,7 @@ class Options:
     colsample: float = 1.0
     seed: int = 42
     held: int | None = None
+    among: tuple | None = None
 
 
 def sketched_edges(df: DataFrame, features, max_bins: int) -> list:
@@ -173,7 +174,8 @@ class _Grown:
     def begin(self, round_):
         job = self.job
         self.tree = self.make_tree()
-        self.chosen = sorted(np.random.default_rng([job.seed, round_]).choice(self.p, max(1, int(round(job.colsample * self.p))), replace=False).tolist())
+        among = np.arange(self.p) if job.among is None else np.array(job.among)
+        self.chosen = sorted(among[np.random.default_rng([job.seed, round_]).choice(len(among), max(1, int(round(job.colsample * len(among)))), replace=False)].tolist())
         self.open, self.kept = [0], {}
         self.build, self.rest = [0], []  # nodes to be summed; (node, parent, sibling) to be had by subtraction
 
@@ -294,7 +296,7 @@ def _alone(rows: _Rows, job: Options, base: float, p: int, width: int, make_tree
 
 def _in_tasks(packed: DataFrame, jobs, bases, p, kind, width, make_tree, scored):
     """The models of `boost_many` for a table that is shipped whole; a task for every model. With `scored`, models that differ in their
-    number of rounds alone are one model looked at after so many rounds, and trees stay in the tasks."""
+    number of rounds alone are one model looked at after so many rounds (without gains), and trees stay in the tasks."""
     spark = packed.sparkSession
     alike = {}
     for k, job in enumerate(jobs):
@@ -316,7 +318,7 @@ def _in_tasks(packed: DataFrame, jobs, bases, p, kind, width, make_tree, scored)
                 stages = {jobs[k].n_estimators for k in groups[g]} if scored else ()
                 model, margins = _alone(rows, job, bases[longest], p, width, make_tree, stages, held)
                 for k in groups[g]:
-                    grown = None if scored else pickle.dumps((model.trees, model.gains))
+                    grown = pickle.dumps(((), model.gains) if scored else (model.trees, model.gains)) if len(groups[g]) == 1 else None
                     margin = margins.get(jobs[k].n_estimators, np.full(len(held), bases[k]))
                     values = (k, grown, rows.y[held].tobytes(), margin.tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["job", "model", "y", "margin"])
@@ -326,9 +328,8 @@ def _in_tasks(packed: DataFrame, jobs, bases, p, kind, width, make_tree, scored)
     each = each.repartition(min(len(groups), 4 * cores), F.col("group") % (4 * cores)) if len(groups) > 4 * cores else each
     done = cut_lineage(each.mapInArrow(run, "job int, model binary, y binary, margin binary"))
     models = [_Grown(job, p, make_tree) for job in jobs]
-    if not scored:
-        for r in done.select("job", "model").collect():
-            models[r["job"]].trees, models[r["job"]].gains = pickle.loads(r["model"])
+    for r in done.filter("model is not null").select("job", "model").collect():
+        models[r["job"]].trees, models[r["job"]].gains = pickle.loads(r["model"])
 
     def opened(batches):
         for batch in batches:
@@ -354,47 +355,66 @@ def _lots(jobs, p, width):
         yield lot
 
 
-def boost_many(df: DataFrame, features, target, jobs: list, make_tree, key=None, fold=None, max_bins=64, every=None, scored=False):
-    """(models with `trees` and `gains`, edges, bases, held-out rows or None) for every `Options` in jobs.
+class Binned:
+    """A table made ready for boosting: complete rows as numbers, kept in memory, and the bins' edges. Many fits may use it."""
 
-    Rows with nulls are left out. `fold` names a column of whole numbers; a job with `held` learns without that fold. With `scored`,
-    the held-out table (job, fold, y, margin) has every row of the fold that each job left out, and the models' trees may be missing.
-    """
-    features, every = list(features), every or MARGIN_EVERY
-    p = len(features)
-    if any(j.subsample < 1.0 for j in jobs) and key is None:
-        raise ValueError("subsample needs the key column")
-    u = hash32(key, jobs[0].seed).cast("double") if any(j.subsample < 1.0 for j in jobs) else F.lit(0.0)
-    number = F.col(fold).cast("double") if fold else F.lit(0.0)
-    table = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("_y"), u.alias("_u"), number.alias("_fold")).transform(complete_rows)
-    table = table.persist()
-    try:
-        sums = {int(f): (n, s) for f, n, s in table.groupBy("_fold").agg(F.count(F.lit(1)), F.sum("_y")).collect()}
-        if not sums:
+    def __init__(self, df: DataFrame, features, target, key=None, fold=None, max_bins=64, seed=42):
+        self.features = list(features)
+        u = F.lit(0.0) if key is None else hash32(key, seed).cast("double")
+        number = F.col(fold).cast("double") if fold else F.lit(0.0)
+        table = df.select(*[F.col(c).cast("double").alias(c) for c in self.features], F.col(target).cast("double").alias("_y"), u.alias("_u"), number.alias("_fold"))
+        self.table = table.transform(complete_rows).persist()
+        self.sums = {int(f): (n, s) for f, n, s in self.table.groupBy("_fold").agg(F.count(F.lit(1)), F.sum("_y")).collect()}
+        if not self.sums:
+            self.release()
             raise ValueError("no complete rows")
-        edges = sketched_edges(table, features, max_bins)
-        width = max(len(e) for e in edges) + 1
-        kind = np.uint8 if width <= 256 else np.uint16
-        bases = []
-        for job in jobs:
-            n, s = (sum(v[i] for f, v in sums.items() if f != job.held) for i in (0, 1))
-            mean = s / n
-            bases.append(float(np.log(mean / (1 - mean))) if job.loss == "logistic" else float(mean))
-        n = sum(v[0] for v in sums.values())
+        self.edges = sketched_edges(self.table, self.features, max_bins)
+        self.width = max(len(e) for e in self.edges) + 1
+        self.kind = np.uint8 if self.width <= 256 else np.uint16
+
+    def release(self):
+        self.table.unpersist()
+
+    def base(self, job: Options) -> float:
+        """The margin before the first round: the mean of the rows the job learns from, or its log odds."""
+        n, s = (sum(v[i] for f, v in self.sums.items() if f != job.held) for i in (0, 1))
+        mean = s / n
+        return float(np.log(mean / (1 - mean))) if job.loss == "logistic" else float(mean)
+
+    def boost(self, jobs: list, make_tree, every=None, scored=False):
+        """(models, bases, held-out rows or None), see `boost_many`."""
+        p, kind, width, every = len(self.features), self.kind, self.width, every or MARGIN_EVERY
+        bases = [self.base(job) for job in jobs]
+        n = sum(v[0] for v in self.sums.values())
         if n * (p * np.dtype(kind).itemsize + 20) <= TASK_BYTES:
-            models, held_out = _in_tasks(_packed(table, features, edges, kind, []), jobs, bases, p, kind, width, make_tree, scored)
-            return models, edges, bases, held_out
+            models, held_out = _in_tasks(_packed(self.table, self.features, self.edges, kind, []), jobs, bases, p, kind, width, make_tree, scored)
+            return models, bases, held_out
         models = [_Grown(job, p, make_tree) for job in jobs]
-        parts, held_out = spread(table), None
+        parts, held_out = spread(self.table), None
         tasks = parts.select(F.spark_partition_id().alias("p")).distinct().count()
         for lot in _lots(jobs, p, width):
-            state = _train([models[k] for k in lot], _packed(parts, features, edges, kind, [bases[k] for k in lot]), max(tasks, 1), p, kind, width, every)
+            state = _train([models[k] for k in lot], _packed(parts, self.features, self.edges, kind, [bases[k] for k in lot]), max(tasks, 1), p, kind, width, every)
             if scored:
                 rows = _held_rows(state, [(k, jobs[k].held) for k in lot], p, kind)
                 held_out = rows if held_out is None else held_out.unionByName(rows)
-        return models, edges, bases, held_out
+        return models, bases, held_out
+
+
+def boost_many(df: DataFrame, features, target, jobs: list, make_tree, key=None, fold=None, max_bins=64, every=None, scored=False):
+    """(models with `trees` and `gains`, edges, bases, held-out rows or None) for every `Options` in jobs.
+
+    Rows with nulls are left out. `fold` names a column of whole numbers; a job with `held` learns without that fold. With `scored`,
+    the held-out table (job, fold, y, margin) has every row of the fold that each job left out, and the models' trees may be missing.
+    """
+    drawn = any(j.subsample < 1.0 for j in jobs)
+    if drawn and key is None:
+        raise ValueError("subsample needs the key column")
+    binned = Binned(df, features, target, key if drawn else None, fold, max_bins, jobs[0].seed)
+    try:
+        models, bases, held_out = binned.boost(jobs, make_tree, every, scored)
+        return models, binned.edges, bases, held_out
     finally:
-        table.unpersist()
+        binned.release()
 
 
 def _train(models, packed, tasks, p, kind, width, every):

@@ -133,3 +133,31 @@ def test_price_flow(rows):
     result = property_price(train, score.drop("y"), "id", "y", {"y": (0.01, 0.99)}, component_trim=(0, 1), folds=2, fit=fit)
     assert result.predictions.count() == score.count()
     assert result.metrics.first()["rmse"] < 10 and result.folds.count() == 2
+
+
+def test_elimination_by_boosting_is_the_same_in_tasks_and_over_the_cluster(spark, monkeypatch):
+    from rowloom.models import boosting
+    from rowloom.search.elimination import eliminate_by_boosting, elimination_report
+
+    r = np.random.default_rng(5)
+    x = r.normal(size=(900, 4)).round(3)
+    y = (x[:, 2] + 0.4 * x[:, 0] + 0.3 * r.normal(size=900) > 0).astype(int)
+    rows = [(i, *map(float, v), int(t)) for i, (v, t) in enumerate(zip(x, y))] + [(900, None, 0.0, 0.0, 0.0, 1)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, y int")
+    train, test = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
+    names = ["a", "b", "c", "d"]
+    fit = lambda: eliminate_by_boosting(train, test, names, "y", n_estimators=8, max_depth=3, learning_rate=0.3)
+    steps = fit().orderBy("k").collect()
+    assert [s.k for s in steps] == [1, 2, 3, 4]
+    assert steps[0].selected == "c" and steps[1].selected == "a,c" and steps[0].dropped is None and steps[1].dropped == "a"
+    assert all(s.tn + s.fp + s.fn + s.tp == 225 for s in steps) and steps[1].tn + steps[1].tp > 180
+    report = {(r.k, r.label): r for r in elimination_report(fit()).collect()}
+    two = steps[1]
+    assert len(report) == 8 and report[2, 1].support == two.tp + two.fn
+    assert report[2, 1].precision == two.tp / (two.tp + two.fp) and report[2, 0].recall == two.tn / (two.tn + two.fp)
+    assert report[2, 0].accuracy == (two.tn + two.tp) / 225
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    spread_out = fit().orderBy("k").collect()
+    assert [(s.selected, s.dropped, s.tn, s.fp, s.fn, s.tp) for s in spread_out] == [(s.selected, s.dropped, s.tn, s.fp, s.fn, s.tp) for s in steps]
+    with pytest.raises(ValueError):
+        eliminate_by_boosting(train, test, names, "y", least=5)
