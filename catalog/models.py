@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import BIN_FEATURES, CLF, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, held, with_
+from catalog.fixtures import BIN_FEATURES, CLF, DIMS, REG, VEC, fx_bin, fx_clf, fx_reg, fx_vec, h32, held, with_
 from rowloom.functions.moments import moments
 from rowloom.models import bayes, kernel, linear, mlp, robust
 from rowloom.models import spark_ml as ml
@@ -309,23 +309,23 @@ def mlp_step(spark, sf):
     return spark.createDataFrame([(i, round(float(w), 8)) for i, w in enumerate(model.flat)], "place int, weight double")
 
 
-_CENTERS = [(-0.1, -0.1), (0.1, 0.1)]
-_D = [f"(CAST(0 AS DOUBLE) + (e0 - CAST({a} AS DOUBLE)) * (e0 - CAST({a} AS DOUBLE)) + (e1 - CAST({b} AS DOUBLE)) * (e1 - CAST({b} AS DOUBLE)))" for a, b in _CENTERS]
+_CENTERS = [(-0.1,) * len(DIMS), (0.1,) * len(DIMS)]
+_D = ["(CAST(0 AS DOUBLE) + " + " + ".join(f"({c} - CAST({v} AS DOUBLE)) * ({c} - CAST({v} AS DOUBLE))" for c, v in zip(DIMS, center)) + ")" for center in _CENTERS]
 
 
 @query(
     "kmeans_step",
-    with_(VEC, f"c AS (SELECT CASE WHEN {_D[0]} <= {_D[1]} THEN 0 ELSE 1 END AS cluster, e0, e1 FROM fx_vec)")
-    + "SELECT cluster, count(*) AS n, round(avg(e0), 9) AS e0, round(avg(e1), 9) AS e1 FROM c GROUP BY cluster",
+    with_(VEC, f"c AS (SELECT CASE WHEN {_D[0]} <= {_D[1]} THEN 0 ELSE 1 END AS cluster, * FROM fx_vec)")
+    + f"SELECT cluster, count(*) AS n, {', '.join(f'round(avg({c}), 9) AS {c}' for c in DIMS)} FROM c GROUP BY cluster",
 )
 def kmeans_step(spark, sf):
-    return ml.lloyd_step(fx_vec(spark, sf), ["e0", "e1"], _CENTERS).withColumns({c: F.round(c, 9) for c in ("e0", "e1")})
+    return ml.lloyd_step(fx_vec(spark, sf), DIMS, _CENTERS).withColumns({c: F.round(c, 9) for c in DIMS})
 
 
 @query("kmeans")
 def kmeans(spark, sf):
     v = fx_vec(spark, sf)
-    return ml.kmeans(v, ["e0", "e1"], k=2).score(v, "cluster").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return ml.kmeans(v, DIMS, k=2).score(v, "cluster").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.fixtures import CLS_PRED, PRED, VEC, fx_cls_pred, fx_pred, fx_vec, union_all, with_
+from catalog.fixtures import CLS_PRED, DIMS, PRED, VEC, fx_cls_pred, fx_pred, fx_vec, union_all, with_
 from rowloom.operators import metrics as V
 from rowloom.operators.clean import equality_subset
 
@@ -118,14 +118,14 @@ def residuals(spark, sf):
     "silhouette",
     with_(
         VEC,
-        "s AS (SELECT label, count(*) AS n, avg(e0) AS m0, avg(e1) AS m1, var_pop(e0) + var_pop(e1) AS v FROM fx_vec GROUP BY label)",
-        "d AS (SELECT id, x.label AS own, s.label AS l, s.n, (e0 - m0) * (e0 - m0) + (e1 - m1) * (e1 - m1) + v AS d FROM fx_vec x, s)",
+        f"s AS (SELECT label, count(*) AS n, {', '.join(f'avg({c}) AS m_{c}' for c in DIMS)}, {' + '.join(f'var_pop({c})' for c in DIMS)} AS v FROM fx_vec GROUP BY label)",
+        f"d AS (SELECT id, x.label AS own, s.label AS l, s.n, {' + '.join(f'({c} - m_{c}) * ({c} - m_{c})' for c in DIMS)} + v AS d FROM fx_vec x, s)",
         "ab AS (SELECT id, max(CASE WHEN own = l THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> l THEN d END) AS b FROM d GROUP BY id)",
     )
     + "SELECT round(avg((b - a) / greatest(a, b)), 9) AS silhouette FROM ab",
 )
 def silhouette(spark, sf):
-    return _round(V.silhouette(fx_vec(spark, sf), ["e0", "e1"], "label"), 9)
+    return _round(V.silhouette(fx_vec(spark, sf), DIMS, "label"), 9)
 
 
 @query("custom_scorer", with_(PRED) + "SELECT round(-sqrt(avg(((y - p) / y) * ((y - p) / y))), 6) AS neg_rmspe, round(-avg(abs(y - p)), 6) AS neg_mae FROM fx_pred")
