@@ -20,6 +20,7 @@ from rowloom.llm.common import settled, span_hash, text_chunks, text_key, word_s
 
 WINDOW = 35
 RUN = 8
+HOT = 1_000  # a key with more than this part of all rows is hot; there are fewer of them than this
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -94,6 +95,18 @@ def _window_table(df: DataFrame, window: int) -> DataFrame:
     return df.select("node", "text", "parts").mapInArrow(run, "node bigint, place int, times bigint, window bigint")
 
 
+def _within(rows: DataFrame, keys: DataFrame, by: list[str], size: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is among `keys` (one row a key, with n, at least the number of its rows), as two tables: those of hot keys and the rest.
+
+    A key is hot with more than a thousandth of `size` rows. As n adds up to `size` at most, fewer than a thousand keys are hot: they are
+    sent to all tasks, and no task gathers the rows of one. The rest is joined by key.
+    """
+    bound = (rows.count() if size is None else size) // HOT
+    hot = F.broadcast(keys.filter(F.col("n") > bound).select(*by))
+    rest = keys.filter(F.col("n") <= bound).select(*by)
+    return rows.join(hot, by, "left_semi"), rows.join(hot, by, "left_anti").join(rest, by, "left_semi")
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """(node, spans): for the hash of every text with repeated windows, the (start, size) rows of windows that repeat.
 
@@ -101,21 +114,26 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
     """
     base = docs.select(text_key(text).alias("node"), F.col(text).alias("text"))
     index = settled(_phrase_table(base, window), "phrases")
-    live = index.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
-    shared = index.join(live, "name", "left_semi").groupBy("name", "words", "node", "start", "size").agg(F.count(F.lit(1)).alias("times"))
-    shared = settled(shared, "shared-phrases")
+    live = settled(index.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "live-phrases")
+    place = ["name", "words", "node", "start", "size"]
+    # grouped apart: the hot part is dealt by the whole place, the rest stays where the join put it
+    hot, rest = (part.groupBy(*place).agg(F.count(F.lit(1)).alias("times")) for part in _within(index, live, ["name"]))
+    shared = settled(hot.union(rest), "shared-phrases")
 
-    total = shared.groupBy("name", "words").agg(F.sum("times").alias("times"), F.min(F.struct("node", "start", "size")).alias("one"))
+    total = shared.groupBy("name", "words").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "start", "size")).alias("one"))
     total = settled(total, "phrase-counts")
-    whole = shared.join(total.filter("times > 1").select("name", "words"), ["name", "words"], "left_semi").select("node", "start", "size")
+    hot, rest = _within(shared, total.filter("times > 1"), ["name", "words"])
+    whole = hot.union(rest).select("node", "start", "size")
 
-    mixed = total.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("least")).filter("n > 1 and least = 1").select("name")
-    parts = total.join(mixed, "name", "left_semi").select("one.*", "times")
+    mixed = total.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("least")).filter("n > 1 and least = 1")
+    hot, rest = _within(total.drop("n"), settled(mixed, "mixed-names"), ["name"], total.count())
+    parts = hot.union(rest).select("one.*", "times")
     parts = settled(parts.groupBy("node").agg(F.collect_list(F.struct("start", "size", "times")).alias("parts")), "phrase-parts")
     texts = base.join(parts.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     windows = settled(_window_table(texts.join(parts, "node"), window), "windows")
-    again = windows.groupBy("window").agg(F.sum("times").alias("n")).filter("n > 1").select("window")
-    crossing = windows.filter("times = 1").join(again, "window", "left_semi").select("node", F.col("place").alias("start"), F.lit(1).alias("size"))
+    again = windows.groupBy("window").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("n")).filter("times > 1")
+    hot, rest = _within(windows.filter("times = 1"), settled(again, "repeated-windows"), ["window"], windows.count())
+    crossing = hot.union(rest).select("node", F.col("place").alias("start"), F.lit(1).alias("size"))
     return whole.union(crossing).groupBy("node").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 
 

@@ -448,3 +448,10 @@ def test_language_keeps_columns_of_any_name(spark):
     got = got.collect()
     assert sorted((r.doc_id, r.language, r.posterior, r.accepted) for r in got) == plain
     assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in names[:-1])
+
+
+@pytest.mark.parametrize("hot", [1, 40])
+def test_repeated_passages_with_and_without_hot_keys(spark, docs, monkeypatch, hot):
+    want = sorted(map(repr, substrings.remove_repeated(docs).collect()))
+    monkeypatch.setattr(substrings, "HOT", hot)  # 1: no key is hot
+    assert sorted(map(repr, substrings.remove_repeated(docs).collect())) == want
