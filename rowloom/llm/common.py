@@ -9,11 +9,12 @@ from rowloom.functions.lineage import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def settled(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+def settled(df: DataFrame, name: str, codec: str | None = None, file_rows: int | None = None) -> DataFrame:
     """Written once as Parquet in the shared folder and read back: not computed twice, safe against lost executors, and Spark
-    knows its true size when it plans a join."""
+    knows its true size when it plans a join. Parquet's writer counts bytes only every 100 rows and its reader takes thousands at
+    once, so tables with rows of megabytes name `file_rows`, which bounds what either holds."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=codec)
+    df.write.options(**({"maxRecordsPerFile": file_rows} if file_rows else {})).parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,6 +29,8 @@ BLOCK_TERMS = 1 << 19
 SLICES_PER_TERM = 4
 BITS_PER_ENTRY = 8  # at least, at most twice as many
 LEVELS = (1, 2, 4)  # occurrences from which a term is entered once more
+#: Blocks of a file of the index, which a task holds whole when it writes and when it reads them.
+FILE_BLOCKS = 4
 #: Terms of all items searched for in one pass over the index.
 PASS_TERMS = 200_000
 
@@ -288,7 +290,7 @@ def rank(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     Null and empty texts, and texts without letters and digits, hold no term: such documents are not counted and never ranked. Empty
     tables give an empty result. Long texts are blocks of their own. Other columns are not read.
     """
-    return search(settled(build_index(docs), "signatures"), items, top=top)
+    return search(settled(build_index(docs), "signatures", file_rows=FILE_BLOCKS), items, top=top)
 
 
 _TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"

@@ -109,6 +109,19 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert ranked_search.rank(df, spark.createDataFrame([], "item_id bigint, text string")).collect() == []
 
 
+def test_index_files_hold_few_blocks(spark, monkeypatch):
+    """Blocks are megabytes each: a task must not gather all of its own in one file."""
+    monkeypatch.setattr(ranked_search, "BLOCK_DOCS", 5)
+    seen, settled = [], ranked_search.settled
+    monkeypatch.setattr(ranked_search, "settled", lambda df, name, **options: seen.append((name, settled(df, name, **options))) or seen[-1][1])
+    docs = spark.createDataFrame([(i, f"a{i} b{i % 9} c") for i in range(200)], DOC).coalesce(1)
+    got = ranked_search.rank(docs, spark.createDataFrame([(1, "a7 b3")], "item_id bigint, text string")).collect()
+    index = dict(seen)["signatures"]
+    assert index.count() == 40
+    assert max(r["count"] for r in index.groupBy(F.input_file_name()).count().collect()) <= ranked_search.FILE_BLOCKS
+    assert sorted(map(tuple, got), key=str) == brute_rank([(i, f"a{i} b{i % 9} c") for i in range(200)], [(1, "a7 b3")])
+
+
 def test_search_bounds_hold_and_exclude():
     r = random.Random(2)
     words = [f"v{i}" for i in range(3_000)]
