@@ -145,3 +145,33 @@ def test_tomek_and_edited(spark):
     kept = {r["id"] for r in R.edited_nearest_neighbours(df, "id", "y", ["f0"]).collect()}
     assert kept == {3, 4, 5} or kept == {2, 3, 4, 5}
     assert df.filter(F.col("id") == 1).count() == 1
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_few_pairs_are_measured_in_full(monkeypatch, p):
+    """Points that can't be among the best are told by one product, or by their boxes, not by a sum over all features."""
+    rng = np.random.default_rng(11)
+    cells, measure = [], N._measure
+    monkeypatch.setattr(N, "_measure", lambda q, x, p: cells.append(len(q) * len(x)) or measure(q, x, p))
+    for f, share in ((64, 0.02), (3, 0.4)):
+        x = rng.uniform(size=(3_000, f)) + 50
+        x[::50] = x[7]  # copies: ties go to the first ones
+        q = x[::2] + 0.01
+        cells.clear()
+        qi, xi, m = N._best(q, x, 5, p)
+        assert sum(cells) < share * len(q) * len(x)
+        want = (np.abs(q[:, None] - x[None]) ** p).sum(2)
+        assert qi.tolist() == np.repeat(np.arange(len(q)), 5).tolist()
+        assert xi.reshape(-1, 5).tolist() == np.argsort(np.round(want, 9), axis=1, kind="stable")[:, :5].tolist()
+        assert np.allclose(m.reshape(-1, 5), np.sort(want, axis=1)[:, :5])
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_bundles_of_cells_in_many_features(spark, monkeypatch, p):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 12)) + 4 * rng.integers(0, 3, size=(400, 1))
+    x[:30] = x[0]
+    df = frame(spark, x)
+    got = found(N.knn_join(df, df, [f"f{j}" for j in range(12)], "id", 4, p=p, exclude_self=True, broadcast_points=10))
+    assert got == brute(x, 4, p, True)
