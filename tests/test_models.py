@@ -420,3 +420,32 @@ def test_bootstrap_counts_and_pure_leaves(clean):
     assert (w != forests._weights(growth, 1, np.arange(20_000.0))).any()
     assert rmse(trees.decision_tree(clean, X, "y"), clean) < 1e-6  # no limit: every row has its own leaf
     assert rmse(trees.random_forest(clean, X, "y", "id", n_estimators=10), clean) < 1.5
+
+
+@pytest.mark.parametrize("loss", ["squared", "logistic"])
+def test_boosting_of_counted_rows_equals_boosting_of_rows(spark, monkeypatch, loss):
+    """Few bins: equal rows of bins are trained on as one, and however many rows there are, one task can hold them."""
+    rows = spark.range(4_000).select(
+        "id", (F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 3).cast("int").alias("fold"),
+        ((F.col("id") * 37 % 11 < F.col("id") % 5 + F.col("id") % 7).cast("double") if loss == "logistic" else F.col("id") % 35 + F.col("id") % 13 / 8.0).alias("y"),
+    )
+    jobs = [boosting.Options(loss, n_estimators=n, max_depth=3, learning_rate=0.3, held=h) for n, h in ((3, 0), (5, 1), (5, None))]
+    sent, packed = [], boosting._packed
+    monkeypatch.setattr(boosting, "_packed", lambda table, *a: sent.append(table.count()) or packed(table, *a))
+
+    def run(scored):
+        models, _, _, held = boosting.boost_many(rows, ["a", "b"], "y", jobs, trees.Tree, None, "fold", 16, scored=scored)
+        return models, held.toPandas().sort_values(["job", "y", "margin"]).reset_index(drop=True) if scored else None
+
+    got, held = run(False)[0], run(True)[1]
+    assert sent[0] == 105 and (105 < sent[1] <= 210 if loss == "logistic" else sent[1] == 4_000)
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    monkeypatch.setattr(boosting, "MARGIN_EVERY", 2)
+    far, far_held = run(False)[0], run(True)[1]
+    monkeypatch.setattr(boosting.Binned, "_merged", lambda self, *_: (self.table, self.edges, 4_000))
+    want, want_held = run(False)[0], run(True)[1]
+    for a, b, c in zip(got, far, want):
+        _same_trees(a.trees, c.trees)
+        _same_trees(b.trees, c.trees)
+    for h in (held, far_held):
+        assert len(h) == len(want_held) and np.allclose(h[["job", "fold", "y", "margin"]], want_held[["job", "fold", "y", "margin"]])
