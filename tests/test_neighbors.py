@@ -175,3 +175,13 @@ def test_bundles_of_cells_in_many_features(spark, monkeypatch, p):
     df = frame(spark, x)
     got = found(N.knn_join(df, df, [f"f{j}" for j in range(12)], "id", 4, p=p, exclude_self=True, broadcast_points=10))
     assert got == brute(x, 4, p, True)
+
+
+def test_rows_with_repeated_ids_are_searched_each_by_itself(spark, monkeypatch):
+    """A row that comes twice finds itself twice; this must not close the cells of its other neighbours."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 40)
+    x = np.random.default_rng(2).normal(size=(120, 3))
+    df = frame(spark, x)
+    got = found(N.knn_join(df.union(df), df.union(df), ["f0", "f1", "f2"], "id", 3, exclude_self=True, broadcast_points=10))
+    near = brute(x, 2, 2, True)
+    assert got == {i: [near[i][0], near[i][0], near[i][0]] for i in range(120)}
