@@ -3,6 +3,9 @@
 A tree's upper levels come from aggregates over all rows (`trees.extra_trees_regress`); a node whose rows fit `TASK_BYTES` is grown to its
 leaves by one task that holds just these rows. A table that fits as a whole is shipped once, and every task grows whole trees from it.
 Draws depend on (seed, tree, node, feature) alone, a node being named by its path from the root, so both ways give the same trees.
+
+What tasks grow stays a table of packed subtrees. Rows go to their subtrees in packed chunks, for growing as well as for scoring, so that
+neither the driver nor one task needs a whole forest.
 """
 
 from dataclasses import dataclass
@@ -16,6 +19,8 @@ from rowloom.functions.hashing import text_unit, uniform_draws
 from rowloom.functions.lineage import cut_lineage
 
 TASK_BYTES = 64 << 20  # rows of a node, as doubles, that one task finishes by itself
+CHUNK_ROWS = 1 << 15  # rows that travel to the subtrees together
+SORTED_ROWS = 500_000  # rows in a partition of a sorted copy of the table, about
 
 
 @dataclass(frozen=True)
@@ -84,18 +89,19 @@ def _best_cuts(x, y, w, slot, first, tried, least):
 
 
 def grow(x, y, growth: Growth, tree: int, label: str = "0", depth: int = 0, weight=None):
-    """(feature, threshold, left, right, value, gain by feature) of the tree below a node, level by level over all its open nodes."""
+    """(feature, threshold, left, right, value, gain by feature, rows) of the tree below a node, level by level over all its open nodes."""
     p = x.shape[1]
     w = np.ones(len(y)) if weight is None else weight
     rows = np.flatnonzero(w > 0)
     slot = np.zeros(len(rows), np.int64)
     feature, threshold, left, value = [np.array([-1])], [np.zeros(1)], [np.array([-1])], []
-    labels, ids, count, gains = [label], np.zeros(1, np.int64), 1, np.zeros(p)
+    labels, ids, count, gains, sizes = [label], np.zeros(1, np.int64), 1, np.zeros(p), []
     while len(ids):
         first = np.searchsorted(slot, np.arange(len(ids)))
         xs, ys, ws = x[rows], y[rows], w[rows]
         n, total, square = (np.add.reduceat(v, first) for v in (ws, ws * ys, ws * ys * ys))
         value.append(total / np.maximum(n, 1e-300))
+        sizes.append(n)
         lo, hi = np.minimum.reduceat(xs, first, axis=0), np.maximum.reduceat(xs, first, axis=0)
         open_ = np.flatnonzero(may_split(growth, depth, n, total, square) & (hi > lo).any(axis=1))
         here, cut = np.full(len(ids), -1), np.zeros(len(ids))
@@ -137,8 +143,8 @@ def grow(x, y, growth: Growth, tree: int, label: str = "0", depth: int = 0, weig
         if len(ids):
             for part, fill in ((feature, -1), (threshold, 0.0), (left, -1)):
                 part.append(np.full(len(ids), fill))
-    feature, threshold, left, value = (np.concatenate(v) for v in (feature, threshold, left, value))
-    return feature.astype(np.int16), threshold, left.astype(np.int32), np.where(left >= 0, left + 1, -1).astype(np.int32), value, gains
+    feature, threshold, left, value, sizes = (np.concatenate(v) for v in (feature, threshold, left, value, sizes))
+    return feature.astype(np.int16), threshold, left.astype(np.int32), np.where(left >= 0, left + 1, -1).astype(np.int32), value, gains, sizes
 
 
 def _weights(growth, tree, hashes):
@@ -154,25 +160,37 @@ def _weights(growth, tree, hashes):
     return out
 
 
-_GROWN = "tree int, node bigint, feature binary, threshold binary, left binary, value binary, gains binary"
+_GROWN = "tree int, node bigint, feature binary, threshold binary, left binary, value binary, gains binary, rows binary"
+
+
+def walk(feature, threshold, left, right, x):
+    """Leaf node per row."""
+    node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    while True:
+        f = feature[node]
+        inner = f >= 0
+        if not inner.any():
+            return node
+        go_left = x[rows, np.maximum(f, 0)] <= threshold[node]
+        node = np.where(inner, np.where(go_left, left[node], right[node]), node)
 
 
 def _grown_row(tree, node, found):
-    kinds = (np.int16, float, np.int32, float, float)
-    raw = [np.asarray(v, t).tobytes() for v, t in zip((found[0], found[1], found[2], found[4], found[5]), kinds)]
+    kinds = (np.int16, float, np.int32, float, float, float)
+    raw = [np.asarray(v, t).tobytes() for v, t in zip((found[0], found[1], found[2], *found[4:7]), kinds)]
     return pa.table([pa.array([tree], pa.int32()), pa.array([node], pa.int64()), *[pa.array([v], pa.binary()) for v in raw]], names=[c.split()[0] for c in _GROWN.split(", ")])
 
 
-def _read(row):
+def read_grown(row):
     left = np.frombuffer(row["left"], np.int32).astype(np.int64)
     return (
         np.frombuffer(row["feature"], np.int16).astype(np.int64), np.frombuffer(row["threshold"], float), left, np.where(left >= 0, left + 1, -1),
-        np.frombuffer(row["value"], float), np.frombuffer(row["gains"], float),
+        np.frombuffer(row["value"], float), np.frombuffer(row["gains"], float), np.frombuffer(row["rows"], float),
     )
 
 
-def grow_whole(table: DataFrame, columns, growths: list) -> dict:
-    """{tree: arrays} for trees grown by tasks from a table of checked size (features, target, row hash); tree i has growths[i]."""
+def grow_whole(table: DataFrame, columns, growths: list) -> DataFrame:
+    """Trees (node 0) grown by tasks from a table of checked size (features, target, row hash); growths: (number, growth) of every tree."""
     spark = table.sparkSession
     rows = table.select(*columns).toPandas().to_numpy(float)
     shipped = spark.sparkContext.broadcast(rows[np.lexsort(rows.T[::-1])])  # the same order on every run
@@ -184,23 +202,188 @@ def grow_whole(table: DataFrame, columns, growths: list) -> dict:
                 tree, growth = growths[i]
                 yield from _grown_row(i, 0, grow(x, y, growth, tree, weight=_weights(growth, tree, hashes))).to_batches()
 
-    done = cut_lineage(spark.range(0, len(growths), 1, len(growths)).select(F.col("id").cast("int").alias("tree")).mapInArrow(run, _GROWN))
-    return {r["tree"]: _read(r) for r in done.toLocalIterator()}
+    return cut_lineage(spark.range(0, len(growths), 1, len(growths)).select(F.col("id").cast("int").alias("tree")).mapInArrow(run, _GROWN))
+
+
+def _chunks(batches):
+    """Numeric Arrow batches as matrices of about `CHUNK_ROWS` rows."""
+    parts, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            parts.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]))
+            n += batch.num_rows
+        if n >= CHUNK_ROWS:
+            yield np.concatenate(parts)
+            parts, n = [], 0
+    if n:
+        yield np.concatenate(parts)
+
+
+def grow_below(table: DataFrame, columns, growths: list, frozen: list, finish: dict) -> DataFrame:
+    """The subtrees below `finish` {(tree, node): path} from a table (features, target, row hash), a group being finished by one task;
+    `frozen` has the trees grown so far."""
+    p = len(columns) - 2
+    where = [np.full(len(t[0]), False) for t in frozen]
+    for i, node in finish:
+        where[i][node] = True
+
+    def deal(batches):
+        for block in _chunks(batches):
+            for i, (t, w) in enumerate(zip(frozen, where)):
+                if not w.any():
+                    continue
+                number, growth = growths[i]
+                node, weight = walk(*t[:4], block[:, :p]), _weights(growth, number, block[:, -1])
+                ok = w[node] if weight is None else w[node] & (weight > 0)
+                rows = block[:, : p + 1] if weight is None else np.column_stack([block[:, : p + 1], weight])
+                nodes = np.unique(node[ok])
+                raw = [rows[ok & (node == v)].tobytes() for v in nodes]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), i, np.int32)), pa.array(nodes), pa.array(raw, pa.binary())], names=["tree", "node", "rows"])
+
+    def run(group):
+        i, node = group.column("tree")[0].as_py(), group.column("node")[0].as_py()
+        number, growth = growths[i]
+        block = np.concatenate([np.frombuffer(v.as_py(), float) for v in group.column("rows")]).reshape(-1, p + 1 + growth.bootstrap)
+        block = block[np.lexsort(block.T[::-1])]
+        label = finish[(i, node)]
+        weight = block[:, p + 1] if growth.bootstrap else None
+        return _grown_row(i, node, grow(np.ascontiguousarray(block[:, :p]), block[:, p], growth, number, label, len(label) - 1, weight))
 
+    dealt = table.select(*columns).mapInArrow(deal, "tree int, node bigint, rows binary")
+    return cut_lineage(dealt.groupBy("tree", "node").applyInArrow(run, _GROWN))
 
-def grow_below(rows: DataFrame, growth: Growth, labels: dict, features) -> dict:
-    """{(tree, node): arrays} from rows (tree, node, features, y), a group being finished by one task; labels: {(tree, node): path}."""
-    p = len(features)
 
-    def run(table):
-        tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        block = np.column_stack([table.column(c).to_numpy() for c in [*features, "_y"]])
-        block = block[np.lexsort(block.T[::-1])]
-        label = labels[(tree, node)]
-        return _grown_row(tree, node, grow(np.ascontiguousarray(block[:, :p]), block[:, p], growth, tree, label, len(label) - 1))
+_ASKED = "tree int, node bigint, piece int, block bigint, place binary, x binary, value binary"
 
-    done = cut_lineage(rows.groupBy("tree", "node").applyInArrow(run, _GROWN))
-    return {(r["tree"], r["node"]): _read(r) for r in done.toLocalIterator()}
+
+def ask(rows: DataFrame, features, frozen: list, below: set, pieces: int = 1) -> DataFrame:
+    """Packed chunks of the rows (`_row`, features) for every tree: the rows that end in a node of `below` with their features, the others
+    with their value. `_row` counts on within a partition."""
+
+    def run(batches):
+        marks = [np.full(len(t[0]), False) for t in frozen]
+        for i, node in below:
+            marks[i][node] = True
+        for block in _chunks(batches):
+            ids, x = block[:, 0], np.ascontiguousarray(block[:, 1:])
+            if (np.diff(ids) != 1).any():
+                raise ValueError("row numbers do not count on")
+            first = int(ids[0])
+            for i, (t, mark) in enumerate(zip(frozen, marks)):
+                node, out = walk(*t[:4], x), []
+                for v in np.unique(node):
+                    place = np.flatnonzero(node == v)
+                    found = (x[place].tobytes(), None) if mark[v] else (None, np.full(len(place), t[4][v]).tobytes())
+                    out.append((i, int(v), first % pieces, first, place.astype(np.int32).tobytes(), *found))
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[c.split()[0] for c in _ASKED.split(", ")])
+
+    return rows.select("_row", *[F.col(f"`{c}`").cast("double") for c in features]).mapInArrow(run, _ASKED)
+
+
+def answered(asked: DataFrame, grown: DataFrame, p: int, mean: float, pieces: int = 1) -> DataFrame:
+    """(tree, block, place, value): the chunks of `ask` through the subtrees they wait for."""
+    schema = "tree int, block bigint, place binary, value binary"
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def run(left, right):
+        out, found = [], read_grown(right.slice(0, 1).to_pylist()[0]) if right.num_rows else None
+        for i in range(left.num_rows):
+            tree, block, place, x, value = (left.column(c)[i].as_py() for c in ("tree", "block", "place", "x", "value"))
+            if x is not None:
+                value = (found[4][walk(*found[:4], np.frombuffer(x, float).reshape(-1, p))] + mean).tobytes()
+            out.append((tree, block, place, value))
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 4, kinds)], names=[c.split()[0] for c in schema.split(", ")])
+
+    by = ["tree", "node", "piece"]
+    below = grown.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    return asked.groupBy(*by).cogroup(below.groupBy(*by)).applyInArrow(run, schema)
+
+
+def sorted_by(table: DataFrame, columns, feature) -> DataFrame:
+    """A written copy sorted by a feature; `_part` numbers its even parts in order. Equal values may lie in several parts."""
+    number, cores = table.count(), table.sparkSession.sparkContext.defaultParallelism
+    order = [F.col(f"`{feature}`"), F.col("_y"), F.hash(*[F.col(f"`{c}`") for c in columns])]
+    placed = table.select(*columns).repartitionByRange(max(cores, -(-number // SORTED_ROWS)), *order).sortWithinPartitions(F.col(f"`{feature}`"))
+    return cut_lineage(placed.withColumn("_part", F.spark_partition_id().cast("double")))
+
+
+def _of_slots(batches, j, p, frozen, growths, where, tried):
+    """(part, slot, value, weight, weighted target) of a sorted part's rows that lie in a node which tries feature j, by tree, in order."""
+    blocks = [np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns]) for b in batches if b.num_rows]
+    if not blocks:
+        return
+    block = np.concatenate(blocks)
+    part, x, y, hashes = int(block[0, -1]), block[:, :p], block[:, p], block[:, p + 1]
+    for t, w, (number, growth) in zip(frozen, where, growths):
+        if not (w >= 0).any():
+            continue
+        slot, weight = w[walk(*t[:4], x)], _weights(growth, number, hashes)
+        ok = (slot >= 0) & tried[slot, j]
+        if weight is not None:
+            ok &= weight > 0
+        at = np.flatnonzero(ok)
+        if len(at):
+            at = at[np.argsort(slot[at], kind="stable")]
+            weighed = np.ones(len(at)) if weight is None else weight[at]
+            yield part, slot[at], x[at, j], weighed, weighed * y[at]
+
+
+def exact_cuts(sorted_tables: list, features, growths: list, frozen: list, where: list, tried, total_n, total, least):
+    """(gain, feature, threshold) of the best cut of every slot among all cuts between two values, as `_best_cuts` finds them.
+
+    Two passes over the copy sorted by a feature: the sums of every part, then the cuts inside the parts, given the sums before them and
+    the value that follows. `where` tells the slot of a tree's nodes (-1: none), `tried` which features a slot tries."""
+    p, k = len(features), len(tried)
+    columns = [F.col(f"`{c}`") for c in [*features, "_y", "_u", "_part"]]
+    gain, feature, threshold = np.full(k, -np.inf), np.full(k, -1), np.zeros(k)
+    for j, table in enumerate(sorted_tables):
+        if not tried[:, j].any():
+            continue
+
+        def sums(batches, j=j):
+            for part, slot, v, n, s in _of_slots(batches, j, p, frozen, growths, where, tried):
+                seen, first = np.unique(slot, return_index=True)
+                found = (np.full(len(seen), part), seen, np.add.reduceat(n, first), np.add.reduceat(s, first), v[first])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["part", "slot", "n", "s", "first"])
+
+        rows = table.select(*columns).mapInArrow(sums, "part bigint, slot bigint, n double, s double, first double").toPandas()
+        parts = np.unique(rows["part"])
+        before_n, before_s, after = np.zeros((len(parts), k)), np.zeros((len(parts), k)), np.full((len(parts) + 1, k), np.nan)
+        line, slot = np.searchsorted(parts, rows["part"]), rows["slot"].to_numpy()
+        before_n[line, slot], before_s[line, slot], after[line, slot] = rows["n"], rows["s"], rows["first"]
+        before_n, before_s = (np.vstack([np.zeros(k), np.cumsum(v, axis=0)[:-1]]) for v in (before_n, before_s))
+        for i in range(len(parts) - 1, -1, -1):  # the next part that holds rows of the slot
+            after[i] = np.where(np.isnan(after[i]), after[i + 1], after[i])
+
+        def cuts(batches, j=j, parts=parts, before_n=before_n, before_s=before_s, after=after):
+            for part, slot, v, n, s in _of_slots(batches, j, p, frozen, growths, where, tried):
+                i = int(np.searchsorted(parts, part))
+                seen, first, size = np.unique(slot, return_index=True, return_counts=True)
+                ends = first + size - 1
+                cn, cs = (np.cumsum(c) for c in (n, s))
+                cn += np.repeat(before_n[i, seen] - cn[first] + n[first], size)
+                cs += np.repeat(before_s[i, seen] - cs[first] + s[first], size)
+                follows = np.append(v[1:], np.nan)
+                follows[ends] = after[i + 1, seen]
+                rest_n, rest = total_n[slot] - cn, total[slot] - cs
+                ok = (follows > v) & (cn >= least[slot]) & (rest_n >= least[slot])
+                g = np.where(ok, cs**2 / np.maximum(cn, 1e-300) + rest**2 / np.maximum(rest_n, 1e-300), -np.inf)
+                top = np.repeat(np.maximum.reduceat(g, first), size)
+                at = np.flatnonzero((g == top) & ok)
+                at = at[np.unique(slot[at], return_index=True)[1]]
+                found = (np.full(len(at), part), slot[at], g[at], v[at], follows[at])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["part", "slot", "g", "v", "follows"])
+
+        best = table.select(*columns).mapInArrow(cuts, "part bigint, slot bigint, g double, v double, follows double").toPandas()
+        best = best.sort_values(["slot", "g", "part"], ascending=[True, False, True]).drop_duplicates("slot")
+        s, g, v, follows = (best[c].to_numpy() for c in ("slot", "g", "v", "follows"))
+        better = g > gain[s] * (1 + 1e-15)
+        s, g, v, follows = (c[better] for c in (s, g, v, follows))
+        gain[s], feature[s] = g, j
+        middle = v + (follows - v) / 2
+        threshold[s] = np.where(middle < follows, middle, v)
+    return gain - total**2 / np.maximum(total_n, 1e-300), feature, threshold
 
 
 def scores_of(table: DataFrame, columns, growths: list, holdout: DataFrame, features, target, mean) -> DataFrame:
@@ -220,7 +403,7 @@ def scores_of(table: DataFrame, columns, growths: list, holdout: DataFrame, feat
         asked = np.column_stack([block.column(c).to_numpy(zero_copy_only=False) for c in features])
         out, line = np.zeros(len(asked)), np.arange(len(asked))
         for tree, growth in growths[k]:
-            feature, threshold, left, right, value, _ = grow(x, y, growth, tree)
+            feature, threshold, left, right, value, *_ = grow(x, y, growth, tree)
             node = np.zeros(len(asked), np.int64)
             while (inner := feature[node] >= 0).any():
                 go = asked[line, np.maximum(feature[node], 0) % p] <= threshold[node]

@@ -388,6 +388,43 @@ def test_nodes_finished_in_tasks_equal_whole_trees(clean, monkeypatch):
         trees.decision_tree(clean, X, "y")
 
 
+def test_exact_cuts_found_on_the_cluster_equal_those_of_a_task(clean, monkeypatch):
+    x = clean.toPandas()[X].to_numpy()
+    options = dict(min_samples_split=4, min_samples_leaf=3, max_features=2)
+    fits = [
+        lambda: trees.decision_tree(clean, X, "y", max_depth=2, large=True),
+        lambda: trees.decision_tree(clean, X, "y", **options, large=True),
+        lambda: trees.random_forest(clean, X, "y", "id", n_estimators=3, **options, large=True),
+    ]
+    whole = [fit() for fit in fits]
+    monkeypatch.setattr(forests, "TASK_BYTES", clean.count() * 40 // 5)
+    monkeypatch.setattr(forests, "SORTED_ROWS", 150)
+    for a, fit in zip(whole, fits):
+        b = fit()
+        assert np.allclose(a.importances, b.importances, atol=1e-3)  # features that part a node's rows alike may change places
+        for s, t in zip(a.trees, b.trees):
+            assert len(s[0]) == len(t[0]) and np.allclose(s[4][trees._walk(s, x)], t[4][trees._walk(t, x)])
+
+
+def test_forests_on_the_cluster_score_as_on_the_driver(clean, monkeypatch):
+    fits = [
+        lambda: trees.extra_trees_regress(clean, X, "y", n_estimators=3, max_depth=6, min_samples_leaf=3),
+        lambda: trees.random_forest(clean, X, "y", "id", n_estimators=3, min_samples_leaf=3, large=True),
+    ]
+    asked = clean.select("id", "y", *[F.when(F.col("id") % 10 != 0, F.col(c)).alias(c) for c in X])
+    for limit, fit in zip((forests.TASK_BYTES, clean.count() * 40 // 5), fits):
+        monkeypatch.setattr(forests, "TASK_BYTES", limit)
+        monkeypatch.setattr(trees, "DRIVER_NODES", 2_000_000)
+        near = fit()
+        monkeypatch.setattr(trees, "DRIVER_NODES", 0)
+        far = fit()
+        assert isinstance(far, trees.SpreadForest) and np.allclose(near.importances, far.importances)
+        a, b = (m.score(asked).select("id", "y", "prediction").orderBy("id").toPandas() for m in (near, far))
+        assert np.allclose(a, b)
+        a, b = (m.table(clean.sparkSession).orderBy("tree", "node").toPandas() for m in (near, far))
+        assert len(a) == len(b) and (a["feature"] == b["feature"]).all() and (a["left"] == b["left"]).all()
+
+
 def test_exact_tree_equals_brute_force(clean):
     pdf = clean.toPandas()
     x, y = pdf[X].to_numpy(float), pdf["y"].to_numpy(float)
