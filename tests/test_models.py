@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import moments
+from rowloom.functions.hashing import hash32
 from rowloom.models import adaboost, bayes, boosting, forests, kernel, linear, mlp, robust, spark_ml, trees
 from rowloom.operators import reduce as D
 from rowloom.operators import relevance
@@ -389,7 +390,8 @@ def test_nodes_finished_in_tasks_equal_whole_trees(clean, monkeypatch):
 
 
 def test_exact_cuts_found_on_the_cluster_equal_those_of_a_task(clean, monkeypatch):
-    x = clean.toPandas()[X].to_numpy()
+    pdf = clean.withColumn("h", hash32("id").cast("double")).toPandas()
+    x, hashes = pdf[X].to_numpy(), pdf["h"].to_numpy()
     options = dict(min_samples_split=4, min_samples_leaf=3, max_features=2)
     fits = [
         lambda: trees.decision_tree(clean, X, "y", max_depth=2, large=True),
@@ -402,8 +404,9 @@ def test_exact_cuts_found_on_the_cluster_equal_those_of_a_task(clean, monkeypatc
     for a, fit in zip(whole, fits):
         b = fit()
         assert np.allclose(a.importances, b.importances, atol=1e-3)  # features that part a node's rows alike may change places
-        for s, t in zip(a.trees, b.trees):
-            assert len(s[0]) == len(t[0]) and np.allclose(s[4][trees._walk(s, x)], t[4][trees._walk(t, x)])
+        for i, (s, t) in enumerate(zip(a.trees, b.trees)):
+            bag = forests._weights(forests.Growth(None, 4, 3, 2, 42, True, True), i, hashes) > 0 if len(a.trees) > 1 else hashes >= 0
+            assert len(s[0]) == len(t[0]) and np.allclose(s[4][trees._walk(s, x[bag])], t[4][trees._walk(t, x[bag])])
 
 
 def test_forests_on_the_cluster_score_as_on_the_driver(clean, monkeypatch):
@@ -425,6 +428,20 @@ def test_forests_on_the_cluster_score_as_on_the_driver(clean, monkeypatch):
         assert len(a) == len(b) and (a["feature"] == b["feature"]).all() and (a["left"] == b["left"]).all()
 
 
+def test_sweep_over_shared_trees_equals_a_forest_for_each_candidate(clean, monkeypatch):
+    held = clean.filter("id % 5 = 0")
+    grid = [
+        {"max_depth": d, "min_samples_split": s, "min_samples_leaf": leaf, "n_estimators": e}
+        for d, s, leaf, e in ((1, 2, 3, 2), (4, 2, 3, 2), (None, 2, 3, 2), (6, 40, 3, 1), (None, 300, 3, 2), (None, 2, 40, 2))
+    ]
+    run = lambda: trees.sweep_forests(clean, held, X, "y", grid).orderBy("candidate", "y").toPandas()
+    near = run()
+    monkeypatch.setattr(forests, "TASK_BYTES", clean.count() * 40 // 5)
+    far = run()
+    assert len(near) == len(grid) * held.count() and (near["candidate"] == far["candidate"]).all()
+    assert np.allclose(near["y"], far["y"]) and np.allclose(near["prediction"], far["prediction"])
+
+
 def test_exact_tree_equals_brute_force(clean):
     pdf = clean.toPandas()
     x, y = pdf[X].to_numpy(float), pdf["y"].to_numpy(float)
