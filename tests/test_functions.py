@@ -120,3 +120,12 @@ def test_checkpoint_folder_is_taken_from_the_session(spark):
     assert df.count() == 3
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert "x-" in scratch_path(spark, "x")
+
+
+def test_many_quantiles_of_a_column_come_from_one_sort(spark, monkeypatch):
+    rows = spark.createDataFrame([(None if i % 11 == 0 else float(i * 7919 % 1009), float(i % 3)) for i in range(3_000)], "v double, w double")
+    wanted = {"v": [i / 64 for i in range(65)], "w": [0.5]}
+    want = quantiles.exact_quantiles(rows, wanted)
+    narrowed, plain = [], quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda table, targets, round_: narrowed.extend(t.column for t in targets) or plain(table, targets, round_))
+    assert quantiles.exact_quantiles(rows, wanted, small=0) == pytest.approx(want, rel=1e-12) and set(narrowed) == {"w"}
