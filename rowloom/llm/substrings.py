@@ -21,6 +21,7 @@ from rowloom.llm.common import settled, span_hash, text_chunks, text_key, word_s
 WINDOW = 35
 RUN = 8
 HOT = 1_000  # a key with more than this part of all rows is hot; there are fewer of them than this
+MARK_WORDS = 1 << 19  # words of 64 marks that are sent to all tasks, at most
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -107,6 +108,21 @@ def _within(rows: DataFrame, keys: DataFrame, by: list[str], size: int | None =
     return rows.join(hot, by, "left_semi"), rows.join(hot, by, "left_anti").join(rest, by, "left_semi")
 
 
+def _split_by_marks(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be among `keys` (all that are and some others), and those whose key surely is not.
+
+    Every key sets one bit of a table that is sent to all tasks, so that rows without a partner need not travel to a join. The table has
+    about 32 bits a key until it is full; from then on more rows travel for nothing.
+    """
+    words = min(MARK_WORDS, max(1, -(-keys.count() // 2)))
+    slot, bit = F.pmod(F.shiftrightunsigned(key, 6), F.lit(words)), F.col(key).bitwiseAND(F.lit(63)).cast("int")
+    marks = keys.select(slot.alias("_rowloom_slot"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mark"))
+    marks = marks.groupBy("_rowloom_slot").agg(F.bit_or("mark").alias("_rowloom_marks"))
+    placed = rows.withColumn("_rowloom_slot", slot).join(F.broadcast(marks), "_rowloom_slot", "left")
+    marked = F.coalesce(F.bit_get("_rowloom_marks", bit) == 1, F.lit(False))
+    return placed.filter(marked).select(*rows.columns), placed.filter(~marked).select(*rows.columns)
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """(node, spans): for the hash of every text with repeated windows, the (start, size) rows of windows that repeat.
 
@@ -129,7 +145,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
     hot, rest = _within(total.drop("n"), settled(mixed, "mixed-names"), ["name"], total.count())
     parts = hot.union(rest).select("one.*", "times")
     parts = settled(parts.groupBy("node").agg(F.collect_list(F.struct("start", "size", "times")).alias("parts")), "phrase-parts")
-    texts = base.join(parts.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    texts = _split_by_marks(base, "node", parts.select("node"))[0].join(parts.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     windows = settled(_window_table(texts.join(parts, "node"), window), "windows")
     again = windows.groupBy("window").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("n")).filter("times > 1")
     hot, rest = _within(windows.filter("times = 1"), settled(again, "repeated-windows"), ["window"], windows.count())
@@ -146,7 +162,10 @@ def remove_repeated(docs: DataFrame, text: str = "text", window: int = WINDOW) -
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept") if c != text])
     names = docs.columns
     spans = settled(repeated_spans(docs, text, window), "repeated-spans")
-    rows = docs.withColumn("_rowloom_node", text_key(text)).join(spans.withColumnRenamed("node", "_rowloom_node"), "_rowloom_node", "left").select(*names, F.col("spans").alias("_rowloom_spans"))
+    spans = spans.select(F.col("node").alias("_rowloom_node"), F.col("spans").alias("_rowloom_spans"))
+    near, far = _split_by_marks(docs.withColumn("_rowloom_node", text_key(text)), "_rowloom_node", spans.select("_rowloom_node"))
+    near = near.join(spans, "_rowloom_node", "left").select(*names, "_rowloom_spans")
+    rows = near.unionByName(far.select(*names, F.lit(None).cast(spans.schema["_rowloom_spans"].dataType).alias("_rowloom_spans")))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
     def run(batches):

@@ -455,3 +455,35 @@ def test_repeated_passages_with_and_without_hot_keys(spark, docs, monkeypatch, h
     want = sorted(map(repr, substrings.remove_repeated(docs).collect()))
     monkeypatch.setattr(substrings, "HOT", hot)  # 1: no key is hot
     assert sorted(map(repr, substrings.remove_repeated(docs).collect())) == want
+
+
+@pytest.mark.parametrize("words", [1, 4, 1 << 19])
+def test_marks_keep_rows_without_a_partner_out_of_the_join(spark, monkeypatch, words):
+    monkeypatch.setattr(substrings, "MARK_WORDS", words)
+    rows = spark.range(4_000).select(F.xxhash64("id").alias("node"), F.col("id").alias("text"))
+    keys = rows.filter("text % 20 = 0").select("node")
+    near, far = substrings._split_by_marks(rows, "node", keys)
+    near, far = ([r.text for r in t.collect()] for t in (near, far))
+    assert sorted(near + far) == list(range(4_000))
+    assert {t for t in near if t % 20 == 0} == set(range(0, 4_000, 20))
+    assert words < 100 or len(near) < 400
+    none, rest = substrings._split_by_marks(rows, "node", keys.limit(0))
+    assert (none.count(), rest.count()) == (0, 4_000)
+
+
+def test_texts_without_repeats_do_not_travel(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(300)] + [(300 + i, " ".join(f"copy{j}" for j in range(200))) for i in range(2)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    out, sent = substrings.remove_repeated(docs), []
+    split = substrings._split_by_marks
+
+    def counted(rows, key, keys):
+        near, far = split(rows, key, keys)
+        sent.append(near.count())
+        return near, far
+
+    monkeypatch.setattr(substrings, "_split_by_marks", counted)
+    again = substrings.remove_repeated(docs)
+    assert sent and max(sent) < 30
+    assert sorted(out.collect()) == sorted(again.collect())
+    assert [r.n_removed for r in again.orderBy("doc_id").collect()] == [0] * 300 + [200] * 2
