@@ -185,3 +185,30 @@ def test_rows_with_repeated_ids_are_searched_each_by_itself(spark, monkeypatch):
     got = found(N.knn_join(df.union(df), df.union(df), ["f0", "f1", "f2"], "id", 3, exclude_self=True, broadcast_points=10))
     near = brute(x, 2, 2, True)
     assert got == {i: [near[i][0], near[i][0], near[i][0]] for i in range(120)}
+
+
+def test_rough_measures_are_held_in_tiles(monkeypatch):
+    """Searching many points holds no line of measures whole, and a part of the points far from the queries misleads nobody."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5_000, 24))
+    x[::4] += 40  # one of four points, as the first look takes them, is far off
+    x[::500] = x[1]
+    q = np.concatenate([x[1:400:4], x[:40:4] + 0.1])
+    want = ((q[:, None] - x[None]) ** 2).sum(2)
+    order, seen = np.argsort(want, axis=1, kind="stable"), []
+    rough = N._Points.rough
+    monkeypatch.setattr(N._Points, "rough", lambda self, *a: seen.append(rough(self, *a)) or seen[-1])
+    best = np.take_along_axis(want, order, axis=1)[:, 2]
+    for limit in (None, best, best * 3):
+        seen.clear()
+        qi, xi, m = N._best(q, x, 3, 2, limit)
+        assert qi.tolist() == np.repeat(np.arange(len(q)), 3).tolist()
+        assert xi.reshape(-1, 3).tolist() == order[:, :3].tolist()
+        assert np.allclose(m.reshape(-1, 3), np.take_along_axis(want, order, axis=1)[:, :3])
+        if limit is not None:
+            assert seen and max(v.size for v in seen) <= N.LINES * N.TILE
+    seen.clear()
+    far = np.vstack([q[:3], np.full((1, 24), 1e30)])  # too large for single precision: measured in full
+    want = ((far[:, None] - x[None]) ** 2).sum(2)
+    assert N._best(far, x, 3, 2)[1].reshape(-1, 3)[:3].tolist() == np.argsort(want, axis=1, kind="stable")[:3, :3].tolist()
+    assert not seen
