@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.functions import quantiles
+from rowloom.functions import quantiles, spreading
 from rowloom.functions.lineage import cut_lineage, scratch_path
 from rowloom.functions.moments import grouped_moments, moments, sum_over_rows
 from rowloom.functions.nulls import complete_rows
@@ -129,3 +129,15 @@ def test_many_quantiles_of_a_column_come_from_one_sort(spark, monkeypatch):
     narrowed, plain = [], quantiles._narrow
     monkeypatch.setattr(quantiles, "_narrow", lambda table, targets, round_: narrowed.extend(t.column for t in targets) or plain(table, targets, round_))
     assert quantiles.exact_quantiles(rows, wanted, small=0) == pytest.approx(want, rel=1e-12) and set(narrowed) == {"w"}
+
+
+def test_partitions_of_many_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(spreading, "PART_ROWS", 100)
+    even, skewed = spark.range(0, 300, 1, 4), spark.range(0, 300, 1, 4).select(F.when(F.col("id") < 270, 0).otherwise(F.col("id")).alias("id")).repartition(8, "id")
+    assert spreading.spread(even) is even
+    for df, most in ((skewed, 90), (spark.range(0, 1000, 1, 4), 110)):
+        out = spreading.settle(df)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= most and sum(sizes) == df.count()
+        assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in df.collect())
+        out.unpersist()
