@@ -358,6 +358,30 @@ def test_boosting_in_a_task_equals_passes(clean, monkeypatch):
         _same_trees(a.trees, b.trees)
 
 
+def test_drawn_rounds_train_on_counted_rows(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        "id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * 31 % 11).cast("double").alias("b"), (F.col("id") % 2).cast("int").alias("fold"),
+        (F.col("id") % 7 * 3 + F.sin("id")).alias("y"), (F.col("id") % 7 + F.sin("id") > 3).cast("int").alias("k"),
+    )
+    passed, drawn = [], boosting.Binned._drawn
+    monkeypatch.setattr(boosting.Binned, "_drawn", lambda self, *a: passed.append(drawn(self, *a)) or passed[-1])
+    for target, loss in (("y", "squared"), ("k", "logistic")):
+        jobs = [boosting.Options(loss, n_estimators=n, max_depth=3, held=h, subsample=0.6, colsample=0.5) for n, h in ((3, None), (2, 1))]
+        run = lambda: boosting.boost_many(rows, ["a", "b"], target, jobs, trees.Tree, "id", "fold", 16)[0]
+        with monkeypatch.context() as m:
+            m.setattr(boosting, "DRAWN_BYTES", 0)  # every row by itself
+            whole = run()
+            assert not passed
+        for name, value in ((None, None), ("DRAWN_BYTES", 16 * 200), ("DRAWN_ROWS", 100), ("TASK_BYTES", 0)):
+            with monkeypatch.context() as m:
+                if name:
+                    m.setattr(boosting, name, value)
+                for a, b in zip(whole, run(), strict=True):
+                    _same_trees(a.trees, b.trees)
+                assert passed.pop()[1] == 154
+        assert not passed
+
+
 def test_held_rows_get_the_margins_of_a_model_without_them(clean):
     rows = clean.withColumn("fold", (F.col("id") % 2).cast("int"))
     held = boosting.boost_many(rows, X, "y", boosting.candidates_by_fold([{"n_estimators": 3}, {"n_estimators": 5}], [0, 1], max_depth=2), trees.Tree, None, "fold", 8, scored=True)[3]
