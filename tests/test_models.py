@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions.moments import moments
-from rowloom.functions.hashing import hash32
+from rowloom.functions.hashing import hash32, text_unit
 from rowloom.models import adaboost, bayes, boosting, forests, kernel, linear, mlp, robust, spark_ml, trees
 from rowloom.operators import reduce as D
 from rowloom.operators import relevance
@@ -535,3 +535,73 @@ def test_kernel_svc_keeps_no_mapped_columns(clean, monkeypatch):
     monkeypatch.setattr(kernel, "settle", lambda d: kept.append(d.columns) or settle(d))
     m = kernel.kernel_svc(clean, "id", X, "k", gamma="scale", landmarks=12, max_iter=3)
     assert kept == [[*X, "k"]] and m.score(clean).count() == clean.count()
+
+
+def _simple_tree(x, y, w, growth, tree, label="0", depth=0):
+    """A nested (feature, threshold, left, right) or a leaf's mean, node by node in plain loops."""
+    n, total = w.sum(), (w * y).sum()
+    lo, hi = x.min(axis=0), x.max(axis=0)
+    if not forests.may_split(growth, depth, n, total, (w * y * y).sum()) or not (hi > lo).any():
+        return total / n
+    tried = forests.chosen_features(growth, tree, [label], (hi > lo)[None])[0]
+    best = (-np.inf, None, None)
+    for j in np.flatnonzero(tried):
+        values = np.unique(x[:, j])
+        drawn = text_unit(f"{growth.seed}:{tree}:{label}:{j}")
+        cuts = (values[1:] + values[:-1]) / 2 if growth.best else [lo[j] + drawn * (hi[j] - lo[j])]
+        for cut in cuts:
+            left = x[:, j] <= cut
+            nl, sl = w[left].sum(), (w * y)[left].sum()
+            if min(nl, n - nl) >= growth.min_samples_leaf and (g := sl**2 / nl + (total - sl) ** 2 / (n - nl)) > best[0] * (1 + 1e-12):
+                best = (g, j, cut)
+    if best[1] is None:
+        return total / n
+    left = x[:, best[1]] <= best[2]
+    halves = [_simple_tree(x[s], y[s], w[s], growth, tree, label + b, depth + 1) for s, b in ((left, "0"), (~left, "1"))]
+    return (best[1], best[2], *halves)
+
+
+@pytest.mark.parametrize("best", [False, True])
+@pytest.mark.parametrize("bootstrap", [False, True])
+@pytest.mark.parametrize("cache", [1, 300, 1 << 16])
+def test_trees_grown_in_pieces_equal_simple_ones(monkeypatch, best, bootstrap, cache):
+    """Rows of neighbouring nodes are taken to the leaves together; the trees and the numbers of their nodes don't depend on it."""
+    monkeypatch.setattr(forests, "CACHE_ROWS", cache)
+    r = np.random.default_rng(3)
+    x = np.column_stack([r.normal(size=700), r.integers(0, 6, 700), r.integers(0, 40, 700)]).astype(float)
+    y = x[:, 0] ** 2 + x[:, 1] + r.normal(size=700) * 0.1
+    growth = forests.Growth(9, 8, 3, 2, 42, best, bootstrap)
+    w = forests._weights(growth, 5, r.integers(0, 2**32, 700).astype(float))
+    feature, threshold, left, right, value, gains, sizes = forests.grow(x, y, growth, 5, weight=w)
+    w = np.ones(700) if w is None else w
+
+    def same(node, simple):
+        if not isinstance(simple, tuple):
+            assert feature[node] == -1 and left[node] == -1 and value[node] == pytest.approx(simple)
+            return 1
+        assert (feature[node], threshold[node]) == (simple[0], pytest.approx(simple[1])) and right[node] == left[node] + 1
+        assert sizes[node] == sizes[left[node]] + sizes[right[node]]
+        return 1 + same(left[node], simple[2]) + same(right[node], simple[3])
+
+    assert same(0, _simple_tree(x[w > 0], y[w > 0], w[w > 0], growth, 5)) == len(feature) > 50
+    inner = feature >= 0
+    assert (left[inner] == 1 + 2 * np.arange(inner.sum())).all()  # level by level
+    assert gains.sum() > 0 and sizes[0] == w.sum()
+
+
+def test_few_trees_travel_at_a_time(clean, monkeypatch):
+    """Rows of all trees at once would fill the disks with as many copies of the table."""
+    fit = lambda: trees.random_forest(clean, X, "y", "id", n_estimators=5, min_samples_leaf=3, large=True)
+    monkeypatch.setattr(forests, "TASK_BYTES", clean.count() * 40 // 4)
+    monkeypatch.setattr(trees, "DRIVER_NODES", 0)
+    together, lists = forests._together, []
+    monkeypatch.setattr(forests, "_together", lambda *a: lists.append(together(*a)) or lists[-1])
+    whole = fit()
+    want = whole.score(clean).select("id", "prediction").orderBy("id").toPandas()
+    assert lists == [[[0, 1, 2, 3, 4]]] * 2
+    monkeypatch.setattr(forests, "DEALT_BYTES", clean.count() * 40 * 2)
+    lists.clear()
+    some = fit()
+    got = some.score(clean).select("id", "prediction").orderBy("id").toPandas()
+    assert lists[0] == [[0, 1], [2, 3], [4]] and all(len(v) < 5 for v in lists[1]) and [s for s, _ in some.parts] == lists[0]
+    assert got.equals(want) and (some.importances == whole.importances).all()
