@@ -605,3 +605,37 @@ def test_few_trees_travel_at_a_time(clean, monkeypatch):
     got = some.score(clean).select("id", "prediction").orderBy("id").toPandas()
     assert lists[0] == [[0, 1], [2, 3], [4]] and all(len(v) < 5 for v in lists[1]) and [s for s, _ in some.parts] == lists[0]
     assert got.equals(want) and (some.importances == whole.importances).all()
+
+
+def test_kernel_svc_takes_the_steps_of_mllib(clean):
+    """Weights, not only classes, agree with MLlib's on the mapped columns."""
+    k = kernel.KernelMap(clean, "id", X, gamma="scale", landmarks=12)
+    for steps in (1, 4, 30):
+        want = spark_ml.linear_svc(k.add(clean), k.columns, "k", 2.0, steps).model
+        got = kernel.kernel_svc(clean, "id", X, "k", 2.0, steps, gamma="scale", landmarks=12).inner
+        assert np.allclose(got.coefficients, want.coefficients.toArray(), rtol=1e-5, atol=1e-6)
+        assert got.intercept == pytest.approx(want.intercept, rel=1e-5, abs=1e-6)
+    with pytest.raises(ValueError):
+        kernel.kernel_svc(clean.withColumn("k", F.lit(2)), "id", X, "k", landmarks=12)
+
+
+@pytest.mark.parametrize("fit", [kernel.kernel_svc, kernel.kernel_svr])
+def test_kernel_fits_keep_no_mapped_columns_anywhere(clean, monkeypatch, fit):
+    """Neither the fit itself nor MLlib below it writes rows many times as wide as the table."""
+    frame = type(clean)
+    kept, persist = [], frame.persist
+    monkeypatch.setattr(frame, "persist", lambda d, *a, **b: kept.append(d.columns) or persist(d, *a, **b))
+    monkeypatch.setattr(spark_ml.LinearSVC, "fit", lambda *a: pytest.fail("keeps its vectors"))
+    m = fit(clean, "id", X, "k", gamma="scale", landmarks=12, max_iter=3)
+    assert kept and all(columns == [*X, "k"] for columns in kept) and m.score(clean).count() == clean.count()
+
+
+def test_kernel_svr_equals_a_fit_on_the_mapped_columns(clean):
+    k = kernel.KernelMap(clean, "id", X, gamma="scale", landmarks=12)
+    for steps in (1, 3):
+        want = kernel.linear_svr(k.add(clean), k.columns, "y", 2.0, 0.05, steps)
+        got = kernel.kernel_svr(clean, "id", X, "y", 2.0, 0.05, steps, gamma="scale", landmarks=12)
+        assert np.allclose(got.inner.coefficients, want.coefficients, rtol=1e-5, atol=1e-7)
+    a = got.score(clean).select("id", "prediction").orderBy("id").toPandas()
+    b = want.score(k.add(clean)).select("id", "prediction").orderBy("id").toPandas()
+    assert np.allclose(a, b, rtol=1e-5, atol=1e-7)
