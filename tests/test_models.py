@@ -639,3 +639,26 @@ def test_kernel_svr_equals_a_fit_on_the_mapped_columns(clean):
     a = got.score(clean).select("id", "prediction").orderBy("id").toPandas()
     b = want.score(k.add(clean)).select("id", "prediction").orderBy("id").toPandas()
     assert np.allclose(a, b, rtol=1e-5, atol=1e-7)
+
+
+def test_forest_of_many_trees_votes_as_one(clean):
+    """More trees than are grown together: all of them vote, by the shares of their leaves."""
+    m = spark_ml.random_forest_classify(clean, X, "k", n_estimators=25, max_depth=6)
+    assert [f.model.getNumTrees for f in m.forests] == [10, 10, 5] and m.importances.sum() == pytest.approx(1)
+    held = clean.withColumn("a", F.when(F.col("id") % 9 != 0, F.col("a"))) if "a" in X else clean
+    got = m.score(held, probability="p").select("id", "prediction", "p").orderBy("id").toPandas()
+    raw = [f.model.transform(spark_ml.assemble(held, X)).select("id", F.col("_raw")).orderBy("id").toPandas() for f in m.forests]
+    votes = sum(np.array([v.toArray() for v in r["_raw"]]) for r in raw)
+    assert (got["id"] == raw[0]["id"]).all() and np.allclose(got["p"], votes[:, 1] / 25) and (got["prediction"] == votes.argmax(axis=1)).all()
+    assert set(m.score(clean).columns) == {*clean.columns, "prediction"}
+
+
+def test_registered_forest_grows_a_hundred_deep_trees(spark, monkeypatch):
+    from catalog import ensembles
+
+    asked, fit = [], spark_ml.RandomForestClassifier
+    monkeypatch.setattr(spark_ml, "RandomForestClassifier", lambda **o: asked.append((o["numTrees"], o["maxDepth"])) or fit(**{**o, "numTrees": 1, "maxDepth": 2}))
+    rows = spark.range(400).select(F.col("id").cast("string").alias("id"), *[F.rand(i).alias(c) for i, c in enumerate("abc")]).withColumn("y", (F.col("a") > 0.5).cast("int"))
+    monkeypatch.setattr(ensembles, "fx_bin", lambda *_: rows)
+    assert ensembles.random_forest_classify(spark, "").count() == 1
+    assert sum(n for n, _ in asked) == 100 and {d for _, d in asked} == {30}
