@@ -226,3 +226,21 @@ def test_a_loose_limit_measures_few_pairs(monkeypatch, p):
     assert sum(cells) < 0.02 * want.size
     assert xi.reshape(-1, 3).tolist() == np.argsort(want, axis=1, kind="stable")[:, :3].tolist()
     assert np.allclose(m.reshape(-1, 3), np.sort(want, axis=1)[:, :3])
+
+
+def test_first_visit_moves_no_ids(spark):
+    """The first visit asks for measures alone; ids, as wide as the vectors, would fill the disk twice more."""
+    v = F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double"))
+    rows = lambda: spark.range(60).select(F.md5(F.col("id").cast("string")).alias("_id"), v.alias("_v"), F.lit(0).alias("cell"), F.col("id").alias("_row"))
+    x = rows().drop("_row")
+    q = rows().drop("cell").withColumns({"_limit": F.lit(None).cast("double"), "_cells": F.array(F.lit(0))})
+    found = N._visit(q, x, {0: 60}, 3, 2, [], 25, measures=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouped = plan[: plan.index("Project", plan.index("FlatMapCoGroups"))].split("FlatMapCoGroups")[1].splitlines()[0]
+    assert "_id#" not in grouped and "_row#" in grouped
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["_row"], []).extend(r["_m"])
+    points = np.array([r["_v"] for r in q.collect()])
+    for r in q.collect():
+        assert np.allclose(sorted(got[r["_row"]])[:3], sorted(((points - np.array(r["_v"])) ** 2).sum(axis=1))[:3])
